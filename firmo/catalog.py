@@ -41,3 +41,157 @@ register("bronze_dim_companies", oracle.q("SELECT * FROM bronze_dim"))(
     lambda spark, d: _layers(spark, d).bronze_dim)
 register("bronze_fct_company_metrics", oracle.q("SELECT * FROM bronze_fct"))(
     lambda spark, d: _layers(spark, d).bronze_fct)
+
+
+# ---------------------------------------------------------------- 2.2-2.7 serving over the mart
+from firmo.operators import aggregates as AG  # noqa: E402
+from firmo.operators import setops as SO  # noqa: E402
+from firmo.operators import topk as TK  # noqa: E402
+from firmo.plans import serve as SV  # noqa: E402
+
+MART_ORDER_SQL = ", ".join(f"{c} ASC NULLS LAST" for c in TK.MART_ORDER_COLS)
+PAGE_FILTER = dict(company_name="company 1", min_employees=1000, max_revenue=5e9)
+
+
+def _mart(spark, d):
+    return _layers(spark, d).mart
+
+
+register("search_companies", oracle.q(
+    "SELECT * FROM mart WHERE upper(company_name) LIKE '%COMPANY 1%' AND employee_count >= 1000 "
+    f"AND revenue <= 5e9 ORDER BY {MART_ORDER_SQL} LIMIT 10 OFFSET 20"))(
+    lambda spark, d: SV.search_page(_mart(spark, d), page=3, page_size=10, **PAGE_FILTER)[0])
+register("search_total", oracle.q(
+    "SELECT count(*) AS total FROM mart WHERE upper(company_name) LIKE '%COMPANY 1%' "
+    "AND employee_count >= 1000 AND revenue <= 5e9"))(
+    lambda spark, d: SV.search_page(_mart(spark, d), **PAGE_FILTER)[1])
+register("search_by_country_industry", oracle.q(
+    "SELECT * FROM mart WHERE industry = 'BUILDING services' AND country = 'NATION_7' "
+    f"ORDER BY {MART_ORDER_SQL} LIMIT 25"))(
+    lambda spark, d: TK.paginate(SV.search_companies(_mart(spark, d), industry="BUILDING services",
+                                                     country="NATION_7"), 1, 25))
+register("paginate", oracle.q(f"SELECT * FROM mart ORDER BY {MART_ORDER_SQL} LIMIT 100 OFFSET 400"))(
+    lambda spark, d: TK.paginate(_mart(spark, d), page=5, page_size=100))
+register("search_name_or_ceo", oracle.q(
+    "SELECT * FROM mart WHERE lower(company_name) LIKE '%pany 12%' OR lower(ceo) LIKE '%pany 12%' "
+    f"ORDER BY {MART_ORDER_SQL} LIMIT 20"))(
+    lambda spark, d: SV.search_name_or_ceo(_mart(spark, d), "pany 12"))
+register("get_company", oracle.q(
+    "SELECT * FROM mart WHERE company_id = (SELECT min(company_id) FROM mart WHERE fortune_rank = 7)"))(
+    lambda spark, d: (lambda m: m.join(m.filter(F.col("fortune_rank") == 7)
+                                       .agg(F.min("company_id").alias("company_id")), "company_id", "left_semi"))(
+        _mart(spark, d)))
+
+_FMT_NUM = ("CASE WHEN {x} IS NULL OR isnan({x}) THEN '-' WHEN {x} = floor({x}) "
+            "THEN format('{{:,}}', CAST({x} AS BIGINT)) "
+            "ELSE regexp_replace(format('{{:,.3f}}', {x}), '\\.?0+$', '') END")
+
+
+def _fmt_cur(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '-' "
+            f"WHEN {x} >= 1e9 THEN printf('%.1f', {x} / 1e9) || 'B' "
+            f"WHEN {x} >= 1e6 THEN printf('%.1f', {x} / 1e6) || 'M' "
+            f"WHEN {x} >= 1e3 THEN printf('%.1f', {x} / 1e3) || 'K' "
+            f"ELSE {_FMT_NUM.format(x=x)} END")
+
+
+register("display_columns", oracle.q(
+    "SELECT company_id, company_name, "
+    "array_to_string(list_transform(string_split(lower(company_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS display_name, "
+    f"{_fmt_cur('CAST(revenue AS DOUBLE)')} AS revenue_text, "
+    f"{_FMT_NUM.format(x='CAST(employee_count AS DOUBLE)')} AS employees_text, "
+    "substring(coalesce(nullif(company_name, ''), 'Unknown'), 1, 15) AS label15 FROM mart"))(
+    lambda spark, d: SV.display_columns(_mart(spark, d)))
+
+register("count_by_country", oracle.q(
+    "SELECT country, count(*) AS count FROM mart WHERE country IS NOT NULL GROUP BY country "
+    "ORDER BY count DESC, country ASC LIMIT 20"))(
+    lambda spark, d: AG.count_by(_mart(spark, d), "country", 20))
+register("count_by_industry", oracle.q(
+    "SELECT industry, count(*) AS count FROM mart WHERE industry IS NOT NULL GROUP BY industry "
+    "ORDER BY count DESC, industry ASC LIMIT 20"))(
+    lambda spark, d: AG.count_by(_mart(spark, d), "industry", 20))
+register("global_statistics", oracle.q(
+    "SELECT count(*) AS total_companies, round(avg(employee_count), 4) AS average_employee_count, "
+    "round(avg(revenue), 2) AS average_revenue, min(founded_year) AS oldest_company_year, "
+    "max(founded_year) AS newest_company_year FROM mart"))(
+    lambda spark, d: AG.global_statistics(_mart(spark, d)))
+
+_CK = ("CASE WHEN country IS NOT NULL AND trim(country) <> '' AND upper(trim(country)) <> 'UNKNOWN' "
+       "THEN trim(country) END")
+_IK_RAW = "coalesce(nullif(industry, ''), industry_primary)"
+_IK = (f"CASE WHEN {_IK_RAW} IS NOT NULL AND trim({_IK_RAW}) <> '' AND upper(trim({_IK_RAW})) <> 'UNKNOWN' "
+       f"THEN trim({_IK_RAW}) END")
+register("export_statistics", oracle.q(
+    f"SELECT count(*) AS total_companies, count(DISTINCT {_CK}) AS total_countries, "
+    f"count(DISTINCT {_IK}) AS total_industries, "
+    "count(*) FILTER (WHERE fortune_rank IS NOT NULL AND fortune_rank <> 0) AS companies_with_fortune_rank, "
+    "count(*) FILTER (WHERE founded_year IS NOT NULL AND founded_year <> 0) AS companies_with_founded_year, "
+    "count(*) FILTER (WHERE revenue IS NOT NULL AND revenue <> 0) AS companies_with_revenue, "
+    "round(coalesce(avg(CASE WHEN employee_count > 0 THEN employee_count END), 0.0), 4) AS avg_employee_count "
+    "FROM mart"))(
+    lambda spark, d: AG.export_statistics(_mart(spark, d)))
+register("country_distribution", oracle.q(
+    f"SELECT country, count(*) AS count FROM (SELECT {_CK} AS country FROM mart) t "
+    "WHERE country IS NOT NULL GROUP BY country ORDER BY count DESC, country"))(
+    lambda spark, d: AG.country_distribution(_mart(spark, d)))
+register("industry_distribution", oracle.q(
+    f"SELECT industry, count(*) AS count FROM (SELECT {_IK} AS industry FROM mart) t "
+    "WHERE industry IS NOT NULL GROUP BY industry ORDER BY count DESC, industry"))(
+    lambda spark, d: AG.industry_distribution(_mart(spark, d)))
+register("top_industries10", oracle.q(
+    f"SELECT industry, count(*) AS count FROM (SELECT {_IK} AS industry FROM mart) t "
+    "WHERE industry IS NOT NULL GROUP BY industry ORDER BY count DESC, industry LIMIT 10"))(
+    lambda spark, d: AG.top_industries10(_mart(spark, d)))
+register("total_revenue", oracle.q(
+    "SELECT CAST(sum(CAST(coalesce(revenue, 0) AS DECIMAL(38,4))) AS DOUBLE) AS total_revenue FROM mart"))(
+    lambda spark, d: AG.total_revenue(_mart(spark, d)))
+register("cities_top12", oracle.q(
+    "SELECT headquarters_city, count(*) AS count FROM mart WHERE headquarters_city IS NOT NULL "
+    "GROUP BY headquarters_city ORDER BY count DESC, headquarters_city LIMIT 12"))(
+    lambda spark, d: AG.count_by(_mart(spark, d), "headquarters_city", 12))
+register("employee_buckets", oracle.q(
+    "SELECT b.bucket_order, b.bucket, CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM "
+    "(VALUES (0, '0-10K'), (1, '10K-50K'), (2, '50K-100K'), (3, '100K-200K'), (4, '200K+')) b(bucket_order, bucket) "
+    "LEFT JOIN (SELECT CASE WHEN employee_count >= 0 AND employee_count < 10000 THEN '0-10K' "
+    "WHEN employee_count >= 10000 AND employee_count < 50000 THEN '10K-50K' "
+    "WHEN employee_count >= 50000 AND employee_count < 100000 THEN '50K-100K' "
+    "WHEN employee_count >= 100000 AND employee_count < 200000 THEN '100K-200K' "
+    "WHEN employee_count >= 200000 THEN '200K+' END AS bucket, count(*) AS count FROM mart "
+    "GROUP BY 1) c ON b.bucket = c.bucket ORDER BY b.bucket_order"))(
+    lambda spark, d: AG.employee_buckets(spark, _mart(spark, d)))
+register("top_market_cap6", oracle.q(
+    "SELECT company_name, ticker, market_cap_updated_m, fortune_rank, domain, revenue, employee_count, "
+    f"founded_year FROM mart WHERE market_cap_updated_m > 0 ORDER BY market_cap_updated_m DESC, {MART_ORDER_SQL} LIMIT 6"))(
+    lambda spark, d: TK.top_market_cap6(_mart(spark, d)))
+register("top_revenue15", oracle.q(
+    "SELECT substring(coalesce(nullif(company_name, ''), 'Unknown'), 1, 20) AS label, revenue / 1e9 AS revenue_billions "
+    f"FROM mart WHERE revenue > 0 ORDER BY revenue DESC, {MART_ORDER_SQL} LIMIT 15"))(
+    lambda spark, d: TK.top_revenue15(_mart(spark, d)))
+register("top_revenue_change15", oracle.q(
+    "SELECT substring(coalesce(nullif(company_name, ''), 'Unknown'), 1, 18) AS label, revenue_percent_change "
+    f"FROM mart WHERE revenue_percent_change IS NOT NULL ORDER BY revenue_percent_change DESC, {MART_ORDER_SQL} LIMIT 15"))(
+    lambda spark, d: TK.top_revenue_change15(_mart(spark, d)))
+register("growth_and_decline", oracle.q(
+    "SELECT substring(coalesce(nullif(company_name, ''), 'Unknown'), 1, 18) AS label, revenue_percent_change, "
+    "CASE WHEN revenue_percent_change > 0 THEN 'growth' ELSE 'decline' END AS direction FROM ("
+    f"(SELECT * FROM mart WHERE revenue_percent_change > 0 ORDER BY revenue_percent_change DESC, {MART_ORDER_SQL} LIMIT 10 OFFSET 1) "
+    "UNION ALL "
+    f"(SELECT * FROM mart WHERE revenue_percent_change < 0 ORDER BY revenue_percent_change ASC, {MART_ORDER_SQL} LIMIT 10)) u "
+    f"ORDER BY abs(revenue_percent_change) DESC, {MART_ORDER_SQL} LIMIT 20"))(
+    lambda spark, d: TK.growth_and_decline(_mart(spark, d)))
+register("distinct_industries", oracle.q(
+    "SELECT DISTINCT industry FROM mart WHERE industry IS NOT NULL ORDER BY industry"))(
+    lambda spark, d: SO.distinct_values(_mart(spark, d), "industry"))
+register("distinct_countries", oracle.q(
+    "SELECT DISTINCT country FROM mart WHERE country IS NOT NULL ORDER BY country"))(
+    lambda spark, d: SO.distinct_values(_mart(spark, d), "country"))
+register("union_row_counts", oracle.q(
+    "SELECT 'stg_primary' AS table_name, count(*) AS row_count FROM stg_primary UNION ALL "
+    "SELECT 'stg_secondary', count(*) FROM stg_secondary UNION ALL "
+    "SELECT 'raw_dim_companies', count(*) FROM raw_dim UNION ALL "
+    "SELECT 'raw_fct_company_metrics', count(*) FROM raw_fct UNION ALL "
+    "SELECT 'unified_companies', count(*) FROM mart"))(
+    lambda spark, d: (lambda L: SO.union_row_counts({
+        "stg_primary": L.stg_primary, "stg_secondary": L.stg_secondary, "raw_dim_companies": L.raw_dim,
+        "raw_fct_company_metrics": L.raw_fct, "unified_companies": L.mart}))(_layers(spark, d)))
