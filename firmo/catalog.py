@@ -195,3 +195,120 @@ register("union_row_counts", oracle.q(
     lambda spark, d: (lambda L: SO.union_row_counts({
         "stg_primary": L.stg_primary, "stg_secondary": L.stg_secondary, "raw_dim_companies": L.raw_dim,
         "raw_fct_company_metrics": L.raw_fct, "unified_companies": L.mart}))(_layers(spark, d)))
+
+
+# ---------------------------------------------------------------- 2.2/2.3/2.5/2.7 building blocks
+from firmo.operators import clean as CL  # noqa: E402
+from firmo.operators import joins as JN  # noqa: E402
+from firmo.operators import quality as DQ  # noqa: E402
+
+
+register("primary_dim_project", oracle.q("SELECT * FROM dim_f"))(
+    lambda spark, d: CL.primary_dim_project(_layers(spark, d).stg_primary))
+register("secondary_dim_project", oracle.q("SELECT * FROM dim_g"))(
+    lambda spark, d: CL.secondary_dim_project(_layers(spark, d).stg_secondary))
+register("default_unknown", oracle.q(
+    "SELECT company_id, company_name, coalesce(ticker, 'UNKNOWN') AS ticker, coalesce(sector, 'UNKNOWN') AS sector, "
+    "coalesce(industry, industry_primary, 'UNKNOWN') AS industry, industry_primary, industry_secondary, "
+    "coalesce(country, 'UNKNOWN') AS country, headquarters_city, headquarters_state, ceo, website, founded_year, "
+    "employee_count, revenue, source_system, loaded_at FROM (SELECT * FROM dim_f UNION ALL SELECT * FROM dim_g) u"))(
+    lambda spark, d: (lambda L: CL.default_unknown(SO.union_sources(
+        CL.primary_dim_project(L.stg_primary), CL.secondary_dim_project(L.stg_secondary))))(_layers(spark, d)))
+register("raw_fct_project", oracle.q("SELECT * FROM fct_src"))(
+    lambda spark, d: CL.raw_fct_project(_layers(spark, d).stg_primary))
+register("dedup_dim_primary", oracle.q("SELECT * FROM pbest"))(
+    lambda spark, d: LY.primary_best(_layers(spark, d).stg_primary))
+register("dedup_secondary_match", oracle.q("SELECT * FROM smatch"))(
+    lambda spark, d: LY.secondary_best_match(_layers(spark, d).stg_secondary))
+register("enrich_left_join", oracle.q("SELECT * FROM enriched_best"))(
+    lambda spark, d: (lambda L: JN.enrich_left_join(LY.primary_best(L.stg_primary),
+                                                    LY.secondary_best_match(L.stg_secondary)))(_layers(spark, d)))
+register("anti_join_unmatched", oracle.q("SELECT * FROM unmatched_best"))(
+    lambda spark, d: (lambda L: JN.anti_join_unmatched(LY.secondary_best_alone(L.stg_secondary),
+                                                       LY.primary_best(L.stg_primary)))(_layers(spark, d)))
+register("union_sources", oracle.q("SELECT * FROM enriched_best UNION ALL SELECT * FROM unmatched_best"))(
+    lambda spark, d: (lambda L: SO.union_sources(
+        JN.enrich_left_join(LY.primary_best(L.stg_primary), LY.secondary_best_match(L.stg_secondary)),
+        JN.anti_join_unmatched(LY.secondary_best_alone(L.stg_secondary), LY.primary_best(L.stg_primary))))(
+        _layers(spark, d)))
+register("latest_metrics", oracle.q("SELECT * FROM fct_latest"))(
+    lambda spark, d: JN.latest_metrics(_layers(spark, d).bronze_fct))
+register("mart_join", oracle.q(
+    "SELECT d.*, f.* EXCLUDE (company_id, company_name) FROM bronze_dim d LEFT JOIN fct_latest f "
+    "ON d.company_name = f.company_name WHERE d.company_name IS NOT NULL AND length(trim(d.company_name)) > 0"))(
+    lambda spark, d: (lambda L: JN.mart_join(L.bronze_dim, JN.latest_metrics(L.bronze_fct)))(_layers(spark, d)))
+register("bronze_dim_founder", oracle.q("SELECT * FROM founders"))(
+    lambda spark, d: _layers(spark, d).founders)
+
+# ---------------------------------------------------------------- 2.9 quality: the 12 singular tests
+_DQ_TESTS = {
+    "dq_raw_dim_company_name_not_null": (
+        lambda L: DQ.dq_not_null(L.raw_dim, "company_name").select("company_id", "company_name"),
+        "SELECT company_id, company_name FROM raw_dim WHERE company_name IS NULL"),
+    "dq_raw_dim_company_name_unique": (
+        lambda L: DQ.dq_unique(L.raw_dim, "company_name"),
+        "SELECT company_name, count(*) AS duplicate_count FROM raw_dim GROUP BY company_name HAVING count(*) > 1"),
+    "dq_raw_dim_no_duplicate_company_domain": (
+        lambda L: DQ.dq_unique_combination(L.raw_dim, ["company_name", "country"]),
+        "SELECT company_name, country, count(*) AS duplicate_count FROM raw_dim GROUP BY company_name, country "
+        "HAVING count(*) > 1"),
+    "dq_raw_fct_company_name_not_null": (
+        lambda L: DQ.dq_not_null(L.raw_fct, "company_name").select("company_id", "company_name"),
+        "SELECT company_id, company_name FROM raw_fct WHERE company_name IS NULL"),
+    "dq_raw_fct_no_duplicate_company_metric_date": (
+        lambda L: DQ.dq_unique_combination(L.raw_fct, ["company_id", "metric_date"]),
+        "SELECT company_id, metric_date, count(*) AS duplicate_count FROM raw_fct GROUP BY company_id, metric_date "
+        "HAVING count(*) > 1"),
+    "dq_bronze_dim_no_duplicate_company_domain": (
+        lambda L: DQ.dq_unique_combination(L.bronze_dim, ["company_name", "country"]),
+        "SELECT company_name, country, count(*) AS duplicate_count FROM bronze_dim GROUP BY company_name, country "
+        "HAVING count(*) > 1"),
+    "dq_bronze_founder_name_not_null": (
+        lambda L: DQ.dq_not_null(L.founders, "founder_name").select("id", "company_name", "founder_name"),
+        "SELECT id, company_name, founder_name FROM founders WHERE founder_name IS NULL"),
+    "dq_bronze_fct_rank_range": (
+        lambda L: DQ.dq_range(L.bronze_fct, "fortune_rank", 1, 1000).select("company_id", "company_name", "fortune_rank"),
+        "SELECT company_id, company_name, fortune_rank FROM bronze_fct WHERE fortune_rank IS NOT NULL "
+        "AND (fortune_rank < 1 OR fortune_rank > 1000)"),
+    "dq_bronze_fct_no_duplicate_company_metric_date": (
+        lambda L: DQ.dq_unique_combination(L.bronze_fct, ["company_id", "metric_date"]),
+        "SELECT company_id, metric_date, count(*) AS duplicate_count FROM bronze_fct GROUP BY company_id, metric_date "
+        "HAVING count(*) > 1"),
+    "dq_mart_company_name_unique": (
+        lambda L: DQ.dq_unique(L.mart, "company_name"),
+        "SELECT company_name, count(*) AS duplicate_count FROM mart GROUP BY company_name HAVING count(*) > 1"),
+    "dq_mart_rank_range": (
+        lambda L: DQ.dq_range(L.mart, "fortune_rank", 1, 1000).select("company_id", "company_name", "fortune_rank"),
+        "SELECT company_id, company_name, fortune_rank FROM mart WHERE fortune_rank IS NOT NULL "
+        "AND (fortune_rank < 1 OR fortune_rank > 1000)"),
+    "dq_mart_no_duplicate_company_id": (
+        lambda L: DQ.dq_unique(L.mart, "company_id"),
+        "SELECT company_id, count(*) AS duplicate_count FROM mart GROUP BY company_id HAVING count(*) > 1"),
+}
+for _name, (_fn, _sql) in _DQ_TESTS.items():
+    register(_name, oracle.q(_sql))(lambda spark, d, _fn=_fn: _fn(_layers(spark, d)))
+
+# ---------------------------------------------------------------- 2.9 quality: expectation suites
+from firmo.schemas import MART_COLUMNS  # noqa: E402
+
+_BRONZE_DIM_COLS = ["company_id", "company_name", "ticker", "sector", "industry", "industry_primary", "country",
+                    "headquarters_city", "headquarters_state", "ceo", "website", "founded_year",
+                    "source_system", "loaded_at", "dim_created_at"]
+_BRONZE_FCT_COLS = ["company_id", "company_name", "fortune_rank", "employee_count", "revenue_millions",
+                    "revenue_percent_change", "profits_m", "profits_percent_change", "assets_m",
+                    "market_cap_updated_m", "metric_date", "source_system", "loaded_at"]
+_INTS = {"fortune_rank", "employee_count", "founded_year"}
+_SUITES = {
+    "validate_unified": (DQ.unified_suite, lambda L: L.mart, "mart", MART_COLUMNS),
+    "validate_bronze_dim": (DQ.bronze_dim_suite, lambda L: L.bronze_dim, "bronze_dim", _BRONZE_DIM_COLS),
+    "validate_bronze_fct": (DQ.bronze_fct_suite, lambda L: L.bronze_fct, "bronze_fct", _BRONZE_FCT_COLS),
+    "validate_marts": (DQ.marts_suite, lambda L: L.mart, "mart", MART_COLUMNS),
+}
+for _name, (_suite, _frame, _tbl, _cols) in _SUITES.items():
+    register(_name, oracle.q(oracle.expectations_sql(_tbl, _suite(), _cols, _INTS)))(
+        lambda spark, d, _suite=_suite, _frame=_frame: DQ.validate(spark, _frame(_layers(spark, d)), _suite()))
+
+register("dataset_limits", oracle.q(
+    "SELECT 32 AS n_columns, TRUE AS header_ok, least(count(*), 100001) AS n_rows_capped, "
+    "(count(*) >= 1 AND count(*) <= 100000) AS success FROM stg_primary"))(
+    lambda spark, d: DQ.dataset_limits(_layers(spark, d).stg_primary))

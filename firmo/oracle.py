@@ -241,7 +241,90 @@ mart AS (
   WHERE d.company_name IS NOT NULL AND length(trim(d.company_name)) > 0
 )"""
 
-CTES = "WITH " + ",".join([ADAPTER, RAW, BRONZE, MART])
+BLOCKS = f"""
+pnorm AS (SELECT * REPLACE (coalesce(ticker, 'UNKNOWN') AS ticker, coalesce(sector, 'UNKNOWN') AS sector,
+                            coalesce(industry, industry_primary, 'UNKNOWN') AS industry) FROM dim_f),
+gnorm AS (SELECT * REPLACE (coalesce(ticker, 'UNKNOWN') AS ticker, coalesce(sector, 'UNKNOWN') AS sector,
+                            coalesce(industry, industry_primary, 'UNKNOWN') AS industry) FROM dim_g),
+pbest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY company_name, country ORDER BY
+            CASE WHEN ticker IS NOT NULL AND ticker <> 'UNKNOWN' THEN 0 ELSE 1 END,
+            CASE WHEN sector IS NOT NULL AND sector <> 'UNKNOWN' THEN 0 ELSE 1 END,
+            ticker ASC NULLS LAST, sector ASC NULLS LAST, industry ASC NULLS LAST,
+            headquarters_city ASC NULLS LAST, headquarters_state ASC NULLS LAST, ceo ASC NULLS LAST,
+            website ASC NULLS LAST) AS rn FROM pnorm) x WHERE rn = 1),
+smatch AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY company_name, country ORDER BY
+            CASE WHEN founded_year IS NOT NULL THEN 0 ELSE 1 END, loaded_at DESC NULLS LAST,
+            website ASC NULLS LAST, founded_year ASC NULLS LAST, industry ASC NULLS LAST,
+            source_system ASC NULLS LAST) AS rn FROM gnorm) x WHERE rn = 1),
+salone AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY company_name, country ORDER BY
+            CASE WHEN founded_year IS NOT NULL THEN 0 ELSE 1 END,
+            CASE WHEN source_system LIKE 'kaggle:%' AND founded_year IS NOT NULL THEN 0
+                 WHEN source_system LIKE 'kaggle:%' THEN 1 ELSE 2 END,
+            loaded_at DESC NULLS LAST, website ASC NULLS LAST, founded_year ASC NULLS LAST,
+            industry ASC NULLS LAST, source_system ASC NULLS LAST) AS rn FROM gnorm) x WHERE rn = 1),
+enriched_best AS (SELECT p.* REPLACE (coalesce(p.website, s.website) AS website,
+                                      coalesce(s.founded_year, p.founded_year) AS founded_year)
+                  FROM pbest p LEFT JOIN smatch s ON p.company_name = s.company_name AND p.country = s.country),
+unmatched_best AS (SELECT * FROM salone s WHERE NOT EXISTS
+                   (SELECT 1 FROM pbest p WHERE p.company_name = s.company_name AND p.country = s.country)),
+founders AS (
+  SELECT id, company_name, founder_name, {RUN_TS} AS bronze_processed_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY CASE WHEN founder_name IS NOT NULL THEN 0 ELSE 1 END,
+                                 company_name ASC NULLS LAST, founder_name ASC NULLS LAST) AS rn
+    FROM (SELECT md5(concat(coalesce(upper(trim(company)), ''), '|', coalesce(upper(trim(ticker)), ''), '|',
+                            coalesce(upper(trim(country)), ''))) AS id,
+                 trim(upper(company)) AS company_name,
+                 CASE WHEN upper(trim(founder_is_ceo)) = 'YES' AND ceo IS NOT NULL AND trim(ceo) <> ''
+                      THEN trim(ceo) END AS founder_name
+          FROM stg_primary
+          WHERE upper(trim(founder_is_ceo)) = 'YES' AND ceo IS NOT NULL AND trim(ceo) <> ''
+            AND company IS NOT NULL AND trim(company) <> ''
+          UNION ALL
+          SELECT md5(concat(coalesce(upper(trim(company_name)), ''), '|', coalesce(lower(trim(domain)), ''), '|',
+                            coalesce(upper(trim(country)), ''))),
+                 trim(upper(company_name)), CAST(NULL AS VARCHAR)
+          FROM stg_secondary WHERE 1 = 0) u) r
+  WHERE rn = 1 AND founder_name IS NOT NULL
+)"""
+
+CTES = "WITH " + ",".join([ADAPTER, RAW, BRONZE, MART, BLOCKS])
+
+
+def expectations_sql(table: str, expectations, columns: list[str], int_columns: set[str]) -> str:
+    """SQL for ``quality.validate`` on ``table`` (columns known to the caller)."""
+    parts = []
+    for e in expectations:
+        if e.optional and e.column not in columns:
+            continue
+        c = e.column
+        if e.check == "exists":
+            ok = c in columns
+            parts.append(f"SELECT 'exists' AS \"check\", '{c}' AS \"column\", CAST(1 AS BIGINT) AS evaluated, "
+                         f"CAST({0 if ok else 1} AS BIGINT) AS unexpected, CAST(1.0 AS DOUBLE) AS mostly")
+        elif e.check == "not_null":
+            parts.append(f"SELECT 'not_null', '{c}', count(*), count(*) FILTER (WHERE {c} IS NULL), "
+                         f"CAST({e.mostly!r} AS DOUBLE) FROM {table}")
+        elif e.check == "between":
+            conds = []
+            if e.min_value is not None:
+                conds.append(f"{c} >= {e.min_value}")
+            if e.max_value is not None:
+                conds.append(f"{c} <= {e.max_value}")
+            okx = " AND ".join(conds) or "TRUE"
+            parts.append(f"SELECT 'between', '{c}', count({c}), count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({okx})), "
+                         f"CAST({e.mostly!r} AS DOUBLE) FROM {table}")
+        elif e.check == "type":
+            bad = "0" if c in int_columns else f"count({c})"
+            parts.append(f"SELECT 'type', '{c}', count({c}), CAST({bad} AS BIGINT), CAST({e.mostly!r} AS DOUBLE) FROM {table}")
+        elif e.check == "unique":
+            parts.append(f"SELECT 'unique', '{c}', CAST(coalesce(sum(n), 0) AS BIGINT), "
+                         f"CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT), CAST({e.mostly!r} AS DOUBLE) "
+                         f"FROM (SELECT {c}, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}) g")
+    body = " UNION ALL ".join(parts)
+    return ("SELECT \"check\", \"column\", evaluated, unexpected, "
+            "round(CASE WHEN evaluated > 0 THEN unexpected / evaluated ELSE 0.0 END, 6) AS ratio, mostly, "
+            "(1.0 - CASE WHEN evaluated > 0 THEN unexpected / evaluated ELSE 0.0 END) >= mostly - 1e-12 AS success "
+            f"FROM ({body}) v")
 
 
 def q(select: str) -> str:
