@@ -526,3 +526,318 @@ register("sample_n", _pq(
     f"ORDER BY md5(concat('{SAMPLE_SEED}|', CAST(rank AS VARCHAR))), rank LIMIT {SAMPLE_N}"))(
     lambda spark, d: TK.sample_n(_prof(spark, d), SAMPLE_N, SAMPLE_SEED, F.col("rank"))
     .select("rank", "company", "revenues_m", "profits_m", "assets_m", "number_of_employees"))
+
+
+# ---------------------------------------------------------------- 2.1 sources and sinks
+import datetime as _dt  # noqa: E402
+
+from firmo.operators import edits as ED  # noqa: E402
+from firmo.operators import enrich as EN  # noqa: E402
+from firmo.operators import ingest as IN  # noqa: E402
+from firmo.params import DEFAULT as _P  # noqa: E402
+from firmo.schemas import STG_SECONDARY  # noqa: E402
+from firmo.session import scratch_path  # noqa: E402
+from firmo.sources import files as FI  # noqa: E402
+from firmo.sources import sinks as SK  # noqa: E402
+
+_DAY_A, _DAY_B = "2024-03-05", "2024-03-06"
+
+
+def _even_year() -> Column:
+    return F.coalesce(F.col("founded_year") % 2 == 0, F.lit(False))
+
+
+def _land_secondary_csv(spark, d) -> str:
+    """Land the secondary source as CSV in two dated folders with different headers
+    (reversed, upper-cased names in one)."""
+    root = scratch_path(spark, "landing")
+    sec = _layers(spark, d).stg_secondary
+    a = sec.filter(_even_year())
+    a.select(*[F.col(c).alias(c.upper()) for c in reversed(sec.columns)]) \
+     .write.option("header", True).option("escape", '"').csv(f"{root}/{_DAY_A}")
+    sec.filter(~_even_year()).write.option("header", True).option("escape", '"').csv(f"{root}/{_DAY_B}")
+    return root
+
+
+_DATED = r".*/\d{4}-\d{2}-\d{2}/[^/]*\.csv$"
+
+register("scan_csv_by_name", oracle.q("SELECT * FROM stg_secondary"))(
+    lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[0])
+register("load_audit", oracle.q(
+    f"SELECT CASE WHEN coalesce(founded_year % 2 = 0, false) THEN '{_DAY_A}' ELSE '{_DAY_B}' END AS load_unit, "
+    "count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM stg_secondary GROUP BY 1 ORDER BY 1 DESC LIMIT 5"))(
+    lambda spark, d: (lambda r: FI.load_audit(
+        *FI.scan_csv_by_name(spark, r, STG_SECONDARY, _DATED, with_file=True),
+        by=F.regexp_extract("source_file", r"/(\d{4}-\d{2}-\d{2})/", 1)))(_land_secondary_csv(spark, d)))
+
+
+def _land_partitioned(spark, d):
+    root = scratch_path(spark, "raw")
+    sec = _layers(spark, d).stg_secondary
+    SK.land_partitioned(sec.filter(_even_year()), root, "global", _dt.date(2024, 3, 5))
+    SK.land_partitioned(sec.filter(~_even_year()), root, "global", _dt.date(2024, 3, 6))
+    out = SK.read_landed(spark, root, "global", _DAY_B)
+    return out.select(*STG_SECONDARY.fieldNames(), "source", F.col("load_date").cast("string").alias("load_date"))
+
+
+register("land_partitioned", oracle.q(
+    f"SELECT *, 'global' AS source, '{_DAY_B}' AS load_date FROM stg_secondary "
+    "WHERE NOT coalesce(founded_year % 2 = 0, false)"))(_land_partitioned)
+register("materialize_layer", oracle.q("SELECT * FROM raw_dim"))(
+    lambda spark, d: SK.materialize_layer(spark, _layers(spark, d).raw_dim, "table", "raw_dim_companies",
+                                          scratch_path(spark, "layers")))
+
+_MART_TEXT_SQL = ("SELECT * REPLACE (strftime(last_updated_at, '%Y-%m-%dT%H:%M:%S') AS last_updated_at, "
+                  "strftime(mart_created_at, '%Y-%m-%dT%H:%M:%S') AS mart_created_at) FROM mart")
+
+
+def _mart_text_schema(mart):
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in ("last_updated_at", "mart_created_at")
+                                       else f.dataType) for f in mart.schema.fields])
+
+
+def _export_json(spark, d):
+    m = _mart(spark, d)
+    path = scratch_path(spark, "export-json")
+    SK.export_json(m, path, ["company_name", "company_id"])
+    return spark.read.schema(_mart_text_schema(m)).json(path)
+
+
+def _export_csv(spark, d):
+    m = _mart(spark, d)
+    path = scratch_path(spark, "export-csv")
+    SK.export_csv(m, path)
+    return spark.read.schema(_mart_text_schema(m)).option("header", True).option("escape", '"').csv(path)
+
+
+from pyspark.sql import types as T  # noqa: E402
+from pyspark.sql import Column  # noqa: E402
+
+register("export_json", oracle.q(_MART_TEXT_SQL))(_export_json)
+register("export_csv", oracle.q(_MART_TEXT_SQL))(_export_csv)
+register("preview_sample", oracle.q("SELECT * FROM stg_primary ORDER BY rank LIMIT 5"))(
+    lambda spark, d: FI.preview_sample(_layers(spark, d).stg_primary, 5, [F.col("rank")]))
+
+
+def _multi_file(spark, d):
+    root = scratch_path(spark, "multi")
+    p = _layers(spark, d).stg_primary
+    p.filter(F.col("rank") % 2 == 1).write.parquet(f"{root}/part-a")
+    p.filter(F.col("rank") % 2 == 0).drop("footnote", "companytype").write.parquet(f"{root}/part-b")
+    return FI.scan_multi_file(spark, root)
+
+
+def _first_available(spark, d):
+    root = scratch_path(spark, "first")
+    _layers(spark, d).stg_secondary.write.parquet(f"{root}/third")
+    fs, p = FI._fs(spark, f"{root}/second")
+    fs.mkdirs(p)
+    return FI.scan_first_available(spark, [f"{root}/first", f"{root}/second", f"{root}/third"])
+
+
+register("scan_multi_file", oracle.q("SELECT * FROM stg_primary"))(_multi_file)
+register("scan_first_available", oracle.q("SELECT * FROM stg_secondary"))(_first_available)
+
+
+def _stream_landing(spark, d):
+    from firmo.streaming.landing import read_staging, start_landing
+    root = scratch_path(spark, "stream")
+    sec = _layers(spark, d).stg_secondary
+    for day, part in ((_DAY_A, sec.filter(_even_year())), (_DAY_B, sec.filter(~_even_year()))):
+        part.write.option("header", True).option("escape", '"').csv(f"{root}/landing/{day}")
+    q = start_landing(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint", STG_SECONDARY,
+                      STG_SECONDARY.fieldNames())
+    q.awaitTermination()
+    return read_staging(spark, f"{root}/table", STG_SECONDARY)
+
+
+register("stream_landing", oracle.q("SELECT * FROM stg_secondary"))(_stream_landing)
+
+# ---------------------------------------------------------------- 2.2 ingestion cleaning
+_TS_TEXT = _P.run_ts.isoformat()
+
+
+def _norm_primary(spark, d):
+    return IN.normalize_schema(_layers(spark, d).stg_primary, "fortune1000", _P.run_ts)
+
+
+def _norm_secondary(spark, d):
+    return IN.normalize_schema(_layers(spark, d).stg_secondary, "global_companies", _P.run_ts)
+
+
+_NORM_P_SQL = ("SELECT company AS company_name, website AS domain, coalesce(industry, sector) AS industry, country, "
+               "CAST(NULL AS VARCHAR) AS employee_count, CAST(NULL AS VARCHAR) AS revenue, "
+               f"CAST(NULL AS VARCHAR) AS founded_year, 'fortune1000' AS source_system, '{_TS_TEXT}' AS last_updated_at "
+               "FROM stg_primary")
+_NORM_S_SQL = ("SELECT company_name, domain, industry, country, employee_count, revenue, founded_year, "
+               f"'global_companies' AS source_system, '{_TS_TEXT}' AS last_updated_at FROM stg_secondary")
+
+
+def _clean_sql(src: str) -> str:
+    strip = "regexp_replace(regexp_replace({x}, '^\\s+', ''), '\\s+$', '')"
+    dom = ("split_part(regexp_replace(regexp_replace(lower(" + strip.format(x="CAST(domain AS VARCHAR)")
+           + "), '^https?://', ''), '^www\\.', ''), '/', 1)")
+    cu = "upper(" + strip.format(x="CAST(country AS VARCHAR)") + ")"
+    country = (f"CASE {cu} WHEN 'US' THEN 'USA' WHEN 'UNITED STATES' THEN 'USA' WHEN 'UNITED STATES OF AMERICA' "
+               f"THEN 'USA' WHEN 'UK' THEN 'UK' WHEN 'UNITED KINGDOM' THEN 'UK' ELSE {cu} END")
+    num = "TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE)"
+    return (f"SELECT {strip.format(x='CAST(company_name AS VARCHAR)')} AS company_name, {dom} AS domain, industry, "
+            f"{country} AS country, {num.format(c='employee_count')} AS employee_count, "
+            f"{num.format(c='revenue')} AS revenue, {num.format(c='founded_year')} AS founded_year, "
+            f"source_system, last_updated_at FROM ({src}) n")
+
+
+register("normalize_schema_primary", oracle.q(_NORM_P_SQL))(_norm_primary)
+register("normalize_schema_secondary", oracle.q(_NORM_S_SQL))(_norm_secondary)
+register("ingest_clean_primary", oracle.q(_clean_sql(_NORM_P_SQL)))(
+    lambda spark, d: IN.ingest_clean(_norm_primary(spark, d)))
+register("ingest_clean_secondary", oracle.q(_clean_sql(_NORM_S_SQL)))(
+    lambda spark, d: IN.ingest_clean(_norm_secondary(spark, d)))
+register("extract_host", oracle.q(
+    "SELECT company_id, website, CASE WHEN website IS NULL OR website = '' THEN NULL ELSE split_part(split_part("
+    "regexp_replace(regexp_replace(website, '^https?://', ''), '^www\\.', ''), '/', 1), ':', 1) END AS host FROM mart"))(
+    lambda spark, d: (lambda m: m.select("company_id", "website",
+                                         __import__("firmo.functions.text", fromlist=["x"]).extract_host("website")
+                                         .alias("host")))(_mart(spark, d)))
+_MISSING = ["domain", "industry", "employee_count", "founded_year"]
+_MISS_SQL = " OR ".join(f"{c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None')" for c in _MISSING)
+register("filter_missing", oracle.q(f"SELECT * FROM ({_clean_sql(_NORM_S_SQL)}) c WHERE {_MISS_SQL}"))(
+    lambda spark, d: CL.filter_missing(IN.ingest_clean(_norm_secondary(spark, d)), _MISSING, True))
+register("filter_complete", oracle.q(f"SELECT * FROM ({_clean_sql(_NORM_S_SQL)}) c WHERE NOT ({_MISS_SQL})"))(
+    lambda spark, d: CL.filter_missing(IN.ingest_clean(_norm_secondary(spark, d)), _MISSING, False))
+
+
+# ---------------------------------------------------------------- 2.10 enrichment
+_ENRICH_FIELDS = ["domain", "industry", "employee_count", "revenue", "founded_year"]
+
+
+def _with_key(df):
+    return df.withColumn("_key", F.lower(F.trim("company_name")))
+
+
+def _enrichment_source(spark, d):
+    """Cleaned secondary rows, one per normalised name (first by country, domain)."""
+    from firmo.operators.dedup import asc, keep_first
+    s = _with_key(IN.ingest_clean(_norm_secondary(spark, d)))
+    return keep_first(s, ["_key"], [asc("country"), asc("domain"), asc("founded_year")])
+
+
+def _enrich_missing(spark, d):
+    p = _with_key(IN.ingest_clean(_norm_primary(spark, d)))
+    return EN.enrich_missing(p, _enrichment_source(spark, d), "_key", _MISSING, _ENRICH_FIELDS)
+
+
+_ENR_SQL = (f"WITH p AS (SELECT *, lower(trim(company_name)) AS _key FROM ({_clean_sql(_NORM_P_SQL)}) c), "
+            f"s AS (SELECT * EXCLUDE (rn) FROM (SELECT *, lower(trim(company_name)) AS _key, row_number() OVER ("
+            "PARTITION BY lower(trim(company_name)) ORDER BY country ASC NULLS LAST, domain ASC NULLS LAST, "
+            f"founded_year ASC NULLS LAST) AS rn FROM ({_clean_sql(_NORM_S_SQL)}) c) x WHERE rn = 1), "
+            f"miss AS (SELECT * FROM p WHERE {_MISS_SQL}), "
+            "merged AS (SELECT m.* REPLACE (" + ", ".join(
+                f"CASE WHEN m.{c} IS NULL OR CAST(m.{c} AS VARCHAR) IN ('', 'None') THEN s.{c} ELSE m.{c} END AS {c}"
+                for c in _ENRICH_FIELDS) +
+            ", coalesce(nullif(m.source_system, ''), 'web_scraper') AS source_system) FROM miss m LEFT JOIN s USING (_key)), "
+            f"outp AS (SELECT * FROM p WHERE NOT ({_MISS_SQL}) UNION ALL SELECT * FROM merged) ")
+register("enrich_missing", oracle.q("SELECT * FROM (" + _ENR_SQL + "SELECT * FROM outp) z"))(
+    lambda spark, d: _enrich_missing(spark, d)[0])
+register("enrich_missing_counts", oracle.q("SELECT * FROM (" + _ENR_SQL + " SELECT 'before' AS stage, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None')) AS missing_{c}" for c in _MISSING)
+    + " FROM p UNION ALL SELECT 'after', " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None'))" for c in _MISSING) + " FROM outp) z"))(
+    lambda spark, d: _enrich_missing(spark, d)[1])
+register("merge_missing_fields", None)(
+    lambda spark, d: JN.merge_missing_fields(_with_key(IN.ingest_clean(_norm_primary(spark, d))),
+                                             _enrichment_source(spark, d), "_key", _ENRICH_FIELDS))
+register("recombine", None)(lambda spark, d: _enrich_missing(spark, d)[0])
+
+register("batch_ids", oracle.q(
+    "SELECT rank, company, CAST((row_number() OVER (ORDER BY trim(company), rank) - 1) // 100 AS INTEGER) AS batch_num "
+    "FROM stg_primary"))(
+    lambda spark, d: EN.batch_ids(_layers(spark, d).stg_primary.select("rank", "company"),
+                                  [F.trim("company").asc(), F.col("rank").asc()], 100))
+
+
+def _responses(spark, d):
+    """Model-style responses built from the secondary source: one JSON object of
+    name -> founded year per batch of 100 names, some fenced, some broken."""
+    from firmo.operators.dedup import asc, keep_first
+    sec = _layers(spark, d).stg_secondary
+    per_name = keep_first(sec, ["company_name"], [asc("country"), asc("domain")]).select("company_name", "founded_year")
+    b = EN.batch_ids(per_name, [F.col("company_name").asc()], 100)
+    pair = F.concat(F.lit('"'), F.regexp_replace("company_name", '"', '\\\\"'), F.lit('": '),
+                    F.coalesce(F.col("founded_year").cast("string"), F.lit("null")))
+    # one group per batch: at most 100 pairs are collected
+    g = b.groupBy("batch_num").agg(F.array_sort(F.collect_list(F.struct("company_name", pair.alias("p")))).alias("_ps"))
+    g = g.withColumn("_o", F.concat(F.lit("{"), F.array_join(F.transform("_ps", lambda x: x["p"]), ", "), F.lit("}")))
+    k = F.col("batch_num")
+    obj = F.when(k % 7 == 5, F.expr("substring(_o, 1, length(_o) - 1)")).otherwise(F.col("_o"))
+    text = (F.when(k % 3 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```")))
+             .when(k % 3 == 1, F.concat(F.lit("Here are the years:\n```\n"), obj, F.lit("\n```")))
+             .otherwise(obj))
+    return g.select("batch_num", text.alias("response_text"))
+
+
+_PER_NAME_SQL = ("per_name AS (SELECT company_name, founded_year, CAST((row_number() OVER (ORDER BY company_name) - 1) // 100 "
+                 "AS INTEGER) AS batch_num FROM (SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY "
+                 "country ASC NULLS LAST, domain ASC NULLS LAST) AS rn FROM stg_secondary) x WHERE rn = 1)")
+register("parse_json_responses", oracle.q(
+    f", {_PER_NAME_SQL} SELECT company_name, founded_year, batch_num FROM per_name WHERE batch_num % 7 <> 5"))(
+    lambda spark, d: EN.parse_json_responses(_responses(spark, d)))
+register("fill_from_lookup", oracle.q(
+    f", {_PER_NAME_SQL}, lk AS (SELECT lower(trim(company_name)) AS k, arg_max(founded_year, batch_num) AS v FROM per_name "
+    "WHERE batch_num % 7 <> 5 AND founded_year IS NOT NULL GROUP BY 1) "
+    f"SELECT c.* REPLACE (coalesce(CAST(lk.v AS DOUBLE), c.founded_year) AS founded_year) FROM ({_clean_sql(_NORM_P_SQL)}) c "
+    "LEFT JOIN lk ON lower(trim(c.company_name)) = lk.k"))(
+    lambda spark, d: JN.fill_from_lookup(IN.ingest_clean(_norm_primary(spark, d)),
+                                         EN.parse_json_responses(_responses(spark, d)), seq_col="batch_num"))
+register("extract_infobox", None)(
+    lambda spark, d: EN.extract_infobox(__import__("firmo.sources.tables", fromlist=["x"]).table(spark, d, "pages")))
+
+# ---------------------------------------------------------------- 2.10 edits
+EDIT_COLUMNS = ["company", "ceo", "headquarterscity", "website"]
+ADDED_ROW_BASE = 1_000_000_000
+
+
+def _edits(spark, d):
+    """An edit log derived from the events table: purchases delete a row, signups
+    add one, other events set a cell."""
+    ev = __import__("firmo.sources.tables", fromlist=["x"]).table(spark, d, "events")
+    op = (F.when(F.col("event_type") == "purchase", F.lit("delete"))
+           .when(F.col("event_type") == "signup", F.lit("add")).otherwise(F.lit("set")))
+    cols = F.array(*[F.lit(c) for c in EDIT_COLUMNS])
+    return ev.select(F.col("event_id").alias("seq"), op.alias("op"),
+                     F.when(op == "add", F.lit(ADDED_ROW_BASE) + F.col("event_id"))
+                      .otherwise(F.col("user_id") + 1).cast("long").alias("row_id"),
+                     F.element_at(cols, (F.col("event_id") % len(EDIT_COLUMNS) + 1).cast("int")).alias("column"),
+                     F.concat(F.col("event_type"), F.lit("-"), F.col("event_id").cast("string")).alias("value"))
+
+
+def _edit_base(spark, d):
+    return _layers(spark, d).stg_primary.select(F.col("rank").cast("long").alias("row_id"), *EDIT_COLUMNS)
+
+
+def _edits_sql(max_seq: int | None, tail: str) -> str:
+    cond = f" AND seq <= {max_seq}" if max_seq is not None else ""
+    arr = "[" + ", ".join(f"'{c}'" for c in EDIT_COLUMNS) + "]"
+    return oracle.q(
+        ", ed AS (SELECT event_id AS seq, CASE WHEN event_type = 'purchase' THEN 'delete' WHEN event_type = 'signup' "
+        f"THEN 'add' ELSE 'set' END AS op, CAST(CASE WHEN event_type = 'signup' THEN {ADDED_ROW_BASE} + event_id "
+        f"ELSE user_id + 1 END AS BIGINT) AS row_id, ({arr})[event_id % {len(EDIT_COLUMNS)} + 1] AS col, "
+        "event_type || '-' || CAST(event_id AS VARCHAR) AS value FROM events), "
+        f"e AS (SELECT * FROM ed WHERE TRUE{cond}), "
+        "lt AS (SELECT row_id, " + ", ".join(
+            f"arg_max(value, seq) FILTER (WHERE col = '{c}') AS v_{c}, bool_or(col = '{c}') AS s_{c}" for c in EDIT_COLUMNS)
+        + " FROM e WHERE op = 'set' GROUP BY row_id), "
+        "r AS (SELECT CAST(rank AS BIGINT) AS row_id, " + ", ".join(EDIT_COLUMNS) + " FROM stg_primary UNION ALL "
+        "SELECT row_id, " + ", ".join("''" for _ in EDIT_COLUMNS) + " FROM e WHERE op = 'add'), "
+        "applied AS (SELECT r.row_id, " + ", ".join(
+            f"CASE WHEN lt.s_{c} THEN lt.v_{c} ELSE r.{c} END AS {c}" for c in EDIT_COLUMNS)
+        + " FROM r LEFT JOIN lt USING (row_id) WHERE r.row_id NOT IN (SELECT row_id FROM e WHERE op = 'delete')) "
+        + tail)
+
+
+register("apply_edits", _edits_sql(None, "SELECT * FROM applied"))(
+    lambda spark, d: ED.apply_edits(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS))
+register("edits_as_of", _edits_sql(5000, "SELECT * FROM applied"))(
+    lambda spark, d: ED.edits_as_of(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS, 5000))
+register("rows_page", _edits_sql(None, "SELECT * FROM applied ORDER BY row_id LIMIT 10 OFFSET 20"))(
+    lambda spark, d: ED.rows_page(ED.apply_edits(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS), 3))
