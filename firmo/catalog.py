@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from firmo import oracle
 from firmo.plans import layers as LY
 from firmo.plans.layers import Layers
+from firmo.plans.pipeline import Run, run_pipeline, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +28,13 @@ def register(name: str, sql: str | None = None):
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers.from_tables(spark, sf_dir)
+    """Lazy layers over this run's staging tables."""
+    return staged(spark, sf_dir).layers()
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> Run:
+    """This run's written raw and mart tables (bronze as views over them)."""
+    return staged(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- 2.8 composite models
@@ -54,7 +61,7 @@ PAGE_FILTER = dict(company_name="company 1", min_employees=1000, max_revenue=5e9
 
 
 def _mart(spark, d):
-    return _layers(spark, d).mart
+    return _tables(spark, d).mart
 
 
 register("search_companies", oracle.q(
@@ -186,6 +193,8 @@ register("distinct_industries", oracle.q(
 register("distinct_countries", oracle.q(
     "SELECT DISTINCT country FROM mart WHERE country IS NOT NULL ORDER BY country"))(
     lambda spark, d: SO.distinct_values(_mart(spark, d), "country"))
+register("run_pipeline", oracle.q("SELECT * FROM mart"))(
+    lambda spark, d: run_pipeline(spark, d).mart)
 register("union_row_counts", oracle.q(
     "SELECT 'stg_primary' AS table_name, count(*) AS row_count FROM stg_primary UNION ALL "
     "SELECT 'stg_secondary', count(*) FROM stg_secondary UNION ALL "
@@ -194,7 +203,7 @@ register("union_row_counts", oracle.q(
     "SELECT 'unified_companies', count(*) FROM mart"))(
     lambda spark, d: (lambda L: SO.union_row_counts({
         "stg_primary": L.stg_primary, "stg_secondary": L.stg_secondary, "raw_dim_companies": L.raw_dim,
-        "raw_fct_company_metrics": L.raw_fct, "unified_companies": L.mart}))(_layers(spark, d)))
+        "raw_fct_company_metrics": L.raw_fct, "unified_companies": L.mart}))(_tables(spark, d)))
 
 
 # ---------------------------------------------------------------- 2.2/2.3/2.5/2.7 building blocks
@@ -286,7 +295,7 @@ _DQ_TESTS = {
         "SELECT company_id, count(*) AS duplicate_count FROM mart GROUP BY company_id HAVING count(*) > 1"),
 }
 for _name, (_fn, _sql) in _DQ_TESTS.items():
-    register(_name, oracle.q(_sql))(lambda spark, d, _fn=_fn: _fn(_layers(spark, d)))
+    register(_name, oracle.q(_sql))(lambda spark, d, _fn=_fn: _fn(_tables(spark, d)))
 
 # ---------------------------------------------------------------- 2.9 quality: expectation suites
 from firmo.schemas import MART_COLUMNS  # noqa: E402
@@ -306,7 +315,7 @@ _SUITES = {
 }
 for _name, (_suite, _frame, _tbl, _cols) in _SUITES.items():
     register(_name, oracle.q(oracle.expectations_sql(_tbl, _suite(), _cols, _INTS)))(
-        lambda spark, d, _suite=_suite, _frame=_frame: DQ.validate(spark, _frame(_layers(spark, d)), _suite()))
+        lambda spark, d, _suite=_suite, _frame=_frame: DQ.validate(spark, _frame(_tables(spark, d)), _suite()))
 
 register("dataset_limits", oracle.q(
     "SELECT 32 AS n_columns, TRUE AS header_ok, least(count(*), 100001) AS n_rows_capped, "

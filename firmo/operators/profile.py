@@ -234,19 +234,25 @@ def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """O-AG-20: pairwise-complete Pearson correlations, lower triangle, one ``agg``."""
+    """O-AG-20: pairwise-complete Pearson correlations, lower triangle.
+
+    Each row contributes one (pair, x, y) entry per pair where both values are
+    present (generated and partially aggregated in one stage), so a single
+    grouped aggregate serves all pairs.  A zero variance gives null rather than
+    an ANSI divide error."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    def pair_corr(a: str, b: str) -> Column:
-        # pairwise complete; a zero variance gives null instead of an ANSI divide error
+    entries = []
+    for a, b in pairs:
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        xs, ys = F.when(both, x), F.when(both, y)
-        return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
-
-    one = df.agg(*[pair_corr(a, b).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', _c{k}" for k, (a, b) in enumerate(pairs))
-    long = one.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
-    return long.select("col_a", "col_b", _r(F.when(~F.isnan("corr"), F.col("corr"))).alias("corr"))
+        entries.append(F.when(x.isNotNull() & y.isNotNull(),
+                              F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), x.alias("x"), y.alias("y"))))
+    long = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*"))
+    stats = long.groupBy("col_a", "col_b").agg(
+        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+    grid = df.sparkSession.createDataFrame(pairs, "col_a string, col_b string")
+    # the pair grid has len(columns)^2/2 rows: a bounded broadcast
+    out = F.broadcast(grid).join(stats, ["col_a", "col_b"], "left")
+    return out.select("col_a", "col_b", _r(F.when(~F.isnan("corr"), F.col("corr"))).alias("corr"))
 
 
 def corr_top(matrix: DataFrame, k: int = 10) -> DataFrame:
