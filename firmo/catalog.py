@@ -572,6 +572,8 @@ _DATED = r".*/\d{4}-\d{2}-\d{2}/[^/]*\.csv$"
 
 register("scan_csv_by_name", oracle.q("SELECT * FROM stg_secondary"))(
     lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[0])
+register("scan_skip_bad", oracle.q("SELECT *, CAST(NULL AS VARCHAR) AS source_file FROM stg_secondary WHERE FALSE"))(
+    lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[1])
 register("load_audit", oracle.q(
     f"SELECT CASE WHEN coalesce(founded_year % 2 = 0, false) THEN '{_DAY_A}' ELSE '{_DAY_B}' END AS load_unit, "
     "count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM stg_secondary GROUP BY 1 ORDER BY 1 DESC LIMIT 5"))(
@@ -753,10 +755,13 @@ register("enrich_missing_counts", oracle.q("SELECT * FROM (" + _ENR_SQL + " SELE
     + " FROM p UNION ALL SELECT 'after', " + ", ".join(
     f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None'))" for c in _MISSING) + " FROM outp) z"))(
     lambda spark, d: _enrich_missing(spark, d)[1])
-register("merge_missing_fields", None)(
+_MERGE_ALL_SQL = ("SELECT * FROM (" + _ENR_SQL.replace("FROM miss m LEFT JOIN s USING (_key)", "FROM p m LEFT JOIN s USING (_key)")
+                  + "SELECT * FROM merged) z")
+register("merge_missing_fields", oracle.q(_MERGE_ALL_SQL))(
     lambda spark, d: JN.merge_missing_fields(_with_key(IN.ingest_clean(_norm_primary(spark, d))),
                                              _enrichment_source(spark, d), "_key", _ENRICH_FIELDS))
-register("recombine", None)(lambda spark, d: _enrich_missing(spark, d)[0])
+register("recombine", oracle.q("SELECT * FROM (" + _ENR_SQL + "SELECT * FROM outp) z"))(
+    lambda spark, d: _enrich_missing(spark, d)[0])
 
 register("batch_ids", oracle.q(
     "SELECT rank, company, CAST((row_number() OVER (ORDER BY trim(company), rank) - 1) // 100 AS INTEGER) AS batch_num "

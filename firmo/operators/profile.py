@@ -30,8 +30,9 @@ def long_form(df: DataFrame, columns: list[str], filters: dict[str, Column] | No
         if c in filters:
             cond = cond & filters[c]
         parts.append(F.when(cond, F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))))
-    arr = F.filter(F.array(*parts), lambda x: x.isNotNull())
-    return df.select(*ids, F.explode(arr).alias("_kv")).select(*ids, "_kv.column_name", "_kv.value")
+    # explode + row filter (not the interpreted higher-order ``filter``) stays in codegen
+    return (df.select(*ids, F.explode(F.array(*parts)).alias("_kv")).filter(F.col("_kv").isNotNull())
+              .select(*ids, "_kv.column_name", "_kv.value"))
 
 
 def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
@@ -110,7 +111,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """O-AG-13: frequency of each non-null value of several categorical columns, one grouped pass."""
     parts = [F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
              for c in columns]
-    lf = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("_kv")).select("_kv.*")
+    lf = df.select(F.explode(F.array(*parts)).alias("_kv")).filter(F.col("_kv").isNotNull()).select("_kv.*")
     return lf.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -222,10 +223,10 @@ def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3
             .withColumn("_g0", F.col("_mn") - cut * F.col("_h"))
             .withColumn("_step", (F.col("_mx") - F.col("_mn") + 2 * cut * F.col("_h")) / (points - 1)))
     j = lf.join(st.select(*groups, "_h", "_g0", "_step"), groups)
-    contrib = j.select(*groups, F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(points - 1)),
-        lambda i: F.exp(-0.5 * F.pow((F.col("_g0") + i * F.col("_step") - F.col("value")) / F.col("_h"), 2))))
-        .alias("i", "k"))
+    # grid index by explode(sequence), kernel as a plain expression: all in codegen
+    grid = j.select(*groups, "value", "_h", "_g0", "_step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    z = (F.col("_g0") + F.col("i") * F.col("_step") - F.col("value")) / F.col("_h")
+    contrib = grid.select(*groups, "i", F.exp(F.lit(-0.5) * z * z).alias("k"))
     sums = contrib.groupBy(*groups, "i").agg(F.sum("k").alias("_s"))
     out = sums.join(st, groups)
     dens = F.col("_s") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
@@ -246,7 +247,7 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
         entries.append(F.when(x.isNotNull() & y.isNotNull(),
                               F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), x.alias("x"), y.alias("y"))))
-    long = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*"))
+    long = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.*")
     stats = long.groupBy("col_a", "col_b").agg(
         F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
     grid = df.sparkSession.createDataFrame(pairs, "col_a string, col_b string")

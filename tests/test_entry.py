@@ -1,6 +1,6 @@
 import __spark_entry__ as E
 
-NO_SQL = {"merge_missing_fields", "recombine", "extract_infobox"}
+NO_SQL = {"extract_infobox"}
 
 
 def test_entry_runs_on_smallest_scale(spark):
