@@ -14,4 +14,4 @@ def parse_timestamp_multi(c, fallback: dt.datetime, formats=TS_FORMATS) -> Colum
     """First format that parses, else ``fallback``; result is ``timestamp_ntz``."""
     x = F.nullif(F.trim(F.col(c) if isinstance(c, str) else c), F.lit(""))
     tries = [F.try_to_timestamp(x, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries, F.lit(fallback).cast("timestamp_ntz"))
+    return F.coalesce(*tries, F.lit(fallback.isoformat(sep=" ")).cast("timestamp_ntz"))

@@ -18,7 +18,7 @@ UNKNOWN = "UNKNOWN"
 
 
 def _ts(p: RunParams):
-    return F.lit(p.run_ts).cast("timestamp_ntz")
+    return F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _nonblank(c: str):

@@ -47,7 +47,7 @@ def raw_dim_companies(stg_primary: DataFrame, stg_secondary: DataFrame, p: RunPa
     alone = joins.anti_join_unmatched(secondary_best_alone(stg_secondary, p), pb)
     unioned = setops.union_sources(enriched, alone)
     return (clean.default_unknown(unioned)
-            .withColumn("dim_created_at", F.lit(p.run_ts).cast("timestamp_ntz"))
+            .withColumn("dim_created_at", F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
             .select(*RAW_DIM_COLUMNS))
 
 
@@ -81,7 +81,7 @@ def bronze_dim_founder(stg_primary: DataFrame, stg_secondary: DataFrame, p: RunP
                    F.lit(None).cast("string").alias("founder_name")))
     out = dedup.dedup_founder(setops.union_sources(prim, sec))
     return (out.filter(F.col("founder_name").isNotNull())
-               .withColumn("bronze_processed_at", F.lit(p.run_ts).cast("timestamp_ntz")))
+               .withColumn("bronze_processed_at", F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")))
 
 
 def unified_companies(bronze_dim: DataFrame, bronze_fct: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
