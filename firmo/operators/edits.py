@@ -14,17 +14,25 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def apply_edits(base: DataFrame, edits: DataFrame, columns: list[str], key: str = "row_id") -> DataFrame:
-    sets = edits.filter(F.col("op") == "set")
-    latest = sets.groupBy(key).agg(*[
-        F.max_by("value", F.when(F.col("column") == c, F.col("seq"))).alias(f"_v_{c}") for c in columns],
-        *[F.max(F.when(F.col("column") == c, F.lit(True))).alias(f"_s_{c}") for c in columns])
-    added = (edits.filter(F.col("op") == "add")
-             .select(F.col(key), *[F.lit("").alias(c) for c in columns]))
-    rows = base.select(key, *[F.col(c).cast("string").alias(c) for c in columns]).unionByName(added)
-    deleted = edits.filter(F.col("op") == "delete").select(key)
-    j = rows.join(latest, key, "left")
-    out = j.select(key, *[F.when(F.col(f"_s_{c}"), F.col(f"_v_{c}")).otherwise(F.col(c)).alias(c) for c in columns])
-    return out.join(deleted, key, "left_anti")
+    """O-AN-01: the dataset after all edits.
+
+    The log is read once and reduced to one row per ``row_id`` (partial
+    aggregation map-side): the last value set per column, whether the row was
+    added, whether it was deleted.  One full outer join with the base then
+    yields every surviving row."""
+    is_set = F.col("op") == "set"
+    per_row = edits.groupBy(key).agg(
+        *[F.max_by("value", F.when(is_set & (F.col("column") == c), F.col("seq"))).alias(f"_v_{c}") for c in columns],
+        *[F.max(is_set & (F.col("column") == c)).alias(f"_s_{c}") for c in columns],
+        F.max(F.col("op") == "add").alias("_added"),
+        F.max(F.col("op") == "delete").alias("_deleted"))
+    b = base.select(key, *[F.col(c).cast("string").alias(c) for c in columns]).withColumn("_base", F.lit(True))
+    j = b.join(per_row, key, "full")
+    keep = (F.col("_base") | F.coalesce(F.col("_added"), F.lit(False))) & ~F.coalesce(F.col("_deleted"), F.lit(False))
+    cur = lambda c: F.when(F.col("_base"), F.col(c)).otherwise(F.lit(""))
+    return j.filter(keep).select(
+        key, *[F.when(F.coalesce(F.col(f"_s_{c}"), F.lit(False)), F.col(f"_v_{c}")).otherwise(cur(c)).alias(c)
+               for c in columns])
 
 
 def edits_as_of(base: DataFrame, edits: DataFrame, columns: list[str], seq: int, key: str = "row_id") -> DataFrame:
