@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -102,8 +103,11 @@ def scan_csv_by_name(spark: SparkSession, root: str, schema: T.StructType, patte
         empty = spark.createDataFrame([], schema)
         return empty, empty.withColumn("source_file", F.lit(None).cast("string"))
     groups: dict[str, list[str]] = defaultdict(list)
-    for f in files:
-        groups[_first_line(spark, f).strip().lower()].append(f)
+    # only the first line of each file is read here, concurrently
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: _first_line(spark, f), files))
+    for f, h in zip(files, headers):
+        groups[h.strip().lower()].append(f)
     good, rejected = [], []
     for fs in groups.values():
         raw = _read_group(spark, fs)
