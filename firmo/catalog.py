@@ -855,3 +855,21 @@ register("edits_as_of", _edits_sql(5000, "SELECT * FROM applied"))(
     lambda spark, d: ED.edits_as_of(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS, 5000))
 register("rows_page", _edits_sql(None, "SELECT * FROM applied ORDER BY row_id LIMIT 10 OFFSET 20"))(
     lambda spark, d: ED.rows_page(ED.apply_edits(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS), 3))
+
+_VIOLIN = ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"]
+_TOP8_SQL = ("top8 AS (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector "
+             "ORDER BY count(*) DESC, sector LIMIT 8)")
+register("kde_by_sector", _pq(
+    "SELECT sector, column_name, CAST(i AS INTEGER) AS i, round(g0 + i * step, 6) AS x, "
+    "round(sum(exp(-0.5 * pow((g0 + i * step - value) / h, 2))) / (n * h * sqrt(2 * pi())) * n * (mx - mn) / 50, 4) "
+    "AS count_density FROM st JOIN lf USING (sector, column_name), range(200) r(i) "
+    "GROUP BY sector, column_name, i, g0, step, h, n, mx, mn",
+    f", {_TOP8_SQL}, lf AS (" + " UNION ALL ".join(
+        f"SELECT sector, '{m}' AS column_name, CAST({m} AS DOUBLE) AS value FROM prof "
+        f"WHERE sector IN (SELECT sector FROM top8) AND {m} IS NOT NULL"
+        + (f" AND {m} > 0" if m == "marketcap_updated_m" else "") for m in _VIOLIN) + "), "
+    "st0 AS (SELECT sector, column_name, count(*) AS n, stddev_samp(value) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h, "
+    "min(value) AS mn, max(value) AS mx FROM lf GROUP BY sector, column_name), "
+    "st AS (SELECT *, mn - 3.0 * h AS g0, (mx - mn + 2 * 3.0 * h) / 199 AS step FROM st0 WHERE h > 0)"))(
+    lambda spark, d: PF.kde_grid(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8), _VIOLIN,
+                                              _mcap_pos(), ids=["sector"]), ["sector", "column_name"]))
