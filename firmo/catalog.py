@@ -387,12 +387,12 @@ register("missing_summary", _pq(" UNION ALL ".join(
     lambda spark, d: PF.missing_summary(_layers(spark, d).stg_primary))
 register("describe_numeric", _pq(
     "SELECT column_name, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, "
-    "min(value) AS min, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50, "
-    f"quantile_cont(value, 0.75) AS q75, max(value) AS max FROM {_long_sql(NUMERIC)} l GROUP BY column_name"))(
+    "min(value) AS min, round(quantile_cont(value, 0.25), 10) AS q25, round(quantile_cont(value, 0.5), 10) AS q50, "
+    f"round(quantile_cont(value, 0.75), 10) AS q75, max(value) AS max FROM {_long_sql(NUMERIC)} l GROUP BY column_name"))(
     lambda spark, d: PF.describe_numeric(_prof(spark, d), NUMERIC))
 _POS = ["revenues_m", "profits_m", "assets_m", "marketcap_updated_m"]
 register("summary_metrics", _pq(
-    "SELECT column_name, round(avg(value), 6) AS mean, quantile_cont(value, 0.5) AS median, "
+    "SELECT column_name, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 10) AS median, "
     "round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max FROM "
     f"{_long_sql(_POS + ['number_of_employees'], {c: f'{c} > 0' for c in _POS})} l GROUP BY column_name"))(
     lambda spark, d: PF.summary_metrics(_prof(spark, d), _POS, ["number_of_employees"]))
@@ -421,8 +421,9 @@ register("sector_avg_top10", _pq(
         "avg_revenue": F.col("revenues_m"), "avg_profit": F.col("profits_m"),
         "avg_market_cap": F.when(F.col("marketcap_updated_m") > 0, F.col("marketcap_updated_m"))}, 10))
 
-_BOUNDS_SQL = (", bnd AS (SELECT column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
-               "quantile_cont(value, 0.75) AS q3 FROM lf GROUP BY column_name), "
+_BOUNDS_SQL = (", bnd AS (SELECT column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
+               "round(quantile_cont(value, 0.5), 10) AS median, "
+               "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY column_name), "
                "b AS (SELECT column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
                "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)")
 register("iqr_outliers", _pq(
@@ -464,8 +465,9 @@ _BOX_BY_LONG_SQL = "(" + " UNION ALL ".join(
 _G3 = "category_column, category, column_name"
 register("box_stats_by_category", _pq(
     _BOX_SELECT.format(g=_G3),
-    f", lf AS {_BOX_BY_LONG_SQL}, bnd AS (SELECT {_G3}, quantile_cont(value, 0.25) AS q1, "
-    f"quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM lf GROUP BY {_G3}), "
+    f", lf AS {_BOX_BY_LONG_SQL}, bnd AS (SELECT {_G3}, round(quantile_cont(value, 0.25), 10) AS q1, "
+    f"round(quantile_cont(value, 0.5), 10) AS median, round(quantile_cont(value, 0.75), 10) AS q3 "
+    f"FROM lf GROUP BY {_G3}), "
     f"b AS (SELECT {_G3}, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
     lambda spark, d: PF.box_stats(_box_by_long(_prof(spark, d)), ["category_column", "category", "column_name"]))
 register("sector_box_top8", _pq(
@@ -475,8 +477,9 @@ register("sector_box_top8", _pq(
         f"SELECT sector, '{m}' AS column_name, CAST({m} AS DOUBLE) AS value FROM prof WHERE sector IN (SELECT sector FROM top8) "
         f"AND {m} IS NOT NULL" + (f" AND {m} > 0" if m == "marketcap_updated_m" else "")
         for m in ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"]) + "), "
-    "bnd AS (SELECT sector, column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
-    "quantile_cont(value, 0.75) AS q3 FROM lf GROUP BY sector, column_name), "
+    "bnd AS (SELECT sector, column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
+    "round(quantile_cont(value, 0.5), 10) AS median, "
+    "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY sector, column_name), "
     "b AS (SELECT sector, column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
     "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
     lambda spark, d: PF.box_stats(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8),

@@ -64,6 +64,15 @@ def _quantile_wide(long_df: DataFrame, groups: list[str], probs: dict[str, float
     return q.groupBy(*groups).agg(*aggs)
 
 
+# Quantile-derived values are presented at 10 decimals: interpolation in
+# another engine may differ in the last bit (e.g. a fused multiply-add).
+QUANTILE_SCALE = 10
+
+
+def _rq(c: str) -> Column:
+    return F.round(F.col(c), QUANTILE_SCALE).alias(c)
+
+
 def _r(c, n=6) -> Column:
     if isinstance(c, str):
         return F.round(F.col(c), n).alias(c)
@@ -88,7 +97,7 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
                                          F.max("value").alias("max"))
     qs = _quantile_wide(lf, ["column_name"], {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     j = basic.join(qs, "column_name")
-    return j.select("column_name", "count", _r("mean"), _r("std"), "min", "q25", "q50", "q75", "max")
+    return j.select("column_name", "count", _r("mean"), _r("std"), "min", _rq("q25"), _rq("q50"), _rq("q75"), "max")
 
 
 def summary_metrics(df: DataFrame, positive: list[str], all_values: list[str]) -> DataFrame:
@@ -98,7 +107,7 @@ def summary_metrics(df: DataFrame, positive: list[str], all_values: list[str]) -
     basic = lf.groupBy("column_name").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                                          F.min("value").alias("min"), F.max("value").alias("max"))
     med = _quantile_wide(lf, ["column_name"], {"median": 0.5})
-    return basic.join(med, "column_name").select("column_name", _r("mean"), "median", _r("std"), "min", "max")
+    return basic.join(med, "column_name").select("column_name", _r("mean"), _rq("median"), _r("std"), "min", "max")
 
 
 def nunique_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -142,7 +151,9 @@ def group_avg_topk(df: DataFrame, group: str, metrics: dict[str, Column], k: int
 
 
 def _bounds(lf: DataFrame, groups: list[str]) -> DataFrame:
-    q = _quantile_wide(lf, groups, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    """Quartiles (presented precision) and the 1.5 IQR fences computed from them."""
+    q = _quantile_wide(lf, groups, {"q1": 0.25, "median": 0.5, "q3": 0.75}) \
+        .select(*groups, _rq("q1"), _rq("median"), _rq("q3"))
     iqr = F.col("q3") - F.col("q1")
     return q.select(*groups, "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("lower_bound"),
                     (F.col("q3") + 1.5 * iqr).alias("upper_bound"))

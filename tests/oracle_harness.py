@@ -8,6 +8,9 @@ import datetime as dt
 import decimal
 import hashlib
 import math
+import os
+
+STRICT = os.environ.get("STRICT") == "1"
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -27,13 +30,15 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if STRICT:
+            return repr(float(v))
         return f"{v:.6g}" if abs(v) >= 1e15 else f"{round(v, 4):.4f}"
     if isinstance(v, decimal.Decimal):
         return _norm(float(v))
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
-        return f"{float(v):.4f}"
+        return repr(float(v)) if STRICT else f"{float(v):.4f}"
     if isinstance(v, dt.datetime):
         return v.isoformat(sep=" ")
     if isinstance(v, dt.date):
