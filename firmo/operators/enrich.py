@@ -56,8 +56,9 @@ def infobox_rows(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 def extract_infobox(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """O-EN-01: domain, industry, founded year, employees, revenue and country from a
-    page's info table.  A later row of the same field overwrites an earlier one;
-    the country comes from the first headquarters/location row that names one.
+    page's info table.  A later row of the same field overwrites an earlier one,
+    the country too: within a headquarters/location row the first listed
+    country found is taken, and a later such row that names one wins.
     Rows are grouped per page, so each group is one page's table."""
     r = infobox_rows(pages, key, html)
     lab, val = F.col("label"), F.col("value")
@@ -82,7 +83,7 @@ def extract_infobox(pages: DataFrame, key: str = "page_id", html: str = "html")
         F.max_by(parse_revenue_text(F.col("value")), F.when((f == "revenue") & has_num, F.col("pos"))).alias("revenue"))
     hq = r.filter(lab.contains("headquarters") | lab.contains("location")).filter("_td") \
           .select(key, "pos", country_from_text(val).alias("country")).filter(F.col("country").isNotNull())
-    country = hq.groupBy(key).agg(F.min_by("country", "pos").alias("country"))
+    country = hq.groupBy(key).agg(F.max_by("country", "pos").alias("country"))
     return fields.join(country, key, "full")
 
 
