@@ -601,8 +601,15 @@ register("materialize_layer", oracle.q("SELECT * FROM raw_dim"))(
     lambda spark, d: SK.materialize_layer(spark, _layers(spark, d).raw_dim, "table", "raw_dim_companies",
                                           scratch_path(spark, "layers")))
 
-_MART_TEXT_SQL = ("SELECT * REPLACE (strftime(last_updated_at, '%Y-%m-%dT%H:%M:%S') AS last_updated_at, "
-                  "strftime(mart_created_at, '%Y-%m-%dT%H:%M:%S') AS mart_created_at) FROM mart")
+def _iso_sql(c: str) -> str:
+    return (f"CASE WHEN strftime({c}, '%f') <> '000000' THEN strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') "
+            f"ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S') END")
+
+
+_MART_TEXT_SQL = (f"SELECT * REPLACE ({_iso_sql('last_updated_at')} AS last_updated_at, "
+                  f"{_iso_sql('mart_created_at')} AS mart_created_at) FROM mart")
+_EXPORT_SQL = ("SELECT " + ", ".join(SV.EXPORT_COLUMNS[:-1]) + f", {_iso_sql('last_updated_at')} AS last_updated_at "
+               "FROM mart")
 
 
 def _mart_text_schema(mart):
@@ -613,8 +620,9 @@ def _mart_text_schema(mart):
 def _export_json(spark, d):
     m = _mart(spark, d)
     path = scratch_path(spark, "export-json")
-    SK.export_json(m, path, ["company_name", "company_id"])
-    return spark.read.schema(_mart_text_schema(m)).json(path)
+    SV.export_mart_json(m, path)
+    schema = T.StructType([f for f in _mart_text_schema(m).fields if f.name in SV.EXPORT_COLUMNS])
+    return spark.read.schema(schema).json(path)
 
 
 def _export_csv(spark, d):
@@ -627,7 +635,7 @@ def _export_csv(spark, d):
 from pyspark.sql import types as T  # noqa: E402
 from pyspark.sql import Column  # noqa: E402
 
-register("export_json", oracle.q(_MART_TEXT_SQL))(_export_json)
+register("export_json", oracle.q(_EXPORT_SQL))(_export_json)
 register("export_csv", oracle.q(_MART_TEXT_SQL))(_export_csv)
 register("preview_sample", oracle.q("SELECT * FROM stg_primary ORDER BY rank LIMIT 5"))(
     lambda spark, d: FI.preview_sample(_layers(spark, d).stg_primary, 5, [F.col("rank")]))

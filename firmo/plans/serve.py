@@ -69,3 +69,17 @@ def display_columns(mart: DataFrame) -> DataFrame:
                        format_currency("revenue").alias("revenue_text"),
                        format_number("employee_count").alias("employees_text"),
                        label_truncate("company_name", 15).alias("label15"))
+
+
+# The columns of the mart export, in the export's order.
+EXPORT_COLUMNS = ["company_id", "company_name", "ticker", "fortune_rank", "domain", "industry",
+                  "industry_primary", "country", "headquarters_city", "headquarters_state", "ceo",
+                  "website", "founded_year", "employee_count", "revenue", "market_cap_updated_m",
+                  "revenue_percent_change", "profits_m", "profits_percent_change", "assets_m",
+                  "source_system", "last_updated_at"]
+
+
+def export_mart_json(mart: DataFrame, path: str) -> None:
+    """O-IO-09: the mart's export columns as JSON records in name order."""
+    from firmo.sources.sinks import export_json
+    export_json(mart.select(*EXPORT_COLUMNS), path, ["company_name", "company_id"])

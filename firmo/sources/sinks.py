@@ -52,7 +52,10 @@ def _iso_text(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            cols.append(F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss").alias(f.name))
+            # ISO 8601; the fraction only when it is not zero
+            frac = F.date_format(f.name, "SSSSSS") != "000000"
+            cols.append(F.when(frac, F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+                         .otherwise(F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss")).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             cols.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
         else:
