@@ -58,7 +58,19 @@ def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
     return out.select(*groups, "prob", q.alias("quantile"))
 
 
-def _quantile_wide(long_df: DataFrame, groups: list[str], probs: dict[str, float]) -> DataFrame:
+# Exact quantiles cost one sort of the values; set False to use a bounded
+# sketch per group instead (percentile_approx: no sort, relative rank error 1/accuracy).
+EXACT_QUANTILES = True
+APPROX_ACCURACY = 100_000
+
+
+def _quantile_wide(long_df: DataFrame, groups: list[str], probs: dict[str, float],
+                   exact: bool | None = None) -> DataFrame:
+    exact = EXACT_QUANTILES if exact is None else exact
+    if not exact:
+        arr = F.percentile_approx("value", [float(p) for p in probs.values()], APPROX_ACCURACY)
+        q = long_df.groupBy(*groups).agg(arr.alias("_q"))
+        return q.select(*groups, *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(probs)])
     q = exact_quantiles(long_df, groups, list(probs.values()))
     aggs = [F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for name, p in probs.items()]
     return q.groupBy(*groups).agg(*aggs)

@@ -112,3 +112,12 @@ def test_edit_replay_and_undo(spark):
     assert now == {1: ("a2", "x"), 10: ("", "new")}
     back = {r.row_id: (r.name, r.city) for r in ED.edits_as_of(base, edits, ["name", "city"], 1).collect()}
     assert back == {1: ("a1", "x"), 2: ("b", "y")}
+
+
+def test_approximate_quantiles_close_to_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [("g", float(v)) for v in rng.normal(size=2000)]
+    df = spark.createDataFrame(rows, "column_name string, value double")
+    approx = PF._quantile_wide(df, ["column_name"], {"q1": 0.25, "q3": 0.75}, exact=False).first()
+    vals = np.array([v for _, v in rows])
+    assert abs(approx.q1 - np.quantile(vals, 0.25)) < 0.01 and abs(approx.q3 - np.quantile(vals, 0.75)) < 0.01
