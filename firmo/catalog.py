@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from firmo import oracle
 from firmo.plans import layers as LY
 from firmo.plans.layers import Layers
-from firmo.plans.pipeline import Run, run_pipeline, staged
+from firmo.plans.runs import Run, build_layers, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,8 +193,8 @@ register("distinct_industries", oracle.q(
 register("distinct_countries", oracle.q(
     "SELECT DISTINCT country FROM mart WHERE country IS NOT NULL ORDER BY country"))(
     lambda spark, d: SO.distinct_values(_mart(spark, d), "country"))
-register("run_pipeline", oracle.q("SELECT * FROM mart"))(
-    lambda spark, d: run_pipeline(spark, d).mart)
+register("build_layers", oracle.q("SELECT * FROM mart"))(
+    lambda spark, d: build_layers(spark, d).mart)
 register("union_row_counts", oracle.q(
     "SELECT 'stg_primary' AS table_name, count(*) AS row_count FROM stg_primary UNION ALL "
     "SELECT 'stg_secondary', count(*) FROM stg_secondary UNION ALL "

@@ -1,4 +1,4 @@
-"""A pipeline run: staging -> raw -> bronze -> marts (survey §3A).
+"""One run of the layers: staging -> raw -> bronze -> marts (survey §3A).
 
 Staging, raw and mart layers are written as tables into the shared checkpoint
 folder, bronze stays a set of views, as in the reference's project layout.
@@ -47,7 +47,7 @@ class Run:
         return LY.Layers(self.stg_primary, self.stg_secondary, self.params)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, p: RunParams = DEFAULT) -> Run:
+def build_layers(spark: SparkSession, sf_dir: str, root: str | None = None, p: RunParams = DEFAULT) -> Run:
     """Load staging from the given tables, build and write raw and mart tables."""
     root = root or scratch_path(spark, "run")
     stg_p = materialize_layer(spark, adapter.stg_primary(spark, sf_dir), "table", "stg_primary", root)
@@ -69,6 +69,6 @@ def staged(spark: SparkSession, sf_dir: str, p: RunParams = DEFAULT) -> Run:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)
     run = _RUNS.get(key)
     if run is None:
-        run = run_pipeline(spark, sf_dir, p=p)
+        run = build_layers(spark, sf_dir, p=p)
         _RUNS[key] = run
     return run
