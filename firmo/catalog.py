@@ -307,8 +307,12 @@ _BRONZE_FCT_COLS = ["company_id", "company_name", "fortune_rank", "employee_coun
                     "revenue_percent_change", "profits_m", "profits_percent_change", "assets_m",
                     "market_cap_updated_m", "metric_date", "source_system", "loaded_at"]
 _INTS = {"fortune_rank", "employee_count", "founded_year"}
+from firmo.schemas import RAW_DIM_COLUMNS, RAW_FCT_COLUMNS  # noqa: E402
+
 _SUITES = {
     "validate_unified": (DQ.unified_suite, lambda L: L.mart, "mart", MART_COLUMNS),
+    "validate_raw_dim": (DQ.raw_dim_suite, lambda L: L.raw_dim, "raw_dim", RAW_DIM_COLUMNS),
+    "validate_raw_fct": (DQ.raw_fct_suite, lambda L: L.raw_fct, "raw_fct", RAW_FCT_COLUMNS),
     "validate_bronze_dim": (DQ.bronze_dim_suite, lambda L: L.bronze_dim, "bronze_dim", _BRONZE_DIM_COLS),
     "validate_bronze_fct": (DQ.bronze_fct_suite, lambda L: L.bronze_fct, "bronze_fct", _BRONZE_FCT_COLS),
     "validate_marts": (DQ.marts_suite, lambda L: L.mart, "mart", MART_COLUMNS),

@@ -161,6 +161,21 @@ def unified_suite() -> list[Expectation]:
             expect_between("founded_year", 1800, 2030, 0.95), expect_between("employee_count", 0, None, 0.95)]
 
 
+def raw_dim_suite() -> list[Expectation]:
+    return [expect_column_exists("company_id"), expect_not_null("company_id", 0.99),
+            expect_column_exists("company_name"), expect_not_null("company_name", 0.99),
+            expect_column_exists("source_system"), expect_not_null("source_system", 0.95),
+            expect_between("founded_year", 1800, 2030, 0.90, optional=True)]
+
+
+def raw_fct_suite() -> list[Expectation]:
+    return [expect_column_exists("company_id"), expect_not_null("company_id", 0.99),
+            expect_column_exists("company_name"), expect_not_null("company_name", 0.99),
+            expect_column_exists("metric_date"), expect_not_null("metric_date", 0.95),
+            expect_column_exists("source_system"), expect_not_null("source_system", 0.95),
+            expect_between("fortune_rank", 1, 1000, 0.90, optional=True)]
+
+
 def bronze_dim_suite() -> list[Expectation]:
     return [expect_column_exists("company_id"), expect_not_null("company_id", 0.99),
             expect_unique("company_id", 0.99), expect_column_exists("company_name"),
