@@ -4,14 +4,35 @@ directly), so its work grows with them."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from firmo import oracle
+from firmo.functions.text import extract_host
+from firmo.operators import aggregates as AG
+from firmo.operators import clean as CL
+from firmo.operators import edits as ED
+from firmo.operators import enrich as EN
+from firmo.operators import ingest as IN
+from firmo.operators import joins as JN
+from firmo.operators import profile as PF
+from firmo.operators import quality as DQ
+from firmo.operators import setops as SO
+from firmo.operators import topk as TK
+from firmo.params import DEFAULT as _P
 from firmo.plans import layers as LY
+from firmo.plans import serve as SV
 from firmo.plans.layers import Layers
 from firmo.plans.runs import Run, build_layers, staged
+from firmo.schemas import (MART_COLUMNS, RAW_DIM_COLUMNS, RAW_FCT_COLUMNS, STG_PRIMARY,
+                           STG_SECONDARY)
+from firmo.session import scratch_path
+from firmo.sources import files as FI
+from firmo.sources import sinks as SK
+from firmo.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,10 +72,6 @@ register("bronze_fct_company_metrics", oracle.q("SELECT * FROM bronze_fct"))(
 
 
 # ---------------------------------------------------------------- 2.2-2.7 serving over the mart
-from firmo.operators import aggregates as AG  # noqa: E402
-from firmo.operators import setops as SO  # noqa: E402
-from firmo.operators import topk as TK  # noqa: E402
-from firmo.plans import serve as SV  # noqa: E402
 
 MART_ORDER_SQL = ", ".join(f"{c} ASC NULLS LAST" for c in TK.MART_ORDER_COLS)
 PAGE_FILTER = dict(company_name="company 1", min_employees=1000, max_revenue=5e9)
@@ -207,9 +224,6 @@ register("union_row_counts", oracle.q(
 
 
 # ---------------------------------------------------------------- 2.2/2.3/2.5/2.7 building blocks
-from firmo.operators import clean as CL  # noqa: E402
-from firmo.operators import joins as JN  # noqa: E402
-from firmo.operators import quality as DQ  # noqa: E402
 
 
 register("primary_dim_project", oracle.q("SELECT * FROM dim_f"))(
@@ -298,7 +312,6 @@ for _name, (_fn, _sql) in _DQ_TESTS.items():
     register(_name, oracle.q(_sql))(lambda spark, d, _fn=_fn: _fn(_tables(spark, d)))
 
 # ---------------------------------------------------------------- 2.9 quality: expectation suites
-from firmo.schemas import MART_COLUMNS  # noqa: E402
 
 _BRONZE_DIM_COLS = ["company_id", "company_name", "ticker", "sector", "industry", "industry_primary", "country",
                     "headquarters_city", "headquarters_state", "ceo", "website", "founded_year",
@@ -307,7 +320,6 @@ _BRONZE_FCT_COLS = ["company_id", "company_name", "fortune_rank", "employee_coun
                     "revenue_percent_change", "profits_m", "profits_percent_change", "assets_m",
                     "market_cap_updated_m", "metric_date", "source_system", "loaded_at"]
 _INTS = {"fortune_rank", "employee_count", "founded_year"}
-from firmo.schemas import RAW_DIM_COLUMNS, RAW_FCT_COLUMNS  # noqa: E402
 
 _SUITES = {
     "validate_unified": (DQ.unified_suite, lambda L: L.mart, "mart", MART_COLUMNS),
@@ -328,8 +340,6 @@ register("dataset_limits", oracle.q(
 
 
 # ---------------------------------------------------------------- 2.4/2.6 profiling of the ranked list
-from firmo.operators import profile as PF  # noqa: E402
-from firmo.schemas import STG_PRIMARY  # noqa: E402
 
 # The notebook's preparation and column choices.
 PROFILE_DROP = ["newcomer_to_the_fortune500"]
@@ -545,16 +555,7 @@ register("sample_n", _pq(
 
 
 # ---------------------------------------------------------------- 2.1 sources and sinks
-import datetime as _dt  # noqa: E402
 
-from firmo.operators import edits as ED  # noqa: E402
-from firmo.operators import enrich as EN  # noqa: E402
-from firmo.operators import ingest as IN  # noqa: E402
-from firmo.params import DEFAULT as _P  # noqa: E402
-from firmo.schemas import STG_SECONDARY  # noqa: E402
-from firmo.session import scratch_path  # noqa: E402
-from firmo.sources import files as FI  # noqa: E402
-from firmo.sources import sinks as SK  # noqa: E402
 
 _DAY_A, _DAY_B = "2024-03-05", "2024-03-06"
 
@@ -636,9 +637,6 @@ def _export_csv(spark, d):
     return spark.read.schema(_mart_text_schema(m)).option("header", True).option("escape", '"').csv(path)
 
 
-from pyspark.sql import types as T  # noqa: E402
-from pyspark.sql import Column  # noqa: E402
-
 register("export_json", oracle.q(_EXPORT_SQL))(_export_json)
 register("export_csv", oracle.q(_MART_TEXT_SQL))(_export_csv)
 register("preview_sample", oracle.q("SELECT * FROM stg_primary ORDER BY rank LIMIT 5"))(
@@ -723,7 +721,7 @@ register("extract_host", oracle.q(
     "SELECT company_id, website, CASE WHEN website IS NULL OR website = '' THEN NULL ELSE split_part(split_part("
     "regexp_replace(regexp_replace(website, '^https?://', ''), '^www\\.', ''), '/', 1), ':', 1) END AS host FROM mart"))(
     lambda spark, d: (lambda m: m.select("company_id", "website",
-                                         __import__("firmo.functions.text", fromlist=["x"]).extract_host("website")
+                                         extract_host("website")
                                          .alias("host")))(_mart(spark, d)))
 _MISSING = ["domain", "industry", "employee_count", "founded_year"]
 _MISS_SQL = " OR ".join(f"{c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None')" for c in _MISSING)
@@ -819,7 +817,7 @@ register("fill_from_lookup", oracle.q(
     lambda spark, d: JN.fill_from_lookup(IN.ingest_clean(_norm_primary(spark, d)),
                                          EN.parse_json_responses(_responses(spark, d)), seq_col="batch_num"))
 register("extract_infobox", None)(
-    lambda spark, d: EN.extract_infobox(__import__("firmo.sources.tables", fromlist=["x"]).table(spark, d, "pages")))
+    lambda spark, d: EN.extract_infobox(table(spark, d, "pages")))
 
 # ---------------------------------------------------------------- 2.10 edits
 EDIT_COLUMNS = ["company", "ceo", "headquarterscity", "website"]
@@ -829,7 +827,7 @@ ADDED_ROW_BASE = 1_000_000_000
 def _edits(spark, d):
     """An edit log derived from the events table: purchases delete a row, signups
     add one, other events set a cell."""
-    ev = __import__("firmo.sources.tables", fromlist=["x"]).table(spark, d, "events")
+    ev = table(spark, d, "events")
     op = (F.when(F.col("event_type") == "purchase", F.lit("delete"))
            .when(F.col("event_type") == "signup", F.lit("add")).otherwise(F.lit("set")))
     cols = F.array(*[F.lit(c) for c in EDIT_COLUMNS])
