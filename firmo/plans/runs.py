@@ -9,6 +9,7 @@ source folder, so serving queries read the mart table instead of rebuilding it.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,13 +63,15 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str | None = None, p: R
 
 
 _RUNS: dict[tuple, Run] = {}
+_LOCK = threading.Lock()
 
 
 def staged(spark: SparkSession, sf_dir: str, p: RunParams = DEFAULT) -> Run:
     """The run of this session for ``sf_dir`` (built on first use)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)
-    run = _RUNS.get(key)
-    if run is None:
-        run = build_layers(spark, sf_dir, p=p)
-        _RUNS[key] = run
+    with _LOCK:
+        run = _RUNS.get(key)
+        if run is None:
+            run = build_layers(spark, sf_dir, p=p)
+            _RUNS[key] = run
     return run
