@@ -886,3 +886,19 @@ register("kde_by_sector", _pq(
     "st AS (SELECT *, mn - 3.0 * h AS g0, (mx - mn + 2 * 3.0 * h) / 199 AS step FROM st0 WHERE h > 0)"))(
     lambda spark, d: PF.kde_grid(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8), _VIOLIN,
                                               _mcap_pos(), ids=["sector"]), ["sector", "column_name"]))
+
+
+def _quality_report(spark, d):
+    t = _tables(spark, d)
+    tests = {name: fn(t) for name, (fn, _sql) in _DQ_TESTS.items()}
+    suites = {name: DQ.validate(spark, frame(t), suite()) for name, (suite, frame, _t, _c) in _SUITES.items()}
+    return DQ.check_report(tests, suites)
+
+
+_REPORT_SQL = " UNION ALL ".join(
+    [f"SELECT '{name}' AS check_name, 'test' AS kind, count(*) AS violations, count(*) = 0 AS passed FROM ({sql}) x"
+     for name, (_fn, sql) in _DQ_TESTS.items()]
+    + [f"SELECT '{name}', 'suite', count(*) FILTER (WHERE NOT success), count(*) FILTER (WHERE NOT success) = 0 "
+       f"FROM ({oracle.expectations_sql(tbl, suite(), cols, _INTS)}) x"
+       for name, (suite, _f, tbl, cols) in _SUITES.items()])
+register("quality_report", oracle.q(_REPORT_SQL))(_quality_report)

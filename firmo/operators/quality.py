@@ -218,3 +218,17 @@ def dataset_limits(df: DataFrame, max_columns: int = MAX_COLUMNS, max_rows: int
                     "n_rows_capped",
                     (F.lit(header_ok) & F.lit(len(df.columns) <= max_columns)
                      & (F.col("n_rows_capped") >= 1) & (F.col("n_rows_capped") <= max_rows)).alias("success"))
+
+
+def check_report(tests: dict[str, DataFrame], suites: dict[str, DataFrame]) -> DataFrame:
+    """One row per check of a run: violating rows of each dbt-style test, failed
+    expectations of each suite.  As in the reference's schedule, failures are
+    reported, not raised.  Every part is a one-row aggregate of its check."""
+    parts = [df.agg(F.count(F.lit(1)).alias("violations"))
+               .select(F.lit(name).alias("check_name"), F.lit("test").alias("kind"), "violations")
+             for name, df in tests.items()]
+    parts += [df.agg(F.count_if(~F.col("success")).alias("violations"))
+                .select(F.lit(name).alias("check_name"), F.lit("suite").alias("kind"), "violations")
+              for name, df in suites.items()]
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return out.withColumn("passed", F.col("violations") == 0)
