@@ -580,6 +580,14 @@ _DATED = r".*/\d{4}-\d{2}-\d{2}/[^/]*\.csv$"
 
 register("scan_csv_by_name", oracle.q("SELECT * FROM stg_secondary"))(
     lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[0])
+def _scan_pattern(spark, d):
+    root = _land_secondary_csv(spark, d)
+    # a full extra copy outside the dated folders: the pattern must leave it out
+    _layers(spark, d).stg_secondary.write.option("header", True).option("escape", '"').csv(f"{root}/manual-copy")
+    return FI.scan_csv_by_name(spark, root, STG_SECONDARY, _DATED)[0]
+
+
+register("scan_pattern", oracle.q("SELECT * FROM stg_secondary"))(_scan_pattern)
 register("scan_skip_bad", oracle.q("SELECT *, CAST(NULL AS VARCHAR) AS source_file FROM stg_secondary WHERE FALSE"))(
     lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[1])
 register("load_audit", oracle.q(
