@@ -75,3 +75,20 @@ def ensure_dir(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input volume.
+
+    The initial shuffle width gives partitions of about ``target_partition_bytes``
+    of input (so a full-width shuffle spills little); AQE then coalesces small
+    partitions to the advisory size and splits skewed ones.  File splits are
+    capped at the same size.  Pass the result as ``get_spark(extra=...)``."""
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
