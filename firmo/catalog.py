@@ -791,6 +791,11 @@ register("batch_ids", oracle.q(
                                   [F.trim("company").asc(), F.col("rank").asc()], 100))
 
 
+register("page_batches", oracle.q(
+    "SELECT page_id, url, CAST((row_number() OVER (ORDER BY page_id) - 1) // 30 AS INTEGER) AS batch_num FROM pages"))(
+    lambda spark, d: EN.batch_ids(table(spark, d, "pages").select("page_id", "url"), [F.col("page_id").asc()], 30))
+
+
 def _responses(spark, d):
     """Model-style responses built from the secondary source: one JSON object of
     name -> founded year per batch of 100 names, some fenced, some broken."""
