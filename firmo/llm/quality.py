@@ -205,7 +205,7 @@ def feature_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, divisor: int = 3, held_out: int = 1,
-          rows: int = 12000, max_bytes: int = 64 << 20) -> Model:
+          rows: int = 12000, max_bytes: int = 48 << 20) -> Model:
     """Fit on a bounded sample of labelled rows outside the held-out remainder
     (``rows`` documents and ``max_bytes`` of text at most); only feature rows
     reach the driver."""

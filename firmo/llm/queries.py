@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import quality, toxicity
+from firmo.llm import bpe, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +34,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_quality_classifier")
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@_query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

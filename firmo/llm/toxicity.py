@@ -65,47 +65,44 @@ def fit(sample: list[tuple[bytes, int]], features: int = 4096, min_docs: int = 4
     """Train on (text, label) pairs: features that stand out in either class are
     kept, then full-batch Adam on the noisy-or likelihood."""
     y = np.array([t for _, t in sample], dtype=np.float64)
-    seen: list[np.ndarray] = []
-    owner: list[np.ndarray] = []
-    at, base = 0, 0
-    step = 256
-    parts: list[tuple[int, Words]] = []
-    while at < len(sample):
+    if len(y) == 0 or y.min() == y.max():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -8.0)
+    step = 128
+    # documents (all, toxic) that hold each feature, merged block by block
+    names, n, pos = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for at in range(0, len(sample), step):
         w = Words([x for x, _ in sample[at:at + step]])
-        parts.append((at, w))
         doc = w.doc
         for idx, h in _features(w):
-            pair = _unique_pairs(h, doc[idx])
-            seen.append(pair[0])
-            owner.append(pair[1] + at)
-        w._sums = None
-        at += step
-    if not seen or y.min(initial=1) == y.max(initial=0):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -8.0)
-    h, doc = np.concatenate(seen), np.concatenate(owner)
-    del seen, owner
-    names, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-    pos = np.bincount(inv, weights=y[doc], minlength=len(names))
-    del h, doc, inv
+            f, d = _unique_pairs(h, doc[idx])
+            f, inv = np.unique(np.concatenate([names, f]), return_inverse=True)
+            more = inv[len(names):]
+            n = np.bincount(inv[:len(names)], n, len(f)) + np.bincount(more, minlength=len(f))
+            pos = np.bincount(inv[:len(names)], pos, len(f)) + np.bincount(more, y[d + at], len(f))
+            names = f
     rate = y.mean()
     z = (pos - n * rate) / np.sqrt(n * rate * (1 - rate) + 1)
     z[n < min_docs] = 0
     best = np.argsort(-np.abs(z), kind="stable")[:features]
     table = np.sort(names[best[np.abs(z[best]) > 2.0]])
+    del names, n, pos, z
     # sentences that hold a kept feature; the others share the bias alone
-    sent_of, feat_of, doc_of, empties = [], [], [], np.zeros(len(sample))
-    for at, w in parts:
+    sent_of, feat_of, doc_of, empties, base = [], [], [], np.zeros(len(sample)), 0
+    for at in range(0, len(sample), step):
+        w = Words([x for x, _ in sample[at:at + step]])
         sent, doc = _sentences(w), w.doc
-        total = np.bincount(doc[np.flatnonzero(np.diff(sent, prepend=-1))], minlength=len(w.counts)) if len(sent) else np.zeros(len(w.counts))
-        empties[at:at + len(w.counts)] += total
+        if len(sent) == 0:
+            continue
+        empties[at:at + len(w.counts)] += np.bincount(doc[np.flatnonzero(np.diff(sent, prepend=-1))], minlength=len(w.counts))
         for idx, hh in _features(w):
             p = find_sorted(table, hh)
             hit = np.flatnonzero(p >= 0)
             sent_of.append(sent[idx[hit]] + base)
             feat_of.append(p[hit])
             doc_of.append(doc[idx[hit]] + at)
-        w._sums = None
-        base += int(sent[-1]) + 1 if len(sent) else 0
+        base += int(sent[-1]) + 1
+    if not sent_of:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -8.0)
     raw, feat, doc = map(np.concatenate, (sent_of, feat_of, doc_of))
     ids, sent = np.unique(raw, return_inverse=True)
     sent_doc = np.zeros(len(ids), dtype=np.int64)
@@ -142,12 +139,11 @@ def _unique_pairs(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def train(docs: DataFrame, labels: DataFrame, divisor: int = 5, held_out: int = 0,
-          rows: int = 8000, max_bytes: int = 24 << 20) -> Model:
+          rows: int = 8000, max_bytes: int = 16 << 20) -> Model:
     """Fit on a bounded sample of labelled rows outside the held-out remainder
     (``rows`` documents and ``max_bytes`` of text at most)."""
     got = labelled_sample(docs, labels, "toxic", divisor, held_out, rows, max_bytes)
-    sample = sorted((r["doc_id"], r["text"].encode(), r["y"]) for r in got.collect())
-    return fit([(t, y) for _, t, y in sample])
+    return fit([(r["text"].encode(), r["y"]) for r in got.orderBy("doc_id").toLocalIterator()])
 
 
 def _sentence_scores(w: Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
