@@ -3,14 +3,18 @@ spans over UTF-8 bytes, stable 64-bit hashes and files under the shared folder."
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from firmo.llm import files
 from firmo.session import checkpoint_root
 
 BLOCK_BYTES = 1 << 20
@@ -139,6 +143,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/firmo-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, as a zip in the shared folder, once for
+    each application: tasks must not rely on a path of the driver's machine."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        import firmo
+        root = Path(firmo.__file__).parent
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, f"firmo/{p.relative_to(root)}")
+        uri = f"{shared_dir(spark, 'code')}/firmo.zip"
+        files.put(uri, [held.getvalue()])
+        sc.addPyFile(uri)
+        _shipped.add(sc.applicationId)
+    return spark
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back.  A lost
     executor then costs the reread of a file, not the work before it."""

@@ -7,14 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, quality, toxicity
+from firmo.llm import bpe, quality, token_store, toxicity, warc
+from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _query(name: str, sql: str | None = None):
@@ -39,3 +40,23 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query("op8_token_store")
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.query(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+#: base32 of the SHA-1: 8 groups of 5 hex digits, each 4 symbols
+_BASE32 = """(SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))) & 31), 1), '' ORDER BY i) FROM range(32) t(i))"""
+
+
+@_query("op9_warc", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f""")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.query(_read(spark, sf_dir, "pages"))
