@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, quality, token_store, toxicity, warc
+from firmo.llm import bpe, decontaminate, licenses, quality, token_store, toxicity, warc
 from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,28 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM f""")
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.query(_read(spark, sf_dir, "pages"))
+
+
+@_query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.query(_read(spark, sf_dir, "documents"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query("op10_decontaminate", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+     i AS (SELECT DISTINCT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+     win AS (SELECT DISTINCT item, w[k:k + least(len(w), 13) - 1] AS g, least(len(w), 13) AS n
+             FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+     n AS (SELECT DISTINCT n FROM win),
+     p AS (SELECT r, n, k, w[k:k + n - 1] AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, n WHERE len(w) >= n)),
+     m AS (SELECT r, k, p.n, item FROM p JOIN win ON p.n = win.n AND p.g = win.g),
+     hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS x FROM m) GROUP BY r),
+     its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)""")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
