@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, decontaminate, licenses, quality, token_store, toxicity, warc
+from firmo.llm import bpe, decontaminate, licenses, near_duplicates, quality, token_store, toxicity, warc
 from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,28 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query("op1_ngram_jaccard_join", f"""
+WITH RECURSIVE
+  d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+  g AS (SELECT DISTINCT r, array_to_string(w[k:k + 4], ' ') AS s
+        FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+  n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+  p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r),
+  l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+  reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+  c AS (SELECT a, min(doc_id) AS class_id FROM reach JOIN d ON d.r = b GROUP BY a),
+  k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links,
+       CASE WHEN len(w) > 0 THEN min(d.doc_id) OVER (PARTITION BY w) ELSE d.doc_id END AS copy_id,
+       CASE WHEN len(w) > 0 THEN count(*) OVER (PARTITION BY w) ELSE 1 END AS n_copies
+FROM d JOIN c ON c.a = d.r LEFT JOIN k ON k.a = d.r""")
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.query(_read(spark, sf_dir, "documents"))
+
+
 @_query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -67,9 +89,6 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.query(_read(spark, sf_dir, "documents"))
 
 
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
-
 @_query("op10_decontaminate", f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
      i AS (SELECT DISTINCT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
