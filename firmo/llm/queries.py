@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, decontaminate, licenses, near_duplicates, quality, token_store, toxicity, warc
+from firmo.llm import bpe, decontaminate, knn, licenses, near_duplicates, quality, token_store, toxicity, warc
 from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,17 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+@_query("op4_voronoi_knn", """
+WITH e AS (SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+     s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+           FROM e q JOIN e d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""")
+def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.query(_read(spark, sf_dir, "embeddings"))
+
+
 @_query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
