@@ -62,6 +62,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer, so that every bit of the result depends on every bit of h."""
     h = h ^ (h >> np.uint64(30))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from firmo.llm.common import Words, blocks, column, find_sorted, pick, utf8
+from firmo.llm.common import Words, blocks, column, find_sorted, free_name, pick, utf8
 
 SHARD_WORDS = 200_000
 
@@ -176,25 +176,25 @@ def _shards(benchmark: DataFrame, limit: int) -> list[list[tuple[str, bytes]]]:
     return out
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The documents' columns and ``words``, ``hit`` (word indexes, as pairs of
-    first and end of merged spans) and ``items`` (sorted ids of occurring items).
-    No shuffle."""
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, str, str, str]:
+    """The documents' columns and three more, whose names come with them: the
+    word spans hit (first and end of each, merged, in one array), the sorted ids
+    of occurring items, and the number of words.  No shuffle."""
     spark = docs.sparkSession
-    kinds = docs.dtypes
-    out = docs.withColumns({"_spans": F.expr("cast(array() as array<bigint>)"), "_items": F.expr("cast(array() as array<string>)"), "_words": F.lit(0).cast("long")})
-    schema = ", ".join(f"`{c}` {t}" for c, t in kinds) + ", _spans array<bigint>, _items array<string>, _words long"
+    names = [free_name(docs, n) for n in ("hit_spans", "hit_items", "word_count")]
+    kinds = ["array<bigint>", "array<string>", "bigint"]
+    out = docs.withColumns({n: F.expr(f"cast({'0' if n == names[2] else 'array()'} as {k})") for n, k in zip(names, kinds, strict=True)})
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*docs.dtypes, *zip(names, kinds, strict=True)])
     for shard in _shards(benchmark, shard_words):
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(build(shard, window))), schema)
-    return out
+        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(build(shard, window)), *names), schema)
+    return out, *names
 
 
-def _marker(shared):
+def _marker(shared, spans_name: str, items_name: str, words_name: str):
     def run(batches):
         auto = shared.value
         for b in blocks(batches, "text"):
             w = Words(utf8(column(b, "text")))
-            counts = w.counts
             spans: dict[int, list[tuple[int, int]]] = {}
             items: dict[int, set[str]] = {}
             if auto is not None and len(w.starts):
@@ -203,16 +203,14 @@ def _marker(shared):
                     d = int(doc[start])
                     spans.setdefault(d, []).append((start - int(w.first[d]), start - int(w.first[d]) + k))
                     items.setdefault(d, set()).update(auto.items[i] for i in found)
-            old_spans, old_items = column(b, "_spans"), column(b, "_items")
+            new = {words_name: pa.array(w.counts.astype(np.int64))}
             if spans:
-                s, t = old_spans.to_pylist(), old_items.to_pylist()
+                s, t = column(b, spans_name).to_pylist(), column(b, items_name).to_pylist()
                 for d, got in spans.items():
                     s[d] = _merge(got + list(zip(s[d][::2], s[d][1::2], strict=True)))
                     t[d] = sorted(items[d].union(t[d]))
-                old_spans, old_items = pa.array(s, pa.list_(pa.int64())), pa.array(t, pa.list_(pa.string()))
-            keep = [c for c in b.schema.names if c not in ("_spans", "_items", "_words")]
-            yield pa.RecordBatch.from_arrays([column(b, c) for c in keep] + [old_spans, old_items, pa.array(counts.astype(np.int64))],
-                                             names=[*keep, "_spans", "_items", "_words"])
+                new |= {spans_name: pa.array(s, pa.list_(pa.int64())), items_name: pa.array(t, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
     return run
 
 
@@ -226,29 +224,36 @@ def _merge(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _hit_words():
-    return F.expr("aggregate(transform(sequence(0, size(_spans) div 2), i -> coalesce(get(_spans, 2 * i + 1) - get(_spans, 2 * i), 0L)), 0L, (a, x) -> a + x)")
+def _hit_words(spans: str):
+    """Words in the merged spans: the sum of the ends less that of the starts."""
+    pair = F.transform(F.col(spans), lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    return F.aggregate(pair, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _contaminated(hit, words, share: int = 20):
+    """Some word is hit, and at least one in ``share``."""
+    return (hit > 0) & (share * hit >= words)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Contaminated: some word is hit, and at least a twentieth of all words."""
-    got = mark(pick(docs, "doc_id", "text"), benchmark).withColumn("n_hit", _hit_words())
-    return got.select("doc_id", F.col("_words").alias("n_words"), "n_hit", F.size("_items").cast("long").alias("n_items"),
-                      F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
-                      ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("_words"))).alias("contaminated"))
+    got, spans, items, words = mark(pick(docs, "doc_id", "text"), benchmark)
+    got = got.withColumn("n_hit", _hit_words(spans))
+    return got.select("doc_id", F.col(words).alias("n_words"), "n_hit", F.size(items).cast("long").alias("n_items"),
+                      F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+                      _contaminated(F.col("n_hit"), F.col(words)).alias("contaminated"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """Drop documents of which at least one word in ``share`` is hit; cut the hit
     spans out of the others.  Same columns; n_chars, where there is one, follows
     the new text."""
-    got = mark(docs, benchmark, window).withColumn("_hit", _hit_words())
-    kept = got.where(~((F.col("_hit") > 0) & (share * F.col("_hit") >= F.col("_words"))))
+    got, spans_name, _, words = mark(docs, benchmark, window)
+    kept = got.where(~_contaminated(_hit_words(spans_name), F.col(words), share))
     types = dict(docs.dtypes)
 
     def run(batches):
         for b in blocks(batches, "text"):
-            spans = column(b, "_spans").to_pylist()
+            spans = column(b, spans_name).to_pylist()
             texts = column(b, "text")
             if any(spans):
                 raw = utf8(texts)

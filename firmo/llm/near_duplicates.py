@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from firmo.llm.common import Words, blocks, column, mix, pick, utf8, written
+from firmo.llm.common import Words, blocks, column, free_name, mix, pick, utf8, written
 
 HASHES = 64
 BANDS, ROWS = 14, 3
@@ -356,7 +356,8 @@ def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     if twice.isEmpty():
         return kept
     w = Window.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("text")
-    one = kept.join(twice, "doc_id", "left_semi").withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    rank = free_name(kept, "rank")
+    one = kept.join(twice, "doc_id", "left_semi").withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
     return kept.join(twice, "doc_id", "left_anti").select(*kept.columns).unionByName(one.select(*kept.columns))
 
 

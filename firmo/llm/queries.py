@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, decontaminate, knn, licenses, near_duplicates, quality, token_store, toxicity, warc
+from firmo.llm import bpe, decontaminate, knn, licenses, near_duplicates, pii, quality, token_store, toxicity, warc
 from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(_read(spark, sf_dir, "documents"))
+
+
 @_query("op8_token_store")
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.query(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)

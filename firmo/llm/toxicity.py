@@ -186,6 +186,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return need.mapInArrow(run, schema)
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows whose score stays below the threshold; same columns.  No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in blocks(batches, "text"):
+            z, owner, _ = _sentence_scores(Words(utf8(column(b, "text"))), shared.value)
+            lam = np.bincount(owner, weights=_softplus(z), minlength=b.num_rows)
+            yield b.filter(pa.array(-np.expm1(-lam) < threshold))
+
+    return docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+
+
 def locate(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """The offending sentences: (id, byte_start, byte_end, sentence, score), one
