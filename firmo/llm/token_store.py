@@ -23,6 +23,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,9 @@ class Wavelet:
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> Wavelet:
         x = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        one = x.dtype.type(1)
         planes, zeros = [], []
         for level in range(bits - 1, -1, -1):
-            bit = ((x >> x.dtype.type(level)) & one).astype(bool)
+            bit = (x & x.dtype.type(1 << level)) != 0
             planes.append(np.packbits(bit))
             up, down = np.flatnonzero(bit), np.flatnonzero(~bit)
             zeros.append(len(down))
@@ -146,12 +146,14 @@ def byte_letters() -> dict[int, str]:
 
 class Encoder:
     """ids of texts as the tokenizers library gives them.  The library cuts texts
-    at white space; chunks between ASCII white space are encoded by it once and
-    remembered in a bounded table.  A chunk of Latin letters with closing
-    punctuation goes to the library's model directly, others through its whole
-    chain."""
+    at white space and lower-cases them; chunks between ASCII white space are
+    encoded by it once and remembered in a bounded table.  A chunk of Latin
+    letters with closing punctuation goes to the library's model directly, others
+    through its whole chain."""
 
     SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,;:!?]*)")
+    LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+    CLOSING = frozenset(b".,;:!?")
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -164,43 +166,51 @@ class Encoder:
         self.map = byte_letters()
         self.chunks: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
 
-    def _core(self, s: str) -> bytes:
-        if not s:
-            return b""
-        got = self.cores.get(s)
+    def _model(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _part(self, c: bytes) -> bytes:
+        """Ids of lower-case ASCII letters, or of closing punctuation."""
+        got = self.chunks.get(c)
         if got is None:
-            if len(self.cores) > REMEMBER:
-                self.cores.clear()
-            mapped = s if s.isascii() else s.encode().decode("latin-1").translate(self.map)
-            got = self.cores[s] = np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+            got = self.chunks[c] = self.older.get(c) or self._model(c.decode())
         return got
 
     def learn(self, chunks: set[bytes]) -> None:
+        """Put the ids of these chunks into the table, which has two generations,
+        so that it stays bounded and frequent chunks stay in it."""
         new = chunks.difference(self.chunks)
         if len(self.chunks) + len(new) > REMEMBER:
             self.older, self.chunks = self.chunks, {}
             new = chunks
         have = {c: self.older[c] for c in new if c in self.older}
-        self.chunks.update(have)
+        table, part, closing = self.chunks, self._part, self.CLOSING
+        table.update(have)
         odd = []
         for c in new.difference(have):
-            s = c.decode()
-            m = self.SIMPLE.fullmatch(s)
-            if m:
-                self.chunks[c] = self._core(m[1].lower()) + self._core(m[2])
+            if c.isalpha() and c.islower():
+                part(c)
+            elif c[-1] in closing and c[:-1].isalpha() and c[:-1].islower():
+                table[c] = part(c[:-1]) + part(c[-1:])
             else:
-                odd.append((c, s))
+                s = c.decode()
+                m = self.SIMPLE.fullmatch(s)
+                if m:
+                    word = m[1].lower().encode().decode("latin-1").translate(self.map)
+                    table[c] = (self._model(word) if word else b"") + (part(m[2].encode()) if m[2] else b"")
+                else:
+                    odd.append((c, s))
         for at in range(0, len(odd), 4096):
-            part = odd[at:at + 4096]
-            got = self.whole.encode_batch_fast([s for _, s in part], add_special_tokens=False)
-            for (c, _), e in zip(part, got, strict=True):
-                self.chunks[c] = np.array(e.ids, dtype="<u4").tobytes()
+            some = odd[at:at + 4096]
+            got = self.whole.encode_batch_fast([s for _, s in some], add_special_tokens=False)
+            for (c, _), e in zip(some, got, strict=True):
+                table[c] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        cut = [t.split() for t in texts]
+        # capitals go first where no string of a special token can arise from it
+        cut = [(t if b"<|" in t else t.translate(self.LOWER)).split() for t in texts]
         words: set[bytes] = set()
         for c in cut:
             words.update(c)
