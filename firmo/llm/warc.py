@@ -69,26 +69,29 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return head, body
 
 
-def mark_revisits(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, sha, refers_to: null for the response of each group.
-    The payloads are not shuffled by digest; only (digest, smallest page_id) of
-    groups with several rows meet their rows again, and Spark splits hot digests
-    in that join."""
+def mark_revisits(pages: DataFrame, n: int) -> DataFrame:
+    """page_id, url, html, _sha, _first (the smallest page_id of a group of several
+    rows); rows of one page_id stand together.  Payloads are shuffled once, by
+    page_id; groups are found on digests alone, where Spark splits hot ones."""
     sha = F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
     rows = pick(pages, "page_id", "url", "html").withColumn("_sha", sha)
-    groups = (rows.groupBy("_sha").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ids = rows.select("page_id", "_sha")
+    groups = (ids.groupBy("_sha").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") > 1).select("_sha", "_first"))
-    return rows.join(groups, "_sha", "left")
+    # a page_id is a key: it has one payload, or a few
+    refs = (ids.where("page_id IS NOT NULL").join(groups, "_sha").distinct()
+            .groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("_sha", "_first"))).alias("_refs")))
+    known = (rows.where("page_id IS NOT NULL").repartition(n, "page_id").join(refs, "page_id", "left")
+             .select("page_id", "url", "html", "_sha", F.try_element_at("_refs", "_sha").alias("_first"))
+             .sortWithinPartitions("page_id", "_sha", "url"))
+    alone = rows.where("page_id IS NULL").join(groups, "_sha", "left").select("page_id", "url", "html", "_sha", "_first")
+    return known.unionByName(alone)
 
 
 def write(pages: DataFrame, out: str, archives: int | None = None) -> DataFrame:
     """Write the archives and return one small row for each: uri, size, n_records."""
     spark = pages.sparkSession
-    n = archives or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a page_id is a key; rows without one are dealt by their content
-    alone = F.when(F.col("page_id").isNull(), F.xxhash64("_sha", "url"))
-    marked = (mark_revisits(pages).repartition(n, F.col("page_id"), alone)
-              .sortWithinPartitions("page_id", "_sha", "url"))
+    marked = mark_revisits(pages, archives or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
         at = f"{out}/part-{TaskContext.get().partitionId():07d}.warc.gz"
