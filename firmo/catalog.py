@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from firmo import oracle
+from firmo.functions.numeric import coerce_numeric
 from firmo.functions.text import extract_host
 from firmo.operators import aggregates as AG
 from firmo.operators import clean as CL
@@ -96,15 +97,29 @@ register("search_by_country_industry", oracle.q(
                                                      country="NATION_7"), 1, 25))
 register("paginate", oracle.q(f"SELECT * FROM mart ORDER BY {MART_ORDER_SQL} LIMIT 100 OFFSET 400"))(
     lambda spark, d: TK.paginate(_mart(spark, d), page=5, page_size=100))
+_SEEK = {"company_name": "COMPANY 120", "company_id": ""}
+register("paginate_after", oracle.q(
+    f"SELECT * FROM mart WHERE (company_name, company_id) > ('COMPANY 120', '') ORDER BY {MART_ORDER_SQL} LIMIT 50"))(
+    lambda spark, d: TK.page_after(_mart(spark, d), _SEEK, 50))
+register("search_all_filters", oracle.q(
+    "SELECT * FROM mart WHERE employee_count <= 200000 AND revenue >= 1e5 AND founded_year = 1907 "
+    f"AND source_system LIKE 'kaggle%' ORDER BY {MART_ORDER_SQL} LIMIT 40"))(
+    lambda spark, d: TK.paginate(SV.search_companies(_mart(spark, d), max_employees=200000, min_revenue=1e5, founded_year=1907)
+                                 .filter(F.col("source_system").startswith("kaggle")), 1, 40))
 register("search_name_or_ceo", oracle.q(
     "SELECT * FROM mart WHERE lower(company_name) LIKE '%pany 12%' OR lower(ceo) LIKE '%pany 12%' "
     f"ORDER BY {MART_ORDER_SQL} LIMIT 20"))(
     lambda spark, d: SV.search_name_or_ceo(_mart(spark, d), "pany 12"))
-register("get_company", oracle.q(
-    "SELECT * FROM mart WHERE company_id = (SELECT min(company_id) FROM mart WHERE fortune_rank = 7)"))(
-    lambda spark, d: (lambda m: m.join(m.filter(F.col("fortune_rank") == 7)
-                                       .agg(F.min("company_id").alias("company_id")), "company_id", "left_semi"))(
-        _mart(spark, d)))
+# the id of a company that every run holds: one look-up by key, pushed to the scan
+_POINT_SQL = "md5('COMPANY 1|NATION_0')"
+register("get_company", oracle.q(f"SELECT * FROM mart WHERE company_id = (SELECT min(company_id) FROM mart WHERE company_id >= {_POINT_SQL})"))(
+    lambda spark, d: SV.get_company(_mart(spark, d), _first_id(_mart(spark, d))))
+
+
+def _first_id(mart):
+    """An existing id, as a user would pass it: the first at or after a fixed key."""
+    return mart.filter(F.col("company_id") >= F.md5(F.lit("COMPANY 1|NATION_0"))).agg(F.min("company_id")).first()[0]
+
 
 _FMT_NUM = ("CASE WHEN {x} IS NULL OR isnan({x}) THEN '-' WHEN {x} = floor({x}) "
             "THEN format('{{:,}}', CAST({x} AS BIGINT)) "
@@ -184,6 +199,17 @@ register("employee_buckets", oracle.q(
     "WHEN employee_count >= 200000 THEN '200K+' END AS bucket, count(*) AS count FROM mart "
     "GROUP BY 1) c ON b.bucket = c.bucket ORDER BY b.bucket_order"))(
     lambda spark, d: AG.employee_buckets(spark, _mart(spark, d)))
+register("employee_buckets_null_first", oracle.q(
+    "SELECT o AS bucket_order, b AS bucket, count(m.company_id) AS count FROM (VALUES (0, '0-10K', 0, 1e4), (1, '10K-50K', 1e4, 5e4), "
+    "(2, '50K-100K', 5e4, 1e5), (3, '100K-200K', 1e5, 2e5), (4, '200K+', 2e5, 1e300)) t(o, b, lo, hi) "
+    "LEFT JOIN mart m ON coalesce(m.employee_count, 0) >= lo AND coalesce(m.employee_count, 0) < hi GROUP BY ALL"))(
+    lambda spark, d: AG.employee_buckets(spark, _mart(spark, d), null_bucket=True))
+register("statistics_record", oracle.q(
+    f"SELECT count(*) AS total_companies, round(coalesce(avg(employee_count) FILTER (WHERE employee_count > 0), 0.0), 4) AS avg_employee_count, "
+    f"(SELECT '{{' || string_agg('\"' || k || '\":' || n, ',' ORDER BY n DESC, k) || '}}' FROM (SELECT {_CK} AS k, count(*) AS n FROM mart GROUP BY 1) c WHERE k IS NOT NULL) AS countries, "
+    f"(SELECT '{{' || string_agg('\"' || k || '\":' || n, ',' ORDER BY n DESC, k) || '}}' FROM (SELECT {_IK} AS k, count(*) AS n FROM mart GROUP BY 1) c WHERE k IS NOT NULL) AS industries "
+    "FROM mart"))(
+    lambda spark, d: AG.statistics_record(_mart(spark, d)).select("total_companies", "avg_employee_count", "countries", "industries"))
 register("top_market_cap6", oracle.q(
     "SELECT company_name, ticker, market_cap_updated_m, fortune_rank, domain, revenue, employee_count, "
     f"founded_year FROM mart WHERE market_cap_updated_m > 0 ORDER BY market_cap_updated_m DESC, {MART_ORDER_SQL} LIMIT 6"))(
@@ -243,13 +269,13 @@ register("dedup_dim_primary", oracle.q("SELECT * FROM pbest"))(
     lambda spark, d: LY.primary_best(_layers(spark, d).stg_primary))
 register("dedup_secondary_match", oracle.q("SELECT * FROM smatch"))(
     lambda spark, d: LY.secondary_best_match(_layers(spark, d).stg_secondary))
-register("enrich_left_join", oracle.q("SELECT * FROM enriched_best"))(
+register("enrich_left_join", oracle.q("SELECT b.* FROM both_best b SEMI JOIN pbest USING (company_id)"))(
     lambda spark, d: (lambda L: JN.enrich_left_join(LY.primary_best(L.stg_primary),
                                                     LY.secondary_best_match(L.stg_secondary)))(_layers(spark, d)))
 register("anti_join_unmatched", oracle.q("SELECT * FROM unmatched_best"))(
     lambda spark, d: (lambda L: JN.anti_join_unmatched(LY.secondary_best_alone(L.stg_secondary),
                                                        LY.primary_best(L.stg_primary)))(_layers(spark, d)))
-register("union_sources", oracle.q("SELECT * FROM enriched_best UNION ALL SELECT * FROM unmatched_best"))(
+register("union_sources", oracle.q("SELECT * FROM both_best"))(
     lambda spark, d: (lambda L: SO.union_sources(
         JN.enrich_left_join(LY.primary_best(L.stg_primary), LY.secondary_best_match(L.stg_secondary)),
         JN.anti_join_unmatched(LY.secondary_best_alone(L.stg_secondary), LY.primary_best(L.stg_primary))))(
@@ -308,7 +334,22 @@ _DQ_TESTS = {
         lambda L: DQ.dq_unique(L.mart, "company_id"),
         "SELECT company_id, count(*) AS duplicate_count FROM mart GROUP BY company_id HAVING count(*) > 1"),
 }
-for _name, (_fn, _sql) in _DQ_TESTS.items():
+#: the same checks on staging and raw tables, where the fixtures plant violations
+_DQ_PLANTED = {
+    "dq_stg_company_not_null": (
+        lambda L: DQ.dq_not_null(L.stg_primary, "company").select("rank", "country"),
+        "SELECT rank, country FROM stg_primary WHERE company IS NULL"),
+    "dq_stg_company_country_unique": (
+        lambda L: DQ.dq_unique_combination(L.stg_secondary, ["company_name", "country"]),
+        "SELECT company_name, country, count(*) AS duplicate_count FROM stg_secondary GROUP BY ALL HAVING count(*) > 1"),
+    "dq_raw_fct_rank_range": (
+        lambda L: DQ.dq_range(L.raw_fct, "fortune_rank", 1, 1000).select("company_id", "fortune_rank"),
+        "SELECT company_id, fortune_rank FROM raw_fct WHERE NOT fortune_rank BETWEEN 1 AND 1000"),
+    "dq_raw_dim_founded_range": (
+        lambda L: DQ.dq_range(L.raw_dim, "founded_year", 1800, 2030).select("company_id", "founded_year"),
+        "SELECT company_id, founded_year FROM raw_dim WHERE NOT founded_year BETWEEN 1800 AND 2030"),
+}
+for _name, (_fn, _sql) in (_DQ_TESTS | _DQ_PLANTED).items():
     register(_name, oracle.q(_sql))(lambda spark, d, _fn=_fn: _fn(_tables(spark, d)))
 
 # ---------------------------------------------------------------- 2.9 quality: expectation suites
@@ -334,7 +375,7 @@ for _name, (_suite, _frame, _tbl, _cols) in _SUITES.items():
         lambda spark, d, _suite=_suite, _frame=_frame: DQ.validate(spark, _frame(_tables(spark, d)), _suite()))
 
 register("dataset_limits", oracle.q(
-    "SELECT 32 AS n_columns, TRUE AS header_ok, least(count(*), 100001) AS n_rows_capped, "
+    "SELECT 32 AS n_columns, TRUE AS header_ok, count(*) AS n_rows, "
     "(count(*) >= 1 AND count(*) <= 100000) AS success FROM stg_primary"))(
     lambda spark, d: DQ.dataset_limits(_layers(spark, d).stg_primary))
 
@@ -472,6 +513,162 @@ def _box_by_long(prof):
     return SO.union_sources(*parts)
 
 
+_BOX_BY_LONG_SQL = "(" + " UNION ALL ".join(
+    f"SELECT '{cat}' AS category_column, {cat} AS category, '{met}' AS column_name, CAST({met} AS DOUBLE) AS value "
+    f"FROM prof WHERE {cat} IS NOT NULL AND {met} IS NOT NULL" + (f" AND {met} > 0" if met == "marketcap_updated_m" else "")
+    for cat, met in BOX_BY) + ")"
+_G3 = "category_column, category, column_name"
+register("box_stats_by_category", _pq(
+    _BOX_SELECT.format(g=_G3),
+    f", lf AS {_BOX_BY_LONG_SQL}, bnd AS (SELECT {_G3}, round(quantile_cont(value, 0.25), 10) AS q1, "
+    f"round(quantile_cont(value, 0.5), 10) AS median, round(quantile_cont(value, 0.75), 10) AS q3 "
+    f"FROM lf GROUP BY {_G3}), "
+    f"b AS (SELECT {_G3}, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
+    lambda spark, d: PF.box_stats(_box_by_long(_prof(spark, d)), ["category_column", "category", "column_name"]))
+register("sector_box_top8", _pq(
+    _BOX_SELECT.format(g="sector, column_name"),
+    ", top8 AS (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 8), "
+    "lf AS (" + " UNION ALL ".join(
+        f"SELECT sector, '{m}' AS column_name, CAST({m} AS DOUBLE) AS value FROM prof WHERE sector IN (SELECT sector FROM top8) "
+        f"AND {m} IS NOT NULL" + (f" AND {m} > 0" if m == "marketcap_updated_m" else "")
+        for m in ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"]) + "), "
+    "bnd AS (SELECT sector, column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
+    "round(quantile_cont(value, 0.5), 10) AS median, "
+    "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY sector, column_name), "
+    "b AS (SELECT sector, column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
+    "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
+    lambda spark, d: PF.box_stats(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8),
+                                               ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"],
+                                               _mcap_pos(), ids=["sector"]), ["sector", "column_name"]))
+register("top_group_filter", _pq(
+    "SELECT * FROM prof WHERE sector IN (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector "
+    "ORDER BY count(*) DESC, sector LIMIT 8)"))(
+    lambda spark, d: JN.top_group_filter(_prof(spark, d), "sector", 8))
+register("histogram50", _pq(
+    "SELECT g.column_name, CAST(g.bin AS INTEGER) AS bin, lo + g.bin * ((hi - lo) / 50) AS bin_low, "
+    "lo + (g.bin + 1) * ((hi - lo) / 50) AS bin_high, CAST(coalesce(c.count, 0) AS BIGINT) AS count "
+    "FROM (SELECT column_name, lo, hi, unnest(range(50)) AS bin FROM st) g LEFT JOIN "
+    "(SELECT column_name, CAST(least(greatest(floor((value - lo) * 50 / (hi - lo)), 0), 49) AS INTEGER) AS bin, "
+    "count(*) AS count FROM lf JOIN st USING (column_name) GROUP BY ALL) c USING (column_name, bin)",
+    f", lf AS {_long_sql(DIST_METRICS, _MCAP_SQL)}, "
+    "st AS (SELECT column_name, CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo, "
+    "CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi FROM lf GROUP BY column_name)"))(
+    lambda spark, d: PF.histogram(PF.long_form(_prof(spark, d), DIST_METRICS, _mcap_pos()), 50))
+_PAIRS = [("revenues_m", "profits_m", False), ("revenues_m", "marketcap_updated_m", True),
+             ("revenues_m", "number_of_employees", False), ("assets_m", "marketcap_updated_m", True)]
+SAMPLE_SEED, SAMPLE_N = 42, 200
+
+
+def _prof(spark, d):
+    from firmo.operators.clean import drop_column_fillna
+    return drop_column_fillna(_layers(spark, d).stg_primary, PROFILE_DROP, PROFILE_FILL)
+
+
+def _mcap_pos():
+    return {"marketcap_updated_m": F.col("marketcap_updated_m") > 0}
+
+
+_PROF_SQL = ("prof AS (SELECT * EXCLUDE (newcomer_to_the_fortune500) REPLACE ("
+             "coalesce(ticker, 'Unknown') AS ticker, coalesce(marketcap_march28_m, 0) AS marketcap_march28_m, "
+             "coalesce(profitspercentchange, 0) AS profitspercentchange, "
+             "coalesce(revenuepercentchange, 0) AS revenuepercentchange, coalesce(profits_m, 0) AS profits_m, "
+             "coalesce(marketcap_updated_m, 0) AS marketcap_updated_m) FROM stg_primary)")
+
+
+def _pq(select: str, extra: str = "") -> str:
+    return oracle.CTES + f",\n{_PROF_SQL}{extra}\n{select}"
+
+
+def _long_sql(cols, filters=None, ids=""):
+    filters = filters or {}
+    parts = []
+    for c in cols:
+        cond = f"{c} IS NOT NULL" + (f" AND {filters[c]}" if c in filters else "")
+        parts.append(f"SELECT {ids}'{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM prof WHERE {cond}")
+    return "(" + " UNION ALL ".join(parts) + ")"
+
+
+_MCAP_SQL = {"marketcap_updated_m": "marketcap_updated_m > 0"}
+
+register("profile_frame", _pq("SELECT * FROM prof"))(lambda spark, d: _prof(spark, d))
+register("missing_summary", _pq(" UNION ALL ".join(
+    f"SELECT '{f.name}' AS column_name, count(*) FILTER (WHERE {f.name} IS NULL) AS null_count, "
+    f"round(count(*) FILTER (WHERE {f.name} IS NULL) * 100.0 / count(*), 4) AS null_pct FROM stg_primary"
+    for f in STG_PRIMARY.fields)))(
+    lambda spark, d: PF.missing_summary(_layers(spark, d).stg_primary))
+register("describe_numeric", _pq(
+    "SELECT column_name, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, "
+    "min(value) AS min, round(quantile_cont(value, 0.25), 10) AS q25, round(quantile_cont(value, 0.5), 10) AS q50, "
+    f"round(quantile_cont(value, 0.75), 10) AS q75, max(value) AS max FROM {_long_sql(NUMERIC)} l GROUP BY column_name"))(
+    lambda spark, d: PF.describe_numeric(_prof(spark, d), NUMERIC))
+_POS = ["revenues_m", "profits_m", "assets_m", "marketcap_updated_m"]
+register("summary_metrics", _pq(
+    "SELECT column_name, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 10) AS median, "
+    "round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max FROM "
+    f"{_long_sql(_POS + ['number_of_employees'], {c: f'{c} > 0' for c in _POS})} l GROUP BY column_name"))(
+    lambda spark, d: PF.summary_metrics(_prof(spark, d), _POS, ["number_of_employees"]))
+register("nunique_counts", _pq(
+    "SELECT count(*) AS total, count(DISTINCT sector) AS nunique_sector, count(DISTINCT industry) AS nunique_industry "
+    "FROM prof"))(
+    lambda spark, d: PF.nunique_counts(_prof(spark, d), ["sector", "industry"]))
+register("value_counts", _pq(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM prof "
+    f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in CATEGORICAL)))(
+    lambda spark, d: PF.value_counts(_prof(spark, d), CATEGORICAL))
+register("flag_share", _pq(" UNION ALL ".join(
+    f"SELECT '{c}' AS flag, count(*) FILTER (WHERE upper(trim({c})) = 'YES') AS yes_count, "
+    f"round(count(*) FILTER (WHERE upper(trim({c})) = 'YES') * 100.0 / count(*), 4) AS yes_pct FROM prof"
+    for c in FLAGS)))(
+    lambda spark, d: PF.flag_share(_prof(spark, d), FLAGS))
+register("sector_avg_top10", _pq(
+    "SELECT metric, CAST(pos AS INTEGER) AS pos, sector, round(value, 4) AS value FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, sector ASC) AS pos FROM ("
+    "UNPIVOT (SELECT sector, avg(revenues_m) AS avg_revenue, avg(profits_m) AS avg_profit, "
+    "avg(CASE WHEN marketcap_updated_m > 0 THEN marketcap_updated_m END) AS avg_market_cap, "
+    "CAST(count(*) AS DOUBLE) AS company_count FROM prof WHERE sector IS NOT NULL GROUP BY sector) "
+    "ON avg_revenue, avg_profit, avg_market_cap, company_count INTO NAME metric VALUE value) u "
+    "WHERE value IS NOT NULL) r WHERE pos <= 10"))(
+    lambda spark, d: PF.group_avg_topk(_prof(spark, d), "sector", {
+        "avg_revenue": F.col("revenues_m"), "avg_profit": F.col("profits_m"),
+        "avg_market_cap": F.when(F.col("marketcap_updated_m") > 0, F.col("marketcap_updated_m"))}, 10))
+
+_BOUNDS_SQL = (", bnd AS (SELECT column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
+               "round(quantile_cont(value, 0.5), 10) AS median, "
+               "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY column_name), "
+               "b AS (SELECT column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
+               "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)")
+register("iqr_outliers", _pq(
+    "SELECT b.column_name, q1, q3, lower_bound, upper_bound, "
+    "CAST(count(*) FILTER (WHERE value < lower_bound OR value > upper_bound) AS BIGINT) AS outlier_count, "
+    "round(count(*) FILTER (WHERE value < lower_bound OR value > upper_bound) * 100.0 / (SELECT count(*) FROM prof), 4) "
+    "AS outlier_pct FROM b JOIN lf USING (column_name) GROUP BY ALL",
+    f", lf AS {_long_sql(KEY_NUMERIC)}" + _BOUNDS_SQL))(
+    lambda spark, d: PF.iqr_outliers(_prof(spark, d), KEY_NUMERIC))
+register("iqr_outlier_rows", _pq(
+    "SELECT rank, column_name, value FROM lf JOIN b USING (column_name) WHERE value < lower_bound OR value > upper_bound",
+    f", lf AS {_long_sql(KEY_NUMERIC, ids='rank, ')}" + _BOUNDS_SQL))(
+    lambda spark, d: PF.iqr_outlier_rows(_prof(spark, d), KEY_NUMERIC, "rank"))
+_BOX_SELECT = ("SELECT {g}, CAST(count(*) AS BIGINT) AS n, q1, median, q3, "
+               "min(value) FILTER (WHERE value >= lower_bound AND value <= upper_bound) AS whisker_low, "
+               "max(value) FILTER (WHERE value >= lower_bound AND value <= upper_bound) AS whisker_high, "
+               "CAST(count(*) FILTER (WHERE NOT (value >= lower_bound AND value <= upper_bound)) AS BIGINT) AS outlier_count "
+               "FROM lf JOIN b USING ({g}) GROUP BY {g}, q1, median, q3")
+register("box_stats", _pq(_BOX_SELECT.format(g="column_name"),
+                          f", lf AS {_long_sql(DIST_METRICS, _MCAP_SQL)}" + _BOUNDS_SQL))(
+    lambda spark, d: PF.box_stats(PF.long_form(_prof(spark, d), DIST_METRICS, _mcap_pos()), ["column_name"]))
+
+
+def _box_by_long(prof):
+    parts = []
+    for cat, met in BOX_BY:
+        cond = F.col(cat).isNotNull() & F.col(met).isNotNull()
+        if met == "marketcap_updated_m":
+            cond = cond & (F.col(met) > 0)
+        parts.append(prof.filter(cond).select(F.lit(cat).alias("category_column"), F.col(cat).alias("category"),
+                                              F.lit(met).alias("column_name"), F.col(met).cast("double").alias("value")))
+    return SO.union_sources(*parts)
+
+
 _BOX_BY_LONG_SQL = "(" + " UNION ALL ".join(
     f"SELECT '{cat}' AS category_column, {cat} AS category, '{met}' AS column_name, CAST({met} AS DOUBLE) AS value "
     f"FROM prof WHERE {cat} IS NOT NULL AND {met} IS NOT NULL" + (f" AND {met} > 0" if met == "marketcap_updated_m" else "")
@@ -576,9 +773,11 @@ def _land_secondary_csv(spark, d) -> str:
     return root
 
 
+# the load trims fields
+_CSV_SECONDARY = "(SELECT * REPLACE (trim(company_name) AS company_name) FROM stg_secondary)"
 _DATED = r".*/\d{4}-\d{2}-\d{2}/[^/]*\.csv$"
 
-register("scan_csv_by_name", oracle.q("SELECT * FROM stg_secondary"))(
+register("scan_csv_by_name", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
     lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[0])
 def _scan_pattern(spark, d):
     root = _land_secondary_csv(spark, d)
@@ -587,7 +786,7 @@ def _scan_pattern(spark, d):
     return FI.scan_csv_by_name(spark, root, STG_SECONDARY, _DATED)[0]
 
 
-register("scan_pattern", oracle.q("SELECT * FROM stg_secondary"))(_scan_pattern)
+register("scan_pattern", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(_scan_pattern)
 register("scan_skip_bad", oracle.q("SELECT *, CAST(NULL AS VARCHAR) AS source_file FROM stg_secondary WHERE FALSE"))(
     lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[1])
 register("load_audit", oracle.q(
@@ -603,13 +802,19 @@ def _land_partitioned(spark, d):
     sec = _layers(spark, d).stg_secondary
     SK.land_partitioned(sec.filter(_even_year()), root, "global", _dt.date(2024, 3, 5))
     SK.land_partitioned(sec.filter(~_even_year()), root, "global", _dt.date(2024, 3, 6))
-    out = SK.read_landed(spark, root, "global", _DAY_B)
+    return root
+
+
+def _landed(spark, root, day=None):
+    out = SK.read_landed(spark, root, "global", day)
     return out.select(*STG_SECONDARY.fieldNames(), "source", F.col("load_date").cast("string").alias("load_date"))
 
 
-register("land_partitioned", oracle.q(
-    f"SELECT *, 'global' AS source, '{_DAY_B}' AS load_date FROM stg_secondary "
-    "WHERE NOT coalesce(founded_year % 2 = 0, false)"))(_land_partitioned)
+_LANDED_SQL = (f"SELECT *, 'global' AS source, if(coalesce(founded_year % 2 = 0, false), '{_DAY_A}', '{_DAY_B}') AS load_date "
+               "FROM stg_secondary")
+register("land_partitioned", oracle.q(_LANDED_SQL))(lambda spark, d: _landed(spark, _land_partitioned(spark, d)))
+register("read_landed_day", oracle.q(f"SELECT * FROM ({_LANDED_SQL}) l WHERE load_date = '{_DAY_B}'"))(
+    lambda spark, d: _landed(spark, _land_partitioned(spark, d), _DAY_B))
 register("materialize_layer", oracle.q("SELECT * FROM raw_dim"))(
     lambda spark, d: SK.materialize_layer(spark, _layers(spark, d).raw_dim, "table", "raw_dim_companies",
                                           scratch_path(spark, "layers")))
@@ -667,7 +872,8 @@ def _first_available(spark, d):
     return FI.scan_first_available(spark, [f"{root}/first", f"{root}/second", f"{root}/third"])
 
 
-register("scan_multi_file", oracle.q("SELECT * FROM stg_primary"))(_multi_file)
+register("scan_multi_file", oracle.q("SELECT * REPLACE (if(rank % 2 = 0, NULL, footnote) AS footnote, "
+                                    "if(rank % 2 = 0, NULL, companytype) AS companytype) FROM stg_primary"))(_multi_file)
 register("scan_first_available", oracle.q("SELECT * FROM stg_secondary"))(_first_available)
 
 
@@ -683,7 +889,7 @@ def _stream_landing(spark, d):
     return read_staging(spark, f"{root}/table", STG_SECONDARY)
 
 
-register("stream_landing", oracle.q("SELECT * FROM stg_secondary"))(_stream_landing)
+register("stream_landing", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(_stream_landing)
 
 # ---------------------------------------------------------------- 2.2 ingestion cleaning
 _TS_TEXT = _P.run_ts.isoformat()
@@ -712,7 +918,7 @@ def _clean_sql(src: str) -> str:
     cu = "upper(" + strip.format(x="CAST(country AS VARCHAR)") + ")"
     country = (f"CASE {cu} WHEN 'US' THEN 'USA' WHEN 'UNITED STATES' THEN 'USA' WHEN 'UNITED STATES OF AMERICA' "
                f"THEN 'USA' WHEN 'UK' THEN 'UK' WHEN 'UNITED KINGDOM' THEN 'UK' ELSE {cu} END")
-    num = "TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE)"
+    num = "TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE)"  # staging holds numbers; bad texts are in coerce_numeric
     return (f"SELECT {strip.format(x='CAST(company_name AS VARCHAR)')} AS company_name, {dom} AS domain, industry, "
             f"{country} AS country, {num.format(c='employee_count')} AS employee_count, "
             f"{num.format(c='revenue')} AS revenue, {num.format(c='founded_year')} AS founded_year, "
@@ -748,21 +954,25 @@ def _with_key(df):
 
 
 def _enrichment_source(spark, d):
-    """Cleaned secondary rows, one per normalised name (first by country, domain)."""
+    """What a look-up finds: the ranked list's values, one row per normalised name
+    (first by rank); every fifth has no employees."""
     from firmo.operators.dedup import asc, keep_first
-    s = _with_key(IN.ingest_clean(_norm_secondary(spark, d)))
-    return keep_first(s, ["_key"], [asc("country"), asc("domain"), asc("founded_year")])
+    p = _layers(spark, d).stg_primary.filter(F.trim("company") != "")
+    web = p.select(F.lower(F.trim("company")).alias("_key"), "rank", F.lower("website").alias("domain"), "industry",
+                   F.when(F.col("rank") % 5 != 0, F.col("number_of_employees")).cast("double").alias("employee_count"),
+                   F.col("revenues_m").alias("revenue"), (1900 + F.col("rank") % 100).cast("double").alias("founded_year"))
+    return keep_first(web, ["_key"], [asc("rank")])
 
 
 def _enrich_missing(spark, d):
-    p = _with_key(IN.ingest_clean(_norm_primary(spark, d)))
-    return EN.enrich_missing(p, _enrichment_source(spark, d), "_key", _MISSING, _ENRICH_FIELDS)
+    s = _with_key(IN.ingest_clean(_norm_secondary(spark, d)))
+    return EN.enrich_missing(s, _enrichment_source(spark, d), "_key", _MISSING, _ENRICH_FIELDS)
 
 
-_ENR_SQL = (f"WITH p AS (SELECT *, lower(trim(company_name)) AS _key FROM ({_clean_sql(_NORM_P_SQL)}) c), "
-            f"s AS (SELECT * EXCLUDE (rn) FROM (SELECT *, lower(trim(company_name)) AS _key, row_number() OVER ("
-            "PARTITION BY lower(trim(company_name)) ORDER BY country ASC NULLS LAST, domain ASC NULLS LAST, "
-            f"founded_year ASC NULLS LAST) AS rn FROM ({_clean_sql(_NORM_S_SQL)}) c) x WHERE rn = 1), "
+_ENR_SQL = (f"WITH p AS (SELECT *, lower(trim(company_name)) AS _key FROM ({_clean_sql(_NORM_S_SQL)}) c), "
+            "s AS (SELECT _key, unnest(best) FROM (SELECT lower(trim(company)) AS _key, arg_min({'domain': lower(website), 'industry': industry, "
+            "'employee_count': CAST(if(rank % 5 <> 0, number_of_employees, NULL) AS DOUBLE), 'revenue': revenues_m, "
+            "'founded_year': CAST(1900 + rank % 100 AS DOUBLE)}, rank) AS best FROM stg_primary WHERE trim(company) <> '' GROUP BY 1) b), "
             f"miss AS (SELECT * FROM p WHERE {_MISS_SQL}), "
             "merged AS (SELECT m.* REPLACE (" + ", ".join(
                 f"CASE WHEN m.{c} IS NULL OR CAST(m.{c} AS VARCHAR) IN ('', 'None') THEN s.{c} ELSE m.{c} END AS {c}"
@@ -776,23 +986,26 @@ register("enrich_missing_counts", oracle.q("SELECT * FROM (" + _ENR_SQL + " SELE
     + " FROM p UNION ALL SELECT 'after', " + ", ".join(
     f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) IN ('', 'None'))" for c in _MISSING) + " FROM outp) z"))(
     lambda spark, d: _enrich_missing(spark, d)[1])
-_MERGE_ALL_SQL = ("SELECT * FROM (" + _ENR_SQL.replace("FROM miss m LEFT JOIN s USING (_key)", "FROM p m LEFT JOIN s USING (_key)")
-                  + "SELECT * FROM merged) z")
-register("merge_missing_fields", oracle.q(_MERGE_ALL_SQL))(
-    lambda spark, d: JN.merge_missing_fields(_with_key(IN.ingest_clean(_norm_primary(spark, d))),
-                                             _enrichment_source(spark, d), "_key", _ENRICH_FIELDS))
-register("recombine", oracle.q("SELECT * FROM (" + _ENR_SQL + "SELECT * FROM outp) z"))(
-    lambda spark, d: _enrich_missing(spark, d)[0])
+# the merge with the defaults of a look-up: a blank name is the key, a new time stamp
+_MERGE_SQL = (_ENR_SQL + "SELECT m.* REPLACE (" + ", ".join(
+    f"CASE WHEN m.{c} IS NULL OR CAST(m.{c} AS VARCHAR) IN ('', 'None') THEN s.{c} ELSE m.{c} END AS {c}" for c in _ENRICH_FIELDS)
+    + ", if(m._key LIKE '%7', m._key, m.company_name) AS company_name, coalesce(nullif(m.source_system, ''), 'web_scraper') AS source_system, "
+    f"'{_TS_TEXT}Z' AS last_updated_at) FROM p m LEFT JOIN s USING (_key)")
+register("merge_missing_fields", oracle.q(f"SELECT * FROM ({_MERGE_SQL}) z"))(
+    lambda spark, d: JN.merge_missing_fields(
+        _with_key(IN.ingest_clean(_norm_secondary(spark, d))).withColumn(
+            "company_name", F.when(F.col("_key").endswith("7"), F.lit("")).otherwise(F.col("company_name"))),
+        _enrichment_source(spark, d), "_key", _ENRICH_FIELDS, name_col="company_name", stamp=f"{_TS_TEXT}Z"))
 
 register("batch_ids", oracle.q(
-    "SELECT rank, company, CAST((row_number() OVER (ORDER BY trim(company), rank) - 1) // 100 AS INTEGER) AS batch_num "
+    "SELECT rank, company, CAST((row_number() OVER (ORDER BY trim(company) NULLS FIRST, rank) - 1) // 100 AS BIGINT) AS batch_num "
     "FROM stg_primary"))(
     lambda spark, d: EN.batch_ids(_layers(spark, d).stg_primary.select("rank", "company"),
                                   [F.trim("company").asc(), F.col("rank").asc()], 100))
 
 
 register("page_batches", oracle.q(
-    "SELECT page_id, url, CAST((row_number() OVER (ORDER BY page_id) - 1) // 30 AS INTEGER) AS batch_num FROM pages"))(
+    "SELECT page_id, url, CAST((row_number() OVER (ORDER BY page_id) - 1) // 30 AS BIGINT) AS batch_num FROM pages"))(
     lambda spark, d: EN.batch_ids(table(spark, d, "pages").select("page_id", "url"), [F.col("page_id").asc()], 30))
 
 
@@ -803,8 +1016,10 @@ def _responses(spark, d):
     sec = _layers(spark, d).stg_secondary
     per_name = keep_first(sec, ["company_name"], [asc("country"), asc("domain")]).select("company_name", "founded_year")
     b = EN.batch_ids(per_name, [F.col("company_name").asc()], 100)
-    pair = F.concat(F.lit('"'), F.regexp_replace("company_name", '"', '\\\\"'), F.lit('": '),
-                    F.coalesce(F.col("founded_year").cast("string"), F.lit("null")))
+    year = F.col("founded_year").cast("string")
+    spelt = (F.when(F.col("founded_year") % 3 == 0, F.concat(F.lit('"'), year, F.lit('"')))
+              .when(F.col("founded_year") % 3 == 1, F.concat(year, F.lit(".0"))).otherwise(year))
+    pair = F.concat(F.lit('"'), F.regexp_replace("company_name", '"', '\\\\"'), F.lit('": '), F.coalesce(spelt, F.lit("null")))
     # one group per batch: at most 100 pairs are collected
     g = b.groupBy("batch_num").agg(F.array_sort(F.collect_list(F.struct("company_name", pair.alias("p")))).alias("_ps"))
     g = g.withColumn("_o", F.concat(F.lit("{"), F.array_join(F.transform("_ps", lambda x: x["p"]), ", "), F.lit("}")))
@@ -816,8 +1031,17 @@ def _responses(spark, d):
     return g.select("batch_num", text.alias("response_text"))
 
 
+# number texts as files hold them, good and bad
+_NUMBER_TEXTS = ["12d", "7f", "NaN", "1,234", "", "n/a", "0x10", " 42 ", "-7.25", "1e3", "+.5", "12."]
+_NUMBER_TEXT_SQL = "[" + ", ".join(f"'{x}'" for x in _NUMBER_TEXTS) + "][o_orderkey % 12 + 1]"
+
+
+def _number_text():
+    return F.element_at(F.array(*[F.lit(x) for x in _NUMBER_TEXTS]), (F.col("o_orderkey") % len(_NUMBER_TEXTS) + 1).cast("int"))
+
+
 _PER_NAME_SQL = ("per_name AS (SELECT company_name, founded_year, CAST((row_number() OVER (ORDER BY company_name) - 1) // 100 "
-                 "AS INTEGER) AS batch_num FROM (SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY "
+                 "AS BIGINT) AS batch_num FROM (SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY "
                  "country ASC NULLS LAST, domain ASC NULLS LAST) AS rn FROM stg_secondary) x WHERE rn = 1)")
 register("parse_json_responses", oracle.q(
     f", {_PER_NAME_SQL} SELECT company_name, founded_year, batch_num FROM per_name WHERE batch_num % 7 <> 5"))(
@@ -829,12 +1053,56 @@ register("fill_from_lookup", oracle.q(
     "LEFT JOIN lk ON lower(trim(c.company_name)) = lk.k"))(
     lambda spark, d: JN.fill_from_lookup(IN.ingest_clean(_norm_primary(spark, d)),
                                          EN.parse_json_responses(_responses(spark, d)), seq_col="batch_num"))
-register("extract_infobox", None)(
-    lambda spark, d: EN.extract_infobox(table(spark, d, "pages")))
+register("fill_exact_name", oracle.q(
+    f", {_PER_NAME_SQL}, lk AS (SELECT upper(company_name) AS k, arg_max(founded_year, batch_num) AS v FROM per_name WHERE batch_num % 7 <> 5 "
+    f"AND founded_year IS NOT NULL GROUP BY 1) SELECT c.* REPLACE (coalesce(CAST(lk.v AS DOUBLE), c.founded_year) AS founded_year, '{_TS_TEXT}Z' AS last_updated_at) "
+    f"FROM (SELECT * REPLACE (upper(company_name) AS company_name) FROM ({_clean_sql(_NORM_P_SQL)}) c0) c LEFT JOIN lk ON c.company_name = lk.k"))(
+    lambda spark, d: JN.fill_from_lookup(IN.ingest_clean(_norm_primary(spark, d)).withColumn("company_name", F.upper("company_name")),
+                                         EN.parse_json_responses(_responses(spark, d)).withColumn("company_name", F.upper("company_name")),
+                                         seq_col="batch_num", case_insensitive=False, stamp=f"{_TS_TEXT}Z"))
+register("coerce_numeric", oracle.q(
+    f", t AS (SELECT o_orderkey AS id, {_NUMBER_TEXT_SQL} AS txt FROM orders) SELECT id, txt, "
+    "CASE WHEN txt IN ('12d', '7f', 'NaN', '1,234', '', 'n/a', '0x10') THEN NULL ELSE CAST(trim(txt) AS DOUBLE) END AS number FROM t"))(
+    lambda spark, d: table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), _number_text().alias("txt"))
+    .withColumn("number", coerce_numeric("txt")))
+
+
+def _info_pages(spark, d):
+    """Pages whose info table restates a staging row: links, numeric entities, a
+    nested table, rows without a link after one with, several headquarters rows."""
+    p = _layers(spark, d).stg_primary.filter(F.col("company").isNotNull())
+    r, s = F.col("rank"), lambda x: x.cast("string")
+    row = lambda label, cell: F.concat(F.lit(f"<tr><th scope=row>{label}</th><td>"), cell, F.lit("</td></tr>"))
+    site = F.concat(F.lit("<a href='https://www.Site"), s(r), F.lit(".com/about'>home</a>"))
+    html = F.concat(
+        F.lit("<html><body><table class='plain'><tr><th>Revenue</th><td>1</td></tr></table>"
+              "<table class='vcard infobox'><tbody>"),
+        F.when(r % 4 != 3, row("Website", site)).otherwise(row("Web", F.concat(F.lit("WWW.Bare"), s(r), F.lit(".org")))),
+        F.lit("<tr><th>Key people</th><td><table><tr><td>A</td><td>B</td></tr></table></td></tr>"),
+        F.when(r % 5 == 0, row("Webpage", F.lit("portal"))).otherwise(F.lit("")),
+        row("Industry", F.concat(F.lit("<b> Retail </b>&amp; "), s(r % 7))),
+        row("Founded", F.concat(F.lit("in&nbsp;"), s(1900 + r % 100), F.lit(" by X"))),
+        F.when(r % 6 == 0, row("Foundation", F.lit("unknown"))).otherwise(F.lit("")),
+        row("Number of employees", F.concat(F.lit("about "), F.format_number(r * 1000, 0))),
+        row("Revenue", F.concat(F.lit("US$&#160;"), s(r), F.lit(".5&#xA0;"),
+                                F.when(r % 3 == 0, F.lit("billion")).when(r % 3 == 1, F.lit("mn")).otherwise(F.lit("")))),
+        row("Headquarters", F.when(r % 4 == 0, F.lit("Paris, France")).when(r % 4 == 1, F.lit("Austin, United States")).otherwise(F.lit("Oslo"))),
+        F.when(r % 8 < 2, row("Location", F.lit("London, United Kingdom"))).otherwise(F.lit("")),
+        F.lit("</tbody></table></body></html>"))
+    none = F.lit("<html><p>no table</p></html>")
+    return p.select(r.alias("page_id"), F.when(r % 10 == 9, none).otherwise(html).alias("html"))
+
+
+register("extract_infobox", oracle.q(
+    "SELECT rank AS page_id, if(rank % 4 <> 3, 'site' || rank || '.com', 'www.bare' || rank || '.org') AS domain, "
+    "'Retail& ' || (rank % 7) AS industry, if(rank % 6 = 0, NULL, CAST(1900 + rank % 100 AS BIGINT)) AS founded_year, "
+    "CAST(rank * 1000 AS BIGINT) AS employee_count, (rank + 0.5) * CASE rank % 3 WHEN 0 THEN 1e9 WHEN 1 THEN 1e6 ELSE 1 END AS revenue, "
+    "CASE WHEN rank % 8 < 2 THEN 'UK' WHEN rank % 4 = 0 THEN 'France' WHEN rank % 4 = 1 THEN 'USA' END AS country "
+    "FROM stg_primary WHERE company IS NOT NULL AND rank % 10 <> 9"))(
+    lambda spark, d: EN.extract_infobox(_info_pages(spark, d)))
 
 # ---------------------------------------------------------------- 2.10 edits
 EDIT_COLUMNS = ["company", "ceo", "headquarterscity", "website"]
-ADDED_ROW_BASE = 1_000_000_000
 
 
 def _edits(spark, d):
@@ -845,7 +1113,7 @@ def _edits(spark, d):
            .when(F.col("event_type") == "signup", F.lit("add")).otherwise(F.lit("set")))
     cols = F.array(*[F.lit(c) for c in EDIT_COLUMNS])
     return ev.select(F.col("event_id").alias("seq"), op.alias("op"),
-                     F.when(op == "add", F.lit(ADDED_ROW_BASE) + F.col("event_id"))
+                     F.when(op == "add", -1 - F.col("event_id"))
                       .otherwise(F.col("user_id") + 1).cast("long").alias("row_id"),
                      F.element_at(cols, (F.col("event_id") % len(EDIT_COLUMNS) + 1).cast("int")).alias("column"),
                      F.concat(F.col("event_type"), F.lit("-"), F.col("event_id").cast("string")).alias("value"))
@@ -860,7 +1128,7 @@ def _edits_sql(max_seq: int | None, tail: str) -> str:
     arr = "[" + ", ".join(f"'{c}'" for c in EDIT_COLUMNS) + "]"
     return oracle.q(
         ", ed AS (SELECT event_id AS seq, CASE WHEN event_type = 'purchase' THEN 'delete' WHEN event_type = 'signup' "
-        f"THEN 'add' ELSE 'set' END AS op, CAST(CASE WHEN event_type = 'signup' THEN {ADDED_ROW_BASE} + event_id "
+        f"THEN 'add' ELSE 'set' END AS op, CAST(CASE WHEN event_type = 'signup' THEN -1 - event_id "
         f"ELSE user_id + 1 END AS BIGINT) AS row_id, ({arr})[event_id % {len(EDIT_COLUMNS)} + 1] AS col, "
         "event_type || '-' || CAST(event_id AS VARCHAR) AS value FROM events), "
         f"e AS (SELECT * FROM ed WHERE TRUE{cond}), "
@@ -882,13 +1150,16 @@ register("edits_as_of", _edits_sql(5000, "SELECT * FROM applied"))(
 register("rows_page", _edits_sql(None, "SELECT * FROM applied ORDER BY row_id LIMIT 10 OFFSET 20"))(
     lambda spark, d: ED.rows_page(ED.apply_edits(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS), 3))
 
+register("rows_after", _edits_sql(None, "SELECT * FROM applied WHERE row_id > 700 ORDER BY row_id LIMIT 10"))(
+    lambda spark, d: ED.rows_after(ED.apply_edits(_edit_base(spark, d), _edits(spark, d), EDIT_COLUMNS), 700))
+
 _VIOLIN = ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"]
 _TOP8_SQL = ("top8 AS (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector "
              "ORDER BY count(*) DESC, sector LIMIT 8)")
 register("kde_by_sector", _pq(
     "SELECT sector, column_name, CAST(i AS INTEGER) AS i, round(g0 + i * step, 6) AS x, "
     "round(sum(exp(-0.5 * pow((g0 + i * step - value) / h, 2))) / (n * h * sqrt(2 * pi())) * n * (mx - mn) / 50, 4) "
-    "AS count_density FROM st JOIN lf USING (sector, column_name), range(200) r(i) "
+    "AS count_density FROM st JOIN lf USING (sector, column_name), range(100) r(i) "
     "GROUP BY sector, column_name, i, g0, step, h, n, mx, mn",
     f", {_TOP8_SQL}, lf AS (" + " UNION ALL ".join(
         f"SELECT sector, '{m}' AS column_name, CAST({m} AS DOUBLE) AS value FROM prof "
@@ -896,9 +1167,9 @@ register("kde_by_sector", _pq(
         + (f" AND {m} > 0" if m == "marketcap_updated_m" else "") for m in _VIOLIN) + "), "
     "st0 AS (SELECT sector, column_name, count(*) AS n, stddev_samp(value) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h, "
     "min(value) AS mn, max(value) AS mx FROM lf GROUP BY sector, column_name), "
-    "st AS (SELECT *, mn - 3.0 * h AS g0, (mx - mn + 2 * 3.0 * h) / 199 AS step FROM st0 WHERE h > 0)"))(
+    "st AS (SELECT *, mn - 2.0 * h AS g0, (mx - mn + 2 * 2.0 * h) / 99 AS step FROM st0 WHERE h > 0)"))(
     lambda spark, d: PF.kde_grid(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8), _VIOLIN,
-                                              _mcap_pos(), ids=["sector"]), ["sector", "column_name"]))
+                                              _mcap_pos(), ids=["sector"]), ["sector", "column_name"], points=100, cut=2.0))
 
 
 def _quality_report(spark, d):

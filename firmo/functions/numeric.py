@@ -10,8 +10,11 @@ def _c(x) -> Column:
 
 
 def coerce_numeric(c, to: str = "double") -> Column:
-    """Text -> number; anything unparsable becomes null (never raises)."""
-    return F.trim(_c(c).cast("string")).try_cast(to)
+    """Text -> number; anything unparsable becomes null (never raises).  Only plain
+    and exponent notation and infinity are numbers: no type suffixes (``12d``), no
+    hexadecimals, and ``NaN`` is a missing value."""
+    x = F.trim(_c(c).cast("string"))
+    return F.when(x.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$") | x.rlike(r"(?i)^[+-]?inf(inity)?$"), x).try_cast(to)
 
 
 def format_number(c) -> Column:

@@ -64,6 +64,20 @@ def industry_distribution(mart: DataFrame) -> DataFrame:
     return count_by(mart.select(_industry_key().alias("industry")), "industry", None)
 
 
+def _as_json(dist: DataFrame, name: str) -> DataFrame:
+    """A (value, count) distribution as one JSON object, by count desc, then value."""
+    rows = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), F.col(name).alias("k"))))
+    return dist.agg(F.to_json(F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"], -x["n"])))).alias(name))
+
+
+def statistics_record(mart: DataFrame) -> DataFrame:
+    """O-AG-05: the one statistics record: scalars and both sorted distributions."""
+    countries = _as_json(country_distribution(mart), "country").withColumnRenamed("country", "countries")
+    industries = _as_json(industry_distribution(mart), "industry").withColumnRenamed("industry", "industries")
+    # three one-row frames side by side
+    return export_statistics(mart).withColumn("_one", F.lit(1)).join(countries.withColumn("_one", F.lit(1)), "_one").join(industries.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def top_industries10(mart: DataFrame) -> DataFrame:
     """O-TK-07: first ten of the sorted industry distribution."""
     return industry_distribution(mart).limit(10)

@@ -83,7 +83,7 @@ def raw_fct_project(stg: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     return (stg.filter(_nonblank("company"))
             .select(metric_key("company", "ticker", "country").alias("company_id"),
                     F.trim(F.upper("company")).alias("company_name"),
-                    F.coalesce("rank", F.lit(0)).cast("int").alias("fortune_rank"),
+                    F.coalesce("rank", F.lit(0)).cast("long").alias("fortune_rank"),
                     F.coalesce("number_of_employees", F.lit(0)).cast("long").alias("employee_count"),
                     (F.coalesce("revenues_m", F.lit(0.0)) * F.lit(1000000)).cast("double").alias("revenue_millions"),
                     z("revenuepercentchange").cast("double").alias("revenue_percent_change"),

@@ -75,6 +75,35 @@ def founder_order() -> list[Column]:
     return [flag(F.col("founder_name").isNotNull()), asc("company_name"), asc("founder_name")]
 
 
+def as_struct(order: list) -> Column:
+    """An order as one comparable value, for ``min_by``: (column, ascending) with
+    nulls last, or a flag.  Times descend by their negated microseconds."""
+    parts = []
+    for o in order:
+        if isinstance(o, tuple):
+            c = F.col(o[0])
+            parts += [c.isNull(), c if o[1] else -F.unix_micros(c.cast("timestamp"))]
+        else:
+            parts.append(o)
+    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
+
+
+def primary_rank() -> Column:
+    return as_struct([*primary_order()[:2], *[(c, True) for c in ("ticker", "sector", "industry", "headquarters_city",
+                                                                  "headquarters_state", "ceo", "website")]])
+
+
+_SECONDARY_TAIL = [("loaded_at", False), ("website", True), ("founded_year", True), ("industry", True), ("source_system", True)]
+
+
+def secondary_match_rank() -> Column:
+    return as_struct([flag(F.col("founded_year").isNotNull()), *_SECONDARY_TAIL])
+
+
+def secondary_alone_rank() -> Column:
+    return as_struct([flag(F.col("founded_year").isNotNull()), source_class(), *_SECONDARY_TAIL])
+
+
 def dedup_primary(df: DataFrame) -> DataFrame:
     return keep_first(df, ["company_name", "country"], primary_order())
 

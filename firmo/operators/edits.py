@@ -43,3 +43,8 @@ def edits_as_of(base: DataFrame, edits: DataFrame, columns: list[str], seq: int,
 def rows_page(df: DataFrame, page: int, size: int = 10, key: str = "row_id") -> DataFrame:
     """O-AN-03: page of ``size`` rows in row order."""
     return df.orderBy(key).offset((page - 1) * size).limit(size)
+
+
+def rows_after(df: DataFrame, last_id: int, size: int = 10, key: str = "row_id") -> DataFrame:
+    """O-AN-03 by key: the ``size`` rows after row ``last_id``; each task keeps one page."""
+    return df.filter(F.col(key) > last_id).orderBy(key).limit(size)

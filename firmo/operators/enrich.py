@@ -3,6 +3,9 @@ that are already landed as tables, and merge what they yield."""
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firmo.functions.numeric import parse_count, parse_revenue_text, parse_year
@@ -17,19 +20,6 @@ HQ_COUNTRIES = ["USA", "United States", "US", "UK", "United Kingdom", "Canada",
                 "Germany", "France", "Japan", "China", "India", "Australia"]
 HQ_COUNTRY_FOLD = {"United States": "USA", "US": "USA", "United Kingdom": "UK"}
 
-# HTML entities decoded in cell text.
-HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-
-
-def _cell_text(c: Column) -> Column:
-    """Text of a cell: tags removed together with the whitespace around them
-    (each text piece stripped, pieces joined), entities decoded."""
-    x = F.regexp_replace(c, r"\s*<[^>]*>\s*", "")
-    for ent, ch in HTML_ENTITIES:
-        x = F.regexp_replace(x, ent, ch)
-    return F.trim(x)
-
-
 def country_from_text(c: Column) -> Column:
     """O-EN-04: first country of the ordered list contained in the text (case-sensitive)."""
     out = None
@@ -39,52 +29,119 @@ def country_from_text(c: Column) -> Column:
     return out
 
 
+class _InfoTable(HTMLParser):
+    """Rows of the first table of class ``infobox``: (label, value, first link) of
+    each row, at any depth of nesting, with its first header and data cell."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.depth = 0                      # open tables, from the info table on
+        self.done = False
+        self.rows: list[dict] = []
+        self.open: list[dict] = []          # open rows, innermost last
+
+    def _close_rows(self):
+        """Rows of the innermost table end with the next row or their table."""
+        while self.open and self.open[-1]["depth"] == self.depth:
+            self.open.pop()
+
+    def handle_starttag(self, tag, attrs):
+        at = dict(attrs)
+        if self.done:
+            return
+        if tag == "table":
+            if self.depth or "infobox" in (at.get("class") or "").split():
+                self.depth += 1
+        elif self.depth and tag == "tr":
+            self._close_rows()
+            self.open.append({"depth": self.depth, "th": None, "td": None, "href": None, "in": None})
+            self.rows.append(self.open[-1])
+        elif self.depth and tag in ("th", "td"):
+            for row in self.open:
+                if row["in"] and row["in"][1] == self.depth:      # cells close one another
+                    row["in"] = None
+                # the first such cell below a row counts for it, its own or a nested one
+                if row[tag] is None and row["in"] is None:
+                    row[tag], row["in"] = [], (tag, self.depth)
+        elif self.depth and tag == "a" and at.get("href"):
+            for row in self.open:
+                if row["in"] and row["in"][0] == "td" and row["href"] is None:
+                    row["href"] = at["href"]
+
+    def handle_endtag(self, tag):
+        if self.done or not self.depth:
+            return
+        if tag in ("th", "td"):
+            for row in self.open:
+                if row["in"] == (tag, self.depth):
+                    row["in"] = None
+        elif tag == "tr":
+            self._close_rows()
+        elif tag == "table":
+            self._close_rows()
+            self.depth -= 1
+            self.done = self.depth == 0
+
+    def handle_data(self, data):
+        text = data.strip()
+        if self.depth and not self.done and text:
+            for row in self.open:
+                if row["in"]:
+                    row[row["in"][0]].append(text)
+
+
 def infobox_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, pos, label, value, href) for each header/data row of a page's first info table."""
-    table = F.regexp_extract(F.col(html), r'(?is)<table[^>]*class="[^"]*\binfobox\b[^"]*"[^>]*>(.*?)</table>', 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
-    r = pages.select(key, F.posexplode(rows).alias("pos", "tr"))
-    th = F.regexp_extract("tr", r"(?is)<th[^>]*>(.*?)</th>", 1)
-    td = F.regexp_extract("tr", r"(?is)<td[^>]*>(.*?)</td>", 1)
-    has = F.regexp_extract("tr", r"(?is)(<th[^>]*>)", 1) != ""
-    hastd = F.regexp_extract("tr", r"(?is)(<td[^>]*>)", 1) != ""
-    return (r.select(key, "pos", F.lower(_cell_text(th)).alias("label"), _cell_text(td).alias("value"),
-                     F.regexp_extract(td, r'(?is)<a[^>]*href="([^"]*)"', 1).alias("href"),
-                     has.alias("_th"), hastd.alias("_td"))
-             .filter("_th"))
+    """(key, pos, label, value, href) for each row of a page's first info table that
+    has a header and a data cell.  Tags nest, which patterns cannot follow, so
+    batches of pages go through the standard library's HTML parser."""
+    kind = dict(pages.dtypes)[key]
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for k, text in zip(b[key], b[html], strict=True):
+                p = _InfoTable()
+                p.feed(text or "")
+                p.close()
+                for pos, r in enumerate(p.rows):
+                    if r["th"] is not None and r["td"] is not None:
+                        out.append((k, pos, "".join(r["th"]).lower(), "".join(r["td"]), r["href"]))
+            yield pd.DataFrame(out, columns=[key, "pos", "label", "value", "href"])
+
+    return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, pos int, label string, value string, href string")
 
 
 def extract_infobox(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """O-EN-01: domain, industry, founded year, employees, revenue and country from a
     page's info table.  A later row of the same field overwrites an earlier one,
-    the country too: within a headquarters/location row the first listed
-    country found is taken, and a later such row that names one wins.
+    but a web row without a link leaves a domain that is already known; of the
+    headquarters and location rows the last that names a listed country wins.
     Rows are grouped per page, so each group is one page's table."""
     r = infobox_rows(pages, key, html)
     lab, val = F.col("label"), F.col("value")
-    cells = r.filter("_td")
-    link_domain = F.lower(F.nullif(F.regexp_extract("href", r"https?://(?:www\.)?([^/]+)", 1), F.lit("")))
-    field = (F.when(lab.contains("website") | lab.contains("web"), F.lit("domain"))
+    link = F.lower(F.nullif(F.regexp_extract("href", r"https?://(?:www\.)?([^/]+)", 1), F.lit("")))
+    field = (F.when(lab.contains("web"), F.lit("domain"))
               .when(lab.contains("industry") | lab.contains("sector"), F.lit("industry"))
               .when(lab.contains("founded") | lab.contains("foundation"), F.lit("founded_year"))
               .when(lab.contains("employees") | lab.contains("workforce"), F.lit("employee_count"))
               .when(lab.contains("revenue"), F.lit("revenue")))
-    tagged = cells.select(key, "pos", field.alias("field"), val.alias("value"), link_domain.alias("link_domain"))
-    f = F.col("field")
-    pick = lambda name, expr: F.max_by(expr, F.when(f == name, F.col("pos")))
-    has_num = F.regexp_extract(F.regexp_replace(F.col("value"), r"[^\d.,]", ""), r"([\d.,]+)", 1) != ""
-    fields = tagged.groupBy(key).agg(
-        pick("domain", F.coalesce("link_domain", F.lower("value"))).alias("domain"),
-        pick("industry", F.col("value")).alias("industry"),
-        pick("founded_year", parse_year(F.col("value"))).alias("founded_year"),
-        F.max_by(parse_count(F.col("value")),
-                 F.when((f == "employee_count") & (parse_count(F.col("value")).isNotNull()), F.col("pos")))
-         .alias("employee_count"),
-        F.max_by(parse_revenue_text(F.col("value")), F.when((f == "revenue") & has_num, F.col("pos"))).alias("revenue"))
-    hq = r.filter(lab.contains("headquarters") | lab.contains("location")).filter("_td") \
-          .select(key, "pos", country_from_text(val).alias("country")).filter(F.col("country").isNotNull())
-    country = hq.groupBy(key).agg(F.max_by("country", "pos").alias("country"))
-    return fields.join(country, key, "full")
+    t = r.select(key, "pos", field.alias("f"), val.alias("value"), link.alias("link"),
+                 F.when(lab.contains("headquarters") | lab.contains("location"), country_from_text(val)).alias("land"))
+    is_ = lambda name: F.col("f") == name
+    last = lambda expr, cond: F.max_by(expr, F.when(cond, F.col("pos")))
+    first = lambda expr, cond: F.min_by(expr, F.when(cond, F.col("pos")))
+    number = F.regexp_extract(F.regexp_replace("value", r"[^\d.,]", ""), r"([\d.,]+)", 1) != ""
+    count = parse_count(F.col("value"))
+    out = t.groupBy(key).agg(
+        # the last link; without any, the first web row's text
+        F.coalesce(last(F.col("link"), is_("domain") & F.col("link").isNotNull()),
+                   first(F.lower("value"), is_("domain") & (F.col("value") != ""))).alias("domain"),
+        last(F.col("value"), is_("industry")).alias("industry"),
+        last(parse_year(F.col("value")).cast("long"), is_("founded_year")).alias("founded_year"),
+        last(count, is_("employee_count") & count.isNotNull()).alias("employee_count"),
+        last(parse_revenue_text(F.col("value")), is_("revenue") & number).alias("revenue"),
+        last(F.col("land"), F.col("land").isNotNull()).alias("country"))
+    return out.filter(F.coalesce(*[F.col(c).cast("string") for c in out.columns if c != key]).isNotNull())
 
 
 def parse_json_responses(responses: DataFrame, batch_col: str = "batch_num",
@@ -96,10 +153,12 @@ def parse_json_responses(responses: DataFrame, batch_col: str = "batch_num",
     body = (F.when(t.contains("```json"), F.trim(F.split(F.split(t, "```json", 2).getItem(1), "```", 2).getItem(0)))
              .when(t.contains("```"), F.trim(F.split(t, "```", 3).getItem(1)))
              .otherwise(t))
-    parsed = F.from_json(body, "map<string,int>")
+    # years come as numbers, decimals or strings; one odd value must not lose the batch
+    parsed = F.from_json(body, "map<string,string>")
     pairs = (responses.select(batch_col, parsed.alias("_m"))
              .filter(F.col("_m").isNotNull())
-             .select(batch_col, F.explode("_m").alias("company_name", "founded_year")))
+             .select(batch_col, F.explode("_m").alias("company_name", "_y"))
+             .withColumn("founded_year", F.col("_y").try_cast("double").try_cast("int")))
     return pairs.groupBy("company_name").agg(F.max_by("founded_year", batch_col).alias("founded_year"),
                                             F.max(batch_col).alias(batch_col))
 

@@ -48,26 +48,31 @@ def mart_join(bronze_dim: DataFrame, fct_latest: DataFrame) -> DataFrame:
 
 def fill_from_lookup(df: DataFrame, lookup: DataFrame, name_col: str = "company_name",
                      value_col: str = "founded_year", seq_col: str = "seq",
-                     case_insensitive: bool = True) -> DataFrame:
+                     case_insensitive: bool = True, stamp: str | None = None) -> DataFrame:
     """O-JN-04: fill a column from a (name -> value) table; later lookup rows win.
 
     The lookup is first reduced to one row per normalised name (max_by on the
     sequence, a partial aggregate), then hash-joined; a non-null lookup value
-    replaces the current one."""
+    replaces the current one.  Names match without case and outer blanks, or
+    exactly.  ``stamp``: the new ``last_updated_at`` of all rows, as after any fill."""
     norm = (lambda c: F.lower(F.trim(c))) if case_insensitive else (lambda c: c)
     best = (lookup.filter(F.col(value_col).isNotNull())
             .groupBy(norm(F.col(name_col)).alias("_k"))
             .agg(F.max_by(F.col(value_col), F.col(seq_col)).alias("_v")))
     j = df.join(best, norm(F.col(name_col)) == F.col("_k"), "left")
-    return (j.withColumn(value_col, F.coalesce(F.col("_v").cast(df.schema[value_col].dataType), F.col(value_col)))
-             .drop("_k", "_v"))
+    out = (j.withColumn(value_col, F.coalesce(F.col("_v").cast(df.schema[value_col].dataType), F.col(value_col)))
+            .drop("_k", "_v"))
+    return out if stamp is None else out.withColumn("last_updated_at", F.lit(stamp))
 
 
 def merge_missing_fields(df: DataFrame, enrichment: DataFrame, key: str, fields: list[str],
-                         default_source: str = "web_scraper") -> DataFrame:
+                         default_source: str = "web_scraper", name_col: str | None = None,
+                         stamp: str | None = None) -> DataFrame:
     """O-JN-05: keep each existing non-blank value, else take the enrichment's.
 
-    ``enrichment`` must hold at most one row per ``key``."""
+    ``enrichment`` must hold at most one row per ``key``.  ``name_col``: a blank
+    name becomes the key it was looked up by; ``stamp``: the new
+    ``last_updated_at`` of the merged rows."""
     e = enrichment.select(key, *[F.col(f).alias(f"_e_{f}") for f in fields])
     j = df.join(e, key, "left")
     for f in fields:
@@ -76,6 +81,10 @@ def merge_missing_fields(df: DataFrame, enrichment: DataFrame, key: str, fields:
         j = j.withColumn(f, F.when(blank, F.col(f"_e_{f}").cast(df.schema[f].dataType)).otherwise(cur))
     if "source_system" in df.columns:
         j = j.withColumn("source_system", F.coalesce(F.nullif("source_system", F.lit("")), F.lit(default_source)))
+    if name_col:
+        j = j.withColumn(name_col, F.coalesce(F.nullif(name_col, F.lit("")), F.col(key)))
+    if stamp is not None:
+        j = j.withColumn("last_updated_at", F.lit(stamp))
     return j.drop(*[f"_e_{f}" for f in fields]).select(*df.columns)
 
 

@@ -40,4 +40,4 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "rn") -> Da
 def batch_ids(df: DataFrame, order: list[Column], size: int, out: str = "batch_num") -> DataFrame:
     """Number rows in ``order`` into consecutive batches of ``size`` (0-based)."""
     numbered = global_row_number(df, order, "_rn")
-    return numbered.withColumn(out, F.floor((F.col("_rn") - 1) / F.lit(size)).cast("int")).drop("_rn")
+    return numbered.withColumn(out, F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")).drop("_rn")

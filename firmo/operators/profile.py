@@ -2,10 +2,10 @@
 exploratory charts, computed as distributed aggregates.
 
 Several columns are handled at once in long form (``column_name, value``),
-so one scan and one shuffle serve all of them.  Exact quantiles come from one
-range-partitioned sort plus a lookup of the two ranks around each position
-(linear interpolation, as pandas does): no group is ever gathered into one
-task or buffer.
+so one scan and one shuffle serve all of them.  Exact quantiles come from the
+counts of distinct values, sorted over range partitions, plus a lookup of the two
+ranks around each position (linear interpolation, as pandas does): no group and
+no frequent value is ever gathered into one task or buffer.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from firmo.operators.numbering import global_row_number
+from firmo.session import checkpoint_root
 
 
 def long_form(df: DataFrame, columns: list[str], filters: dict[str, Column] | None = None,
@@ -35,42 +35,59 @@ def long_form(df: DataFrame, columns: list[str], filters: dict[str, Column] | No
               .select(*ids, "_kv.column_name", "_kv.value"))
 
 
+def _value_ranks(long_df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """(groups..., value, _c, _upto): how often each distinct value occurs and how
+    many rows come up to it in the order (groups, value).
+
+    Equal values are counted first (a partial aggregate), so a frequent value is
+    one row however many rows hold it.  The distinct values are then sorted over
+    range partitions; running sums inside a partition and one small row per
+    partition give the positions."""
+    counted = long_df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    order = [F.col(g).asc_nulls_last() for g in groups] + [F.col(value).asc()]
+    checkpoint_root(long_df.sparkSession)
+    parted = counted.orderBy(*order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = parted.groupBy("_pid").agg(F.sum("_c").alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # one row per partition: a bounded broadcast
+    return (parted.withColumn("_upto", F.sum("_c").over(inside)).join(F.broadcast(offsets), "_pid")
+            .withColumn("_upto", F.col("_upto") + F.col("_off")).drop("_pid", "_off"))
+
+
 def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
                     value: str = "value") -> DataFrame:
     """(groups..., prob, quantile) with linear interpolation between order statistics."""
-    v = long_df.select(*groups, value).filter(F.col(value).isNotNull())
-    numbered = global_row_number(v, [F.col(g).asc_nulls_last() for g in groups] + [F.col(value).asc()], "_rn")
-    counts = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(*[F.col(g).asc_nulls_last() for g in groups]).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = _value_ranks(long_df, groups, value)
     # one row per group: bounded by the number of groups, not by the data
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = (starts.select(*groups, "_n", "_start", F.explode(prob_arr).alias("prob"))
+    starts = ranks.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.min(F.col("_upto") - F.col("_c")).alias("_start"))
+    wanted = (starts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
               .withColumn("_pos", F.col("prob") * (F.col("_n") - 1))
-              .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
-              .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    need = (wanted.select(*groups, "prob", "_start", F.explode(F.array("_lo", "_hi")).alias("_idx"))
-            .select(*groups, "prob", (F.col("_start") + F.col("_idx") + 1).alias("_rn"), "_idx").distinct())
-    picked = numbered.select("_rn", F.col(value).alias("_v")).join(need, "_rn")
-    vals = picked.groupBy(*groups, "prob").agg(F.min_by("_v", "_idx").alias("_vlo"), F.max_by("_v", "_idx").alias("_vhi"))
-    out = wanted.join(vals, [*groups, "prob"])
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
-    return out.select(*groups, "prob", q.alias("quantile"))
-
-
-# Exact quantiles cost one sort of the values; set False to use a bounded
-# sketch per group instead (percentile_approx: no sort, relative rank error 1/accuracy).
-EXACT_QUANTILES = True
-APPROX_ACCURACY = 100_000
-
-
-def _quantile_wide(long_df: DataFrame, groups: list[str], probs: dict[str, float],
-                   exact: bool | None = None) -> DataFrame:
-    exact = EXACT_QUANTILES if exact is None else exact
-    if not exact:
-        arr = F.percentile_approx("value", [float(p) for p in probs.values()], APPROX_ACCURACY)
-        q = long_df.groupBy(*groups).agg(arr.alias("_q"))
-        return q.select(*groups, *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(probs)])
+              .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
+    keys = [f"_g{i}" for i in range(len(groups))]
+    need = wanted.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], "prob", "_pos", "_lo", "_hi",
+                         (F.col("_start") + F.col("_lo") + 1).alias("_at_lo"), (F.col("_start") + F.col("_hi") + 1).alias("_at_hi"))
+    same = F.lit(True)
+    for g, k in zip(groups, keys):
+        same = same & F.col(g).eqNullSafe(F.col(k))
+    first, last = F.col("_upto") - F.col("_c"), F.col("_upto")
+    covers = lambda at: (F.col(at) > first) & (F.col(at) <= last)
+    got = ranks.join(F.broadcast(need), same & (covers("_at_lo") | covers("_at_hi")))
+    vals = got.groupBy(*groups, "prob", "_pos", "_lo").agg(
+        F.max(F.when(covers("_at_lo"), F.col(value))).alias("_vlo"), F.max(F.when(covers("_at_hi"), F.col(value))).alias("_vhi"))
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
+    return vals.select(*groups, "prob", q.alias("quantile"))
+
+
+def approximate_quantiles(long_df: DataFrame, groups: list[str], probs: dict[str, float], accuracy: int = 100_000) -> DataFrame:
+    """Named quantiles by a bounded sketch per group: no sort, relative rank error 1/accuracy."""
+    arr = F.percentile_approx("value", [float(p) for p in probs.values()], accuracy)
+    q = long_df.groupBy(*groups).agg(arr.alias("_q"))
+    return q.select(*groups, *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(probs)])
+
+
+def _quantile_wide(long_df: DataFrame, groups: list[str], probs: dict[str, float]) -> DataFrame:
     q = exact_quantiles(long_df, groups, list(probs.values()))
     aggs = [F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(name) for name, p in probs.items()]
     return q.groupBy(*groups).agg(*aggs)
@@ -174,11 +191,11 @@ def _bounds(lf: DataFrame, groups: list[str]) -> DataFrame:
 def iqr_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
     """O-AG-16: Q1 - 1.5 IQR, Q3 + 1.5 IQR, outlier count and % of all rows per column.
 
-    Bounds are one small row per column, joined back (AQE broadcasts them)."""
+    Bounds are one small row per column: a bounded broadcast."""
     lf = long_form(df, columns)
     b = _bounds(lf, ["column_name"])
     every = long_form(df, columns, keep_null=True)
-    out = (every.join(b, "column_name")
+    out = (every.join(F.broadcast(b), "column_name")
              .groupBy("column_name")
              .agg(F.count(F.lit(1)).alias("_rows"),
                   F.count_if((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
@@ -193,7 +210,7 @@ def iqr_outlier_rows(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """O-AG-16 rows: (key, column_name, value) of every outlier."""
     lf = long_form(df, columns, ids=[key])
     b = _bounds(lf, ["column_name"])
-    j = lf.join(b, "column_name")
+    j = lf.join(F.broadcast(b), "column_name")
     return j.filter((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))) \
             .select(key, "column_name", "value")
 
@@ -202,7 +219,8 @@ def box_stats(lf: DataFrame, groups: list[str]) -> DataFrame:
     """O-AG-17: five-number summary, whiskers (extreme values inside the 1.5 IQR fences)
     and outlier count per group of a long frame."""
     b = _bounds(lf, groups)
-    j = lf.join(b, groups)
+    # one row per group: as bounded as the result
+    j = lf.join(F.broadcast(b), groups)
     inside = (F.col("value") >= F.col("lower_bound")) & (F.col("value") <= F.col("upper_bound"))
     agg = j.groupBy(*groups).agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
                                  F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
@@ -222,7 +240,7 @@ def histogram(lf: DataFrame, bins: int = 50) -> DataFrame:
     st = st.select("column_name", lo.alias("_lo"), hi.alias("_hi"))
     idx = F.least(F.greatest(F.floor((F.col("value") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
                              F.lit(0)), F.lit(bins - 1)).cast("int")
-    counts = lf.join(st, "column_name").groupBy("column_name", idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = lf.join(F.broadcast(st), "column_name").groupBy("column_name", idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = st.select("column_name", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     return (grid.join(counts, ["column_name", "bin"], "left")
@@ -235,62 +253,56 @@ def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3
     """O-AG-19: Gaussian kernel density on ``points`` grid points per group.
 
     Scott's bandwidth h = std * n^(-1/5); the grid spans min - cut*h .. max + cut*h.
-    Each distinct value adds its weighted kernel to every grid point of its
-    group (explode of the grid index + partial sum in one stage): distinct
-    values x points work, only ``points`` rows per group and task are shuffled.  ``count_density`` is the
-    curve scaled to a ``bins``-bin histogram of the same data."""
+    ``cut`` and ``points`` are those of the plot: a density over a histogram does
+    not pass the data (cut 0, 200 points), a violin extends by two bandwidths
+    (cut 2, 100 points).  Each grid point is one sum of the same aggregate, so a
+    row is read once, is never multiplied, and only one row per group and task is
+    shuffled.  ``count_density`` is the curve scaled to a ``bins``-bin histogram."""
     st = lf.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"),
                                  F.min("value").alias("_mn"), F.max("value").alias("_mx"))
     st = (st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
             .filter(F.col("_h") > 0)
             .withColumn("_g0", F.col("_mn") - cut * F.col("_h"))
             .withColumn("_step", (F.col("_mx") - F.col("_mn") + 2 * cut * F.col("_h")) / (points - 1)))
-    # identical values are summed once with a weight (a partial aggregate): the same
-    # sum, with n*points work cut to distinct-values*points
-    weighted = lf.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("_w"))
-    j = weighted.join(st.select(*groups, "_h", "_g0", "_step"), groups)
-    # grid index by explode(sequence), kernel as a plain expression: all in codegen
-    grid = j.select(*groups, "value", "_w", "_h", "_g0", "_step",
-                    F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    z = (F.col("_g0") + F.col("i") * F.col("_step") - F.col("value")) / F.col("_h")
-    contrib = grid.select(*groups, "i", (F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("k"))
-    sums = contrib.groupBy(*groups, "i").agg(F.sum("k").alias("_s"))
-    out = sums.join(st, groups)
+    # one row per group: as bounded as the result
+    j = lf.join(F.broadcast(st.select(*groups, "_h", "_g0", "_step")), groups)
+
+    def kernel(i: int) -> Column:
+        z = (F.col("_g0") + i * F.col("_step") - F.col("value")) / F.col("_h")
+        return F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"_k{i}")
+
+    sums = j.groupBy(*groups).agg(*[kernel(i) for i in range(points)])
+    long = sums.select(*groups, F.posexplode(F.array(*[f"_k{i}" for i in range(points)])).alias("i", "_s"))
+    out = long.join(F.broadcast(st), groups)
     dens = F.col("_s") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
     return out.select(*groups, "i", _r(F.col("_g0") + F.col("i") * F.col("_step")).alias("x"),
                       _r(dens * F.col("_n") * (F.col("_mx") - F.col("_mn")) / bins, 4).alias("count_density"))
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """O-AG-20: pairwise-complete Pearson correlations, lower triangle.
-
-    Each row contributes one (pair, x, y) entry per pair where both values are
-    present (generated and partially aggregated in one stage), so a single
-    grouped aggregate serves all pairs.  A zero variance gives null rather than
-    an ANSI divide error."""
+    """O-AG-20: pairwise-complete Pearson correlations, lower triangle: one aggregate
+    with sums for each pair, over one scan.  A zero variance gives null."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    entries = []
-    for a, b in pairs:
+    aggs = []
+    for k, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        entries.append(F.when(x.isNotNull() & y.isNotNull(),
-                              F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), x.alias("x"), y.alias("y"))))
-    long = df.select(F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull()).select("e.*")
-    stats = long.groupBy("col_a", "col_b").agg(
-        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
-    grid = df.sparkSession.createDataFrame(pairs, "col_a string, col_b string")
-    # the pair grid has len(columns)^2/2 rows: a bounded broadcast
-    out = F.broadcast(grid).join(stats, ["col_a", "col_b"], "left")
-    return out.select("col_a", "col_b", _r(F.when(~F.isnan("corr"), F.col("corr"))).alias("corr"))
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"_c{k}"))
+    stack = ", ".join(f"'{a}', '{b}', _c{k}" for k, (a, b) in enumerate(pairs))
+    long = df.agg(*aggs).selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
+    return long.select("col_a", "col_b", _r(F.when(~F.isnan("corr"), F.col("corr"))).alias("corr"))
 
 
 def corr_top(matrix: DataFrame, k: int = 10) -> DataFrame:
     """O-AG-21: the k highest and k lowest pairs of the full matrix (both directions,
-    as pandas' unstack lists them), self pairs and undefined values dropped."""
-    both = matrix.unionByName(matrix.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr"))
-    both = both.filter(F.col("corr").isNotNull() & (F.col("corr") != 1.0))
-    top = both.orderBy(F.col("corr").desc(), "col_a", "col_b").limit(k).withColumn("direction", F.lit("positive"))
-    low = both.orderBy(F.col("corr").asc(), "col_a", "col_b").limit(k).withColumn("direction", F.lit("negative"))
-    return top.unionByName(low).select("direction", "col_a", "col_b", "corr")
+    as pandas' unstack lists them), self pairs and undefined values dropped.  The
+    matrix is evaluated once; it has a row per pair of columns."""
+    pair = F.explode(F.array(F.struct(F.col("col_a").alias("a"), F.col("col_b").alias("b")), F.struct(F.col("col_b").alias("a"), F.col("col_a").alias("b"))))
+    both = (matrix.filter(F.col("corr").isNotNull() & (F.col("corr") != 1.0)).select(pair.alias("p"), "corr")
+            .withColumn("up", F.row_number().over(Window.orderBy(F.col("corr").desc(), "p.a", "p.b")))
+            .withColumn("down", F.row_number().over(Window.orderBy(F.col("corr").asc(), "p.a", "p.b"))))
+    ends = F.array_compact(F.array(F.when(F.col("up") <= k, F.lit("positive")), F.when(F.col("down") <= k, F.lit("negative"))))
+    return both.select(F.explode(ends).alias("direction"), F.col("p.a").alias("col_a"), F.col("p.b").alias("col_b"), "corr")
 
 
 def linear_fit(df: DataFrame, pairs: list[tuple[str, str, Column | None]]) -> DataFrame:

@@ -211,13 +211,12 @@ MAX_COLUMNS, MAX_ROWS = 100, 100_000
 def dataset_limits(df: DataFrame, max_columns: int = MAX_COLUMNS, max_rows: int = MAX_ROWS) -> DataFrame:
     """O-DQ-11: header names non-blank, at most ``max_columns`` columns, 1..``max_rows`` rows.
 
-    Counting stops after ``max_rows + 1`` rows (limit pushdown), enough to decide."""
+    All rows are counted; the limit is only compared with the count."""
     header_ok = all(c is not None and c.strip() != "" for c in df.columns)
-    n = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n_rows_capped"))
-    return n.select(F.lit(len(df.columns)).alias("n_columns"), F.lit(header_ok).alias("header_ok"),
-                    "n_rows_capped",
+    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.select(F.lit(len(df.columns)).alias("n_columns"), F.lit(header_ok).alias("header_ok"), "n_rows",
                     (F.lit(header_ok) & F.lit(len(df.columns) <= max_columns)
-                     & (F.col("n_rows_capped") >= 1) & (F.col("n_rows_capped") <= max_rows)).alias("success"))
+                     & (F.col("n_rows") >= 1) & (F.col("n_rows") <= max_rows)).alias("success"))
 
 
 def check_report(tests: dict[str, DataFrame], suites: dict[str, DataFrame]) -> DataFrame:

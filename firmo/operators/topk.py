@@ -26,6 +26,20 @@ def paginate(df: DataFrame, page: int = 1, page_size: int = 10, order: list[Colu
     return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
+def page_after(df: DataFrame, after: dict, page_size: int = 10, keys: list[str] | None = None) -> DataFrame:
+    """The page that follows the row with the key values ``after`` (a prefix of the
+    order): each task keeps one page, however deep the page lies."""
+    if not 1 <= page_size <= 100:
+        raise ValueError("1 <= page_size <= 100")
+    names = list(after)
+    later, same = F.lit(False), F.lit(True)
+    for c in names:
+        later = later | (same & (F.col(c) > F.lit(after[c])))
+        same = same & (F.col(c) == F.lit(after[c]))
+    order = [F.col(c).asc_nulls_last() for c in keys] if keys else mart_order(df)
+    return df.filter(later).orderBy(*order).limit(page_size)
+
+
 def top_k(df: DataFrame, by: str, k: int, where: Column | None = None,
           tiebreak: list[Column] | None = None) -> DataFrame:
     base = df if where is None else df.filter(where)

@@ -10,8 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmo.functions.keys import founder_key, metric_key
-from firmo.operators import clean, dedup, joins, setops
+from firmo.functions.keys import metric_key
+from firmo.operators import clean, dedup, joins
 from firmo.params import DEFAULT, RunParams
 from firmo.schemas import RAW_DIM_COLUMNS
 from firmo.sources import adapter
@@ -40,12 +40,23 @@ def raw_dim_companies(stg_primary: DataFrame, stg_secondary: DataFrame, p: RunPa
     """O-MD-01: enrich the primary list with the secondary, add unmatched secondary rows,
     default unknowns, keep one row per (company_id, company_name).
 
-    Equivalent to the model's join -> union -> row_number, but each source is cut
-    to its best row per key first, so the joins are 1:1 and co-partitioned."""
-    pb = primary_best(stg_primary, p)
-    enriched = joins.enrich_left_join(pb, secondary_best_match(stg_secondary, p))
-    alone = joins.anti_join_unmatched(secondary_best_alone(stg_secondary, p), pb)
-    unioned = setops.union_sources(enriched, alone)
+    Each source is read once and reduced to its best rows per (name, country) by one
+    partial aggregate (a hot key is one row per task before it moves), both picks
+    of the secondary in the same pass; one full outer join on the key then holds
+    the enriched rows and, on its other side, the unmatched ones."""
+    keys = joins.KEY
+    row = lambda df: F.struct(*[F.col(c) for c in df.columns if c not in keys])
+    prim = _attr_defaults(clean.primary_dim_project(stg_primary, p))
+    sec = _attr_defaults(clean.secondary_dim_project(stg_secondary, p))
+    pb = prim.groupBy(*keys).agg(F.min_by(row(prim), dedup.primary_rank()).alias("p"))
+    sb = sec.groupBy(*keys).agg(F.min_by(F.struct("website", "founded_year"), dedup.secondary_match_rank()).alias("m"),
+                                F.min_by(row(sec), dedup.secondary_alone_rank()).alias("a"))
+    both = pb.join(sb, keys, "full")
+    known = F.col("p").isNotNull()
+    pick = {c: F.when(known, F.col(f"p.{c}")).otherwise(F.col(f"a.{c}")) for c in prim.columns if c not in keys}
+    pick["website"] = F.when(known, F.coalesce("p.website", "m.website")).otherwise(F.col("a.website"))
+    pick["founded_year"] = F.when(known, F.coalesce("m.founded_year", "p.founded_year")).otherwise(F.col("a.founded_year"))
+    unioned = both.select(*[(F.col(c) if c in keys else pick[c]).alias(c) for c in prim.columns])
     return (clean.default_unknown(unioned)
             .withColumn("dim_created_at", F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
             .select(*RAW_DIM_COLUMNS))
@@ -67,21 +78,16 @@ def bronze_fct_company_metrics(raw_fct: DataFrame, p: RunParams = DEFAULT) -> Da
 
 
 def bronze_dim_founder(stg_primary: DataFrame, stg_secondary: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
-    """O-MD-05: founders from the primary list; the secondary branch is a placeholder
-    that yields no rows (Catalyst prunes it); one row per id."""
+    """O-MD-05: founders from the primary list, one row per id.  The secondary source
+    names no founders (its branch of the model yields no rows)."""
     nb = lambda c: F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
     is_founder = F.upper(F.trim("founder_is_ceo")) == "YES"   # quirk Q5: case-insensitive
     prim = (stg_primary.filter(is_founder & nb("ceo") & nb("company"))
             .select(metric_key("company", "ticker", "country").alias("id"),
                     F.trim(F.upper("company")).alias("company_name"),
                     F.trim("ceo").alias("founder_name")))
-    sec = (stg_secondary.filter(F.lit(False))
-           .select(founder_key("company_name", "domain", "country").alias("id"),
-                   F.trim(F.upper("company_name")).alias("company_name"),
-                   F.lit(None).cast("string").alias("founder_name")))
-    out = dedup.dedup_founder(setops.union_sources(prim, sec))
-    return (out.filter(F.col("founder_name").isNotNull())
-               .withColumn("bronze_processed_at", F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")))
+    return (dedup.dedup_founder(prim).filter(F.col("founder_name").isNotNull())
+            .withColumn("bronze_processed_at", F.lit(p.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")))
 
 
 def unified_companies(bronze_dim: DataFrame, bronze_fct: DataFrame, p: RunParams = DEFAULT) -> DataFrame:

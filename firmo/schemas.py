@@ -8,7 +8,7 @@ S, I, L, D, DT = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(),
 
 # Staging table of the primary (ranked list) source: 32 columns.
 STG_PRIMARY = T.StructType([
-    T.StructField("rank", I), T.StructField("company", S), T.StructField("ticker", S),
+    T.StructField("rank", L), T.StructField("company", S), T.StructField("ticker", S),
     T.StructField("sector", S), T.StructField("industry", S),
     T.StructField("profitable", S), T.StructField("founder_is_ceo", S),
     T.StructField("femaleceo", S), T.StructField("growth_in_jobs", S),

@@ -8,6 +8,7 @@ setting is absent (local tests) do we pick a folder of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,7 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # unset (local tests only): a folder of our own
+        # a folder of our own is seen by all only where there is one machine
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="firmo-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)
@@ -78,14 +81,14 @@ def ensure_dir(path: str) -> None:
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+               min_partitions: int = 200) -> dict[str, str]:
     """Shuffle and scan sizing for a given input volume.
 
     The initial shuffle width gives partitions of about ``target_partition_bytes``
     of input (so a full-width shuffle spills little); AQE then coalesces small
     partitions to the advisory size and splits skewed ones.  File splits are
     capped at the same size.  Pass the result as ``get_spark(extra=...)``."""
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),

@@ -1,6 +1,6 @@
 import __spark_entry__ as E
 
-NO_SQL = {"extract_infobox"}
+from firmo import catalog
 
 
 def test_entry_runs_on_smallest_scale(spark):
@@ -9,10 +9,9 @@ def test_entry_runs_on_smallest_scale(spark):
     assert df.columns[:2] == ["company_id", "company_name"]
 
 
-def test_registry_has_sql_for_all_but_declared(spark):
-    q, s = E.queries(), E.oracle_sql()
-    assert set(q) - set(s) == NO_SQL
-    assert set(s) <= set(q)
+def test_every_query_of_the_catalog_has_sql(spark):
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_some_queries_against_duckdb(spark):

@@ -73,7 +73,7 @@ def test_expectations_unique_nulls_threshold(spark):
     assert res["not_null"].unexpected == 1 and res["not_null"].success          # exactly at 0.9
     assert not res["exists"].success
     lim = DQ.dataset_limits(df, max_rows=5).first()
-    assert lim.n_rows_capped == 6 and not lim.success
+    assert lim.n_rows == 10 and not lim.success
 
 
 def test_infobox_extraction(spark):
@@ -118,6 +118,6 @@ def test_approximate_quantiles_close_to_exact(spark):
     rng = np.random.default_rng(5)
     rows = [("g", float(v)) for v in rng.normal(size=2000)]
     df = spark.createDataFrame(rows, "column_name string, value double")
-    approx = PF._quantile_wide(df, ["column_name"], {"q1": 0.25, "q3": 0.75}, exact=False).first()
+    approx = PF.approximate_quantiles(df, ["column_name"], {"q1": 0.25, "q3": 0.75}).first()
     vals = np.array([v for _, v in rows])
     assert abs(approx.q1 - np.quantile(vals, 0.25)) < 0.01 and abs(approx.q3 - np.quantile(vals, 0.75)) < 0.01

@@ -23,10 +23,20 @@ def test_no_python_in_headline_plans(spark):
 
 
 def test_dedup_limits_rows_before_the_shuffle(spark):
+    q = E.queries()
+    for name in ["raw_fct_company_metrics", "bronze_dim_founder", "dedup_dim_primary"]:
+        plan = executed(q[name](spark, SF))
+        # a partial WindowGroupLimit sits under the hash exchange of the dedup window
+        assert re.search(r"Exchange hashpartitioning[^\n]*\n(?:[^\n]*\n){0,3}?[^\n]*WindowGroupLimit", plan), plan
+
+
+def test_dimension_reads_each_source_once(spark):
     plan = executed(E.queries()["raw_dim_companies"](spark, SF))
-    # a partial WindowGroupLimit sits under each hash exchange of the dedup windows
-    partial = re.findall(r"Exchange hashpartitioning[^\n]*\n(?:[^\n]*\n){0,3}?[^\n]*WindowGroupLimit", plan)
-    assert len(partial) >= 3, plan
+    final = plan.split("== Initial Plan ==")[0]
+    # two scans, each reduced by a partial aggregate before its one exchange, and one full join
+    assert len(re.findall(r"FileScan parquet", final)) == 2, final
+    assert len(re.findall(r"Exchange hashpartitioning", final)) == 2, final
+    assert len(re.findall(r"partial_min_by", final)) >= 2 and "FullOuter" in final, final
 
 
 def test_search_filters_reach_the_scan(spark):
