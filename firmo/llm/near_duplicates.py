@@ -34,9 +34,9 @@ from firmo.llm.common import Words, blocks, column, free_name, mix, pick, utf8,
 HASHES = 64
 BANDS, ROWS = 14, 3
 STEP = 16
-UNIT = 1024              # members of a block
+UNIT = 512               # members of a block
 UNIT_RUNS = 1 << 20      # runs of words of a block, at most, beyond one member
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 _rng = np.random.default_rng(20240613)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -128,24 +128,25 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """key, sig, runs (sorted 64-bit hashes) of one text of each wanted class."""
+    """key, copies, sig, n_runs, runs (sorted 64-bit hashes) of one text of each
+    wanted class."""
     def run(batches):
         for b in blocks(batches, "text"):
             w = Words(utf8(column(b, "text")))
             runs, first = _runs(w, n)
-            keys = _class_keys(w)
             asked = column(b, "key").to_pylist()
-            ok = [i for i, (x, y) in enumerate(zip(keys, asked, strict=True)) if x == y]
+            ok = [i for i, (x, y) in enumerate(zip(_class_keys(w), asked, strict=True)) if x == y]
             rows = [np.unique(runs[first[i]:first[i + 1]]) for i in ok]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[i] for i in ok], pa.binary()), column(b, "copies").take(pa.array(ok, pa.int64())), column(b, "sig").take(pa.array(ok, pa.int64())),
-                 pa.array([len(r) for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
-                names=["key", "copies", "sig", "n_runs", "runs"])
-
-    few = wanted.count() <= BROADCAST_ROWS      # 16-byte keys and signatures: at most some 150 MB
-    side = F.broadcast(wanted) if few else wanted
-    both = (pick(docs, "doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "key", "copies", "sig"))
-    return both.mapInArrow(run, "key binary, copies long, sig binary, n_runs long, runs binary").dropDuplicates(["key"])
+                [column(b, "key").take(pa.array(ok, pa.int64())), pa.array([len(r) for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                names=["key", "n_runs", "runs"])
+
+    ids = wanted.select("rep", "key")
+    few = ids.count() <= BROADCAST_ROWS         # of some 50 bytes each
+    side = F.broadcast(ids) if few else ids
+    both = pick(docs, "doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "key")
+    one = both.mapInArrow(run, "key binary, n_runs long, runs binary").dropDuplicates(["key"])
+    return one.join(wanted.select("key", "copies", "sig"), "key")
 
 
 def compare(keys: list[bytes], side: np.ndarray, copies: np.ndarray, sig: np.ndarray, runs: list[np.ndarray],
