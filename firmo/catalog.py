@@ -761,20 +761,38 @@ def _even_year() -> Column:
     return F.coalesce(F.col("founded_year") % 2 == 0, F.lit(False))
 
 
+def _landing_text(spark, d):
+    """The secondary source as files hold it: some years that are no numbers, line
+    ends inside quoted fields, NULL tokens."""
+    sec = _layers(spark, d).stg_secondary
+    n = F.col("employee_count")
+    text = {"founded_year": F.when(n % 40 == 7, F.lit("year?")).otherwise(F.col("founded_year").cast("string")),
+            "industry": F.when(n % 9 == 4, F.concat("industry", F.lit("\nand \"more\""))).otherwise(F.col("industry")),
+            "domain": F.coalesce("domain", F.lit("NULL"))}
+    out = sec.select("*", F.coalesce(F.col("founded_year") % 2 == 0, F.lit(False)).alias("_even"))
+    return out.select(*[text.get(c, F.col(c).cast("string")).alias(c) for c in sec.columns], "_even")
+
+
+def _write_csv(df, path):
+    df.drop("_even").write.option("header", True).option("escape", '"').csv(path)
+
+
 def _land_secondary_csv(spark, d) -> str:
-    """Land the secondary source as CSV in two dated folders with different headers
-    (reversed, upper-cased names in one)."""
+    """Land it in two dated folders with different headers (reversed, upper-cased
+    names in one)."""
     root = scratch_path(spark, "landing")
-    sec = _layers(spark, d).stg_secondary
-    a = sec.filter(_even_year())
-    a.select(*[F.col(c).alias(c.upper()) for c in reversed(sec.columns)]) \
-     .write.option("header", True).option("escape", '"').csv(f"{root}/{_DAY_A}")
-    sec.filter(~_even_year()).write.option("header", True).option("escape", '"').csv(f"{root}/{_DAY_B}")
+    text = _landing_text(spark, d)
+    a = text.filter("_even").drop("_even")
+    _write_csv(a.select(*[F.col(c).alias(c.upper()) for c in reversed(a.columns)]), f"{root}/{_DAY_A}")
+    _write_csv(text.filter("NOT _even"), f"{root}/{_DAY_B}")
     return root
 
 
+_BAD_ROW = "coalesce(employee_count % 40 = 7, false)"
 # the load trims fields
-_CSV_SECONDARY = "(SELECT * REPLACE (trim(company_name) AS company_name) FROM stg_secondary)"
+_CSV_SECONDARY = (f"(SELECT * REPLACE (trim(company_name) AS company_name, if(coalesce(employee_count % 9 = 4, false), industry || chr(10) || 'and \"more\"', industry) AS industry) "
+                  f"FROM stg_secondary WHERE NOT {_BAD_ROW})")
+_CSV_REJECTS = _CSV_SECONDARY.replace(f"WHERE NOT {_BAD_ROW}", f"WHERE {_BAD_ROW}")
 _DATED = r".*/\d{4}-\d{2}-\d{2}/[^/]*\.csv$"
 
 register("scan_csv_by_name", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
@@ -782,16 +800,16 @@ register("scan_csv_by_name", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
 def _scan_pattern(spark, d):
     root = _land_secondary_csv(spark, d)
     # a full extra copy outside the dated folders: the pattern must leave it out
-    _layers(spark, d).stg_secondary.write.option("header", True).option("escape", '"').csv(f"{root}/manual-copy")
+    _write_csv(_landing_text(spark, d), f"{root}/manual-copy")
     return FI.scan_csv_by_name(spark, root, STG_SECONDARY, _DATED)[0]
 
 
 register("scan_pattern", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(_scan_pattern)
-register("scan_skip_bad", oracle.q("SELECT *, CAST(NULL AS VARCHAR) AS source_file FROM stg_secondary WHERE FALSE"))(
-    lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[1])
+register("scan_skip_bad", oracle.q(f"SELECT * REPLACE (CAST(NULL AS INTEGER) AS founded_year) FROM {_CSV_REJECTS}"))(
+    lambda spark, d: FI.scan_csv_by_name(spark, _land_secondary_csv(spark, d), STG_SECONDARY, _DATED)[1].drop("source_file"))
 register("load_audit", oracle.q(
     f"SELECT CASE WHEN coalesce(founded_year % 2 = 0, false) THEN '{_DAY_A}' ELSE '{_DAY_B}' END AS load_unit, "
-    "count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM stg_secondary GROUP BY 1 ORDER BY 1 DESC LIMIT 5"))(
+    f"count(*) FILTER (WHERE NOT {_BAD_ROW}) AS rows_loaded, count(*) FILTER (WHERE {_BAD_ROW}) AS rows_rejected FROM stg_secondary GROUP BY 1 ORDER BY 1 DESC LIMIT 5"))(
     lambda spark, d: (lambda r: FI.load_audit(
         *FI.scan_csv_by_name(spark, r, STG_SECONDARY, _DATED, with_file=True),
         by=F.regexp_extract("source_file", r"/(\d{4}-\d{2}-\d{2})/", 1)))(_land_secondary_csv(spark, d)))
@@ -867,8 +885,7 @@ def _multi_file(spark, d):
 def _first_available(spark, d):
     root = scratch_path(spark, "first")
     _layers(spark, d).stg_secondary.write.parquet(f"{root}/third")
-    fs, p = FI._fs(spark, f"{root}/second")
-    fs.mkdirs(p)
+    spark.createDataFrame([], "note string").write.text(f"{root}/second")      # a folder without data files
     return FI.scan_first_available(spark, [f"{root}/first", f"{root}/second", f"{root}/third"])
 
 
@@ -878,18 +895,26 @@ register("scan_first_available", oracle.q("SELECT * FROM stg_secondary"))(_first
 
 
 def _stream_landing(spark, d):
-    from firmo.streaming.landing import read_staging, start_landing
+    from firmo.streaming.landing import start_landing
     root = scratch_path(spark, "stream")
-    sec = _layers(spark, d).stg_secondary
-    for day, part in ((_DAY_A, sec.filter(_even_year())), (_DAY_B, sec.filter(~_even_year()))):
-        part.write.option("header", True).option("escape", '"').csv(f"{root}/landing/{day}")
+    text = _landing_text(spark, d)
+    _write_csv(text.filter("_even"), f"{root}/landing/{_DAY_A}")
+    _write_csv(text.filter("NOT _even"), f"{root}/landing/{_DAY_B}")
     q = start_landing(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint", STG_SECONDARY,
-                      STG_SECONDARY.fieldNames())
+                      STG_SECONDARY.fieldNames(), f"{root}/rejects")
     q.awaitTermination()
-    return read_staging(spark, f"{root}/table", STG_SECONDARY)
+    return root
+
+
+def _staged(spark, path):
+    from firmo.streaming.landing import read_staging
+    return read_staging(spark, path, STG_SECONDARY)
 
 
-register("stream_landing", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(_stream_landing)
+register("stream_landing", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
+    lambda spark, d: _staged(spark, f"{_stream_landing(spark, d)}/table"))
+register("stream_rejects", oracle.q(f"SELECT * REPLACE (CAST(NULL AS INTEGER) AS founded_year) FROM {_CSV_REJECTS}"))(
+    lambda spark, d: _staged(spark, f"{_stream_landing(spark, d)}/rejects"))
 
 # ---------------------------------------------------------------- 2.2 ingestion cleaning
 _TS_TEXT = _P.run_ts.isoformat()

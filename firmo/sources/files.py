@@ -2,19 +2,14 @@
 
 CSV files are read as text columns; fields are matched to the target schema
 by header name (case-insensitive, trimmed), so files may order their columns
-differently, lack columns or carry extra ones.  Spark's CSV reader binds a
-schema by position and reads one header for all files, so files are grouped
-by header (the driver reads only the first line of each file) and each group
-is one distributed read; the groups are unioned by name.
+differently, lack columns or carry extra ones.  One job reads the first lines of
+all files; one scan reads all rows with as many text columns as the widest file
+has, and each row finds its fields by the positions in its own file's header.
+Listing is left to Spark's file index; nothing on the driver is done per file.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -25,65 +20,62 @@ NULL_TOKENS = ("NULL", "null", "\\N")
 # string.  Spark's default ("") cannot tell the two apart.
 UNQUOTED_EMPTY = "\u0001"
 
+# Headers of up to so many files are broadcast (some 200 bytes each).
+BROADCAST_FILES = 200_000
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def list_files(spark: SparkSession, root: str, pattern: str | None = None,
-               suffixes: tuple[str, ...] | None = None) -> list[str]:
-    """Data files under ``root`` (recursive), optionally filtered by a regex on the path (O-IO-03)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out, it = [], fs.listFiles(p, True)
-    rx = re.compile(pattern) if pattern else None
-    while it.hasNext():
-        s = it.next().getPath().toString()
-        name = s.rsplit("/", 1)[-1]
-        if name.startswith((".", "_")):
-            continue
-        if suffixes and not s.endswith(suffixes):
-            continue
-        if rx and not rx.search(s):
-            continue
-        out.append(s)
-    return sorted(out)
 
+def data_files(spark: SparkSession, root: str, glob: str, pattern: str | None = None) -> DataFrame | None:
+    """(path) of the data files under ``root`` whose name fits ``glob`` and whose path
+    fits a regex (O-IO-03); None where the folder does not exist.  Contents are not read."""
+    if not _exists(spark, root):
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path")
+    return files.filter(F.col("path").rlike(pattern)) if pattern else files
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line or ""
-    finally:
-        stream.close()
 
+def _has(files: DataFrame | None) -> bool:
+    return files is not None and not files.isEmpty()
 
-def _read_group(spark: SparkSession, files: list[str]) -> DataFrame:
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("quote", '"').option("escape", '"')
+
+def csv_options(reader):
+    """How the staging load reads CSV: quoted fields may hold quotes and line ends."""
+    return (reader.option("multiLine", True).option("quote", '"').option("escape", '"')
             .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-            .option("mode", "PERMISSIVE")
-            .option("nullValue", UNQUOTED_EMPTY)
-            .csv(files)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+            .option("mode", "PERMISSIVE").option("nullValue", UNQUOTED_EMPTY))
+
+
+def _source(df: DataFrame, pattern: str | None) -> DataFrame:
+    out = df.withColumn("source_file", F.col("_metadata.file_path"))
+    return out.filter(F.col("source_file").rlike(pattern)) if pattern else out
+
+
+def csv_headers(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """(source_file, names, open_quote): the column names in the first line of each
+    file, and whether the file holds an odd number of quotes."""
+    lines = _source(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
+                    .select("value", "_metadata"), pattern)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    start = F.when(F.col("_metadata.file_block_start") == 0, F.col("at"))
+    first = (lines.withColumn("at", F.monotonically_increasing_id())
+             .groupBy("source_file").agg(F.min_by("value", start).alias("line"), (F.sum(quotes) % 2 == 1).alias("open_quote")))
+    parts = F.split(F.regexp_replace("line", "^﻿", ""), r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return first.select("source_file", "open_quote", F.transform(parts, lambda x: F.lower(F.trim(F.regexp_replace(F.trim(x), '^"|"$', "")))).alias("names"))
 
 
-def _typed(raw: DataFrame, schema: T.StructType) -> tuple[list[Column], Column]:
-    by_name = {c.strip().lower(): c for c in raw.columns if c != "source_file"}
+def typed_fields(schema: T.StructType, field) -> tuple[list[Column], Column]:
+    """Columns of the schema from text (``field(name)``, None where the file has no
+    such column), and whether a row is bad: a non-empty text that does not convert."""
     typed, bad = [], F.lit(False)
     for f in schema.fields:
-        src = by_name.get(f.name.lower())
-        if src is None:
+        txt = field(f.name)
+        if txt is None:
             typed.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        txt = F.col(f"`{src}`")
         txt = F.when(txt.isin(*NULL_TOKENS, UNQUOTED_EMPTY), F.lit(None).cast("string")).otherwise(txt)
         if isinstance(f.dataType, T.StringType):
             typed.append(txt.alias(f.name))
@@ -97,26 +89,30 @@ def _typed(raw: DataFrame, schema: T.StructType) -> tuple[list[Column], Column]:
 def scan_csv_by_name(spark: SparkSession, root: str, schema: T.StructType, pattern: str | None = None,
                      with_file: bool = False) -> tuple[DataFrame, DataFrame]:
     """O-IO-01/02: (loaded rows, rejected rows).  A row is rejected when a
-    non-empty field does not convert to its column type; the load goes on."""
-    files = list_files(spark, root, pattern, (".csv",))
-    if not files:
-        empty = spark.createDataFrame([], schema)
-        return empty, empty.withColumn("source_file", F.lit(None).cast("string"))
-    groups: dict[str, list[str]] = defaultdict(list)
-    # only the first line of each file is read here, concurrently
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda f: _first_line(spark, f), files))
-    for f, h in zip(files, headers):
-        groups[h.strip().lower()].append(f)
-    good, rejected = [], []
-    for fs in groups.values():
-        raw = _read_group(spark, fs)
-        typed, bad = _typed(raw, schema)
-        flagged = raw.select(*typed, bad.alias("_bad"), "source_file")
-        keep = [f.name for f in schema.fields] + (["source_file"] if with_file else [])
-        good.append(flagged.filter(~F.col("_bad")).select(*keep))
-        rejected.append(flagged.filter(F.col("_bad")).drop("_bad"))
-    return reduce(DataFrame.unionByName, good), reduce(DataFrame.unionByName, rejected)
+    non-empty field does not convert to its column type or a quote stays open; the
+    load goes on.  Short rows and extra fields are accepted."""
+    keep = [f.name for f in schema.fields] + (["source_file"] if with_file else [])
+    about = csv_headers(spark, root, pattern).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("names")).alias("w")).first() if _exists(spark, root) else None
+    if about is None or not about["n"]:
+        empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
+        return empty.select(*keep), empty
+    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(about["w"])])
+    rows = csv_options(spark.read.schema(cells)).option("header", False).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
+    rows = _source(rows.select(F.array(*cells.fieldNames()).alias("cells"), "_metadata"), pattern).drop("_metadata")
+    headers = csv_headers(spark, root, pattern)
+    rows = rows.join(F.broadcast(headers) if about["n"] <= BROADCAST_FILES else headers, "source_file")
+    own = F.transform(F.slice("cells", 1, F.size("names")), lambda x: F.lower(F.trim(F.coalesce(x, F.lit("")))))
+    rows = rows.filter(own != F.col("names"))
+
+    def field(name: str) -> Column:
+        at = F.array_position("names", name.lower())
+        return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
+
+    typed, bad = typed_fields(schema, field)
+    # a quote that stays open takes the following lines into its field
+    bad = bad | (F.col("open_quote") & F.exists("cells", lambda x: F.coalesce(x.contains("\n"), F.lit(False))))
+    flagged = rows.select(*typed, bad.alias("_bad"), "source_file")
+    return flagged.filter(~F.col("_bad")).select(*keep), flagged.filter(F.col("_bad")).drop("_bad")
 
 
 def load_audit(loaded: DataFrame, rejected: DataFrame, by: Column | None = None, last: int = 5) -> DataFrame:
@@ -134,21 +130,20 @@ def load_audit(loaded: DataFrame, rejected: DataFrame, by: Column | None = None,
 
 def scan_multi_file(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
     """O-IO-05: all CSV files of a folder (columns aligned by name), else all Parquet files."""
-    csv = list_files(spark, folder, suffixes=(".csv",))
-    if csv:
+    if _has(data_files(spark, folder, "*.csv")):
         if schema is None:
             raise ValueError("a target schema is needed for CSV files")
         return scan_csv_by_name(spark, folder, schema)[0]
-    pq = list_files(spark, folder, suffixes=(".parquet",))
-    if not pq:
+    if not _has(data_files(spark, folder, "*.parquet")):
         raise FileNotFoundError(folder)
-    return spark.read.option("mergeSchema", True).parquet(*pq)
+    return (spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").parquet(folder))
 
 
 def scan_first_available(spark: SparkSession, locations: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """O-IO-06: the first location that holds data files (only listings happen on the driver)."""
+    """O-IO-06: the first location that holds data files."""
     for loc in locations:
-        if list_files(spark, loc, suffixes=(".csv", ".parquet")):
+        if _has(data_files(spark, loc, "*.{csv,parquet}")):
             return scan_multi_file(spark, loc, schema)
     raise FileNotFoundError(f"no data in any of {locations}")
 

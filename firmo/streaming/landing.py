@@ -6,8 +6,9 @@ file source's checkpoint remembers which files were taken, ``availableNow``
 processes what has arrived and stops, and each micro-batch overwrites its own
 ``batch_id`` partition, so a retried batch does not duplicate rows.  The file
 source binds columns by position, so files of one stream share one header
-(``header_columns``); files with other layouts go through
-``sources.files.scan_csv_by_name``.
+(``header_columns``); a file with another header stops the stream with an error
+instead of loading values into the wrong columns, and files of other layouts go
+through ``sources.files.scan_csv_by_name``.  Rejected rows are always kept.
 """
 
 from __future__ import annotations
@@ -16,28 +17,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from firmo.sources.files import UNQUOTED_EMPTY, _typed
+from firmo.sources.files import csv_options, typed_fields
 
 
 def start_landing(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
-                  schema: T.StructType, header_columns: list[str], reject_dir: str | None = None,
+                  schema: T.StructType, header_columns: list[str], reject_dir: str,
                   once: bool = True) -> StreamingQuery:
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
-    raw = (spark.readStream.schema(text_schema).option("header", True)
-           .option("quote", '"').option("escape", '"')
-           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+    raw = (csv_options(spark.readStream.schema(text_schema)).option("header", True).option("enforceSchema", False)
            .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-           .option("nullValue", UNQUOTED_EMPTY)
            .csv(landing_dir)
            .withColumn("source_file", F.col("_metadata.file_path")))
-    typed, bad = _typed(raw, schema)
+    names = {c.strip().lower(): c for c in header_columns}
+    typed, bad = typed_fields(schema, lambda n: F.col(f"`{names[n.lower()]}`") if n.lower() in names else None)
     flagged = raw.select(*typed, bad.alias("_bad"), "source_file")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         good = batch.filter(~F.col("_bad")).drop("_bad", "source_file")
         good.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
-        if reject_dir:
-            batch.filter(F.col("_bad")).drop("_bad").write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
+        batch.filter(F.col("_bad")).drop("_bad").write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
 
     w = flagged.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")

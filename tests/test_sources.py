@@ -43,6 +43,17 @@ def test_scan_by_name_nulls_short_long_and_bad_rows(spark, tmpdir_path):
     assert [(r.load_unit, r.rows_loaded, r.rows_rejected) for r in audit] == [("2024-01-02", 1, 0), ("2024-01-01", 5, 1)]
 
 
+def test_quoted_line_ends_and_open_quotes(spark, tmpdir_path):
+    write(f"{tmpdir_path}/a.csv", 'name,n,city\n"Two\nlines",1990,Bonn\nacme,7,"Rome, ""IT"""\n')
+    write(f"{tmpdir_path}/b.csv", '"city","name"\nUK,Bolt\n')
+    write(f"{tmpdir_path}/c.csv", 'name,city\nlast,"Oslo\nnext,Bonn\n')
+    good, bad = FI.scan_csv_by_name(spark, tmpdir_path, SCHEMA)
+    rows = {r.name: (r.n, r.city) for r in good.collect()}
+    assert rows == {"Two\nlines": (1990, "Bonn"), "acme": (7, 'Rome, "IT"'), "Bolt": (None, "UK")}
+    assert [r.name for r in bad.collect()] == ["last"]
+    assert FI.scan_csv_by_name(spark, f"{tmpdir_path}/none", SCHEMA)[0].count() == 0
+
+
 def test_land_partitioned_rerun_is_idempotent(spark, tmpdir_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "name string, n int")
     for _ in range(2):

@@ -22,3 +22,11 @@ def test_incremental_landing_takes_each_file_once(spark, tmpdir_path):
     write(f"{land}/2024-01-02/b.csv", "name,n\nc,3\n")
     start_landing(spark, land, table, ckpt, SCHEMA, ["name", "n"], rej).awaitTermination()
     assert sorted((r.name, r.n) for r in read_staging(spark, table, SCHEMA).collect()) == [("a", 1), ("c", 3)]
+
+
+def test_another_header_is_not_bound_by_position(spark, tmpdir_path):
+    import pytest
+    land, table, ckpt, rej = (f"{tmpdir_path}/{x}" for x in ("landing", "table", "_ckpt", "rejects"))
+    write(f"{land}/2024-01-01/a.csv", "n,name\n1,a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        start_landing(spark, land, table, ckpt, SCHEMA, ["name", "n"], rej).awaitTermination()
