@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from firmo.llm.common import blocks, column, pick, utf8
 
 NONE = np.int64(1) << np.int64(60)
-REMEMBER = 150_000
+REMEMBER = 100_000
 #: fixed value: the split pattern of the byte-level pre-tokenizer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same cuts for texts whose characters beyond ASCII are Latin letters and

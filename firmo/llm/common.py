@@ -4,7 +4,6 @@ spans over UTF-8 bytes, stable 64-bit hashes and files under the shared folder."
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -15,9 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmo.llm import files
-from firmo.session import checkpoint_root
+from firmo.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: A-Z to a-z; every byte that is no word byte to 0.  Bytes of non-ASCII
 #: characters are all 0x80 or more and are word bytes, so UTF-8 bytes can be
@@ -148,7 +148,7 @@ def find_sorted(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the folder that all executors share."""
-    return f"{checkpoint_root(spark)}/firmo-llm/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_path(spark, f"llm-{name}")
 
 
 _shipped: set[str] = set()
@@ -156,8 +156,12 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> SparkSession:
     """Give the executors this package, as a zip in the shared folder, once for
-    each application: tasks must not rely on a path of the driver's machine."""
+    each application: tasks must not rely on a path of the driver's machine.  Where
+    the session has Spark's default of 10,000 rows for an Arrow batch, take 1,000:
+    rows are whole texts here, and a batch exists several times on its way."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     if sc.applicationId not in _shipped:
         import firmo
         root = Path(firmo.__file__).parent

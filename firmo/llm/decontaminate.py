@@ -176,44 +176,69 @@ def _shards(benchmark: DataFrame, limit: int) -> list[list[tuple[str, bytes]]]:
     return out
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, str, str, str]:
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS,
+         share: int | None = None) -> tuple[DataFrame, str, str, str]:
     """The documents' columns and three more, whose names come with them: the
     word spans hit (first and end of each, merged, in one array), the sorted ids
-    of occurring items, and the number of words.  No shuffle."""
+    of occurring items, and the number of words.  No shuffle.  With ``share`` the
+    last pass also drops contaminated rows and cuts the spans out of the others."""
     spark = docs.sparkSession
     names = [free_name(docs, n) for n in ("hit_spans", "hit_items", "word_count")]
     kinds = ["array<bigint>", "array<string>", "bigint"]
     out = docs.withColumns({n: F.expr(f"cast({'0' if n == names[2] else 'array()'} as {k})") for n, k in zip(names, kinds, strict=True)})
     schema = ", ".join(f"`{c}` {t}" for c, t in [*docs.dtypes, *zip(names, kinds, strict=True)])
-    for shard in _shards(benchmark, shard_words):
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(build(shard, window)), *names), schema)
+    shards = _shards(benchmark, shard_words)
+    for i, shard in enumerate(shards):
+        last = i == len(shards) - 1
+        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(build(shard, window)), *names, share if last else None), schema)
     return out, *names
 
 
-def _marker(shared, spans_name: str, items_name: str, words_name: str):
+def _marker(shared, spans_name: str, items_name: str, words_name: str, share: int | None):
     def run(batches):
         auto = shared.value
         for b in blocks(batches, "text"):
-            w = Words(utf8(column(b, "text")))
-            spans: dict[int, list[tuple[int, int]]] = {}
+            raw = utf8(column(b, "text"))
+            w = Words(raw)
+            found: dict[int, list[tuple[int, int]]] = {}
             items: dict[int, set[str]] = {}
             if auto is not None and len(w.starts):
                 doc = w.doc
-                for start, k, found in hits(auto, w, w.hashes()):
+                for start, k, names in hits(auto, w, w.hashes()):
                     d = int(doc[start])
-                    spans.setdefault(d, []).append((start - int(w.first[d]), start - int(w.first[d]) + k))
-                    items.setdefault(d, set()).update(auto.items[i] for i in found)
+                    found.setdefault(d, []).append((start - int(w.first[d]), start - int(w.first[d]) + k))
+                    items.setdefault(d, set()).update(auto.items[i] for i in names)
             new = {words_name: pa.array(w.counts.astype(np.int64))}
-            if spans:
-                s, t = column(b, spans_name).to_pylist(), column(b, items_name).to_pylist()
-                for d, got in spans.items():
-                    s[d] = _merge(got + list(zip(s[d][::2], s[d][1::2], strict=True)))
+            spans = column(b, spans_name).to_pylist()
+            if found:
+                t = column(b, items_name).to_pylist()
+                for d, got in found.items():
+                    spans[d] = _merge(got + list(zip(spans[d][::2], spans[d][1::2], strict=True)))
                     t[d] = sorted(items[d].union(t[d]))
-                new |= {spans_name: pa.array(s, pa.list_(pa.int64())), items_name: pa.array(t, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
+                new |= {spans_name: pa.array(spans, pa.list_(pa.int64())), items_name: pa.array(t, pa.list_(pa.string()))}
+            keep = None
+            if share is not None and any(spans):
+                n = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+                keep = pa.array([not (h > 0 and share * h >= c) for h, c in zip(n, w.counts.tolist(), strict=True)])
+                texts = column(b, "text").to_pylist()
+                for d, s in enumerate(spans):
+                    if s:
+                        texts[d] = _without(raw[d], w.starts[w.first[d]:w.first[d + 1]] - w.at[d], w.ends[w.first[d]:w.first[d + 1]] - w.at[d], s)
+                new["text"] = pa.array(texts, column(b, "text").type)
+            out = pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
+            yield out if keep is None else out.filter(keep)
     return run
 
 
+def _without(raw: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[int]) -> str:
+    """The text without the words of the spans."""
+    out, at = [], 0
+    for x, y in zip(spans[::2], spans[1::2], strict=True):
+        out.append(raw[at:starts[x]])
+        at = int(ends[y - 1])
+    return b"".join([*out, raw[at:]]).decode()
+
+
 def _merge(spans: list[tuple[int, int]]) -> list[int]:
     out: list[int] = []
     for a, b in sorted(spans):
@@ -247,29 +272,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
     """Drop documents of which at least one word in ``share`` is hit; cut the hit
     spans out of the others.  Same columns; n_chars, where there is one, follows
     the new text."""
-    got, spans_name, _, words = mark(docs, benchmark, window)
-    kept = got.where(~_contaminated(_hit_words(spans_name), F.col(words), share))
-    types = dict(docs.dtypes)
-
-    def run(batches):
-        for b in blocks(batches, "text"):
-            spans = column(b, spans_name).to_pylist()
-            texts = column(b, "text")
-            if any(spans):
-                raw = utf8(texts)
-                new = texts.to_pylist()
-                for i, s in enumerate(spans):
-                    if s:
-                        w, out, at = Words([raw[i]]), [], 0
-                        for x, y in zip(s[::2], s[1::2], strict=True):
-                            out.append(raw[i][at:w.starts[x]])
-                            at = int(w.ends[y - 1])
-                        new[i] = b"".join([*out, raw[i][at:]]).decode()
-                texts = pa.array(new, texts.type)
-            names = [c for c in b.schema.names if c in types]
-            yield pa.RecordBatch.from_arrays([texts if c == "text" else column(b, c) for c in names], names=names)
-
-    return with_length(kept.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)), docs)
+    got, *more = mark(docs, benchmark, window, share=share)
+    return with_length(got.drop(*more), docs)
 
 
 def with_length(out: DataFrame, like: DataFrame) -> DataFrame:
