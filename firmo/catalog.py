@@ -1197,11 +1197,27 @@ register("kde_by_sector", _pq(
                                               _mcap_pos(), ids=["sector"]), ["sector", "column_name"], points=100, cut=2.0))
 
 
+#: the singular tests as (table, check, columns, bounds), for the one-pass report
+_DQ_SPECS = {
+    "dq_raw_dim_company_name_not_null": ("raw_dim", "not_null", ["company_name"]),
+    "dq_raw_dim_company_name_unique": ("raw_dim", "unique", ["company_name"]),
+    "dq_raw_dim_no_duplicate_company_domain": ("raw_dim", "unique", ["company_name", "country"]),
+    "dq_raw_fct_company_name_not_null": ("raw_fct", "not_null", ["company_name"]),
+    "dq_raw_fct_no_duplicate_company_metric_date": ("raw_fct", "unique", ["company_id", "metric_date"]),
+    "dq_bronze_dim_no_duplicate_company_domain": ("bronze_dim", "unique", ["company_name", "country"]),
+    "dq_bronze_founder_name_not_null": ("founders", "not_null", ["founder_name"]),
+    "dq_bronze_fct_rank_range": ("bronze_fct", "range", ["fortune_rank"], 1, 1000),
+    "dq_bronze_fct_no_duplicate_company_metric_date": ("bronze_fct", "unique", ["company_id", "metric_date"]),
+    "dq_mart_company_name_unique": ("mart", "unique", ["company_name"]),
+    "dq_mart_rank_range": ("mart", "range", ["fortune_rank"], 1, 1000),
+    "dq_mart_no_duplicate_company_id": ("mart", "unique", ["company_id"]),
+}
+
+
 def _quality_report(spark, d):
     t = _tables(spark, d)
-    tests = {name: fn(t) for name, (fn, _sql) in _DQ_TESTS.items()}
-    suites = {name: DQ.validate(spark, frame(t), suite()) for name, (suite, frame, _t, _c) in _SUITES.items()}
-    return DQ.check_report(tests, suites)
+    tables = {n: getattr(t, n) for n in ("raw_dim", "raw_fct", "bronze_dim", "bronze_fct", "founders", "mart")}
+    return DQ.check_report(tables, _DQ_SPECS, {name: (tbl, suite()) for name, (suite, _f, tbl, _c) in _SUITES.items()})
 
 
 _REPORT_SQL = " UNION ALL ".join(

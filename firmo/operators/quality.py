@@ -219,15 +219,63 @@ def dataset_limits(df: DataFrame, max_columns: int = MAX_COLUMNS, max_rows: int
                      & (F.col("n_rows") >= 1) & (F.col("n_rows") <= max_rows)).alias("success"))
 
 
-def check_report(tests: dict[str, DataFrame], suites: dict[str, DataFrame]) -> DataFrame:
-    """One row per check of a run: violating rows of each dbt-style test, failed
-    expectations of each suite.  As in the reference's schedule, failures are
-    reported, not raised.  Every part is a one-row aggregate of its check."""
-    parts = [df.agg(F.count(F.lit(1)).alias("violations"))
-               .select(F.lit(name).alias("check_name"), F.lit("test").alias("kind"), "violations")
-             for name, df in tests.items()]
-    parts += [df.agg(F.count_if(~F.col("success")).alias("violations"))
-                .select(F.lit(name).alias("check_name"), F.lit("suite").alias("kind"), "violations")
-              for name, df in suites.items()]
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+def check_report(tables: dict[str, DataFrame], tests: dict[str, tuple], suites: dict[str, tuple[str, list[Expectation]]]) -> DataFrame:
+    """One row per check of a run: violating rows (or key values) of each dbt-style
+    test, failed expectations of each suite.  As in the reference's schedule,
+    failures are reported, not raised.
+
+    ``tests``: name -> (table, "not_null" | "range" | "unique", columns, low, high);
+    ``suites``: name -> (table, expectations).  All row-wise checks of a table share
+    one scan and one aggregate; each distinct key of a table is grouped once."""
+    parts: list[DataFrame] = []
+    for name, df in tables.items():
+        cols = set(df.columns)
+        rowwise: dict[str, Column] = {}
+        lines: list[tuple[str, str, str]] = []           # check, kind, SQL of its violations
+        keys: dict[tuple[str, ...], list[tuple[str, str, str]]] = {}
+        for check, (table, what, on, *bounds) in tests.items():
+            if table != name:
+                continue
+            if what == "unique":
+                keys.setdefault(tuple(on), []).append((check, "test", "groups"))
+                continue
+            c = F.col(on[0])
+            bad = c.isNull() if what == "not_null" else c.isNotNull() & ~c.between(*bounds)
+            rowwise[f"t{len(rowwise)}"] = F.count_if(bad)
+            lines.append((check, "test", list(rowwise)[-1]))
+        for check, (table, expectations) in suites.items():
+            if table != name:
+                continue
+            lines.append((check, "suite", "0"))
+            for e in expectations:
+                if e.column not in cols:
+                    if not e.optional:
+                        lines.append((check, "suite", "1"))
+                elif e.check == "unique":
+                    keys.setdefault((e.column,), []).append((check, "suite", _failed("evaluated", "unexpected", e.mostly)))
+                elif e.check != "exists":
+                    i = len(rowwise)
+                    evaluated, unexpected = _agg_exprs(df, i, e)
+                    rowwise[f"e{i}"], rowwise[f"u{i}"] = evaluated, unexpected
+                    lines.append((check, "suite", _failed(f"e{i}", f"u{i}", e.mostly)))
+        if lines:
+            one = df.agg(F.count(F.lit(1)).alias("_rows"), *[x.alias(n) for n, x in rowwise.items()])
+            parts.append(_lines(one, lines))
+        for key, own in keys.items():
+            n = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+            whole = F.col(key[0]).isNotNull()
+            g = n.agg(F.count_if(F.col("n") > 1).alias("groups"), F.coalesce(F.sum(F.when(whole, F.col("n"))), F.lit(0)).alias("evaluated"),
+                      F.coalesce(F.sum(F.when(whole & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("unexpected"))
+            parts.append(_lines(g, own))
+    out = reduce(lambda a, b: a.unionByName(b), parts).groupBy("check_name", "kind").agg(F.sum("violations").alias("violations"))
     return out.withColumn("passed", F.col("violations") == 0)
+
+
+def _failed(evaluated: str, unexpected: str, mostly: float) -> str:
+    return (f"CASE WHEN 1 - CASE WHEN {evaluated} > 0 THEN CAST({unexpected} AS DOUBLE) / {evaluated} ELSE 0 END "
+            f">= CAST({mostly!r} AS DOUBLE) - CAST(1e-12 AS DOUBLE) THEN 0 ELSE 1 END")
+
+
+def _lines(one: DataFrame, lines: list[tuple[str, str, str]]) -> DataFrame:
+    rows = ", ".join(f"'{check}', '{kind}', CAST({expr} AS BIGINT)" for check, kind, expr in lines)
+    return one.selectExpr(f"stack({len(lines)}, {rows}) AS (check_name, kind, violations)")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from firmo.params import DEFAULT, RunParams
 from firmo.plans import layers as LY
-from firmo.session import scratch_path
+from firmo.session import remove_path, scratch_path
 from firmo.sources import adapter
 from firmo.sources.sinks import materialize_layer
 
@@ -62,16 +62,32 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str | None = None, p: R
     return Run(stg_p, stg_s, raw_dim, raw_fct, mart, p, root)
 
 
-_RUNS: dict[tuple, Run] = {}
+SOURCES = ("customer", "nation", "orders", "supplier")
+_RUNS: dict[tuple, tuple[tuple, Run]] = {}
 _LOCK = threading.Lock()
 
 
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Times and sizes of the source tables: a run is good as long as they hold."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for t in SOURCES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = p.getFileSystem(conf)
+        out.append((fs.getFileStatus(p).getModificationTime(), fs.getContentSummary(p).getLength()))
+    return tuple(out)
+
+
 def staged(spark: SparkSession, sf_dir: str, p: RunParams = DEFAULT) -> Run:
-    """The run of this session for ``sf_dir`` (built on first use)."""
+    """The run of this session for ``sf_dir``: built on first use, and again (the old
+    tables removed) when a source table has changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)
+    now = _state(spark, sf_dir)
     with _LOCK:
-        run = _RUNS.get(key)
-        if run is None:
-            run = build_layers(spark, sf_dir, p=p)
-            _RUNS[key] = run
+        state, run = _RUNS.get(key, (None, None))
+        if run is None or state != now:
+            old, run = run, build_layers(spark, sf_dir, p=p)
+            _RUNS[key] = (now, run)
+            if old is not None:
+                remove_path(spark, old.root)
     return run

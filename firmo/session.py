@@ -7,6 +7,7 @@ setting is absent (local tests) do we pick a folder of our own.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -65,9 +66,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_watched: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/firmo-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/firmo-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the application's folder in the shared checkpoint
+    folder; the application's folder goes when its driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _watched:
+        _watched.add(app)
+        atexit.register(clean_scratch, spark)
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote under its scratch folder."""
+    try:
+        remove_path(spark, scratch_root(spark))
+    except Exception:  # noqa: BLE001  (the session may have ended before)
+        pass
 
 
 def local_path(path: str) -> str:

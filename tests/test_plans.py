@@ -43,3 +43,21 @@ def test_search_filters_reach_the_scan(spark):
     df = E.queries()["search_companies"](spark, SF)
     text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(employee_count,1000)" in text and "LessThanOrEqual(revenue,5.0E9)" in text
+
+
+def test_quality_report_reads_a_table_once_for_row_checks_and_once_per_key(spark):
+    plan = executed(E.queries()["quality_report"](spark, SF)).split("== Initial Plan ==")[0]
+    # 6 tables with row checks and 9 keys
+    assert len(re.findall("FileScan parquet", plan)) <= 15, plan
+
+
+def test_profiling_does_not_shuffle_the_long_form(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ["iqr_outliers", "box_stats", "histogram50", "kde_grid", "corr_matrix"]:
+            plan = executed(E.queries()[name](spark, SF))
+            # what a join needs by column name alone, or by row number, would be the long form itself
+            assert "SortMergeJoin [column_name#" not in plan or "BroadcastHashJoin" in plan, name
+            assert not re.search(r"hashpartitioning\(_rn", plan), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
