@@ -837,6 +837,10 @@ register("materialize_layer", oracle.q("SELECT * FROM raw_dim"))(
     lambda spark, d: SK.materialize_layer(spark, _layers(spark, d).raw_dim, "table", "raw_dim_companies",
                                           scratch_path(spark, "layers")))
 
+register("materialize_view", oracle.q("SELECT * FROM bronze_dim"))(
+    lambda spark, d: SK.materialize_layer(spark, _tables(spark, d).bronze_dim, "view", "bronze_dim_companies"))
+
+
 def _iso_sql(c: str) -> str:
     return (f"CASE WHEN strftime({c}, '%f') <> '000000' THEN strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') "
             f"ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S') END")
@@ -1065,6 +1069,15 @@ def _number_text():
     return F.element_at(F.array(*[F.lit(x) for x in _NUMBER_TEXTS]), (F.col("o_orderkey") % len(_NUMBER_TEXTS) + 1).cast("int"))
 
 
+register("validate_text_types", oracle.q(
+    f", t AS (SELECT {_NUMBER_TEXT_SQL} AS txt FROM orders), n AS (SELECT count(*) AS evaluated, "
+    "count(*) FILTER (WHERE txt IN ('12d', '7f', 'NaN', '1,234', '', 'n/a', '0x10')) AS unexpected FROM t) "
+    "SELECT 'type' AS \"check\", 'txt' AS \"column\", evaluated, unexpected, round(unexpected / evaluated, 6) AS ratio, m AS mostly, "
+    "1 - unexpected / evaluated >= m AS success FROM n, (VALUES (CAST(0.3 AS DOUBLE)), (0.9)) v(m)"))(
+    lambda spark, d: DQ.validate(spark, table(spark, d, "orders").select(_number_text().alias("txt")),
+                                 [DQ.expect_type("txt", "float64", 0.3), DQ.expect_type("txt", "float64", 0.9)]))
+
+
 _PER_NAME_SQL = ("per_name AS (SELECT company_name, founded_year, CAST((row_number() OVER (ORDER BY company_name) - 1) // 100 "
                  "AS BIGINT) AS batch_num FROM (SELECT *, row_number() OVER (PARTITION BY company_name ORDER BY "
                  "country ASC NULLS LAST, domain ASC NULLS LAST) AS rn FROM stg_secondary) x WHERE rn = 1)")

@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from firmo.functions.numeric import coerce_numeric
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("check", T.StringType()), T.StructField("column", T.StringType()),
     T.StructField("evaluated", T.LongType()), T.StructField("unexpected", T.LongType()),
@@ -105,7 +107,8 @@ def _agg_exprs(df: DataFrame, i: int, e: Expectation) -> list[Column]:
         if isinstance(dtype, _TYPE_NAMES.get(e.type_name, ())):
             return [F.count(c).alias(f"e{i}"), F.lit(0).cast("long").alias(f"u{i}")]
         if isinstance(dtype, T.StringType):
-            bad = nn & F.trim(c).try_cast(_type_cast(e.type_name)).isNull()
+            cast = _type_cast(e.type_name)
+            bad = nn & (F.lit(False) if cast == "string" else coerce_numeric(e.column, cast).isNull())
             return [F.count(c).alias(f"e{i}"), F.count_if(bad).alias(f"u{i}")]
         return [F.count(c).alias(f"e{i}"), F.count(c).alias(f"u{i}")]
     raise ValueError(e.check)
