@@ -198,16 +198,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int
     marks = (pick(labels, "doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
              .where(remainder("doc_id", divisor) != held_out)
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
-    ids = (marks.orderBy(F.xxhash64(F.col("doc_id"), F.lit(divisor)), "doc_id").limit(rows))
-    sized = (pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
-             .groupBy("doc_id", "y").agg(F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("size")))
+    by_hash = [F.xxhash64(F.col("doc_id"), F.lit(divisor)), F.col("doc_id")]
+    ids = marks.orderBy(*by_hash).limit(rows)
+    # one scan of the texts; what it finds, at most ``rows`` documents, is written
+    found = written(pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
+                    .groupBy("doc_id", "y").agg(F.max(F.coalesce("text", F.lit(""))).alias("text")), "sample")
     chosen, total = [], 0
-    for r in sized.orderBy(F.xxhash64(F.col("doc_id"), F.lit(divisor)), "doc_id").limit(rows).collect():
+    for r in found.select("doc_id", F.octet_length("text").alias("size")).orderBy(*by_hash).collect():
         total += r["size"]
         if total > max_bytes and chosen:
             break
-        chosen.append((r["doc_id"], r["y"]))
-    spark = docs.sparkSession
-    few = spark.createDataFrame(chosen, "doc_id long, y int")
-    return (pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id")
-            .groupBy("doc_id", "y").agg(F.max(F.coalesce("text", F.lit(""))).alias("text")))
+        chosen.append((r["doc_id"],))
+    few = docs.sparkSession.createDataFrame(chosen, "doc_id long")
+    return found.join(F.broadcast(few), "doc_id")
