@@ -20,7 +20,6 @@ are ignored; an empty benchmark leaves all documents clean."""
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
