@@ -1128,7 +1128,9 @@ def _info_pages(spark, d):
         F.when(r % 8 < 2, row("Location", F.lit("London, United Kingdom"))).otherwise(F.lit("")),
         F.lit("</tbody></table></body></html>"))
     none = F.lit("<html><p>no table</p></html>")
-    return p.select(r.alias("page_id"), F.when(r % 10 == 9, none).otherwise(html).alias("html"))
+    # parsing is the work: spread the pages, which the small staging files do not
+    return (p.select(r.alias("page_id"), F.when(r % 10 == 9, none).otherwise(html).alias("html"))
+            .repartition(spark.sparkContext.defaultParallelism, "page_id"))
 
 
 register("extract_infobox", oracle.q(

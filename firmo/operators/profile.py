@@ -11,6 +11,7 @@ no frequent value is ever gathered into one task or buffer.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -249,15 +250,19 @@ def histogram(lf: DataFrame, bins: int = 50) -> DataFrame:
                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
+KDE_SUMS = 80
+
+
 def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3.0, bins: int = 50) -> DataFrame:
     """O-AG-19: Gaussian kernel density on ``points`` grid points per group.
 
     Scott's bandwidth h = std * n^(-1/5); the grid spans min - cut*h .. max + cut*h.
     ``cut`` and ``points`` are those of the plot: a density over a histogram does
     not pass the data (cut 0, 200 points), a violin extends by two bandwidths
-    (cut 2, 100 points).  Each grid point is one sum of the same aggregate, so a
-    row is read once, is never multiplied, and only one row per group and task is
-    shuffled.  ``count_density`` is the curve scaled to a ``bins``-bin histogram."""
+    (cut 2, 100 points).  Each grid point is a sum; ``KDE_SUMS`` of them share an
+    aggregate, which is what generated code holds, so rows are never multiplied and
+    only one row per group and task is shuffled.  ``count_density`` is the curve
+    scaled to a ``bins``-bin histogram."""
     st = lf.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"),
                                  F.min("value").alias("_mn"), F.max("value").alias("_mx"))
     st = (st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
@@ -271,8 +276,13 @@ def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3
         z = (F.col("_g0") + i * F.col("_step") - F.col("value")) / F.col("_h")
         return F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"_k{i}")
 
-    sums = j.groupBy(*groups).agg(*[kernel(i) for i in range(points)])
-    long = sums.select(*groups, F.posexplode(F.array(*[f"_k{i}" for i in range(points)])).alias("i", "_s"))
+    parts = []
+    for lo in range(0, points, KDE_SUMS):
+        some = range(lo, min(points, lo + KDE_SUMS))
+        sums = j.groupBy(*groups).agg(*[kernel(i) for i in some])
+        parts.append(sums.select(*groups, F.posexplode(F.array(*[f"_k{i}" for i in some])).alias("_p", "_s"))
+                     .select(*groups, (F.col("_p") + lo).alias("i"), "_s"))
+    long = reduce(DataFrame.unionByName, parts)
     out = long.join(F.broadcast(st), groups)
     dens = F.col("_s") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
     return out.select(*groups, "i", _r(F.col("_g0") + F.col("i") * F.col("_step")).alias("x"),
