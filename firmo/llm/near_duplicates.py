@@ -284,9 +284,10 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: float, toleran
 
     def run(batches):
         for (band, bi, bj), t in _units(blocks(batches, "runs", 8 << 20)):
-            keys = t.column("key").to_pylist()
-            if len(keys) < 2:
+            if t.num_rows < 2:
                 continue
+            t = t.sort_by("key")                   # so that roots are smallest keys
+            keys = t.column("key").to_pylist()
             b = np.asarray(t.column("b"))
             side = np.full(len(keys), 2) if bi == bj else (b == bj).astype(int)
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
@@ -302,16 +303,19 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: float, toleran
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, label) of all ends of the edges (u, v), label being the smallest end of
-    the component.  Large-star and small-star steps in turn; each round's edges
-    are written to the shared folder."""
+    the component.  Edges point from the larger end to the smaller; large-star
+    moves each to the smallest neighbour of its smaller end, small-star gathers a
+    node's smaller neighbours at the smallest of them.  A component's smallest
+    node, which all others end up at, has no smaller neighbour and so is in no
+    group; the look-up of neighbours is a join of two tables, whose hot keys Spark
+    splits.  Each round's tables are written to the shared folder."""
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     if edges.isEmpty():
         return edges.select("u", F.col("v").alias("label"))
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = written(edges.groupBy("u").agg(F.min("v").alias("m")), "low")
+        large = edges.join(low.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
