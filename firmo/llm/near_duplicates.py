@@ -6,7 +6,8 @@ class, so copies never form pairs.  Classes that agree in a band of MinHash
 values are candidates.  For each candidate pair MinHash values are compared a
 few at a time; a pair is dropped as soon as the posterior probability that its
 similarity reaches the threshold (uniform prior, binomial likelihood) falls
-below ``tolerance``; the rest is verified exactly on the sets.
+below ``tolerance``; the rest is verified exactly on the sets.  Of the pairs at
+exactly 0.8 the bands miss 2.9e-7 and the pruning 6.2e-8, of those above fewer.
 
 Nothing that grows with the square of a group leaves a task: candidate groups
 with the same members are compared once; large groups are cut into blocks and
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from firmo.llm.common import Words, blocks, column, free_name, mix, pick, utf8, written
 
 HASHES = 64
-BANDS, ROWS = 14, 3
+BANDS, ROWS = 21, 3
 STEP = 16
 UNIT = 512               # members of a block
 UNIT_RUNS = 1 << 20      # runs of words of a block, at most, beyond one member
@@ -328,7 +329,7 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select("u", F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("u"), F.col("v").alias("label")).distinct())
 
 
-def join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float = 1e-4) -> DataFrame:
+def join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float = 1e-8) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the documents it
     is linked to directly or through others, its own if it has no link), n_links
     (other documents whose similarity reaches the threshold, copies among them),

@@ -1,4 +1,6 @@
+import inspect
 import random
+from math import comb
 
 import numpy as np
 import pytest
@@ -95,3 +97,19 @@ def test_posterior_bound_keeps_true_pairs():
     r = np.random.default_rng(1)
     lost = sum(any((x[:n]).sum() < m for n, m in least.items()) for x in r.random((20000, N.HASHES)) < 0.8)
     assert lost < 60
+
+
+def test_bands_and_pruning_lose_less_than_one_in_a_million():
+    """Exact binomial odds that a pair at the threshold is missed by all bands or
+    pruned before the exact check, with the default tolerance."""
+    least = N.fewest_matches(0.8, inspect.signature(N.join).parameters["tolerance"].default)
+    for p in (0.8, 0.82, 0.85, 0.9):
+        odds, pruned = {0: 1.0}, 0.0
+        for n in range(N.STEP, N.HASHES + 1, N.STEP):
+            after: dict[int, float] = {}
+            for m, q in odds.items():
+                for k in range(N.STEP + 1):
+                    after[m + k] = after.get(m + k, 0) + q * comb(N.STEP, k) * p ** k * (1 - p) ** (N.STEP - k)
+            pruned += sum(q for m, q in after.items() if m < least.get(n, 0))
+            odds = {m: q for m, q in after.items() if m >= least.get(n, 0)}
+        assert pruned < 1e-7 and (1 - p ** N.ROWS) ** N.BANDS + pruned < 1e-6
