@@ -10,8 +10,13 @@ item, reset the automaton; whole blocks of text are mapped to word numbers at
 once, and only stretches that stay inside the item vocabulary and its word
 pairs, long enough for the shortest window, are walked.
 
-The items are read in shards of bounded size; with several shards the documents
-pass through one automaton after the other, in one task each.
+The items are dealt by hash to shards of bounded size.  Tasks build a shard's
+automaton, write it to the shared folder and report the hashes of its windows;
+a bit table of bounded size over these drops nearly all of the documents' words
+in one pass.  What is left, stretches of windows that may be an item's, is joined
+by window hash with the shards that hold the window, and each shard's rows, in
+parts where there are many, are walked through its automaton.  The spans of all
+shards are gathered for each document.  Only counts reach the driver.
 
 Edge cases: null and empty texts have no words and are clean; items without
 words match nothing; repeated items count once for each item_id; rows with a
@@ -20,15 +25,22 @@ are ignored; an empty benchmark leaves all documents clean."""
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from firmo.llm.common import Words, blocks, column, find_sorted, free_name, pick, utf8
+from firmo.llm import files
+from firmo.llm.common import Words, blocks, column, find_sorted, free_name, mix, pick, shared_dir, utf8, written
 
 SHARD_WORDS = 200_000
+PROBES, MOST_BITS = 4, 27       # of the bit table: 16 MB at most; fuller, it only drops less
+PART_ROWS = 4096                # stretches that one part of a shard walks
+STRETCHES = "array<struct<at:bigint,words:binary,keys:array<bigint>>>"
+_STRETCHES = pa.list_(pa.struct([("at", pa.int64()), ("words", pa.binary()), ("keys", pa.list_(pa.int64()))]))
 
 
 @dataclass
@@ -137,8 +149,9 @@ def build(items: list[tuple[str, bytes]], window: int = 13) -> Automaton | None:
                      {s: sorted(d.items()) for s, d in short.items()}, [i for i, _ in items])
 
 
-def hits(auto: Automaton, w: Words, hashes: np.ndarray):
-    """(first word of the block, window length, items) of each window found."""
+def hits(auto: Automaton, first: np.ndarray, hashes: np.ndarray):
+    """(first word, window length, items) of each window found in texts of hashed
+    words; ``first`` are the places where texts begin."""
     number = find_sorted(auto.vocab, hashes)
     n = len(number)
     known = np.flatnonzero(number >= 0)
@@ -149,7 +162,7 @@ def hits(auto: Automaton, w: Words, hashes: np.ndarray):
     code = number[near - 1] * len(auto.vocab) + number[near]
     p = np.minimum(np.searchsorted(auto.pairs, code), max(len(auto.pairs) - 1, 0))
     joined[near] = auto.pairs[p] == code if len(auto.pairs) else False
-    joined[w.first[:-1]] = False
+    joined[first[:-1]] = False
     begin = known[~joined[known]]
     end = known[~joined[known + 1]] + 1
     long = end - begin >= auto.shortest
@@ -158,74 +171,210 @@ def hits(auto: Automaton, w: Words, hashes: np.ndarray):
             yield a + i - k + 1, k, items
 
 
-def _shards(benchmark: DataFrame, limit: int) -> list[list[tuple[str, bytes]]]:
-    """The items in shards of at most ``limit`` words (or one item), each of which
-    is small enough to broadcast.  The count of words is checked by Spark first."""
+def windows(hashes: np.ndarray, first: np.ndarray, sizes: list[int]):
+    """(size, first words, window hashes) of all windows of the sizes that lie
+    inside one text."""
+    n = len(hashes)
+    last = np.repeat(first[1:], np.diff(first))
+    acc = np.zeros(n, dtype=np.uint64)
+    for k in range(1, min(n, max(sizes, default=0)) + 1):
+        acc = acc[:n - k + 1] * np.uint64(0xA24BAED4963EE407) + hashes[k - 1:]
+        if k in sizes:
+            at = np.flatnonzero(np.arange(k, n + 1) <= last[:n - k + 1])
+            yield k, at, mix(acc[at] + np.uint64(k))
+
+
+def _probe(keys: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The k-th place of each key in a table of 2 ** bits bits."""
+    return mix(keys + np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) & np.uint64((1 << bits) - 1)
+
+
+def _benchmark(benchmark: DataFrame, window: int, limit: int) -> tuple[DataFrame, str, list[int]]:
+    """(key, shard) of all windows of the items, the folder of the shards'
+    automata, and the sizes of windows that occur."""
     rows = (pick(benchmark, "item_id", "text").where(F.col("item_id").isNotNull())
             .select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")).distinct())
-    out, held = [[]], 0
-    for r in rows.orderBy("item", "text").toLocalIterator():
-        raw = r["text"].encode()
-        n = len(raw) // 2 + 1                    # words at most
-        if held + n > limit and out[-1]:
-            out.append([])
-            held = 0
-        out[-1].append((r["item"], raw))
-        held += n
+    most = rows.agg(F.sum(F.floor(F.octet_length("text") / 2) + 1)).first()[0] or 0     # words at most
+    shards = max(1, -(-int(most) // limit))
+    folder = shared_dir(benchmark.sparkSession, "automata")
+
+    def run(batches):
+        def finish(shard, items):
+            auto = build(items, window)
+            files.put(f"{folder}/{shard}", [pickle.dumps(auto, pickle.HIGHEST_PROTOCOL)])
+            w = Words([t for _, t in items])
+            size = np.repeat(np.minimum(w.counts, window), w.counts)
+            for k, at, keys in windows(w.hashes(), w.first, sorted(set(size.tolist()))):
+                own = np.unique(keys[size[at] == k])         # items shorter than the window count whole
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), shard)), pa.array(np.full(len(own), k))], names=["key", "shard", "size"])
+
+        held, last = [], None
+        for b in batches:
+            for shard, item, text in zip(*(column(b, c).to_pylist() for c in ("shard", "item", "text")), strict=True):
+                if held and shard != last:
+                    yield from finish(last, held)
+                    held = []
+                held.append((item, text.encode()))
+                last = shard
+        if held:
+            yield from finish(last, held)
+
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(shards))).repartition(shards, "shard").sortWithinPartitions("shard", "item", "text")
+    table = written(dealt.mapInArrow(run, "key long, shard long, size long"), "windows")
+    sizes = sorted(r[0] for r in table.select("size").distinct().collect())     # one number for each length up to the window
+    return table.select("key", "shard"), folder, sizes
+
+
+def _bit_table(table: DataFrame) -> tuple[str, int]:
+    """A folder with the words (number, 64 bits) of a bit table over the keys, and
+    the logarithm of its size."""
+    bits = min(MOST_BITS, max(16, (16 * table.count()).bit_length()))
+
+    def run(batches):
+        for b in batches:
+            keys = np.asarray(column(b, "key")).view(np.uint64)
+            for p in (_probe(keys, k, bits) for k in range(PROBES)):
+                yield pa.RecordBatch.from_arrays([pa.array((p >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (p & np.uint64(63))).view(np.int64))], names=["at", "word"])
+
+    folder = shared_dir(table.sparkSession, "bits")
+    table.select("key").mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).repartition(8).write.parquet(folder)
+    return folder, bits
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def _load_bits(folder: str, bits: int) -> np.ndarray:
+    """The bit table, read once by each process, which holds one at a time."""
+    if folder not in _tables:
+        where, path = files._at(folder)
+        got = pq.read_table(path, filesystem=where)
+        out = np.zeros(1 << bits - 6, dtype=np.uint64)
+        out[np.asarray(got.column("at"))] = np.asarray(got.column("word")).view(np.uint64)
+        _tables.clear()
+        _tables[folder] = out
+    return _tables[folder]
+
+
+def _stretches(w: Words, bits: np.ndarray, log: int, sizes: list[int]) -> dict[int, list[dict]]:
+    """For each text the stretches of overlapping windows whose keys are in the
+    bit table: place of the first word, hashes of the words, keys."""
+    hashes = w.hashes()
+    starts, ends, keys = [], [], []
+    for k, at, key in windows(hashes, w.first, sizes):
+        for i in range(PROBES):
+            p = _probe(key, i, log)
+            stay = (bits[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+            at, key = at[stay], key[stay]
+        starts.append(at)
+        ends.append(at + k)
+        keys.append(key)
+    out: dict[int, list[dict]] = {}
+    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    if not len(start):
+        return out
+    order = np.argsort(start, kind="stable")
+    start, end, key = start[order], np.maximum.accumulate(np.concatenate(ends)[order]), np.concatenate(keys)[order].view(np.int64)
+    cut = np.concatenate([[0], np.flatnonzero(start[1:] >= end[:-1]) + 1, [len(start)]])
+    doc = w.doc
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        d = int(doc[start[a]])
+        out.setdefault(d, []).append({"at": int(start[a] - w.first[d]), "words": hashes[start[a]:end[b - 1]].tobytes(), "keys": np.unique(key[a:b]).tolist()})
     return out
 
 
+def _walked(stretches: DataFrame, table: DataFrame, folder: str) -> DataFrame:
+    """row, spans, items of each document row with hits.  ``stretches`` has row,
+    at, words, keys."""
+    routes = stretches.select("row", "at", F.explode("keys").alias("key")).join(table, "key").select("row", "at", "shard").distinct()
+    routes = written(routes, "routes")
+    load = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("long").alias("parts"))
+    width = int(stretches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (routes.join(load, "shard").withColumn("part", F.pmod(F.xxhash64("row", "at"), F.col("parts"))).join(stretches.select("row", "at", "words"), ["row", "at"])
+             .repartition(width, "shard", "part").sortWithinPartitions("shard", "part"))
+
+    def run(batches):
+        auto, last = None, None
+        for b in blocks(batches, "words"):
+            shard = np.asarray(column(b, "shard"))
+            cut = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if shard[lo] != last:
+                    auto, last = pickle.loads(files.read(f"{folder}/{shard[lo]}")), shard[lo]
+                part = b.slice(lo, hi - lo)
+                words = [np.frombuffer(x, dtype=np.uint64) for x in column(part, "words").to_pylist()]
+                first = np.concatenate([[0], np.cumsum([len(x) for x in words])])
+                at = np.asarray(column(part, "at")).tolist()
+                spans: list[list[tuple[int, int]]] = [[] for _ in words]
+                items: list[set[str]] = [set() for _ in words]
+                for start, k, names in hits(auto, first, np.concatenate(words)):
+                    i = int(np.searchsorted(first, start, side="right")) - 1
+                    a = at[i] + start - int(first[i])
+                    spans[i].append((a, a + k))
+                    items[i].update(auto.items[x] for x in names)
+                yield pa.RecordBatch.from_arrays([column(part, "row"), pa.array([_merge(x) for x in spans], pa.list_(pa.int64())), pa.array([list(x) for x in items], pa.list_(pa.string()))], names=["row", "spans", "items"])
+
+    got = dealt.select("shard", "part", "row", "at", "words").mapInArrow(run, "row long, spans array<bigint>, items array<string>").where(F.size("spans") > 0)
+    return got.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS,
-         share: int | None = None) -> tuple[DataFrame, str, str, str]:
-    """The documents' columns and three more, whose names come with them: the
-    word spans hit (first and end of each, merged, in one array), the sorted ids
-    of occurring items, and the number of words.  No shuffle.  With ``share`` the
-    last pass also drops contaminated rows and cuts the spans out of the others."""
-    spark = docs.sparkSession
+         share: int | None = None, keep: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
+    """The documents' columns (or those of ``keep``) and three more, whose names
+    come with them: the word spans hit (first and end of each, merged, in one
+    array), the sorted ids of occurring items, and the number of words.  Only
+    rows with stretches of the items are shuffled.  With ``share`` contaminated
+    rows are dropped and the spans cut out of the others."""
     names = [free_name(docs, n) for n in ("hit_spans", "hit_items", "word_count")]
-    kinds = ["array<bigint>", "array<string>", "bigint"]
-    out = docs.withColumns({n: F.expr(f"cast({'0' if n == names[2] else 'array()'} as {k})") for n, k in zip(names, kinds, strict=True)})
-    schema = ", ".join(f"`{c}` {t}" for c, t in [*docs.dtypes, *zip(names, kinds, strict=True)])
-    shards = _shards(benchmark, shard_words)
-    for i, shard in enumerate(shards):
-        last = i == len(shards) - 1
-        out = out.mapInArrow(_marker(spark.sparkContext.broadcast(build(shard, window)), *names, share if last else None), schema)
-    return out, *names
-
+    row, found_name = free_name(docs, "hit_row"), free_name(docs, "hit_stretches")
+    kinds = {c: t for c, t in docs.dtypes if keep is None or c in keep}
+    table, folder, sizes = _benchmark(benchmark, window, shard_words)
+    bits_folder, log = _bit_table(table) if sizes else ("", 0)
 
-def _marker(shared, spans_name: str, items_name: str, words_name: str, share: int | None):
     def run(batches):
-        auto = shared.value
+        bits = _load_bits(bits_folder, log) if sizes else None
         for b in blocks(batches, "text"):
-            raw = utf8(column(b, "text"))
-            w = Words(raw)
-            found: dict[int, list[tuple[int, int]]] = {}
-            items: dict[int, set[str]] = {}
-            if auto is not None and len(w.starts):
-                doc = w.doc
-                for start, k, names in hits(auto, w, w.hashes()):
-                    d = int(doc[start])
-                    found.setdefault(d, []).append((start - int(w.first[d]), start - int(w.first[d]) + k))
-                    items.setdefault(d, set()).update(auto.items[i] for i in names)
-            new = {words_name: pa.array(w.counts.astype(np.int64))}
-            spans = column(b, spans_name).to_pylist()
-            if found:
-                t = column(b, items_name).to_pylist()
-                for d, got in found.items():
-                    spans[d] = _merge(got + list(zip(spans[d][::2], spans[d][1::2], strict=True)))
-                    t[d] = sorted(items[d].union(t[d]))
-                new |= {spans_name: pa.array(spans, pa.list_(pa.int64())), items_name: pa.array(t, pa.list_(pa.string()))}
-            keep = None
-            if share is not None and any(spans):
-                n = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-                keep = pa.array([not (h > 0 and share * h >= c) for h, c in zip(n, w.counts.tolist(), strict=True)])
-                texts = column(b, "text").to_pylist()
-                for d, s in enumerate(spans):
-                    if s:
-                        texts[d] = _without(raw[d], w.starts[w.first[d]:w.first[d + 1]] - w.at[d], w.ends[w.first[d]:w.first[d + 1]] - w.at[d], s)
-                new["text"] = pa.array(texts, column(b, "text").type)
-            out = pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
-            yield out if keep is None else out.filter(keep)
+            w = Words(utf8(column(b, "text")))
+            got = _stretches(w, bits, log, sizes) if sizes else {}
+            yield pa.RecordBatch.from_arrays([*(column(b, c) for c in kinds), pa.array(w.counts.astype(np.int64)), pa.array([got.get(i, []) for i in range(b.num_rows)], _STRETCHES)],
+                                             names=[*kinds, names[2], found_name])
+
+    base = docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*kinds.items(), (names[2], "bigint"), (found_name, STRETCHES)]))
+    own = [F.col(f"`{c}`") for c in kinds]
+    none = [F.expr(f"cast(array() as array<{t}>)").alias(n) for n, t in zip(names, ("bigint", "string"), strict=False)]
+    if not sizes:
+        return base.select(*own, *none, names[2]), *names
+    # row numbers hold only for rows that are written
+    base = written(base.withColumn(row, F.monotonically_increasing_id()), "marked")
+    some = base.where(F.size(found_name) > 0)
+    stretches = some.select(F.col(row).alias("row"), F.explode(found_name).alias("x")).select("row", "x.at", "x.words", "x.keys")
+    hit = _walked(stretches, table, folder).select(F.col("row").alias(row), F.col("spans").alias(names[0]), F.col("items").alias(names[1]))
+    joined = some.join(hit, row, "left").select(*own, *[F.coalesce(n, e).alias(n) for n, e in zip(names, none, strict=False)], names[2])
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*kinds.items(), (names[0], "array<bigint>"), (names[1], "array<string>"), (names[2], "bigint")])
+    clean_rows = base.where(F.size(found_name) == 0).select(*own, *none, names[2])
+    return clean_rows.unionByName(joined.mapInArrow(_marker(names[0], share), schema)), *names
+
+
+def _marker(spans_name: str, share: int | None):
+    """Merge the spans of each row; with ``share`` drop and cut."""
+    def run(batches):
+        for whole in batches:
+            for b in blocks([whole], "text") if share is not None else [whole]:
+                spans = [_merge(list(zip(x[::2], x[1::2], strict=True))) for x in column(b, spans_name).to_pylist()]
+                new = {spans_name: pa.array(spans, pa.list_(pa.int64()))}
+                stay = None
+                if share is not None and any(spans):
+                    raw = utf8(column(b, "text"))
+                    w = Words(raw)
+                    n = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+                    stay = pa.array([not (h > 0 and share * h >= c) for h, c in zip(n, w.counts.tolist(), strict=True)])
+                    texts = column(b, "text").to_pylist()
+                    for d, s in enumerate(spans):
+                        if s:
+                            texts[d] = _without(raw[d], w.starts[w.first[d]:w.first[d + 1]] - w.at[d], w.ends[w.first[d]:w.first[d + 1]] - w.at[d], s)
+                    new["text"] = pa.array(texts, column(b, "text").type)
+                out = pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
+                yield out if stay is None else out.filter(stay)
     return run
 
 
@@ -260,7 +409,7 @@ def _contaminated(hit, words, share: int = 20):
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    got, spans, items, words = mark(pick(docs, "doc_id", "text"), benchmark)
+    got, spans, items, words = mark(pick(docs, "doc_id", "text"), benchmark, keep=["doc_id"])
     got = got.withColumn("n_hit", _hit_words(spans))
     return got.select("doc_id", F.col(words).alias("n_words"), "n_hit", F.size(items).cast("long").alias("n_items"),
                       F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),

@@ -104,6 +104,22 @@ def test_contamination_query_and_cleaning(spark, make_docs, edge_docs, no_docs):
     assert D.clean(edge_docs, bench).columns == edge_docs.columns and D.query(no_docs, bench).count() == 0
 
 
+def test_no_item_reaches_the_driver(spark, make_docs, contaminated, monkeypatch):
+    """Shards are built in tasks: the driver neither builds nor reads items."""
+    items, texts = contaminated
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def never(*_):
+        raise AssertionError("an item on the driver")
+
+    monkeypatch.setattr(type(bench), "toLocalIterator", never)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", never)
+    got, spans, names, n = D.mark(make_docs(list(enumerate(texts[:12]))), bench, shard_words=40)
+    for r in got.collect():
+        hit = sum(b - a for a, b in zip(r[spans][::2], r[spans][1::2]))
+        assert (r[n], hit, r[names]) == brute_hits(texts[r["doc_id"]], items)
+
+
 # -- personal data ------------------------------------------------------------------
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
