@@ -335,14 +335,7 @@ def join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float =
     (other documents whose similarity reaches the threshold, copies among them),
     copy_id (smallest doc_id with the same words) and n_copies (documents with
     the same words, itself among them)."""
-    rows = written(sketch(docs, n), "sketch")
-    have = rows.where("key IS NOT NULL")
-    classes = written(have.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")), "classes")
-    found = links(docs, classes, n, threshold, tolerance)
-    linked = found.groupBy("key").agg(F.sum("n_docs").alias("n_docs"))
-    labels = components(found.select(F.col("key").alias("u"), F.col("root").alias("v"))).select(F.col("u").alias("key"), "label")
-    about = classes.select("key", "rep", "copies").join(linked, "key", "left").join(labels, "key", "left")
-    about = written(about.select("key", "rep", "copies", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("label", "key").alias("label")), "about")
+    rows, about = _classes(docs, threshold, n, tolerance)
     smallest = about.groupBy("label").agg(F.min("rep").alias("class_id"))
     named = about.join(smallest, "label")
     out = rows.select("doc_id", "key").join(named, "key", "left")
@@ -351,20 +344,53 @@ def join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float =
                       F.coalesce("rep", "doc_id").alias("copy_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
-def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The document with the smallest doc_id of each group; same columns.  Of
-    repeated rows of that document one stays."""
-    got = join(docs, threshold)
-    gone = written(got.where("doc_id <> class_id").select("doc_id").distinct(), "gone")
-    twice = got.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def _classes(docs: DataFrame, threshold: float, n: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, key, sig of every row; key, rep, copies, n_docs and label (the
+    smallest key of the linked classes) of every class."""
+    rows = written(sketch(docs, n), "sketch")
+    have = rows.where("key IS NOT NULL")
+    classes = written(have.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")), "classes")
+    found = links(docs, classes, n, threshold, tolerance)
+    linked = found.groupBy("key").agg(F.sum("n_docs").alias("n_docs"))
+    labels = components(found.select(F.col("key").alias("u"), F.col("root").alias("v"))).select(F.col("u").alias("key"), "label")
+    about = classes.select("key", "rep", "copies").join(linked, "key", "left").join(labels, "key", "left")
+    about = written(about.select("key", "rep", "copies", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("label", "key").alias("label")), "about")
+    return rows, about
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float = 1e-8) -> DataFrame:
+    """One row of each group of linked texts; same columns.  The smallest doc_id
+    of the group stays, a null one only where the group has no other; rows are
+    judged by doc_id and words, so where a doc_id occurs with two texts each is
+    kept or dropped with its own group.  Of repeated rows of the kept document one
+    stays.  Texts without words are in no group: only repeated rows with a doc_id
+    go, all with a null doc_id stay."""
+    rows, about = _classes(docs, threshold, n, tolerance)
+    best = about.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "key")).alias("best"))
+    named = about.join(best, "label").select("key", F.col("best.rep").alias("best_id"), F.col("best.key").alias("best_key"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_key"))
+    key, rank, other_id, other_key = (free_name(docs, x) for x in ("near_key", "rank", "near_other_id", "near_other_key"))
+    other = [F.col("doc_id").alias(other_id), F.col("key").alias(other_key)]
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & F.col(key).eqNullSafe(F.col(other_key))
+    gone = written(rows.where("key IS NOT NULL").join(named, "key").where(~stays).select(*other).distinct(), "gone")
+    twice = (rows.where("key IS NOT NULL OR doc_id IS NOT NULL").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(*other))
     twice = written(twice, "twice")
+
+    def run(batches):
+        for batch in batches:
+            for b in blocks([batch], "text"):
+                keys = pa.array(_class_keys(Words(utf8(column(b, "text")))), pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, keys], names=[*b.schema.names, key])
+
+    keyed = docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*docs.dtypes, (key, "binary")]))
+    kept = keyed.join(gone, same, "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if twice.isEmpty():
-        return kept
-    w = Window.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("text")
-    rank = free_name(kept, "rank")
-    one = kept.join(twice, "doc_id", "left_semi").withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
-    return kept.join(twice, "doc_id", "left_anti").select(*kept.columns).unionByName(one.select(*kept.columns))
+        return kept.select(*columns)
+    wordless = F.when(F.col(key).isNull(), F.xxhash64(F.coalesce("text", F.lit(""))))
+    w = Window.partitionBy("doc_id", key, wordless).orderBy("text")
+    one = kept.join(twice, same, "left_semi").withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1)
+    return kept.join(twice, same, "left_anti").select(*columns).unionByName(one.select(*columns))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -113,3 +113,10 @@ def test_bands_and_pruning_lose_less_than_one_in_a_million():
             pruned += sum(q for m, q in after.items() if m < least.get(n, 0))
             odds = {m: q for m, q in after.items() if m >= least.get(n, 0)}
         assert pruned < 1e-7 and (1 - p ** N.ROWS) ** N.BANDS + pruned < 1e-6
+
+
+def test_rows_are_judged_by_id_and_text(make_docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = make_docs([(1, a), (5, a), (5, b), (None, a + " more"), (None, c), (None, c), (None, ""), (None, "")])
+    got = sorted(((r["doc_id"] or -1), r["text"]) for r in N.keep_one(docs).collect())
+    assert got == sorted([(1, a), (5, b), (-1, c), (-1, ""), (-1, "")])
