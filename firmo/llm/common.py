@@ -190,6 +190,19 @@ def remainder(col: str, divisor: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(divisor))
 
 
+def fitting(sizes: list[tuple[int, int]], max_bytes: int) -> list[int]:
+    """Ids of (id, size) rows that hold at most ``max_bytes`` together, in the
+    order given; a row that does not fit is skipped.  Rows over a 64th of the bytes
+    come after all others, so that few long rows do not take the place of many; if
+    no row fits, the smallest is taken."""
+    chosen, total = [], 0
+    for i, size in sorted(sizes, key=lambda r: r[1] > max_bytes // 64):
+        if total + size <= max_bytes:
+            total += size
+            chosen.append(i)
+    return chosen or [i for i, _ in sorted(sizes, key=lambda r: r[1])[:1]]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int,
                     rows: int, max_bytes: int) -> DataFrame:
     """A bounded training sample: at most ``rows`` labelled documents outside the
@@ -203,11 +216,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int
     # one scan of the texts; what it finds, at most ``rows`` documents, is written
     found = written(pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id")
                     .groupBy("doc_id", "y").agg(F.max(F.coalesce("text", F.lit(""))).alias("text")), "sample")
-    chosen, total = [], 0
-    for r in found.select("doc_id", F.octet_length("text").alias("size")).orderBy(*by_hash).collect():
-        total += r["size"]
-        if total > max_bytes and chosen:
-            break
-        chosen.append((r["doc_id"],))
+    sizes = [(r["doc_id"], r["size"]) for r in found.select("doc_id", F.octet_length("text").alias("size")).orderBy(*by_hash).collect()]
+    chosen = [(i,) for i in fitting(sizes, max_bytes)]
     few = docs.sparkSession.createDataFrame(chosen, "doc_id long")
     return found.join(F.broadcast(few), "doc_id")

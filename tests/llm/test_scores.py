@@ -87,3 +87,19 @@ def test_split_is_crc32_of_the_text(spark):
     import zlib
     rows = spark.range(50).select("id", remainder("id", 5).alias("r")).collect()
     assert all(r["r"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows)
+
+
+def test_long_rows_leave_the_sample_its_rows():
+    from firmo.llm.common import fitting
+    rows = [(0, 900), (1, 5000)] + [(i, 10) for i in range(2, 60)]
+    assert sorted(fitting(rows, 1000)) == list(range(2, 60))
+    assert fitting([(1, 900), (2, 200), (3, 50)], 1000) == [1, 3]
+    assert fitting([(1, 3000), (2, 2000)], 1000) == [2] and fitting([], 1000) == []
+
+
+def test_a_long_document_does_not_empty_the_sample(spark, make_docs):
+    from firmo.llm.common import labelled_sample
+    docs = make_docs([(i, "x" * 5000 if i % 5 == 0 else f"short {i}") for i in range(50)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    got = {r["doc_id"] for r in labelled_sample(docs, labels, "toxic", 7, 99, 100, 4000).collect()}
+    assert got == {i for i in range(50) if i % 5}
