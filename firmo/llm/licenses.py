@@ -113,13 +113,16 @@ def rules() -> list[Rule]:
     ("licensed under ..."), bare names, and the notices."""
     out = []
     for label, names, versions in FAMILIES:
+        # an SPDX identifier depends on label and version alone
+        for v in versions:
+            out.append(Rule(f"{label}-{v}", re.compile(rb"spdx-license-identifier:[ \t]*" + re.escape(label.encode()) + rb"-" + re.escape(v.encode()) + rb"(?:-only|-or-later|\+)?(?![0-9a-z.])"), (b"spdx", v.encode()), 100, 1.0))
+        out.append(Rule(label, re.compile(rb"spdx-license-identifier:[ \t]*" + re.escape(label.encode()) + rb"(?:-only|-or-later|\+)?(?![0-9a-z+-]|\.[0-9a-z])"), (b"spdx", label.encode()), 100, 1.0))
         for name in names:
             words = tuple(sorted((w.encode() for w in name.split()), key=len, reverse=True)[:2])
             body = phrase(name)
             for v in versions:
                 number = re.escape(v.encode())
                 out.append(Rule(f"{label}-{v}", re.compile(body + rb"(?:" + GAP + rb"version)?[^0-9a-z\x80-\xff]{1,4}v?" + number + rb"(?![0-9]|\.[0-9])(?:" + GAP + rb"or" + GAP + rb"later)?"), (*words, v.encode()), 90, 0.95))
-                out.append(Rule(f"{label}-{v}", re.compile(rb"spdx-license-identifier:[ \t]*" + re.escape(label.encode()) + rb"-" + number + rb"(?:-only|-or-later|\+)?(?![0-9a-z.])"), (b"spdx", v.encode()), 100, 1.0))
             out.append(Rule(label, re.compile(rb"(?:licen[cs]ed|released|distributed|available|published)" + GAP + rb"under" + GAP + rb"(?:the" + GAP + rb"|a" + GAP + rb")?(?:terms" + GAP + rb"of" + GAP + rb"the" + GAP + rb")?" + body), (*words, b"under"), 80, 0.9))
             if len(name.split()) > 1:
                 out.append(Rule(label, re.compile(body), words, 70, 0.7))

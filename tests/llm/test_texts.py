@@ -45,6 +45,15 @@ def test_overlaps_are_resolved_by_priority():
     assert len(L.rules()) > 300
 
 
+def test_spdx_rules_once_and_for_every_family():
+    every = [(r.label, r.pattern.pattern) for r in L.rules()]
+    assert len(every) == len(set(every))
+    for label, _, versions in L.FAMILIES:
+        for name in [label, *(f"{label}-{v}" for v in versions)]:
+            assert [d[2] for d in L.scanner().detect(f"// spdx-license-identifier: {name}\n".encode())] == [name]
+    assert [d[2] for d in L.scanner().detect(b"spdx-license-identifier: mit-0")] == ["spdx"]
+
+
 # -- decontamination -------------------------------------------------------------
 
 def brute_hits(text, items, window=13):
