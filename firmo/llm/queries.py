@@ -127,9 +127,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the given ones, what they must return has
 @_query("op11_html_text", r"""
 WITH a AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(h1|p)>') AS parts FROM pages),
-     t AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(
-                  replace(replace(replace(x, '<br>', ' '), '<b>', ''), '</b>', ''), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-                  '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+     t AS (SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                  replace(replace(replace(replace(x, '<br>', ' '), '<b>', ''), '</b>', ''), '&#x27;', chr(39)),
+                  '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM a),
      j AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM t)
 SELECT page_id, url, text, length(text) AS n_chars FROM j""")
 def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
