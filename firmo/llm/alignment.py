@@ -46,8 +46,10 @@ from firmo.llm.common import blocks, column, pick, shared_dir, utf8, written
 CHUNK = 1 << 16
 #: fragments that a step of the tree joins
 FAN = 8
-#: a task's table of units starts anew when it holds so many, or a unit so many bytes
-UNITS, UNIT_BYTES = 100_000, 256
+#: a task's table of units starts anew when it holds so many, or one of so many characters
+UNITS, UNIT_BYTES = 300_000, 4096
+#: characters of units that go to a tokenizer at once
+PART_CHARS = 4096
 #: pairs of the table of counts that tasks read as a whole
 TABLE_PAIRS = 4_000_000
 #: a task's counts of pairs are sent on when it holds so many
@@ -81,10 +83,11 @@ class Pair:
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.units: Units | None = None
         self.space = [self.b.piece_to_id("▁")]
 
     def a_ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def b_ids(self, texts: list[str]) -> list[list[int]]:
         """Of texts that start with a space, which sentencepiece adds itself, but for the empty text."""
@@ -105,18 +108,22 @@ def load(a_path: str, b_path: str) -> Pair:
 
 # -- groups and links of closed tokens -------------------------------------------
 def common_ends(a: Tokens, b: Tokens) -> np.ndarray:
-    return np.intersect1d(a[1], b[1], assume_unique=True)
+    return a[1][np.isin(a[1], b[1], assume_unique=True)] if len(b[1]) else b[1]
 
 
 def groups_text(a: Tokens, b: Tokens, ends: np.ndarray) -> str:
     """The groups as ``a1,a2|b1;a3|b2,b3``; the last token of each side ends a group."""
+    return ";".join(_groups(a, b, ends))
+
+
+def _groups(a: Tokens, b: Tokens, ends: np.ndarray) -> list[str]:
     a_cut, b_cut = np.searchsorted(a[1], ends, "right"), np.searchsorted(b[1], ends, "right")
     a_ids, b_ids = list(map(str, a[0].tolist())), list(map(str, b[0].tolist()))
     out, i, j = [], 0, 0
     for m, n in zip(a_cut.tolist(), b_cut.tolist(), strict=True):
-        out.append(",".join(a_ids[i:m]) + "|" + ",".join(b_ids[j:n]))
+        out.append((a_ids[i] if m == i + 1 else ",".join(a_ids[i:m])) + "|" + (b_ids[j] if n == j + 1 else ",".join(b_ids[j:n])))
         i, j = m, n
-    return ";".join(out)
+    return out
 
 
 def links(a: Tokens, b: Tokens) -> np.ndarray:
@@ -137,67 +144,102 @@ class Units:
     def clear(self) -> None:
         self.of: dict[str, int] = {}
         self.text: list[str] = []
-        self.numbers: list[tuple[int, int, int, int]] = []       # n_a, n_b, n_groups (0: bytes differ), n_links
-        self.pairs: list[np.ndarray] = []
+        self.numbers = np.empty((0, 4), np.int64)       # n_a, n_b, n_groups (0: bytes differ), n_links
+        self.links = np.empty(0, np.uint32)             # of all units, one after the other
+
+    def tokens_of(self, new: list[str]) -> tuple[list[str], list[int], list[int], list[str]]:
+        """Units whose bytes both tokenizers keep, their A ids and B ids one after the
+        other, and the units whose bytes differ.  Units go to the tokenizers many at a
+        time, as both cut between them; one that ends in white space goes alone."""
+        p, parts, open_ = self.pair, [], []
+        size = 0
+        for u in new:
+            if u[-1].isspace():
+                parts.append([u])
+                continue
+            open_.append(u)
+            size += len(u)
+            if size > PART_CHARS:
+                parts.append(open_)
+                open_, size = [], 0
+        if open_:
+            parts.append(open_)
+        kept: list[str] = []
+        ids_a: list[int] = []
+        ids_b: list[int] = []
+        bad: list[str] = []
+        while parts:
+            texts, again = ["".join(x) for x in parts], []
+            for units, text, x, y in zip(parts, texts, p.a_ids(texts), p.b_ids(texts), strict=True):
+                raw = text.encode()
+                if p.same(raw, x, p.a_bytes) and p.same(raw, y, p.b_bytes):
+                    kept += units
+                    ids_a += x
+                    ids_b += y
+                elif len(units) == 1:
+                    bad += units
+                else:
+                    again += [[u] for u in units]
+            parts = again
+        return kept, ids_a, ids_b, bad
 
     def learn(self, new: list[str]) -> None:
-        if len(self.of) + len(new) > UNITS:
-            self.clear()
-        p = self.pair
-        for unit, x, y in zip(new, p.a_ids(new), p.b_ids(new), strict=True):
-            raw = unit.encode()
-            self.of[unit] = len(self.text)
-            if p.same(raw, x, p.a_bytes) and p.same(raw, y, p.b_bytes):
-                if len(x) == 1 == len(y):
-                    text, n, pairs = f"{x[0]}|{y[0]}", 1, np.array([x[0] << 16 | y[0]], np.uint32)
-                else:
-                    a, b = tokens(x, p.a_size), tokens(y, p.b_size)
-                    ends = common_ends(a, b)
-                    text, n, pairs = groups_text(a, b, ends), len(ends), links(a, b)
-                self.text.append(text)
-                self.numbers.append((len(x), len(y), n, len(pairs)))
-                self.pairs.append(pairs)
-            else:
-                self.text.append("")
-                self.numbers.append((0, 0, 0, 0))
-                self.pairs.append(np.empty(0, np.uint32))
-
-    def whole(self, texts: list[bytes]) -> list[tuple]:
+        """Tokens, groups and links of all new units at once: one after the other
+        they are a text, in which the end of each unit is a common end."""
+        kept, ids_a, ids_b, bad = self.tokens_of(new)
+        a, b = tokens(ids_a, self.pair.a_size), tokens(ids_b, self.pair.b_size)
+        ends, every = common_ends(a, b), np.union1d(a[1], b[1])
+        groups = _groups(a, b, ends)
+        last = np.cumsum([len(u.encode()) for u in kept], dtype=np.int64)
+        cuts = [np.searchsorted(x, last, "right") for x in (a[1], b[1], ends, every)]
+        numbers = np.zeros((len(new), 4), np.int64)
+        for k, cut in enumerate(cuts):
+            numbers[:len(kept), k] = np.diff(cut, prepend=0)
+        at = 0
+        for u, cut in zip(kept, cuts[2].tolist(), strict=True):
+            self.of[u] = len(self.text)
+            self.text.append(";".join(groups[at:cut]))
+            at = cut
+        for u in bad:
+            self.of[u] = len(self.text)
+            self.text.append("")
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.links = np.concatenate([self.links, links(a, b)])
+
+    def whole(self, texts: list[bytes]) -> list[tuple | None]:
         """Of each text (a space and the document's text): n_a, n_b, n_groups, n_links,
-        groups text, and the distinct pairs with their numbers of links."""
+        groups text, and the distinct pairs with their numbers of links; None where
+        the bytes differ."""
         cut = [_UNIT.findall(t.decode()) for t in texts]
-        new = [u for u in dict.fromkeys(u for c in cut for u in c) if u not in self.of]
-        if len(self.of) + len(new) > UNITS:
+        units = set()
+        for c in cut:
+            units.update(c)
+        new = units.difference(self.of)
+        if len(self.text) + len(new) > UNITS:
             self.clear()
-            new = list(dict.fromkeys(u for c in cut for u in c))
-        self.learn(new)
-        flat = np.fromiter((self.of[u] for c in cut for u in c), np.int64, sum(map(len, cut)))
-        numbers = np.array(self.numbers, np.int64).reshape(-1, 4)
-        doc = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+            new = units
+        self.learn(sorted(new))
+        get = self.of.__getitem__
+        flat = [list(map(get, c)) for c in cut]
+        size = np.array([len(c) for c in flat], np.int64)
+        doc = np.repeat(np.arange(len(cut)), size)
+        every = np.fromiter((u for c in flat for u in c), np.int64, int(size.sum()))
+        sums = np.zeros((len(cut), 4), np.int64)
+        for k in range(4):
+            sums[:, k] = np.bincount(doc, self.numbers[every, k], len(cut))
         good = np.ones(len(cut), bool)
-        good[doc[numbers[flat, 2] == 0]] = False
-        # links of all units of the block, then of each document
-        have, where = np.unique(flat, return_inverse=True)
-        lists = [self.pairs[i] for i in have]
-        size = np.array([len(x) for x in lists], np.int64)
-        start = np.concatenate([[0], np.cumsum(size)])
-        every = np.concatenate(lists) if lists else np.empty(0, np.uint32)
-        n = size[where]
-        at = np.repeat(start[:-1][where] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n) + np.arange(int(n.sum()))
-        keys, times = np.unique(np.repeat(doc, n).astype(np.uint64) << np.uint64(32) | every[at].astype(np.uint64), return_counts=True)
-        bound = np.searchsorted(keys, np.arange(len(cut) + 1).astype(np.uint64) << np.uint64(32))
-        out, first = [], np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
-        for i in range(len(cut)):
-            mine = flat[first[i]:first[i + 1]]
-            if not good[i] or not len(mine):
-                out.append(None)
-                continue
-            s = slice(bound[i], bound[i + 1])
-            out.append((*numbers[mine].sum(axis=0).tolist(), ";".join([self.text[u] for u in mine.tolist()]),
-                        keys[s].astype(np.uint32), times[s].astype(np.uint32)))
-        for u in [u for u in new if len(u) > UNIT_BYTES]:       # long units do not stay
-            del self.of[u]
-        if len(self.text) > 2 * UNITS:
+        good[doc[self.numbers[every, 2] == 0]] = False
+        # the links of each unit, at each of its places
+        n = self.numbers[every, 3]
+        start = np.cumsum(self.numbers[:, 3]) - self.numbers[:, 3]
+        at = np.repeat(start[every] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        keys, times = np.unique(np.repeat(doc, n).astype(np.uint64) << np.uint64(32) | self.links[at].astype(np.uint64), return_counts=True)
+        bound = np.searchsorted(keys, np.arange(len(cut) + 1).astype(np.uint64) << np.uint64(32)).tolist()
+        pairs, times = keys.astype("<u4"), times.astype("<u4")
+        named = self.text.__getitem__
+        out = [(*numbers, ";".join(map(named, units)), pairs[x:y], times[x:y]) if ok and units else None
+               for numbers, units, ok, x, y in zip(sums.tolist(), flat, good.tolist(), bound, bound[1:], strict=False)]
+        if any(len(u) > UNIT_BYTES for u in new):       # long units do not stay
             self.clear()
         return out
 
@@ -408,7 +450,8 @@ def _first(docs: DataFrame, a_path: str, b_path: str, chunk: int) -> DataFrame:
     types = [pa.int64(), None, *[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
 
     def run(batches):
-        units = Units(load(a_path, b_path))
+        pair = load(a_path, b_path)
+        units = pair.units = pair.units or Units(pair)       # kept from task to task
         for b in blocks(batches, "text"):
             ids, rids = column(b, "doc_id").to_pylist(), column(b, "rid").to_pylist()
             texts = utf8(column(b, "text"))
