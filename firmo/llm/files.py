@@ -41,3 +41,8 @@ def reader(uri: str):
 def read(uri: str) -> bytes:
     with reader(uri) as f:
         return f.read()
+
+
+def exists(uri: str) -> bool:
+    where, path = _at(uri)
+    return where.get_file_info(path).is_file

@@ -28,9 +28,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from firmo.llm.common import Words, blocks, column, free_name, mix, pick, utf8, written
+from firmo.llm import rows as rows_
+from firmo.llm.common import Words, blocks, column, mix, pick, utf8, written
 
 HASHES = 64
 BANDS, ROWS = 21, 3
@@ -101,19 +102,26 @@ def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
     return out
 
 
-def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, key, sig of every whole text.  No shuffle."""
+def sketch(docs: DataFrame, n: int, places: bool = False) -> DataFrame:
+    """doc_id, key, sig of every whole text; with ``places`` also its file, position
+    and a hash of the text, of a plain scan of files.  No shuffle."""
+    more = ["file", "at", "said"] if places else []
+
     def run(batches):
         for b in blocks(batches, "text"):
             w = Words(utf8(column(b, "text")))
             keys = _class_keys(w)
             sig = _signatures(*_runs(w, n))
             yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id"), pa.array(keys, pa.binary()), pa.array([s.tobytes() if k else None for s, k in zip(sig, keys, strict=True)], pa.binary())],
-                names=["doc_id", "key", "sig"])
+                [column(b, "doc_id"), pa.array(keys, pa.binary()), pa.array([s.tobytes() if k else None for s, k in zip(sig, keys, strict=True)], pa.binary()),
+                 *[column(b, c) for c in more]], names=["doc_id", "key", "sig", *more])
 
     need = pick(docs, "doc_id", "text")
-    return need.mapInArrow(run, f"doc_id {dict(need.dtypes)['doc_id']}, key binary, sig binary")
+    if places:
+        # the metadata belongs to the scan, before any other column is left out
+        whole, file, at = rows_.placed(docs)
+        need = whole.select("doc_id", "text", F.col(file).alias("file"), F.col(at).alias("at"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("said"))
+    return need.mapInArrow(run, f"doc_id {dict(need.dtypes)['doc_id']}, key binary, sig binary" + (", file string, at long, said long" if places else ""))
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -344,10 +352,10 @@ def join(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: float =
                       F.coalesce("rep", "doc_id").alias("copy_id"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
-def _classes(docs: DataFrame, threshold: float, n: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
-    """doc_id, key, sig of every row; key, rep, copies, n_docs and label (the
+def _classes(docs: DataFrame, threshold: float, n: int, tolerance: float, places: bool = False) -> tuple[DataFrame, DataFrame]:
+    """doc_id, key, sig (and place) of every row; key, rep, copies, n_docs and label (the
     smallest key of the linked classes) of every class."""
-    rows = written(sketch(docs, n), "sketch")
+    rows = written(sketch(docs, n, places), "sketch")
     have = rows.where("key IS NOT NULL")
     classes = written(have.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("sig").alias("sig")), "classes")
     found = links(docs, classes, n, threshold, tolerance)
@@ -364,33 +372,28 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, tolerance: flo
     judged by doc_id and words, so where a doc_id occurs with two texts each is
     kept or dropped with its own group.  Of repeated rows of the kept document one
     stays.  Texts without words are in no group: only repeated rows with a doc_id
-    go, all with a null doc_id stay."""
-    rows, about = _classes(docs, threshold, n, tolerance)
+    go, all with a null doc_id stay.
+
+    What goes is decided on narrow rows and written as a list of positions for each
+    file of the table; the texts are read once more and never shuffled."""
+    docs = rows_.on_files(docs)
+    rows, about = _classes(docs, threshold, n, tolerance, places=True)
     best = about.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "key")).alias("best"))
     named = about.join(best, "label").select("key", F.col("best.rep").alias("best_id"), F.col("best.key").alias("best_key"))
-    stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_key"))
-    key, rank, other_id, other_key = (free_name(docs, x) for x in ("near_key", "rank", "near_other_id", "near_other_key"))
-    other = [F.col("doc_id").alias(other_id), F.col("key").alias(other_key)]
-    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & F.col(key).eqNullSafe(F.col(other_key))
-    gone = written(rows.where("key IS NOT NULL").join(named, "key").where(~stays).select(*other).distinct(), "gone")
-    twice = (rows.where("key IS NOT NULL OR doc_id IS NOT NULL").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(*other))
-    twice = written(twice, "twice")
-
-    def run(batches):
-        for batch in batches:
-            for b in blocks([batch], "text"):
-                keys = pa.array(_class_keys(Words(utf8(column(b, "text")))), pa.binary())
-                yield pa.RecordBatch.from_arrays([*b.columns, keys], names=[*b.schema.names, key])
-
-    keyed = docs.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*docs.dtypes, (key, "binary")]))
-    kept = keyed.join(gone, same, "left_anti")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    if twice.isEmpty():
-        return kept.select(*columns)
-    wordless = F.when(F.col(key).isNull(), F.xxhash64(F.coalesce("text", F.lit(""))))
-    w = Window.partitionBy("doc_id", key, wordless).orderBy("text")
-    one = kept.join(twice, same, "left_semi").withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1)
-    return kept.join(twice, same, "left_anti").select(*columns).unionByName(one.select(*columns))
+    narrow = rows.select("file", "at", "doc_id", "key", "said").join(named, "key", "left")
+    other = F.col("key").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("key") == F.col("best_key")))
+    gone = narrow.where(other).select("file", "at")
+    # rows of one document: of an id with words, or with one text without; a document
+    # that is repeated often leaves each task as one row
+    left = narrow.where(~other & (F.col("key").isNotNull() | F.col("doc_id").isNotNull()))
+    same = ["doc_id", "key", F.when(F.col("key").isNull(), F.col("said")).alias("wordless")]
+    left = written(left.select("file", "at", "said", *same), "left")
+    order = F.struct("said", "file", "at")
+    first = left.groupBy("doc_id", "key", "wordless").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    first = first.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("wordless").alias("w"), "first")
+    twice = left.join(first, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("key").eqNullSafe(F.col("k")) & F.col("wordless").eqNullSafe(F.col("w")))
+    gone = gone.unionByName(twice.where(order != F.col("first")).select("file", "at"))
+    return rows_.apply_marks(docs, rows_.write_marks(gone), rows_.drop)
 
 
 def query(docs: DataFrame) -> DataFrame:
