@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from firmo.llm import files
+from firmo.llm import files, rows as rows_
 from firmo.llm.common import Words, blocks, column, find_sorted, free_name, mix, pick, shared_dir, utf8, written
 
 SHARD_WORDS = 200_000
@@ -319,12 +319,11 @@ def _walked(stretches: DataFrame, table: DataFrame, folder: str) -> DataFrame:
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: int = SHARD_WORDS,
-         share: int | None = None, keep: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
+         keep: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
     """The documents' columns (or those of ``keep``) and three more, whose names
     come with them: the word spans hit (first and end of each, merged, in one
     array), the sorted ids of occurring items, and the number of words.  Only
-    rows with stretches of the items are shuffled.  With ``share`` contaminated
-    rows are dropped and the spans cut out of the others."""
+    rows with stretches of the items are shuffled."""
     names = [free_name(docs, n) for n in ("hit_spans", "hit_items", "word_count")]
     row, found_name = free_name(docs, "hit_row"), free_name(docs, "hit_stretches")
     kinds = {c: t for c, t in docs.dtypes if keep is None or c in keep}
@@ -352,29 +351,15 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, shard_words: i
     joined = some.join(hit, row, "left").select(*own, *[F.coalesce(n, e).alias(n) for n, e in zip(names, none, strict=False)], names[2])
     schema = ", ".join(f"`{c}` {t}" for c, t in [*kinds.items(), (names[0], "array<bigint>"), (names[1], "array<string>"), (names[2], "bigint")])
     clean_rows = base.where(F.size(found_name) == 0).select(*own, *none, names[2])
-    return clean_rows.unionByName(joined.mapInArrow(_marker(names[0], share), schema)), *names
+    return clean_rows.unionByName(joined.mapInArrow(_merged(names[0]), schema)), *names
 
 
-def _marker(spans_name: str, share: int | None):
-    """Merge the spans of each row; with ``share`` drop and cut."""
+def _merged(spans_name: str):
+    """Merge the spans of each row."""
     def run(batches):
-        for whole in batches:
-            for b in blocks([whole], "text") if share is not None else [whole]:
-                spans = [_merge(list(zip(x[::2], x[1::2], strict=True))) for x in column(b, spans_name).to_pylist()]
-                new = {spans_name: pa.array(spans, pa.list_(pa.int64()))}
-                stay = None
-                if share is not None and any(spans):
-                    raw = utf8(column(b, "text"))
-                    w = Words(raw)
-                    n = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-                    stay = pa.array([not (h > 0 and share * h >= c) for h, c in zip(n, w.counts.tolist(), strict=True)])
-                    texts = column(b, "text").to_pylist()
-                    for d, s in enumerate(spans):
-                        if s:
-                            texts[d] = _without(raw[d], w.starts[w.first[d]:w.first[d + 1]] - w.at[d], w.ends[w.first[d]:w.first[d + 1]] - w.at[d], s)
-                    new["text"] = pa.array(texts, column(b, "text").type)
-                out = pa.RecordBatch.from_arrays([new.get(c, column(b, c)) for c in b.schema.names], names=b.schema.names)
-                yield out if stay is None else out.filter(stay)
+        for b in batches:
+            spans = [_merge(list(zip(x[::2], x[1::2], strict=True))) for x in column(b, spans_name).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(spans, pa.list_(pa.int64())) if c == spans_name else column(b, c) for c in b.schema.names], names=b.schema.names)
     return run
 
 
@@ -419,9 +404,48 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """Drop documents of which at least one word in ``share`` is hit; cut the hit
     spans out of the others.  Same columns; n_chars, where there is one, follows
-    the new text."""
-    got, *more = mark(docs, benchmark, window, share=share)
-    return with_length(got.drop(*more), docs)
+    the new text.
+
+    Only rows with stretches of the items are written and shuffled, without their
+    texts; what was hit comes back as spans by the row's file and position."""
+    table, folder, sizes = _benchmark(benchmark, window, SHARD_WORDS)
+    if not sizes:
+        return docs
+    docs = rows_.on_files(docs)
+    bits_folder, log = _bit_table(table)
+    whole, file, at = rows_.placed(docs)
+
+    def run(batches):
+        bits = _load_bits(bits_folder, log)
+        for b in blocks(batches, "text"):
+            got = _stretches(Words(utf8(column(b, "text"))), bits, log, sizes)
+            some = pa.array(sorted(got), pa.int64())
+            yield pa.RecordBatch.from_arrays([column(b, "file").take(some), column(b, "at").take(some), pa.array([got[i] for i in sorted(got)], _STRETCHES)], names=["file", "at", "found"])
+
+    found = whole.select("text", F.col(file).alias("file"), F.col(at).alias("at")).mapInArrow(run, f"file string, at long, found {STRETCHES}")
+    # row numbers hold only for rows that are written
+    found = written(found.withColumn("row", F.monotonically_increasing_id()), "stretches")
+    hit = _walked(found.select("row", F.explode("found").alias("x")).select("row", "x.at", "x.words", "x.keys"), table, folder)
+    marks = found.select("row", "file", "at").join(hit.select("row", "spans"), "row").drop("row")
+    return with_length(rows_.apply_marks(docs, rows_.write_marks(marks), _cutter(share)), docs)
+
+
+def _cutter(share: int):
+    """Rows with at least one hit word in ``share`` go, from the others the hit spans."""
+    def change(batch: pa.RecordBatch, marks: list[dict | None]) -> pa.RecordBatch:
+        texts, stay = column(batch, "text").to_pylist(), [True] * len(marks)
+        for i, m in enumerate(marks):
+            if m is not None:
+                spans = _merge(list(zip(m["spans"][::2], m["spans"][1::2], strict=True)))
+                raw = (texts[i] or "").encode()
+                w = Words([raw])
+                hits = sum(spans[1::2]) - sum(spans[::2])
+                stay[i] = not (hits > 0 and share * hits >= len(w.starts))
+                texts[i] = _without(raw, w.starts, w.ends, spans)
+        new = pa.array(texts, column(batch, "text").type)
+        out = pa.RecordBatch.from_arrays([new if c == "text" else column(batch, c) for c in batch.schema.names], names=batch.schema.names)
+        return out.filter(pa.array(stay))
+    return change
 
 
 def with_length(out: DataFrame, like: DataFrame) -> DataFrame:
