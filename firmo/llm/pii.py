@@ -37,7 +37,9 @@ CONTEXT, WINDOW, STRIDE = 24, 96, 64
 BLOCK = 4 << 20
 
 # fixed values: the base patterns
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# (a match of IP starts where a run of digits starts and takes the runs whole, so
+# the look-behind and the possessive runs change nothing but the time)
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -72,7 +74,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind, then start; leftmost and non-overlapping in each kind."""
     out = [(0, a, b) for a, b in _emails(text)]
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             out.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0])
