@@ -141,11 +141,11 @@ def test_a_run_follows_its_source_tables(spark, tmpdir_path):
 
     from firmo.plans.runs import staged
     for t in ("customer", "nation", "orders", "supplier"):
-        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{tmpdir_path}/{t}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{t}.parquet", f"{tmpdir_path}/{t}.parquet")
     first = staged(spark, tmpdir_path)
     assert staged(spark, tmpdir_path) is first
     n = first.stg_secondary.count()
-    shutil.copy("/root/testdata/sf0.01/supplier.parquet", f"{tmpdir_path}/supplier.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/supplier.parquet", f"{tmpdir_path}/supplier.parquet")
     again = staged(spark, tmpdir_path)
     assert again is not first and again.stg_secondary.count() > n
     import os
