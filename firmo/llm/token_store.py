@@ -37,7 +37,7 @@ from firmo.llm.common import blocks, column, pick, shared_dir, utf8
 MAGIC = b"FWMX1"
 SEGMENT = 1 << 21
 BLOCK = 512          # bits for each rank sample
-REMEMBER = 150_000
+REMEMBER = 400_000
 
 
 class Wavelet:
