@@ -32,6 +32,7 @@ from firmo.schemas import (MART_COLUMNS, RAW_DIM_COLUMNS, RAW_FCT_COLUMNS, STG_P
                            STG_SECONDARY)
 from firmo.session import scratch_path
 from firmo.sources import files as FI
+from firmo.sources import ledger as LG
 from firmo.sources import sinks as SK
 from firmo.sources.tables import table
 
@@ -815,6 +816,57 @@ register("load_audit", oracle.q(
         by=F.regexp_extract("source_file", r"/(\d{4}-\d{2}-\d{2})/", 1)))(_land_secondary_csv(spark, d)))
 
 
+# one file, cut into ranges wherever they fall
+register("scan_csv_ranges", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
+    lambda spark, d: (lambda root: FI.scan_csv(spark, root, STG_SECONDARY, range_bytes=1 << 16)[0].drop("source_file", "byte_offset"))(
+        _land_one_file_a_day(spark, d)))
+
+
+def _land_one_file_a_day(spark, d) -> str:
+    root, text = scratch_path(spark, "landing"), _landing_text(spark, d)
+    _write_csv(text.filter("_even").coalesce(1), f"{root}/{_DAY_A}")
+    _write_csv(text.filter("NOT _even").coalesce(1), f"{root}/{_DAY_B}")
+    return root
+
+
+def _scan_stray_quotes(spark, d):
+    """Quotes inside unquoted fields, beside quoted fields with line ends."""
+    root, three = scratch_path(spark, "stray"), ["company_name", "country", "founded_year"]
+    sec = _layers(spark, d).stg_secondary.select(*three).dropna()
+    line = F.concat(F.replace("company_name", F.lit(","), F.lit(" ")), F.lit(' 3"x,"'), "country", F.lit('\nof it",'), F.col("founded_year").cast("string"))
+    head = spark.createDataFrame([(",".join(three),)], "value string")
+    head.unionByName(sec.select(line.alias("value"))).coalesce(1).write.text(f"{root}/plain.csv")
+    paths = [r["path"] for r in FI.data_files(spark, root, "*.txt").collect()]
+    return FI.scan_csv(spark, root, T.StructType([STG_SECONDARY[c] for c in three]), paths=paths, range_bytes=1 << 16)[0].drop("source_file", "byte_offset")
+
+
+register("scan_stray_quotes", oracle.q(
+    "SELECT trim(replace(company_name, ',', ' ') || ' 3\"x') AS company_name, country || chr(10) || 'of it' AS country, founded_year FROM stg_secondary "
+    "WHERE company_name IS NOT NULL AND country IS NOT NULL AND founded_year IS NOT NULL"))(_scan_stray_quotes)
+
+_LOAD_DAY = _dt.datetime(2024, 3, 7, 12, 0, 0)
+
+
+def _ledger_loads(spark, d) -> str:
+    """Three loads of one table: the first day's file, then what is new, then the first day again by force."""
+    root, table = _land_one_file_a_day(spark, d), scratch_path(spark, "loaded")
+    for hours, pattern, force in ((-30, f"/{_DAY_A}/", False), (-2, None, False), (-1, f"/{_DAY_A}/", True)):
+        LG.load(spark, root, STG_SECONDARY, table, _LOAD_DAY + _dt.timedelta(hours=hours), pattern, force)
+    return table
+
+
+register("load_history", oracle.q(
+    f"SELECT CASE WHEN e THEN '2024-03-07 11:00:00' ELSE '2024-03-07 10:00:00' END AS load_time, CASE WHEN e THEN '{_DAY_A}' ELSE '{_DAY_B}' END AS load_unit, "
+    "e AS forced, rows_loaded, rows_rejected, CASE WHEN rows_rejected > 0 THEN 'a field does not convert' END AS first_error FROM "
+    f"(SELECT coalesce(founded_year % 2 = 0, false) AS e, count(*) FILTER (WHERE NOT {_BAD_ROW}) AS rows_loaded, "
+    f"count(*) FILTER (WHERE {_BAD_ROW}) AS rows_rejected FROM stg_secondary GROUP BY 1) t"))(
+    lambda spark, d: LG.load_history(spark, _ledger_loads(spark, d), _LOAD_DAY).select(
+        F.date_format("load_time", "yyyy-MM-dd HH:mm:ss").alias("load_time"), F.regexp_extract("source_file", r"/(\d{4}-\d{2}-\d{2})/", 1).alias("load_unit"),
+        "forced", "rows_loaded", "rows_rejected", "first_error"))
+register("read_loaded", oracle.q(f"SELECT * FROM {_CSV_SECONDARY}"))(
+    lambda spark, d: LG.read(spark, _ledger_loads(spark, d), STG_SECONDARY).drop("source_file"))
+
+
 def _land_partitioned(spark, d):
     root = scratch_path(spark, "raw")
     sec = _layers(spark, d).stg_secondary

@@ -1,10 +1,9 @@
 """File scans (O-IO-01..06, O-IO-11).
 
-CSV files are read as text columns; fields are matched to the target schema
-by header name (case-insensitive, trimmed), so files may order their columns
-differently, lack columns or carry extra ones.  One job reads the first lines of
-all files; one scan reads all rows with as many text columns as the widest file
-has, and each row finds its fields by the positions in its own file's header.
+CSV files are read by byte ranges (``csv_ranges``); fields are matched to the target
+schema by header name (case-insensitive, trimmed), so files may order their columns
+differently, lack columns or carry extra ones: each row finds its fields by the
+positions in its own file's header.
 Listing is left to Spark's file index; nothing on the driver is done per file.
 """
 
@@ -13,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from firmo.session import scratch_path
+from firmo.sources import csv_ranges
+
 # Text that the staging load reads as NULL.
 NULL_TOKENS = ("NULL", "null", "\\N")
 
@@ -43,30 +45,12 @@ def _has(files: DataFrame | None) -> bool:
 
 
 def csv_options(reader):
-    """How the staging load reads CSV: quoted fields may hold quotes and line ends."""
+    """How the streaming load reads CSV: quoted fields may hold quotes and line ends."""
     return (reader.option("multiLine", True).option("quote", '"').option("escape", '"')
             .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
             .option("mode", "PERMISSIVE").option("nullValue", UNQUOTED_EMPTY))
 
 
-def _source(df: DataFrame, pattern: str | None) -> DataFrame:
-    out = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return out.filter(F.col("source_file").rlike(pattern)) if pattern else out
-
-
-def csv_headers(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """(source_file, names, open_quote): the column names in the first line of each
-    file, and whether the file holds an odd number of quotes."""
-    lines = _source(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
-                    .select("value", "_metadata"), pattern)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    start = F.when(F.col("_metadata.file_block_start") == 0, F.col("at"))
-    first = (lines.withColumn("at", F.monotonically_increasing_id())
-             .groupBy("source_file").agg(F.min_by("value", start).alias("line"), (F.sum(quotes) % 2 == 1).alias("open_quote")))
-    parts = F.split(F.regexp_replace("line", "^﻿", ""), r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return first.select("source_file", "open_quote", F.transform(parts, lambda x: F.lower(F.trim(F.regexp_replace(F.trim(x), '^"|"$', "")))).alias("names"))
-
-
 def typed_fields(schema: T.StructType, field) -> tuple[list[Column], Column]:
     """Columns of the schema from text (``field(name)``, None where the file has no
     such column), and whether a row is bad: a non-empty text that does not convert."""
@@ -86,33 +70,36 @@ def typed_fields(schema: T.StructType, field) -> tuple[list[Column], Column]:
     return typed, bad
 
 
-def scan_csv_by_name(spark: SparkSession, root: str, schema: T.StructType, pattern: str | None = None,
-                     with_file: bool = False) -> tuple[DataFrame, DataFrame]:
-    """O-IO-01/02: (loaded rows, rejected rows).  A row is rejected when a
-    non-empty field does not convert to its column type or a quote stays open; the
-    load goes on.  Short rows and extra fields are accepted."""
-    keep = [f.name for f in schema.fields] + (["source_file"] if with_file else [])
-    about = csv_headers(spark, root, pattern).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("names")).alias("w")).first() if _exists(spark, root) else None
-    if about is None or not about["n"]:
-        empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
-        return empty.select(*keep), empty
-    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(about["w"])])
-    rows = csv_options(spark.read.schema(cells)).option("header", False).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
-    rows = _source(rows.select(F.array(*cells.fieldNames()).alias("cells"), "_metadata"), pattern).drop("_metadata")
-    headers = csv_headers(spark, root, pattern)
-    rows = rows.join(F.broadcast(headers) if about["n"] <= BROADCAST_FILES else headers, "source_file")
-    own = F.transform(F.slice("cells", 1, F.size("names")), lambda x: F.lower(F.trim(F.coalesce(x, F.lit("")))))
-    rows = rows.filter(own != F.col("names"))
+def scan_csv(spark: SparkSession, root: str, schema: T.StructType, pattern: str | None = None, paths: list[str] | None = None,
+             range_bytes: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """O-IO-01/02: (loaded rows, rejected rows, files).  Rows have their file and byte
+    offset, rejects the cause as well: a non-empty field that does not convert to its
+    column type, or a quote that is never closed; the load goes on.  Short rows and
+    extra fields are accepted.  Files: (source_file, n_bytes, print)."""
+    place = [T.StructField("source_file", T.StringType()), T.StructField("byte_offset", T.LongType())]
+    if not paths and not _exists(spark, root):
+        empty = spark.createDataFrame([], T.StructType([*schema.fields, *place, T.StructField("cause", T.StringType())]))
+        return empty.drop("cause"), empty, spark.createDataFrame([], "source_file string, n_bytes long, print decimal(38,0)")
+    rows, about = csv_ranges.read_records(spark, root, lambda name: scratch_path(spark, name), UNQUOTED_EMPTY, pattern, paths, range_bytes)
+    headers = about.select("file", F.transform("cells", lambda x: F.lower(F.trim(x))).alias("names"))
+    rows = rows.join(F.broadcast(headers) if about.count() <= BROADCAST_FILES else headers, "file")
 
     def field(name: str) -> Column:
         at = F.array_position("names", name.lower())
         return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
 
     typed, bad = typed_fields(schema, field)
-    # a quote that stays open takes the following lines into its field
-    bad = bad | (F.col("open_quote") & F.exists("cells", lambda x: F.coalesce(x.contains("\n"), F.lit(False))))
-    flagged = rows.select(*typed, bad.alias("_bad"), "source_file")
-    return flagged.filter(~F.col("_bad")).select(*keep), flagged.filter(F.col("_bad")).drop("_bad")
+    cause = F.when(F.col("open"), F.lit(csv_ranges.OPEN_QUOTE)).when(bad, F.lit(csv_ranges.BAD_FIELD))
+    flagged = rows.select(*typed, F.col("file").alias("source_file"), F.col("at").alias("byte_offset"), cause.alias("cause"))
+    return (flagged.where("cause IS NULL").drop("cause"), flagged.where("cause IS NOT NULL"),
+            about.select(F.col("file").alias("source_file"), "n_bytes", "print"))
+
+
+def scan_csv_by_name(spark: SparkSession, root: str, schema: T.StructType, pattern: str | None = None,
+                     with_file: bool = False) -> tuple[DataFrame, DataFrame]:
+    """O-IO-01/02: (loaded rows, rejected rows with their file)."""
+    good, rejects, _ = scan_csv(spark, root, schema, pattern)
+    return good.drop("byte_offset", *([] if with_file else ["source_file"])), rejects.drop("byte_offset", "cause")
 
 
 def load_audit(loaded: DataFrame, rejected: DataFrame, by: Column | None = None, last: int = 5) -> DataFrame:
