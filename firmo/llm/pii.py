@@ -5,16 +5,19 @@ bidirectional LSTM whose outputs score the tags (outside, begin and inside of
 each kind); transitions are those of a linear-chain CRF.  It is trained in
 numpy on windows of the corpus whose spans are labelled by the base patterns.
 
-A span of any kind holds a digit or an ``@``, so a text is read in regions
-around those characters, wherever they are; the rest of the text cannot hold a
-span.  A region is cut into overlapping windows; each window scores its
-characters, overlapping scores are blended by the distance from the window's
-edge, and one Viterbi pass over the whole region reconciles them, so a span may
-run through any number of windows.  Spans that touch a base span are dropped;
+Whole texts are tagged.  Each is cut into overlapping windows; each window scores
+its characters, overlapping scores are blended by the distance from the window's
+edge, and one Viterbi path over the whole text reconciles them, so a span may run
+through any number of windows.  Most characters cannot be tagged by the best path
+whatever surrounds them (``open_stretches`` gives the bound); the path is searched
+between those only, and is the same.  Spans that touch a base span are dropped;
 base spans always stay.
 
+A task holds some 60 bytes for each character of a block of texts, or of one text
+that is longer than a block.
+
 Edge cases: a null text is empty and has no spans; texts of any length are read
-whole; repeated rows each get their row; extra columns are ignored; where the
+whole, in linear time; repeated rows each get their row; extra columns are ignored; where the
 corpus has no labelled window the tagger adds nothing."""
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ from firmo.llm.decontaminate import with_length
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)           # outside, then begin and inside of each kind
 CHARS = 130                         # ASCII, other, padding
-CONTEXT, WINDOW, STRIDE = 24, 96, 64
-BLOCK = 4 << 20
+WINDOW, STRIDE = 128, 104           # windows of one parity never overlap
+BATCH = 768                         # windows read at once
+BLOCK = 1 << 20
 
 # fixed values: the base patterns
 # (a match of IP starts where a run of digits starts and takes the runs whole, so
@@ -86,18 +90,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def regions(text: str, context: int = CONTEXT) -> list[tuple[int, int]]:
-    """Stretches around the characters that every span holds."""
-    out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - context), min(len(text), m.end() + context)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
 def codes(text: str) -> np.ndarray:
     x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     return np.where(x < 128, x, 128).astype(np.int64)
@@ -120,6 +112,19 @@ LEGAL = _legal()
 START = np.where(np.isin(np.arange(TAGS), 2 + 2 * np.arange(len(KINDS))), -1e4, 0.0)
 
 
+def bend(z: np.ndarray) -> np.ndarray:
+    """z / (1 + |z|): it bends as tanh does, at a fraction of its time; gates are
+    its upper half, 0.5 + 0.5 bend(z)."""
+    held = np.abs(z)
+    held += 1
+    return np.divide(z, held, out=held)
+
+
+def _slope(gate: np.ndarray) -> np.ndarray:
+    """Slope of a gate at its value: 0.5 (1 - |bend|)^2."""
+    return 0.5 * (1 - np.abs(2 * gate - 1)) ** 2
+
+
 @dataclass
 class Tagger:
     """Weights: for both directions the input table, recurrence and bias; then
@@ -149,13 +154,13 @@ class Tagger:
         out = np.empty((x.shape[1], len(x), size), np.float32)
         held = []
         for t in order:
-            z = w[x[:, t]] + h @ u + c0
-            s = 1 / (1 + np.exp(-z))
+            z = bend(w[x[:, t]] + h @ u + c0)
+            s = 0.5 + 0.5 * z
             i, f, o = s[:, :size], s[:, size:2 * size], s[:, 3 * size:]
-            g = np.tanh(z[:, 2 * size:3 * size])
+            g = z[:, 2 * size:3 * size]
             before, h0 = c, h
             c = f * c + i * g
-            tc = np.tanh(c)
+            tc = bend(c)
             h = o * tc
             out[t] = h
             if keep:
@@ -163,9 +168,31 @@ class Tagger:
         return out, held
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
-        """Scores [T, B, TAGS]."""
-        h = np.concatenate([self._run(x, "f")[0], self._run(x, "b")[0]], axis=2)
-        return h @ self.w["o"] + self.w["ob"]
+        """Scores [T, B, TAGS], as those of ``_run`` but in few passes over memory."""
+        return sum(self._scores(x, d) for d in "fb") + self.w["ob"]
+
+    def _scores(self, x: np.ndarray, d: str) -> np.ndarray:
+        size = self.w[f"u{d}"].shape[0]
+        w, u = self.w[f"x{d}"] + self.w[f"c{d}"], self.w[f"u{d}"]
+        o = self.w["o"][:size] if d == "f" else self.w["o"][size:]
+        steps = x.shape[1]
+        columns = np.ascontiguousarray(x.T)
+        h, c = np.zeros((len(x), size), np.float32), np.zeros((len(x), size), np.float32)
+        out = np.empty((steps, len(x), TAGS), np.float32)
+        z, held = np.empty((len(x), 4 * size), np.float32), np.empty((len(x), 4 * size), np.float32)
+        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
+            np.take(w, columns[t], axis=0, out=z, mode="clip")
+            z += np.matmul(h, u, out=held)
+            np.abs(z, out=held)
+            held += 1
+            z /= held
+            g = z[:, 2 * size:3 * size] * (0.5 + 0.5 * z[:, :size])
+            c *= 0.5 + 0.5 * z[:, size:2 * size]
+            c += g
+            h = bend(c)
+            h *= 0.5 + 0.5 * z[:, 3 * size:]
+            np.matmul(h, o, out=out[t])
+        return out
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the tags y [B, T], and its gradients."""
@@ -183,17 +210,12 @@ class Tagger:
             beta[t] = _lse(trans[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
         z = _lse(alpha[-1], 1)
         de = np.exp(alpha + beta - z[None, :, None])
-        rows = np.arange(batch)
-        gold = START[y[:, 0]].sum()
-        g = {"t": np.zeros((TAGS, TAGS))}
-        for t in range(steps):
-            gold += e[t, rows, y[:, t]].sum()
-            de[t, rows, y[:, t]] -= 1
-            if t:
-                pair = np.exp(alpha[t - 1][:, :, None] + trans[None] + (e[t] + beta[t])[:, None, :] - z[:, None, None])
-                g["t"] += pair.sum(0)
-                np.add.at(g["t"], (y[:, t - 1], y[:, t]), -1)
-                gold += trans[y[:, t - 1], y[:, t]].sum()
+        at = (np.arange(steps)[:, None], np.arange(batch)[None, :], y.T)
+        gold = START[y[:, 0]].sum() + e[at].sum() + trans[y[:, :-1], y[:, 1:]].sum()
+        de[at] -= 1
+        pair = np.exp(alpha[:-1, :, :, None] + trans + (e + beta)[1:, :, None, :] - z[None, :, None, None])
+        seen = np.bincount((y[:, :-1] * TAGS + y[:, 1:]).ravel(), minlength=TAGS * TAGS).reshape(TAGS, TAGS)
+        g = {"t": pair.sum((0, 1)) - seen}
         de = (de / batch).astype(np.float32)
         g["t"] /= batch
         g["o"] = np.einsum("tbh,tbk->hk", h, de)
@@ -202,18 +224,23 @@ class Tagger:
         size = hf.shape[2]
         for d, held, part in (("f", kf, dh[:, :, :size]), ("b", kb, dh[:, :, size:])):
             u = self.w[f"u{d}"]
-            gx, gu, gc = np.zeros_like(self.w[f"x{d}"]), np.zeros_like(u), np.zeros(4 * size, np.float32)
+            every = np.empty((steps, batch, 4 * size), u.dtype)
+            before_h = np.empty((steps, batch, size), u.dtype)
             nh = np.zeros((batch, size), np.float32)
             nc = np.zeros_like(nh)
             for t, i, f, gg, o, before, tc, h0 in reversed(held):
                 dh_t = part[t] + nh
-                dc = nc + dh_t * o * (1 - tc ** 2)
-                dz = np.concatenate([dc * gg * i * (1 - i), dc * before * f * (1 - f), dc * i * (1 - gg ** 2), dh_t * tc * o * (1 - o)], axis=1)
-                np.add.at(gx, x[:, t], dz)
-                gu += h0.T @ dz
-                gc += dz.sum(0)
+                dc = nc + dh_t * o * (1 - np.abs(tc)) ** 2
+                dz = np.concatenate([dc * gg * _slope(i), dc * before * _slope(f), dc * i * (1 - np.abs(gg)) ** 2, dh_t * tc * _slope(o)], axis=1)
+                every[t], before_h[t] = dz, h0
                 nh, nc = dz @ u.T, dc * f
-            g[f"x{d}"], g[f"u{d}"], g[f"c{d}"] = gx, gu, gc
+            flat = every.reshape(-1, 4 * size)
+            chars = x.T.ravel()
+            order = np.argsort(chars, kind="stable")
+            have, begin = np.unique(chars[order], return_index=True)
+            gx = np.zeros_like(self.w[f"x{d}"])
+            gx[have] = np.add.reduceat(flat[order], begin, axis=0)
+            g[f"x{d}"], g[f"u{d}"], g[f"c{d}"] = gx, before_h.reshape(-1, size).T @ flat, flat.sum(0)
         return float((z.sum() - gold) / batch), g
 
 
@@ -261,66 +288,119 @@ def _blend() -> np.ndarray:
     return (1.0 + np.minimum(t, WINDOW - 1 - t)).astype(np.float32)
 
 
-def decode(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """(kind, start, end) spans of each region."""
-    place, rows = [], []
-    for r, text in enumerate(texts):
-        c = codes(text)
-        for at in range(0, max(1, len(c) - WINDOW + STRIDE), STRIDE):
-            part = c[at:at + WINDOW]
-            rows.append(np.pad(part, (0, WINDOW - len(part)), constant_values=129))
-            place.append((r, at, len(part)))
-    score = [np.zeros((len(t), TAGS), np.float32) for t in texts]
-    weight = [np.zeros(len(t), np.float32) for t in texts]
+def scores(model: Tagger, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Blended scores [characters, TAGS] of all texts, one after the other, relative
+    to the tag outside; and where each text begins."""
+    size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    begin = np.concatenate([[0], np.cumsum(size)])
+    every = np.concatenate([codes("".join(texts)).astype(np.uint8), np.full(WINDOW, 129, np.uint8)])
+    many = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE)), 0)
+    owner = np.repeat(np.arange(len(texts)), many)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    at, end = begin[owner] + nth * STRIDE, begin[owner + 1]
+    total = np.zeros((begin[-1], TAGS), np.float32)
+    weight = np.zeros(begin[-1], np.float32)
     share = _blend()
-    for lo in range(0, len(rows), 1024):
-        e = model.emissions(np.stack(rows[lo:lo + 1024]))
-        for q, (r, at, n) in enumerate(place[lo:lo + 1024]):
-            score[r][at:at + n] += e[:n, q] * share[:n, None]
-            weight[r][at:at + n] += share[:n]
+    for parity in (0, 1):
+        rows = np.flatnonzero(nth % 2 == parity)
+        for lo in range(0, len(rows), BATCH):
+            some = rows[lo:lo + BATCH]
+            place = at[some][:, None] + np.arange(WINDOW)
+            inside = place < end[some][:, None]
+            e = model.emissions(np.where(inside, every[np.minimum(place, begin[-1])], 129)).transpose(1, 0, 2)
+            e = (e - e[:, :, :1]) * share[None, :, None]
+            total[place[inside]] += e[inside]
+            weight[place[inside]] += np.broadcast_to(share, inside.shape)[inside]
+    total /= weight[:, None]
+    return total, begin
+
+
+def open_stretches(e: np.ndarray, trans: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of a text outside of which the best path is surely outside.
+
+    Take the tags of a stretch of a path, outside before and after it, and put outside
+    in their place: the path loses at most, for each character, the best sum of a tag's
+    score over outside and the dearest step into that tag, and the step out.  If that is
+    negative for every stretch through a character, the best path is outside there.
+    The greatest sum through a character is that of the prefix sums: the greatest at
+    or after it less the smallest before it.  No step leads into the first character,
+    and none out of the last."""
+    legal = np.where(trans > -1e3, trans, -np.inf).astype(np.float64) - float(trans[0, 0])
+    into, out_of = legal[:, 1:].max(0), float(legal[1:, 0].max())
+    gain = (e[:, 1:] + into).max(1)
+    gain[0] = (e[0, 1:] + np.maximum(into, 0)).max()
+    gain[-1] += max(0.0, -out_of)
+    sums = np.concatenate([[0.0], np.cumsum(gain)])
+    after = np.maximum.accumulate(sums[:0:-1])[::-1]
+    before = np.minimum.accumulate(sums[:-1])
+    held = np.concatenate([[False], after - before + out_of >= -1e-2, [False]])
+    edge = np.flatnonzero(held[1:] != held[:-1])
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
+def decode(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+    """(kind, start, end) spans of each text."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    by_size: dict[int, list[int]] = {}
-    for r, t in enumerate(texts):
-        if t:
-            by_size.setdefault((len(t) - 1).bit_length(), []).append(r)
+    if not any(texts):
+        return out
+    every, begin = scores(model, texts)
     trans = (model.w["t"] + LEGAL).astype(np.float32)
-    for group in by_size.values():
-        for lo in range(0, len(group), 2048):
-            part = group[lo:lo + 2048]
-            for r, tags in zip(part, _viterbi([score[r] / weight[r][:, None] for r in part], trans), strict=True):
-                out[r] = _spans(tags)
-    return out
+    parts, where = [], []
+    for r in range(len(texts)):
+        e = every[begin[r]:begin[r + 1]]
+        for a, b in open_stretches(e, trans) if len(e) else ():
+            # the neighbours are outside
+            left, right = min(a, 1), min(len(e) - b, 1)
+            part = e[a - left:b + right].copy()
+            part[:left, 1:] = -1e4
+            part[len(part) - right:, 1:] = -1e4
+            parts.append(part)
+            where.append((r, a - left))
+    order = sorted(range(len(parts)), key=lambda q: -len(parts[q]))
+    lo = 0
+    while lo < len(order):
+        hi = min(len(order), lo + max(1, (1 << 21) // len(parts[order[lo]])))
+        some = order[lo:hi]
+        for q, tags in zip(some, _viterbi([parts[q] for q in some], trans), strict=True):
+            r, a = where[q]
+            out[r] += [(k, a + x, a + y) for k, x, y in _spans(tags)]
+        lo = hi
+    return [sorted(spans, key=lambda v: v[1]) for spans in out]
 
 
 def _viterbi(scores: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
+    """Best tags of each text; the longest first, so that the texts that still run
+    are the first rows of each step."""
     n = np.array([len(s) for s in scores])
-    steps, batch = int(n.max()), len(scores)
+    steps, batch = int(n[0]), len(scores)
     e = np.zeros((steps, batch, TAGS), np.float32)
     for q, s in enumerate(scores):
         e[:len(s), q] = s
-        e[len(s):, q, 1:] = -1e4                   # outside after the end
-    best = e[0] + START
+    running = np.searchsorted(-n, -np.arange(steps), side="left")       # texts longer than the step
+    best = (e[0] + START).astype(np.float64)
     back = np.zeros((steps, batch, TAGS), np.int8)
     for t in range(1, steps):
-        step = best[:, :, None] + trans[None]
-        back[t] = step.argmax(1)
-        best = step.max(1) + e[t]
+        k = running[t]
+        step = best[:k, :, None] + trans[None]
+        back[t, :k] = step.argmax(1)
+        best[:k] = step.max(1) + e[t, :k]
     tag = best.argmax(1)
     tags = np.zeros((batch, steps), np.int64)
-    rows = np.arange(batch)
     for t in range(steps - 1, -1, -1):
-        tags[:, t] = tag
-        tag = back[t, rows, tag]
+        k = running[t]
+        tags[:k, t] = tag[:k]
+        tag[:k] = back[t, np.arange(k), tag[:k]]
     return [tags[q, :k] for q, k in enumerate(n)]
 
 
 def _spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
     out, free = [], 0
+    marked = tags.tolist()
     for a in np.flatnonzero(tags).tolist():
         if a >= free:
-            kind = (int(tags[a]) - 1) // 2
+            kind = (marked[a] - 1) // 2
             free = a + 1
-            while free < len(tags) and tags[free] == 2 + 2 * kind:
+            while free < len(marked) and marked[free] == 2 + 2 * kind:
                 free += 1
             out.append((kind, a, free))
     return out
@@ -329,13 +409,7 @@ def _spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
 def find(texts: list[str], model: Tagger | None) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t) if TRIGGER.search(t) else [] for t in texts]
-    where = [(i, a, b) for i, t in enumerate(texts) for a, b in (regions(t) if model else ())]
-    found = decode(model, [texts[i][a:b] for i, a, b in where]) if where else []
-    more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for (i, a, b), spans in zip(where, found, strict=True):
-        for kind, x, y in spans:
-            if TRIGGER.search(texts[i], a + x, a + y):
-                more[i].append((kind, a + x, a + y))
+    more = decode(model, texts) if model else [[] for _ in texts]
     out = []
     for own, extra in zip(base, more, strict=True):
         taken = sorted((a, b) for _, a, b in own)
@@ -350,9 +424,11 @@ def find(texts: list[str], model: Tagger | None) -> list[tuple[list[tuple[int, i
     return out
 
 
-def train(docs: DataFrame, rows: int = 3000, windows: int = 3000) -> Tagger | None:
-    """Fit on windows of a bounded sample: at most ``rows`` texts that hold a
-    digit or ``@``, by the hash of the id, and at most ``windows`` windows."""
+def train(docs: DataFrame, rows: int = 3000, windows: int = 3000, per_text: int = 8, plain: int = 3) -> Tagger | None:
+    """Fit on windows of a bounded sample, cut as they are in decoding: of at most
+    ``rows`` texts that hold a digit or ``@``, by the hash of the id, the first
+    ``per_text`` windows with a base span and ``plain`` others by the hash of their
+    text; then at most ``windows`` of all.  All four are bounds of the fit alone."""
     sample = (pick(docs, "doc_id", "text").where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", F.lit(7)).alias("h"))
               .select("h", F.xxhash64("text").alias("th"), "text"))
     ids = sample.select("h", "th").orderBy("h", "th").limit(rows)
@@ -361,21 +437,31 @@ def train(docs: DataFrame, rows: int = 3000, windows: int = 3000) -> Tagger | No
         for b in blocks(batches, "text"):
             got, spans = [], []
             for raw in utf8(column(b, "text")):
-                text = raw.decode()
-                base = base_spans(text)
-                for n, (a, e) in enumerate(regions(text, 40)):
-                    if n == 8:                     # a few windows of a text teach enough
-                        break
-                    inside = [(k, x - a, y - a) for k, x, y in base if a <= x and y <= min(e, a + WINDOW)]
-                    got.append(text[a:min(e, a + WINDOW)])
+                for part, inside in training_windows(raw.decode(), per_text, plain):
+                    got.append(part)
                     spans.append([v for s in inside for v in s])
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.string()), pa.array(spans, pa.list_(pa.int64()))], names=["window", "spans"])
 
     cut = sample.join(F.broadcast(ids), ["h", "th"]).select("text").mapInArrow(run, "window string, spans array<bigint>")
-    few = cut.orderBy(F.xxhash64("window"), "window").limit(windows).collect()
+    few = cut.orderBy(F.size("spans") == 0, F.xxhash64("window"), "window").limit(windows).collect()
     return fit([(r["window"], list(zip(r["spans"][::3], r["spans"][1::3], r["spans"][2::3], strict=True))) for r in few])
 
 
+def training_windows(text: str, per_text: int, plain: int) -> list[tuple[str, list[tuple[int, int, int]]]]:
+    """Windows of a text with the parts of base spans inside them."""
+    held: dict[int, list[tuple[int, int, int]]] = {}
+    last = max(0, -(-(len(text) - WINDOW) // STRIDE))
+    for k, x, y in base_spans(text):
+        # the windows that a span touches; a long one fills many, of which the first teach enough
+        for n in range(max(0, -(-(x + 1 - WINDOW) // STRIDE)), min(last, (y - 1) // STRIDE, x // STRIDE + per_text) + 1):
+            at = n * STRIDE
+            held.setdefault(n, []).append((k, max(x - at, 0), min(y - at, WINDOW)))
+    chosen = sorted(held)[:per_text]
+    others = sorted((hashlib.blake2b(text[n * STRIDE:n * STRIDE + WINDOW].encode(), digest_size=8).digest(), n)
+                    for n in range(last + 1) if n not in held)[:plain]
+    return [(text[n * STRIDE:n * STRIDE + WINDOW], held.get(n, [])) for n in [*chosen, *(n for _, n in others)]]
+
+
 def _line(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
