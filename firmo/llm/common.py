@@ -3,6 +3,7 @@ spans over UTF-8 bytes, stable 64-bit hashes and files under the shared folder."
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ from firmo.llm import files
 from firmo.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
+LONG = 64
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: A-Z to a-z; every byte that is no word byte to 0.  Bytes of non-ASCII
@@ -118,13 +120,22 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hash of the lower-cased bytes of each span, alike in every process."""
+        """64-bit hash of the lower-cased bytes of each span, alike in every process.
+        Sums of powers modulo 2^64 are equal by construction for some pairs of spans
+        of 2^10 letters and more, so spans over ``LONG`` bytes take a digest; two
+        different spans are equal with odds of about 2^-64."""
         if self._sums is None:
             sums = np.zeros(len(self.low) + 1, dtype=np.uint64)
             np.cumsum((self.low.astype(np.uint64) + np.uint64(1)) * _power("up", len(self.low)), out=sums[1:])
             self._sums = sums
         h = (self._sums[ends] - self._sums[starts]) * _power("down", len(self._sums))[starts]
-        return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        h = mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        long = np.flatnonzero(ends - starts > LONG)
+        if len(long):
+            raw = self.low.data
+            h[long] = [int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little")
+                       for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        return h
 
     def hashes(self) -> np.ndarray:
         return self.span_hash(self.starts, self.ends)
