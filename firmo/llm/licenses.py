@@ -159,8 +159,10 @@ class Scanner:
             if r.keywords[0] in have and all(map(holds, r.keywords)):
                 found += [(-r.priority, m.start() - m.end(), m.start(), m.end(), r.label, r.confidence) for m in r.pattern.finditer(low)]
         taken: list[tuple[int, int, str, float]] = []
+        covered = bytearray(len(low))               # bytes of accepted detections
         for _, _, a, b, label, sure in sorted(found):
-            if not any(a < y and x < b for x, y, _, _ in taken):
+            if covered.find(1, a, b) < 0:
+                covered[a:b] = b"\1" * (b - a)
                 taken.append((a, b, label, sure))
         return sorted(taken)
 
