@@ -1,6 +1,7 @@
 """WARC archives: writer with revisit records and a splittable reader.
 
-Every record is a gzip member of its own.  The reader cuts each file into byte
+Every record is a gzip member of its own; the first of an archive is its warcinfo.
+Dates are a parameter of the run, so that equal runs write equal archives.  The reader cuts each file into byte
 ranges; a task looks for the gzip magic in its range, takes a candidate as a
 record only if it inflates to a WARC header, and owns the records that start
 inside its range, reading past its end where the last one runs over.
@@ -29,12 +30,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmo.llm import files
 from firmo.llm.common import blocks, column, pick, shared_dir, utf8
+from firmo.params import DEFAULT
 
 GZIP = b"\x1f\x8b\x08"
 SPLIT = 16 << 20
 WINDOW = 1 << 20
+READERS = 100_000                   # tasks of a read at most; each takes several ranges beyond it
+DATE = DEFAULT.run_ts.strftime("%Y-%m-%dT%H:%M:%SZ")
 #: fixed values of the format
 VERSION = b"WARC/1.1"
+STANDARD = "http://iipc.github.io/warc-specifications/specifications/warc-format/warc-1.1/"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -42,20 +47,31 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha: str, refers_to: int | None) -> bytes:
+def info(name: str, date: str) -> bytes:
+    """The warcinfo member that begins an archive."""
+    body = f"software: firmo\r\nformat: WARC File Format 1.1\r\nconformsTo: {STANDARD}\r\n".encode()
+    return _member(["WARC-Type: warcinfo", f"WARC-Record-ID: <urn:warcinfo:{name}>", f"WARC-Date: {date}",
+                    f"WARC-Filename: {name}", "Content-Type: application/warc-fields"], body)
+
+
+def _member(head: list[str], body: bytes) -> bytes:
+    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    lines = [VERSION.decode(), *head, f"Content-Length: {len(body)}"]
+    return z.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + z.flush()
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, sha: str, refers_to: int | None, date: str = DATE) -> bytes:
     """One gzip member: a response, or a revisit if it refers to a page."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     body = http if revisit else http + payload
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "about:blank")
-    head = [VERSION.decode(), f"WARC-Type: {'revisit' if revisit else 'response'}",
-            f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {target}",
-            f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http; msgtype=response"]
+    head = [f"WARC-Type: {'revisit' if revisit else 'response'}",
+            f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {date}",
+            f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http; msgtype=response"]
     if revisit:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
-    head.append(f"Content-Length: {len(body)}")
-    z = zlib.compressobj(6, zlib.DEFLATED, 31)
-    return z.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + z.flush()
+    return _member(head, body)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -88,7 +104,7 @@ def mark_revisits(pages: DataFrame, n: int) -> DataFrame:
     return known.unionByName(alone)
 
 
-def write(pages: DataFrame, out: str, archives: int | None = None) -> DataFrame:
+def write(pages: DataFrame, out: str, archives: int | None = None, date: str = DATE) -> DataFrame:
     """Write the archives and return one small row for each: uri, size, n_records."""
     spark = pages.sparkSession
     marked = mark_revisits(pages, archives or int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -105,13 +121,13 @@ def write(pages: DataFrame, out: str, archives: int | None = None) -> DataFrame:
                            column(b, "_sha").to_pylist(), column(b, "_first").to_pylist(), strict=True)
                 for page, url, payload, sha, first in rows:
                     again = first is not None and (page != first or last == (page, sha))
-                    yield record(page, url, payload, digest(payload), first if again else None)
+                    yield record(page, url, payload, digest(payload), first if again else None, date)
                     last = (page, sha)
                     seen += 1
 
         held = _ahead(parts())
         if held is not None:
-            size = files.put(at, held)
+            size = files.put(at, itertools.chain([info(at.rsplit("/", 1)[1], date)], held))
             yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([size], pa.int64()), pa.array([seen], pa.int64())],
                                              names=["uri", "size", "n_records"])
 
@@ -124,10 +140,6 @@ def _ahead(parts):
     return None if first is None else itertools.chain([first], parts)
 
 
-def ranges(uri: str, size: int, split: int) -> list[tuple[str, int, int]]:
-    return [(uri, at, min(size, at + split)) for at in range(0, size, split)]
-
-
 def _inflate(f, at: int, limit: int | None = None) -> tuple[bytes | None, int]:
     """The member at a position (its first ``limit`` bytes), and where it ends;
     None if the bytes there are no whole gzip member."""
@@ -183,8 +195,10 @@ def _next_magic(f, at: int, end: int) -> int | None:
 def read(spark: SparkSession, archives: list[tuple[str, int]], split: int = SPLIT) -> DataFrame:
     """One row per record, read by byte ranges: record_id, record_type, uri,
     payload (null for revisits), payload_bytes, payload_digest, refers_to."""
-    cut = [r + (size,) for uri, size in archives for r in ranges(uri, size, split)]
-    tasks = spark.createDataFrame(cut, "uri string, start long, stop long, size long").repartition(max(1, len(cut)))
+    n = sum(-(-size // split) for _, size in archives)
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split).cast("long")))
+    tasks = (spark.createDataFrame(archives, "uri string, size long").where("size > 0").select("uri", start.alias("start"), "size")
+             .withColumn("stop", F.least("size", F.col("start") + split)).repartition(max(1, min(READERS, n))))
 
     def run(batches):
         for b in batches:
@@ -192,6 +206,8 @@ def read(spark: SparkSession, archives: list[tuple[str, int]], split: int = SPLI
                 out = []
                 held = 0
                 for _, head, body in records(row["uri"], row["start"], row["stop"], row["size"]):
+                    if head["warc-type"] not in ("response", "revisit"):
+                        continue
                     cut_at = body.index(b"\r\n\r\n") + 4
                     http = body[:cut_at].decode("latin-1")
                     n = int(re.search(r"(?i)\r\ncontent-length: *(\d+)", http)[1])

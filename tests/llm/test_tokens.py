@@ -1,6 +1,7 @@
 """BPE, token files and WARC archives: against the library and exact round trips."""
 import base64
 import hashlib
+import gzip
 import random
 import zlib
 
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from firmo.llm import bpe, token_store, warc
+from firmo.llm import bpe, files, token_store, warc
 from firmo.llm.common import shared_dir
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -123,3 +124,24 @@ def test_warc_payloads_come_back(spark):
     got = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read(spark, made, 500).collect()}
     assert got == dict(rows)
     assert warc.query(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_archives_are_read_by_a_plain_parser(spark):
+    """Members one after the other, headers that the format demands, blocks of their length."""
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"body {i % 3}", None, None) for i in range(9)], PAGES)
+    kinds = []
+    for r in warc.write(pages, shared_dir(spark, "plain"), 2, date="2020-02-03T04:05:06Z").collect():
+        raw = gzip.decompress(files.read(r["uri"]))
+        first = True
+        while raw:
+            head, raw = raw.split(b"\r\n\r\n", 1)
+            version, *lines = head.decode().split("\r\n")
+            have = dict(x.split(": ", 1) for x in lines)
+            assert version == "WARC/1.1"
+            assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(have)
+            assert have["WARC-Date"] == "2020-02-03T04:05:06Z" and first == (have["WARC-Type"] == "warcinfo")
+            n = int(have["Content-Length"])
+            assert raw[n:n + 4] == b"\r\n\r\n"
+            raw, first = raw[n + 4:], False
+            kinds.append(have["WARC-Type"])
+    assert sorted(k for k in kinds if k != "warcinfo") == ["response"] * 3 + ["revisit"] * 6
