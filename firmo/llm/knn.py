@@ -15,7 +15,8 @@ than another.  Scores are exact integers; ties go to the smaller id.
 Edge cases: vectors that are null, or hold a null or a component that is not
 finite, take no part; an empty vector scores 0 with all; of vectors of unequal
 length the shorter counts as padded with zeros; rows with a null id take no
-part; repeated rows of one id are one row; a query with fewer other rows than k
+part; repeated rows of one id are one row, and of unequal vectors of one id the
+smallest takes part (compared component by component, after quantising); a query with fewer other rows than k
 returns them all; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def join(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col:
     points = np.unique(points, axis=0) if len(points) else np.zeros((1, width))
     shared = spark.sparkContext.broadcast(points)           # at most MAX_PIVOTS vectors
 
-    def assign(batches):
+    def assign(batches, scale=scale):
         p = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
@@ -149,7 +150,16 @@ def join(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col:
                        pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell]), pa.array(np.sqrt((x ** 2).sum(1)))],
                     names=["id", "is_query", "key", "x", "cell", "dist", "norm"])
 
-    dealt = written(rows.mapInArrow(assign, "id long, is_query boolean, key binary, x binary, cell int, dist double, norm double"), "assigned")
+    columns = "id long, is_query boolean, key binary, x binary, cell int, dist double, norm double"
+    dealt = written(rows.mapInArrow(assign, columns), "assigned")
+    twice = written(dealt.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("id"), "unequal")
+    if not twice.isEmpty():
+        # quantised already, so the scale is 1
+        whole = F.transform("v", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
+        fit = ~F.exists("v", lambda x: F.coalesce(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(True)))
+        least = rows.join(twice, "id", "left_semi").where(fit).groupBy("id", "is_query").agg(F.min(whole).alias("v"))
+        one = least.select("id", "v", "is_query").mapInArrow(lambda batches: assign(batches, 1.0), columns)
+        dealt = written(dealt.join(twice, "id", "left_anti").unionByName(one), "single")
     # k + 1 smallest ids of each vector; the limit holds before the shuffle already
     ids = dealt.select("id", "key").distinct()
     w = Window.partitionBy("key").orderBy("id")

@@ -61,8 +61,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("op4_voronoi_knn", """
-WITH e AS (SELECT DISTINCT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+WITH e AS (SELECT vec_id, min([floor(64 * x::DOUBLE) for x in embedding]) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
      s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
            FROM e q JOIN e d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id),
      r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)

@@ -71,3 +71,16 @@ def test_general_interface(spark):
     assert got.columns == ["query_id", "rank", "id", "score"]
     assert [r["rank"] for r in got.orderBy("rank").collect()] == [1, 2, 3]
     assert got.where(F.col("id") == 7).count() == 0
+
+
+def test_unequal_vectors_of_one_id(spark):
+    rows = vectors(60)
+    other = [(i, [x + d for x in v]) for (i, v), d in zip(rows[:25], [0.5, -0.5, 0.0] * 9)] + [(20, [float("nan")] * 8), (3, None)]
+    best = {}
+    for i, v in rows + other:
+        if v is not None and np.isfinite(v).all():
+            q = [int(np.floor(64 * float(np.float32(x)))) for x in v]
+            best[i] = min(best.get(i, (q, v)), (q, v), key=lambda p: p[0])
+    got = run(spark, rows + other)
+    assert got == brute([(i, v) for i, (_, v) in best.items()])
+    assert len({r[:2] for r in got}) == len(got)
