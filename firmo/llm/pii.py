@@ -36,8 +36,8 @@ from firmo.llm.decontaminate import with_length
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)           # outside, then begin and inside of each kind
 CHARS = 130                         # ASCII, other, padding
-WINDOW, STRIDE = 128, 104           # windows of one parity never overlap
-BATCH = 768                         # windows read at once
+WINDOW, STRIDE = 128, 104           # neighbouring windows share 24 characters
+BATCH = 768                         # windows read at once: products small enough for one thread
 BLOCK = 1 << 20
 
 # fixed values: the base patterns
@@ -174,25 +174,30 @@ class Tagger:
     def _scores(self, x: np.ndarray, d: str) -> np.ndarray:
         size = self.w[f"u{d}"].shape[0]
         w, u = self.w[f"x{d}"] + self.w[f"c{d}"], self.w[f"u{d}"]
-        o = self.w["o"][:size] if d == "f" else self.w["o"][size:]
-        steps = x.shape[1]
+        o = (self.w["o"][:size] if d == "f" else self.w["o"][size:]).T.copy()
+        u = u.T.copy()
+        steps, batch = x.shape[1], len(x)
         columns = np.ascontiguousarray(x.T)
-        h, c = np.zeros((len(x), size), np.float32), np.zeros((len(x), size), np.float32)
-        out = np.empty((steps, len(x), TAGS), np.float32)
-        z, held = np.empty((len(x), 4 * size), np.float32), np.empty((len(x), 4 * size), np.float32)
+        # gates stand in rows, so that each is one stretch of memory
+        h, c = np.zeros((size, batch), np.float32), np.zeros((size, batch), np.float32)
+        out = np.empty((steps, TAGS, batch), np.float32)
+        z, held = np.empty((4 * size, batch), np.float32), np.empty((4 * size, batch), np.float32)
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            np.take(w, columns[t], axis=0, out=z, mode="clip")
-            z += np.matmul(h, u, out=held)
+            np.matmul(u, h, out=z)
+            z += w.take(columns[t], axis=0).T
             np.abs(z, out=held)
             held += 1
             z /= held
-            g = z[:, 2 * size:3 * size] * (0.5 + 0.5 * z[:, :size])
-            c *= 0.5 + 0.5 * z[:, size:2 * size]
+            g = z[2 * size:3 * size].copy()
+            z *= 0.5
+            z += 0.5
+            g *= z[:size]
+            c *= z[size:2 * size]
             c += g
             h = bend(c)
-            h *= 0.5 + 0.5 * z[:, 3 * size:]
-            np.matmul(h, o, out=out[t])
-        return out
+            h *= z[3 * size:]
+            np.matmul(o, h, out=out[t])
+        return out.transpose(0, 2, 1)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the tags y [B, T], and its gradients."""
@@ -249,7 +254,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 16, steps: int = 200, batch: int = 32,
+def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 8, steps: int = 200, batch: int = 32,
         rate: float = 0.02, seed: int = 11) -> Tagger | None:
     """Train on (window, spans) pairs by Adam; None without any span."""
     if not any(s for _, s in windows):
@@ -301,16 +306,15 @@ def scores(model: Tagger, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros((begin[-1], TAGS), np.float32)
     weight = np.zeros(begin[-1], np.float32)
     share = _blend()
-    for parity in (0, 1):
-        rows = np.flatnonzero(nth % 2 == parity)
-        for lo in range(0, len(rows), BATCH):
-            some = rows[lo:lo + BATCH]
-            place = at[some][:, None] + np.arange(WINDOW)
-            inside = place < end[some][:, None]
-            e = model.emissions(np.where(inside, every[np.minimum(place, begin[-1])], 129)).transpose(1, 0, 2)
-            e = (e - e[:, :, :1]) * share[None, :, None]
-            total[place[inside]] += e[inside]
-            weight[place[inside]] += np.broadcast_to(share, inside.shape)[inside]
+    for lo in range(0, len(owner), BATCH):
+        first, stop = at[lo:lo + BATCH], np.minimum(at[lo:lo + BATCH] + WINDOW, end[lo:lo + BATCH])
+        place = first[:, None] + np.arange(WINDOW)
+        e = model.emissions(np.where(place < stop[:, None], every[place], 129))
+        e -= e[:, :, :1]
+        e *= share[:, None, None]
+        for q, (a, b) in enumerate(zip(first.tolist(), stop.tolist(), strict=True)):
+            total[a:b] += e[:b - a, q]
+            weight[a:b] += share[:b - a]
     total /= weight[:, None]
     return total, begin
 
@@ -326,11 +330,11 @@ def open_stretches(e: np.ndarray, trans: np.ndarray) -> list[tuple[int, int]]:
     or after it less the smallest before it.  No step leads into the first character,
     and none out of the last."""
     legal = np.where(trans > -1e3, trans, -np.inf).astype(np.float64) - float(trans[0, 0])
-    into, out_of = legal[:, 1:].max(0), float(legal[1:, 0].max())
+    into, out_of = legal[:, 1:].max(0).astype(np.float32), float(legal[1:, 0].max())
     gain = (e[:, 1:] + into).max(1)
     gain[0] = (e[0, 1:] + np.maximum(into, 0)).max()
     gain[-1] += max(0.0, -out_of)
-    sums = np.concatenate([[0.0], np.cumsum(gain)])
+    sums = np.concatenate([[0.0], np.cumsum(gain, dtype=np.float64)])
     after = np.maximum.accumulate(sums[:0:-1])[::-1]
     before = np.minimum.accumulate(sums[:-1])
     held = np.concatenate([[False], after - before + out_of >= -1e-2, [False]])
@@ -361,15 +365,16 @@ def decode(model: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     while lo < len(order):
         hi = min(len(order), lo + max(1, (1 << 21) // len(parts[order[lo]])))
         some = order[lo:hi]
-        for q, tags in zip(some, _viterbi([parts[q] for q in some], trans), strict=True):
-            r, a = where[q]
-            out[r] += [(k, a + x, a + y) for k, x, y in _spans(tags)]
+        tags = _viterbi([parts[q] for q in some], trans)
+        for q in np.flatnonzero(tags.any(1)).tolist():
+            r, a = where[some[q]]
+            out[r] += [(k, a + x, a + y) for k, x, y in _spans(tags[q])]
         lo = hi
     return [sorted(spans, key=lambda v: v[1]) for spans in out]
 
 
-def _viterbi(scores: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
-    """Best tags of each text; the longest first, so that the texts that still run
+def _viterbi(scores: list[np.ndarray], trans: np.ndarray) -> np.ndarray:
+    """Best tags of each text, a row each, outside after its end; the longest first, so that the texts that still run
     are the first rows of each step."""
     n = np.array([len(s) for s in scores])
     steps, batch = int(n[0]), len(scores)
@@ -385,12 +390,12 @@ def _viterbi(scores: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]:
         back[t, :k] = step.argmax(1)
         best[:k] = step.max(1) + e[t, :k]
     tag = best.argmax(1)
-    tags = np.zeros((batch, steps), np.int64)
+    tags = np.zeros((batch, steps), np.int8)
     for t in range(steps - 1, -1, -1):
         k = running[t]
         tags[:k, t] = tag[:k]
         tag[:k] = back[t, np.arange(k), tag[:k]]
-    return [tags[q, :k] for q, k in enumerate(n)]
+    return tags
 
 
 def _spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
