@@ -514,162 +514,6 @@ def _box_by_long(prof):
     return SO.union_sources(*parts)
 
 
-_BOX_BY_LONG_SQL = "(" + " UNION ALL ".join(
-    f"SELECT '{cat}' AS category_column, {cat} AS category, '{met}' AS column_name, CAST({met} AS DOUBLE) AS value "
-    f"FROM prof WHERE {cat} IS NOT NULL AND {met} IS NOT NULL" + (f" AND {met} > 0" if met == "marketcap_updated_m" else "")
-    for cat, met in BOX_BY) + ")"
-_G3 = "category_column, category, column_name"
-register("box_stats_by_category", _pq(
-    _BOX_SELECT.format(g=_G3),
-    f", lf AS {_BOX_BY_LONG_SQL}, bnd AS (SELECT {_G3}, round(quantile_cont(value, 0.25), 10) AS q1, "
-    f"round(quantile_cont(value, 0.5), 10) AS median, round(quantile_cont(value, 0.75), 10) AS q3 "
-    f"FROM lf GROUP BY {_G3}), "
-    f"b AS (SELECT {_G3}, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
-    lambda spark, d: PF.box_stats(_box_by_long(_prof(spark, d)), ["category_column", "category", "column_name"]))
-register("sector_box_top8", _pq(
-    _BOX_SELECT.format(g="sector, column_name"),
-    ", top8 AS (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector ORDER BY count(*) DESC, sector LIMIT 8), "
-    "lf AS (" + " UNION ALL ".join(
-        f"SELECT sector, '{m}' AS column_name, CAST({m} AS DOUBLE) AS value FROM prof WHERE sector IN (SELECT sector FROM top8) "
-        f"AND {m} IS NOT NULL" + (f" AND {m} > 0" if m == "marketcap_updated_m" else "")
-        for m in ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"]) + "), "
-    "bnd AS (SELECT sector, column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
-    "round(quantile_cont(value, 0.5), 10) AS median, "
-    "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY sector, column_name), "
-    "b AS (SELECT sector, column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
-    "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)"))(
-    lambda spark, d: PF.box_stats(PF.long_form(JN.top_group_filter(_prof(spark, d), "sector", 8),
-                                               ["revenues_m", "profits_m", "marketcap_updated_m", "number_of_employees"],
-                                               _mcap_pos(), ids=["sector"]), ["sector", "column_name"]))
-register("top_group_filter", _pq(
-    "SELECT * FROM prof WHERE sector IN (SELECT sector FROM prof WHERE sector IS NOT NULL GROUP BY sector "
-    "ORDER BY count(*) DESC, sector LIMIT 8)"))(
-    lambda spark, d: JN.top_group_filter(_prof(spark, d), "sector", 8))
-register("histogram50", _pq(
-    "SELECT g.column_name, CAST(g.bin AS INTEGER) AS bin, lo + g.bin * ((hi - lo) / 50) AS bin_low, "
-    "lo + (g.bin + 1) * ((hi - lo) / 50) AS bin_high, CAST(coalesce(c.count, 0) AS BIGINT) AS count "
-    "FROM (SELECT column_name, lo, hi, unnest(range(50)) AS bin FROM st) g LEFT JOIN "
-    "(SELECT column_name, CAST(least(greatest(floor((value - lo) * 50 / (hi - lo)), 0), 49) AS INTEGER) AS bin, "
-    "count(*) AS count FROM lf JOIN st USING (column_name) GROUP BY ALL) c USING (column_name, bin)",
-    f", lf AS {_long_sql(DIST_METRICS, _MCAP_SQL)}, "
-    "st AS (SELECT column_name, CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo, "
-    "CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi FROM lf GROUP BY column_name)"))(
-    lambda spark, d: PF.histogram(PF.long_form(_prof(spark, d), DIST_METRICS, _mcap_pos()), 50))
-_PAIRS = [("revenues_m", "profits_m", False), ("revenues_m", "marketcap_updated_m", True),
-             ("revenues_m", "number_of_employees", False), ("assets_m", "marketcap_updated_m", True)]
-SAMPLE_SEED, SAMPLE_N = 42, 200
-
-
-def _prof(spark, d):
-    from firmo.operators.clean import drop_column_fillna
-    return drop_column_fillna(_layers(spark, d).stg_primary, PROFILE_DROP, PROFILE_FILL)
-
-
-def _mcap_pos():
-    return {"marketcap_updated_m": F.col("marketcap_updated_m") > 0}
-
-
-_PROF_SQL = ("prof AS (SELECT * EXCLUDE (newcomer_to_the_fortune500) REPLACE ("
-             "coalesce(ticker, 'Unknown') AS ticker, coalesce(marketcap_march28_m, 0) AS marketcap_march28_m, "
-             "coalesce(profitspercentchange, 0) AS profitspercentchange, "
-             "coalesce(revenuepercentchange, 0) AS revenuepercentchange, coalesce(profits_m, 0) AS profits_m, "
-             "coalesce(marketcap_updated_m, 0) AS marketcap_updated_m) FROM stg_primary)")
-
-
-def _pq(select: str, extra: str = "") -> str:
-    return oracle.CTES + f",\n{_PROF_SQL}{extra}\n{select}"
-
-
-def _long_sql(cols, filters=None, ids=""):
-    filters = filters or {}
-    parts = []
-    for c in cols:
-        cond = f"{c} IS NOT NULL" + (f" AND {filters[c]}" if c in filters else "")
-        parts.append(f"SELECT {ids}'{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM prof WHERE {cond}")
-    return "(" + " UNION ALL ".join(parts) + ")"
-
-
-_MCAP_SQL = {"marketcap_updated_m": "marketcap_updated_m > 0"}
-
-register("profile_frame", _pq("SELECT * FROM prof"))(lambda spark, d: _prof(spark, d))
-register("missing_summary", _pq(" UNION ALL ".join(
-    f"SELECT '{f.name}' AS column_name, count(*) FILTER (WHERE {f.name} IS NULL) AS null_count, "
-    f"round(count(*) FILTER (WHERE {f.name} IS NULL) * 100.0 / count(*), 4) AS null_pct FROM stg_primary"
-    for f in STG_PRIMARY.fields)))(
-    lambda spark, d: PF.missing_summary(_layers(spark, d).stg_primary))
-register("describe_numeric", _pq(
-    "SELECT column_name, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, "
-    "min(value) AS min, round(quantile_cont(value, 0.25), 10) AS q25, round(quantile_cont(value, 0.5), 10) AS q50, "
-    f"round(quantile_cont(value, 0.75), 10) AS q75, max(value) AS max FROM {_long_sql(NUMERIC)} l GROUP BY column_name"))(
-    lambda spark, d: PF.describe_numeric(_prof(spark, d), NUMERIC))
-_POS = ["revenues_m", "profits_m", "assets_m", "marketcap_updated_m"]
-register("summary_metrics", _pq(
-    "SELECT column_name, round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 10) AS median, "
-    "round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max FROM "
-    f"{_long_sql(_POS + ['number_of_employees'], {c: f'{c} > 0' for c in _POS})} l GROUP BY column_name"))(
-    lambda spark, d: PF.summary_metrics(_prof(spark, d), _POS, ["number_of_employees"]))
-register("nunique_counts", _pq(
-    "SELECT count(*) AS total, count(DISTINCT sector) AS nunique_sector, count(DISTINCT industry) AS nunique_industry "
-    "FROM prof"))(
-    lambda spark, d: PF.nunique_counts(_prof(spark, d), ["sector", "industry"]))
-register("value_counts", _pq(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM prof "
-    f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in CATEGORICAL)))(
-    lambda spark, d: PF.value_counts(_prof(spark, d), CATEGORICAL))
-register("flag_share", _pq(" UNION ALL ".join(
-    f"SELECT '{c}' AS flag, count(*) FILTER (WHERE upper(trim({c})) = 'YES') AS yes_count, "
-    f"round(count(*) FILTER (WHERE upper(trim({c})) = 'YES') * 100.0 / count(*), 4) AS yes_pct FROM prof"
-    for c in FLAGS)))(
-    lambda spark, d: PF.flag_share(_prof(spark, d), FLAGS))
-register("sector_avg_top10", _pq(
-    "SELECT metric, CAST(pos AS INTEGER) AS pos, sector, round(value, 4) AS value FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, sector ASC) AS pos FROM ("
-    "UNPIVOT (SELECT sector, avg(revenues_m) AS avg_revenue, avg(profits_m) AS avg_profit, "
-    "avg(CASE WHEN marketcap_updated_m > 0 THEN marketcap_updated_m END) AS avg_market_cap, "
-    "CAST(count(*) AS DOUBLE) AS company_count FROM prof WHERE sector IS NOT NULL GROUP BY sector) "
-    "ON avg_revenue, avg_profit, avg_market_cap, company_count INTO NAME metric VALUE value) u "
-    "WHERE value IS NOT NULL) r WHERE pos <= 10"))(
-    lambda spark, d: PF.group_avg_topk(_prof(spark, d), "sector", {
-        "avg_revenue": F.col("revenues_m"), "avg_profit": F.col("profits_m"),
-        "avg_market_cap": F.when(F.col("marketcap_updated_m") > 0, F.col("marketcap_updated_m"))}, 10))
-
-_BOUNDS_SQL = (", bnd AS (SELECT column_name, round(quantile_cont(value, 0.25), 10) AS q1, "
-               "round(quantile_cont(value, 0.5), 10) AS median, "
-               "round(quantile_cont(value, 0.75), 10) AS q3 FROM lf GROUP BY column_name), "
-               "b AS (SELECT column_name, q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower_bound, "
-               "q3 + 1.5 * (q3 - q1) AS upper_bound FROM bnd)")
-register("iqr_outliers", _pq(
-    "SELECT b.column_name, q1, q3, lower_bound, upper_bound, "
-    "CAST(count(*) FILTER (WHERE value < lower_bound OR value > upper_bound) AS BIGINT) AS outlier_count, "
-    "round(count(*) FILTER (WHERE value < lower_bound OR value > upper_bound) * 100.0 / (SELECT count(*) FROM prof), 4) "
-    "AS outlier_pct FROM b JOIN lf USING (column_name) GROUP BY ALL",
-    f", lf AS {_long_sql(KEY_NUMERIC)}" + _BOUNDS_SQL))(
-    lambda spark, d: PF.iqr_outliers(_prof(spark, d), KEY_NUMERIC))
-register("iqr_outlier_rows", _pq(
-    "SELECT rank, column_name, value FROM lf JOIN b USING (column_name) WHERE value < lower_bound OR value > upper_bound",
-    f", lf AS {_long_sql(KEY_NUMERIC, ids='rank, ')}" + _BOUNDS_SQL))(
-    lambda spark, d: PF.iqr_outlier_rows(_prof(spark, d), KEY_NUMERIC, "rank"))
-_BOX_SELECT = ("SELECT {g}, CAST(count(*) AS BIGINT) AS n, q1, median, q3, "
-               "min(value) FILTER (WHERE value >= lower_bound AND value <= upper_bound) AS whisker_low, "
-               "max(value) FILTER (WHERE value >= lower_bound AND value <= upper_bound) AS whisker_high, "
-               "CAST(count(*) FILTER (WHERE NOT (value >= lower_bound AND value <= upper_bound)) AS BIGINT) AS outlier_count "
-               "FROM lf JOIN b USING ({g}) GROUP BY {g}, q1, median, q3")
-register("box_stats", _pq(_BOX_SELECT.format(g="column_name"),
-                          f", lf AS {_long_sql(DIST_METRICS, _MCAP_SQL)}" + _BOUNDS_SQL))(
-    lambda spark, d: PF.box_stats(PF.long_form(_prof(spark, d), DIST_METRICS, _mcap_pos()), ["column_name"]))
-
-
-def _box_by_long(prof):
-    parts = []
-    for cat, met in BOX_BY:
-        cond = F.col(cat).isNotNull() & F.col(met).isNotNull()
-        if met == "marketcap_updated_m":
-            cond = cond & (F.col(met) > 0)
-        parts.append(prof.filter(cond).select(F.lit(cat).alias("category_column"), F.col(cat).alias("category"),
-                                              F.lit(met).alias("column_name"), F.col(met).cast("double").alias("value")))
-    return SO.union_sources(*parts)
-
-
 _BOX_BY_LONG_SQL = "(" + " UNION ALL ".join(
     f"SELECT '{cat}' AS category_column, {cat} AS category, '{met}' AS column_name, CAST({met} AS DOUBLE) AS value "
     f"FROM prof WHERE {cat} IS NOT NULL AND {met} IS NOT NULL" + (f" AND {met} > 0" if met == "marketcap_updated_m" else "")

@@ -2,10 +2,10 @@
 exploratory charts, computed as distributed aggregates.
 
 Several columns are handled at once in long form (``column_name, value``),
-so one scan and one shuffle serve all of them.  Exact quantiles come from the
-counts of distinct values, sorted over range partitions, plus a lookup of the two
-ranks around each position (linear interpolation, as pandas does): no group and
-no frequent value is ever gathered into one task or buffer.
+so one scan and one shuffle serve all of them.  Exact quantiles are selected by
+histogram refinement (linear interpolation between the two order statistics, as
+pandas does): values are counted in buckets, and only those of the wanted buckets
+are ever ordered.
 """
 
 from __future__ import annotations
@@ -36,49 +36,114 @@ def long_form(df: DataFrame, columns: list[str], filters: dict[str, Column] | No
               .select(*ids, "_kv.column_name", "_kv.value"))
 
 
-def _value_ranks(long_df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """(groups..., value, _c, _upto): how often each distinct value occurs and how
-    many rows come up to it in the order (groups, value).
-
-    Equal values are counted first (a partial aggregate), so a frequent value is
-    one row however many rows hold it.  The distinct values are then sorted over
-    range partitions; running sums inside a partition and one small row per
-    partition give the positions."""
-    counted = long_df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
-    order = [F.col(g).asc_nulls_last() for g in groups] + [F.col(value).asc()]
-    checkpoint_root(long_df.sparkSession)
-    parted = counted.orderBy(*order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    sums = parted.groupBy("_pid").agg(F.sum("_c").alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # one row per partition: a bounded broadcast
-    return (parted.withColumn("_upto", F.sum("_c").over(inside)).join(F.broadcast(offsets), "_pid")
-            .withColumn("_upto", F.col("_upto") + F.col("_off")).drop("_pid", "_off"))
+#: buckets of the first round: this many for each unit of log(1 + |value|)
+LOG_STEPS = 256
+#: equal parts into which a later round cuts an interval
+PARTS = 4096
+#: an interval of at most this many rows is fetched instead of cut again
+FETCH_ROWS = 1_000_000
+#: at most this many wanted intervals are sent to every task; more are joined by a shuffle
+SENT_SPANS = 100_000
+
+
+def _running(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds ``_upto``: the rows (``_c``) up to and including this one, in ``order`` inside ``keys``."""
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_upto", F.sum("_c").over(inside))
+
+
+def _holding(df: DataFrame, spans: DataFrame, keys: list[str], inside: Column, send: bool) -> DataFrame:
+    """Rows of ``df`` joined to the ``spans`` with equal (also null) ``keys`` for which ``inside`` holds."""
+    renamed = spans.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in spans.columns if c not in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    joined = df.join(F.broadcast(renamed) if send else renamed, same & inside)
+    return joined.drop(*[f"_of_{k}" for k in keys])
+
+
+def _wanted_spans(lf: DataFrame, groups: list[str], probs: list[float]) -> DataFrame:
+    """One scan: for each group, probability and end (lower, upper order statistic) the
+    bucket that holds it, as (_mn, _mx) of its values, its rows ``_c`` and the rank ``_at``
+    inside it.
+
+    The logarithm is semi-monotonic, so buckets are in the order of the values; they
+    number at most 363,000 for each group, whatever the values (two more for infinities, one for NaN)."""
+    v = F.col("_v")
+    scaled = F.floor(F.signum(v) * F.least(F.log1p(F.abs(v)), F.lit(1400.0)) * LOG_STEPS)
+    bucket = F.when(F.isnan(v), F.lit(1401 * LOG_STEPS)).otherwise(scaled).cast("long")
+    counted = lf.groupBy(*groups, bucket.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    ranked = _running(counted, groups, "_b").withColumn("_n", F.sum("_c").over(Window.partitionBy(*groups)))
+    pos = lambda p: F.lit(float(p)) * (F.col("_n") - 1)
+    ends = [F.struct(F.lit(float(p)).alias("prob"), pos(p).alias("_pos"), F.lit(upper).alias("_upper"),
+                     (F.ceil(pos(p)) if upper else F.floor(pos(p))).cast("long").alias("_rank"))
+            for p in probs for upper in (False, True)]
+    held = ranked.select(*groups, "_c", "_mn", "_mx", (F.col("_upto") - F.col("_c")).alias("_before"), F.explode(F.array(*ends)).alias("_e"))
+    held = held.select(*groups, "_c", "_mn", "_mx", "_before", "_e.*")
+    at = F.col("_rank") - F.col("_before")
+    return held.filter((at >= 0) & (at < F.col("_c"))).select(*groups, "prob", "_pos", "_upper", at.alias("_at"), "_c", "_mn", "_mx")
+
+
+def _narrowed(lf: DataFrame, spans: DataFrame, groups: list[str], wide: Column, send: bool) -> DataFrame:
+    """One scan: intervals for which ``wide`` holds are replaced by the one of their
+    ``PARTS`` equal parts that holds the wanted rank; the smallest and the largest value
+    fall into different parts, so each round gets nearer."""
+    keys = [*groups, "_mn", "_mx"]
+    mine = F.col("_v").between(F.col("_mn"), F.col("_mx"))
+    rows = _holding(lf, spans.filter(wide).select(*keys).distinct(), groups, mine, send)
+    part = F.floor((F.col("_v") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * PARTS)
+    counted = rows.groupBy(*keys, F.least(part, F.lit(PARTS - 1)).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn2"), F.max("_v").alias("_mx2"))
+    ranked = _running(counted, keys, "_b")
+    first = F.col("_upto") - F.col("_c")
+    held = _holding(ranked, spans.filter(wide).drop("_c"), keys, (F.col("_at") >= first) & (F.col("_at") < F.col("_upto")), send)
+    done = held.select(*groups, "prob", "_pos", "_upper", (F.col("_at") - first).alias("_at"), "_c",
+                       F.col("_mn2").alias("_mn"), F.col("_mx2").alias("_mx"))
+    return spans.filter(~wide).unionByName(done)
+
+
+def _fetched(lf: DataFrame, spans: DataFrame, groups: list[str], is_open: Column, send: bool) -> DataFrame:
+    """One scan: the values of the open intervals, counted and ordered inside each."""
+    keys = [*groups, "_mn", "_mx"]
+    mine = F.col("_v").between(F.col("_mn"), F.col("_mx"))
+    rows = _holding(lf, spans.filter(is_open).select(*keys).distinct(), groups, mine, send)
+    ranked = _running(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), keys, "_v")
+    mine = (F.col("_at") >= F.col("_upto") - F.col("_c")) & (F.col("_at") < F.col("_upto"))
+    found = _holding(ranked, spans.filter(is_open).drop("_c"), keys, mine, send)
+    return found.select(*groups, "prob", "_pos", "_upper", "_v")
 
 
 def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
                     value: str = "value") -> DataFrame:
-    """(groups..., prob, quantile) with linear interpolation between order statistics."""
-    ranks = _value_ranks(long_df, groups, value)
-    # one row per group: bounded by the number of groups, not by the data
-    starts = ranks.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.min(F.col("_upto") - F.col("_c")).alias("_start"))
-    wanted = (starts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-              .withColumn("_pos", F.col("prob") * (F.col("_n") - 1))
-              .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
-    keys = [f"_g{i}" for i in range(len(groups))]
-    need = wanted.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], "prob", "_pos", "_lo", "_hi",
-                         (F.col("_start") + F.col("_lo") + 1).alias("_at_lo"), (F.col("_start") + F.col("_hi") + 1).alias("_at_hi"))
-    same = F.lit(True)
-    for g, k in zip(groups, keys):
-        same = same & F.col(g).eqNullSafe(F.col(k))
-    first, last = F.col("_upto") - F.col("_c"), F.col("_upto")
-    covers = lambda at: (F.col(at) > first) & (F.col(at) <= last)
-    got = ranks.join(F.broadcast(need), same & (covers("_at_lo") | covers("_at_hi")))
-    vals = got.groupBy(*groups, "prob", "_pos", "_lo").agg(
-        F.max(F.when(covers("_at_lo"), F.col(value))).alias("_vlo"), F.max(F.when(covers("_at_hi"), F.col(value))).alias("_vhi"))
-    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
-    return vals.select(*groups, "prob", q.alias("quantile"))
+    """(groups..., prob, quantile) with linear interpolation between order statistics;
+    ``groups`` names at least one column.
+
+    Exact selection by histogram refinement.  One scan counts the values of each group
+    in bounded buckets and keeps the buckets that hold a wanted order statistic; a bucket
+    with one distinct value (a hot value) is an answer at once; a last scan fetches the
+    values of the few other buckets.  Only where such a bucket holds more than
+    ``FETCH_ROWS`` rows, further scans cut it into ``PARTS`` parts each.  So two scans
+    serve all columns and groups (three from some 10^9 rows a group), nothing but counts
+    and the wanted buckets is shuffled, and no set of values is sorted as a whole.  The
+    wanted buckets (two for each group and probability) are the one table kept between
+    scans.  Null is ignored; NaN is above all numbers."""
+    checkpoint_root(long_df.sparkSession)
+    lf = long_df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
+    is_open = F.col("_mn") < F.col("_mx")
+    wide = is_open & (F.col("_c") > FETCH_ROWS)
+    spans = _wanted_spans(lf, groups, probs).checkpoint(eager=True)
+    while True:
+        size = spans.agg(F.count(F.lit(1)).alias("all"), F.count_if(is_open).alias("open"), F.count_if(wide).alias("wide")).first()
+        send = size["all"] <= SENT_SPANS
+        if not size["wide"]:
+            break
+        spans = _narrowed(lf, spans, groups, wide, send).checkpoint(eager=True)
+    known = spans.filter(~is_open).select(*groups, "prob", "_pos", "_upper", F.col("_mn").alias("_v"))
+    ends = known.unionByName(_fetched(lf, spans, groups, is_open, send)) if size["open"] else known
+    both = ends.groupBy(*groups, "prob").agg(
+        F.max("_pos").alias("_pos"), F.max(F.when(~F.col("_upper"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_upper"), F.col("_v"))).alias("_vhi"))
+    between = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.floor("_pos"))
+    return both.select(*groups, "prob", F.when(F.col("_vlo") == F.col("_vhi"), F.col("_vlo")).otherwise(between).alias("quantile"))
 
 
 def approximate_quantiles(long_df: DataFrame, groups: list[str], probs: dict[str, float], accuracy: int = 100_000) -> DataFrame:
@@ -250,7 +315,10 @@ def histogram(lf: DataFrame, bins: int = 50) -> DataFrame:
                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
-KDE_SUMS = 80
+#: terms of the expansion of a density about the middle of a box
+KDE_TERMS = 20
+#: a box adds nothing to grid points over this many bandwidths from its middle
+KDE_REACH = 12.0
 
 
 def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3.0, bins: int = 50) -> DataFrame:
@@ -259,31 +327,43 @@ def kde_grid(lf: DataFrame, groups: list[str], points: int = 200, cut: float = 3
     Scott's bandwidth h = std * n^(-1/5); the grid spans min - cut*h .. max + cut*h.
     ``cut`` and ``points`` are those of the plot: a density over a histogram does
     not pass the data (cut 0, 200 points), a violin extends by two bandwidths
-    (cut 2, 100 points).  Each grid point is a sum; ``KDE_SUMS`` of them share an
-    aggregate, which is what generated code holds, so rows are never multiplied and
-    only one row per group and task is shuffled.  ``count_density`` is the curve
-    scaled to a ``bins``-bin histogram."""
+    (cut 2, 100 points).  ``count_density`` is the curve scaled to a ``bins``-bin histogram.
+
+    A fast Gauss transform: values are summed up in boxes as wide as h.  With t and y
+    the distances of a value and of a grid point from the middle of the box, in
+    bandwidths, exp(-(y-t)^2/2) = exp(-y^2/2) * sum over k of y^k * exp(-t^2/2) t^k/k!, so a box
+    keeps ``KDE_TERMS`` sums over its values and each grid point near it is one polynomial.
+    As |t| <= 1/2, the terms left out are at most 2 * 0.5^20 / sqrt(20! * sqrt(40 pi)) < 4e-16
+    of a kernel's peak for each value, and the grid points out of reach get less than
+    exp(-11.5^2/2) < 2e-29: below the rounding of the plain sum, and of the presented decimals up
+    to a count density of 10^11.  Two scans (deviations, sums) serve all groups; the work is the
+    values plus the boxes times the grid points near them, instead of values times points."""
     st = lf.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"),
                                  F.min("value").alias("_mn"), F.max("value").alias("_mx"))
-    st = (st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-            .filter(F.col("_h") > 0)
-            .withColumn("_g0", F.col("_mn") - cut * F.col("_h"))
-            .withColumn("_step", (F.col("_mx") - F.col("_mn") + 2 * cut * F.col("_h")) / (points - 1)))
+    st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).filter(F.col("_h") > 0).drop("_sd")
     # one row per group: as bounded as the result
-    j = lf.join(F.broadcast(st.select(*groups, "_h", "_g0", "_step")), groups)
-
-    def kernel(i: int) -> Column:
-        z = (F.col("_g0") + i * F.col("_step") - F.col("value")) / F.col("_h")
-        return F.sum(F.exp(F.lit(-0.5) * z * z)).alias(f"_k{i}")
-
-    parts = []
-    for lo in range(0, points, KDE_SUMS):
-        some = range(lo, min(points, lo + KDE_SUMS))
-        sums = j.groupBy(*groups).agg(*[kernel(i) for i in some])
-        parts.append(sums.select(*groups, F.posexplode(F.array(*[f"_k{i}" for i in some])).alias("_p", "_s"))
-                     .select(*groups, (F.col("_p") + lo).alias("i"), "_s"))
-    long = reduce(DataFrame.unionByName, parts)
-    out = long.join(F.broadcast(st), groups)
+    own = [*groups, "_n", "_mn", "_mx", "_h"]
+    j = lf.join(F.broadcast(st), groups).select(*own, "value", F.floor((F.col("value") - F.col("_mn")) / F.col("_h")).alias("_box"))
+    middle = F.col("_mn") + (F.col("_box") + 0.5) * F.col("_h")
+    j = j.select(*own, "_box", ((F.col("value") - middle) / F.col("_h")).alias("_t"))
+    j = j.withColumn("_w", F.exp(F.lit(-0.5) * F.col("_t") * F.col("_t")))
+    terms = [F.col("_w")]
+    for k in range(1, KDE_TERMS):
+        terms.append(terms[-1] * F.col("_t") / F.lit(float(k)))
+    boxes = j.groupBy(*own, "_box").agg(*[F.sum(t).alias(f"_m{k}") for k, t in enumerate(terms)])
+    boxes = (boxes.withColumn("_g0", F.col("_mn") - cut * F.col("_h"))
+             .withColumn("_step", (F.col("_mx") - F.col("_mn") + 2 * cut * F.col("_h")) / (points - 1)))
+    # the box of the smallest value always exists: it lists all points, the others those in reach
+    lowest = F.col("_box") == 0
+    point = lambda x: F.least(F.greatest(x.cast("long"), F.lit(0)), F.lit(points - 1)).cast("int")
+    first = point(F.when(lowest, F.lit(0)).otherwise(F.floor((middle - KDE_REACH * F.col("_h") - F.col("_g0")) / F.col("_step"))))
+    last = point(F.when(lowest, F.lit(points - 1)).otherwise(F.ceil((middle + KDE_REACH * F.col("_h") - F.col("_g0")) / F.col("_step"))))
+    near = boxes.withColumn("i", F.explode(F.sequence(first, last)))
+    near = near.withColumn("_y", (F.col("_g0") + F.col("i") * F.col("_step") - middle) / F.col("_h"))
+    y = F.col("_y")
+    poly = reduce(lambda acc, k: acc * y + F.col(f"_m{k}"), range(KDE_TERMS - 2, -1, -1), F.col(f"_m{KDE_TERMS - 1}"))
+    part = F.when(F.abs(y) <= KDE_REACH, F.exp(F.lit(-0.5) * y * y) * poly).otherwise(0.0)
+    out = near.groupBy(*own, "_g0", "_step", "i").agg(F.sum(part).alias("_s"))
     dens = F.col("_s") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))
     return out.select(*groups, "i", _r(F.col("_g0") + F.col("i") * F.col("_step")).alias("x"),
                       _r(dens * F.col("_n") * (F.col("_mx") - F.col("_mn")) / bins, 4).alias("count_density"))

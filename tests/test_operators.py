@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from firmo.operators import aggregates as AG
@@ -121,3 +124,68 @@ def test_approximate_quantiles_close_to_exact(spark):
     approx = PF.approximate_quantiles(df, ["column_name"], {"q1": 0.25, "q3": 0.75}).first()
     vals = np.array([v for _, v in rows])
     assert abs(approx.q1 - np.quantile(vals, 0.25)) < 0.01 and abs(approx.q3 - np.quantile(vals, 0.75)) < 0.01
+
+
+def _by_key(df, keys, column):
+    return {tuple(r[k] for k in keys): r[column] for r in df.collect()}
+
+
+@pytest.mark.parametrize("fetch", [1_000_000, 3])
+def test_selection_by_refinement_equals_sorting(spark, monkeypatch, fetch):
+    """Hot, tiny, huge, negative, null and infinite values; a null group; with 3 rows a
+    fetch, intervals are cut until they are as small as that."""
+    monkeypatch.setattr(PF, "FETCH_ROWS", fetch)
+    rng = np.random.default_rng(7)
+    sets = {
+        "heavy": list(np.exp(rng.normal(18, 6, 500))), "tiny": list(rng.normal(0, 1e-9, 300)),
+        "hot": [4.0] * 400 + list(rng.random(60)), "signs": [float(x) for x in rng.integers(-50, 50, 301)],
+        "one": [2.5], "two": [-1.0, 8.0], "ends": [-math.inf, 1.0, 2.0, 3.0, math.inf], None: list(rng.random(41)),
+        "close": list(1e12 + np.arange(200) / 64),
+    }
+    rows = [(g, float(v)) for g, vs in sets.items() for v in vs] + [("heavy", None), ("void", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(r[0], None if r[1] is None else float(r[1])) for r in rows], "g string, value double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = _by_key(PF.exact_quantiles(df, ["g"], probs), ["g", "prob"], "quantile")
+    assert {g for g, _ in got} == set(sets)
+    for g, vs in sets.items():
+        vs = sorted(vs)
+        for p in probs:
+            pos = p * (len(vs) - 1)
+            lo, hi = vs[math.floor(pos)], vs[math.ceil(pos)]
+            want = lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
+            assert got[g, p] == want or math.isnan(want) and math.isnan(got[g, p]), (g, p)
+
+
+def test_selection_joins_many_groups_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(PF, "SENT_SPANS", 0)
+    df = spark.range(600).selectExpr("id % 40 AS g", "CAST(id * id % 97 AS DOUBLE) AS value")
+    got = _by_key(PF.exact_quantiles(df, ["g"], [0.3, 0.5]), ["g", "prob"], "quantile")
+    for g in range(40):
+        vs = [float(i * i % 97) for i in range(600) if i % 40 == g]
+        assert got[g, 0.3] == pytest.approx(np.quantile(vs, 0.3), abs=1e-12) and got[g, 0.5] == pytest.approx(np.quantile(vs, 0.5), abs=1e-12)
+
+
+def test_selection_of_no_rows(spark):
+    none = spark.createDataFrame([], "g string, value double")
+    assert PF.exact_quantiles(none, ["g"], [0.5]).collect() == []
+    nan = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", float("nan"))], "g string, value double")
+    got = _by_key(PF.exact_quantiles(nan, ["g"], [0.5, 1.0]), ["g", "prob"], "quantile")
+    assert got["a", 0.5] == 2.0 and math.isnan(got["a", 1.0])
+
+
+@pytest.mark.parametrize("cut,points", [(0.0, 200), (2.0, 100), (3.0, 50)])
+def test_density_by_boxes_equals_direct_sum(spark, cut, points):
+    """A far outlier leaves grid points out of reach of every box: they are listed with 0."""
+    rng = np.random.default_rng(3)
+    sets = {"normal": rng.normal(10, 3, 700), "far": np.append(rng.normal(0, 1, 300), 4000.0), "two": np.array([1.0, 2.0]),
+            "skew": np.exp(rng.normal(0, 2, 400))}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in sets.items() for v in vs] + [("flat", 1.0), ("flat", 1.0)], "g string, value double")
+    got = {(r["g"], r["i"]): r for r in PF.kde_grid(df, ["g"], points=points, cut=cut).collect()}
+    assert len(got) == points * len(sets)
+    for g, vs in sets.items():
+        h = vs.std(ddof=1) * len(vs) ** -0.2
+        x = vs.min() - cut * h + np.arange(points) * (vs.max() - vs.min() + 2 * cut * h) / (points - 1)
+        dens = np.exp(-0.5 * ((x[:, None] - vs[None, :]) / h) ** 2).sum(axis=1) / (h * math.sqrt(2 * math.pi)) * (vs.max() - vs.min()) / 50
+        for i in range(points):
+            assert abs(got[g, i]["count_density"] - dens[i]) < 6e-5 and abs(got[g, i]["x"] - x[i]) < 1e-6
