@@ -42,7 +42,8 @@ LOG_STEPS = 256
 PARTS = 4096
 #: an interval of at most this many rows is fetched instead of cut again
 FETCH_ROWS = 1_000_000
-#: at most this many wanted intervals are sent to every task; more are joined by a shuffle
+#: at most this many wanted intervals pass the driver and are sent to every task; more are
+#: checkpointed and joined by a shuffle
 SENT_SPANS = 100_000
 
 
@@ -77,7 +78,10 @@ def _wanted_spans(lf: DataFrame, groups: list[str], probs: list[float]) -> DataF
     ends = [F.struct(F.lit(float(p)).alias("prob"), pos(p).alias("_pos"), F.lit(upper).alias("_upper"),
                      (F.ceil(pos(p)) if upper else F.floor(pos(p))).cast("long").alias("_rank"))
             for p in probs for upper in (False, True)]
-    held = ranked.select(*groups, "_c", "_mn", "_mx", (F.col("_upto") - F.col("_c")).alias("_before"), F.explode(F.array(*ends)).alias("_e"))
+    before = F.col("_upto") - F.col("_c")
+    holds = lambda rank: (rank >= before) & (rank < F.col("_upto"))
+    some = reduce(lambda x, y: x | y, [holds(near(pos(p))) for p in probs for near in (F.floor, F.ceil)])
+    held = ranked.filter(some).select(*groups, "_c", "_mn", "_mx", before.alias("_before"), F.explode(F.array(*ends)).alias("_e"))
     held = held.select(*groups, "_c", "_mn", "_mx", "_before", "_e.*")
     at = F.col("_rank") - F.col("_before")
     return held.filter((at >= 0) & (at < F.col("_c"))).select(*groups, "prob", "_pos", "_upper", at.alias("_at"), "_c", "_mn", "_mx")
@@ -112,6 +116,19 @@ def _fetched(lf: DataFrame, spans: DataFrame, groups: list[str], is_open: Column
     return found.select(*groups, "prob", "_pos", "_upper", "_v")
 
 
+def _kept(spans: DataFrame, is_open: Column, wide: Column) -> tuple[DataFrame, dict, bool]:
+    """The evaluated intervals, how many of them are open and wide, and whether they are few."""
+    counts = [F.count_if(is_open).alias("open"), F.count_if(wide).alias("wide")]
+    few = spans.limit(SENT_SPANS + 1).withColumn("_open", is_open.cast("int")).withColumn("_wide", wide.cast("int")).collect()
+    if len(few) <= SENT_SPANS:
+        size = {"open": sum(r["_open"] for r in few), "wide": sum(r["_wide"] for r in few)}
+        local = spans.sparkSession.createDataFrame([tuple(r)[:-2] for r in few], spans.schema)
+        return local, size, True
+    checkpoint_root(spans.sparkSession)
+    spans = spans.checkpoint(eager=True)
+    return spans, spans.agg(*counts).first().asDict(), False
+
+
 def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
                     value: str = "value") -> DataFrame:
     """(groups..., prob, quantile) with linear interpolation between order statistics;
@@ -124,19 +141,14 @@ def exact_quantiles(long_df: DataFrame, groups: list[str], probs: list[float],
     ``FETCH_ROWS`` rows, further scans cut it into ``PARTS`` parts each.  So two scans
     serve all columns and groups (three from some 10^9 rows a group), nothing but counts
     and the wanted buckets is shuffled, and no set of values is sorted as a whole.  The
-    wanted buckets (two for each group and probability) are the one table kept between
-    scans.  Null is ignored; NaN is above all numbers."""
-    checkpoint_root(long_df.sparkSession)
+    wanted buckets (two for each group and probability) are all that is kept between scans;
+    their number is checked before they pass the driver.  Null is ignored; NaN is above all numbers."""
     lf = long_df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
     is_open = F.col("_mn") < F.col("_mx")
     wide = is_open & (F.col("_c") > FETCH_ROWS)
-    spans = _wanted_spans(lf, groups, probs).checkpoint(eager=True)
-    while True:
-        size = spans.agg(F.count(F.lit(1)).alias("all"), F.count_if(is_open).alias("open"), F.count_if(wide).alias("wide")).first()
-        send = size["all"] <= SENT_SPANS
-        if not size["wide"]:
-            break
-        spans = _narrowed(lf, spans, groups, wide, send).checkpoint(eager=True)
+    spans, size, send = _kept(_wanted_spans(lf, groups, probs), is_open, wide)
+    while size["wide"]:
+        spans, size, send = _kept(_narrowed(lf, spans, groups, wide, send), is_open, wide)
     known = spans.filter(~is_open).select(*groups, "prob", "_pos", "_upper", F.col("_mn").alias("_v"))
     ends = known.unionByName(_fetched(lf, spans, groups, is_open, send)) if size["open"] else known
     both = ends.groupBy(*groups, "prob").agg(
