@@ -37,13 +37,34 @@ def latest_metrics(bronze_fct: DataFrame) -> DataFrame:
             .agg(*[F.max(c).alias(c) for c in m], F.max("metric_date").alias("latest_metric_date")))
 
 
+#: A name with more fact rows than this is dealt over several tasks by ``mart_join``.
+HOT = 4096
+
+
 def mart_join(bronze_dim: DataFrame, fct_latest: DataFrame) -> DataFrame:
     """O-JN-03: dim LEFT JOIN latest metrics on company name.
 
-    Names with several (ticker, country) fact keys fan out, as in the model (Q17)."""
-    f = fct_latest.drop("company_id")
-    return (bronze_dim.filter(F.col("company_name").isNotNull() & (F.length(F.trim("company_name")) > 0))
-            .join(f, "company_name", "left"))
+    Names with several (ticker, country) fact keys fan out, as in the model (Q17).
+    Both sides grow with the input, so both are shuffled by name, none is sent whole
+    to every executor.  A name of over ``HOT`` facts is cut into parts of about
+    ``HOT``: its facts are dealt by their id, its dimension rows meet every part.
+    Such a name has a fact, so its rows without one come only from a part that got
+    none and are dropped; of other names (one part) they are the left join's."""
+    # one row for each name of over HOT facts: at most a row for HOT of the facts
+    hot = (fct_latest.groupBy("company_name").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > HOT)
+           .select("company_name", F.ceil(F.col("_n") / HOT).cast("int").alias("_parts")))
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), "company_name", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    f = (in_parts(fct_latest).withColumn("_part", F.pmod(F.xxhash64("company_id"), F.col("_parts")).cast("int"))
+         .withColumn("_met", F.lit(True)).drop("company_id", "_parts"))
+    d = (in_parts(bronze_dim.filter(F.col("company_name").isNotNull() & (F.length(F.trim("company_name")) > 0)))
+         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))))
+    return (d.join(f.hint("merge"), ["company_name", "_part"], "left")
+            .filter((F.col("_parts") == 1) | F.col("_met"))
+            .drop("_part", "_parts", "_met"))
 
 
 def fill_from_lookup(df: DataFrame, lookup: DataFrame, name_col: str = "company_name",

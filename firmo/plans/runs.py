@@ -4,13 +4,16 @@ Staging, raw and mart layers are written as tables into the shared checkpoint
 folder, bronze stays a set of views, as in the reference's project layout.
 Written tables also cut the lineage: a lost executor costs a re-read, not a
 recomputation from the sources.  ``staged`` keeps one run per session and
-source folder, so serving queries read the mart table instead of rebuilding it.
+source folder, so serving queries read the mart table instead of rebuilding it;
+its raw and mart tables are written when a query first reads them, so that a
+query over the staging tables does not wait for tables it never reads.
 """
 
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +26,33 @@ from firmo.sources.sinks import materialize_layer
 
 @dataclass
 class Run:
+    """The written staging tables of a run; each further table is written under
+    ``root`` on first use, once."""
     stg_primary: DataFrame
     stg_secondary: DataFrame
-    raw_dim: DataFrame
-    raw_fct: DataFrame
-    mart: DataFrame
     params: RunParams = DEFAULT
     root: str = ""
+    _made: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
+
+    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with self._lock:
+            if name not in self._made:
+                self._made[name] = materialize_layer(self.stg_primary.sparkSession, build(), "table", name, self.root)
+            return self._made[name]
+
+    @property
+    def raw_dim(self) -> DataFrame:
+        return self._table("raw_dim_companies", lambda: self.layers().raw_dim)
+
+    @property
+    def raw_fct(self) -> DataFrame:
+        return self._table("raw_fct_company_metrics", lambda: self.layers().raw_fct)
+
+    @property
+    def mart(self) -> DataFrame:
+        return self._table("unified_companies",
+                           lambda: LY.unified_companies(self.bronze_dim, self.bronze_fct, self.params))
 
     @property
     def bronze_dim(self) -> DataFrame:
@@ -43,23 +66,28 @@ class Run:
     def founders(self) -> DataFrame:
         return LY.bronze_dim_founder(self.stg_primary, self.stg_secondary, self.params)
 
+    def build(self) -> Run:
+        """Write all tables that are not written yet."""
+        for _ in (self.raw_dim, self.raw_fct, self.mart):
+            pass
+        return self
+
     def layers(self) -> LY.Layers:
         """Lazy layers over the staging tables (to rebuild raw/mart from staging)."""
         return LY.Layers(self.stg_primary, self.stg_secondary, self.params)
 
 
-def build_layers(spark: SparkSession, sf_dir: str, root: str | None = None, p: RunParams = DEFAULT) -> Run:
-    """Load staging from the given tables, build and write raw and mart tables."""
+def load_staging(spark: SparkSession, sf_dir: str, root: str | None = None, p: RunParams = DEFAULT) -> Run:
+    """Write the staging tables from the given tables."""
     root = root or scratch_path(spark, "run")
     stg_p = materialize_layer(spark, adapter.stg_primary(spark, sf_dir), "table", "stg_primary", root)
     stg_s = materialize_layer(spark, adapter.stg_secondary(spark, sf_dir), "table", "stg_secondary", root)
-    lay = LY.Layers(stg_p, stg_s, p)
-    raw_dim = materialize_layer(spark, lay.raw_dim, "table", "raw_dim_companies", root)
-    raw_fct = materialize_layer(spark, lay.raw_fct, "table", "raw_fct_company_metrics", root)
-    mart = materialize_layer(spark, LY.unified_companies(LY.bronze_dim_companies(raw_dim, p),
-                                                         LY.bronze_fct_company_metrics(raw_fct, p), p),
-                             "table", "unified_companies", root)
-    return Run(stg_p, stg_s, raw_dim, raw_fct, mart, p, root)
+    return Run(stg_p, stg_s, p, root)
+
+
+def build_layers(spark: SparkSession, sf_dir: str, root: str | None = None, p: RunParams = DEFAULT) -> Run:
+    """Load staging from the given tables, build and write raw and mart tables."""
+    return load_staging(spark, sf_dir, root, p).build()
 
 
 SOURCES = ("customer", "nation", "orders", "supplier")
@@ -79,14 +107,14 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def staged(spark: SparkSession, sf_dir: str, p: RunParams = DEFAULT) -> Run:
-    """The run of this session for ``sf_dir``: built on first use, and again (the old
+    """The run of this session for ``sf_dir``: staging is written on first use, and again (the old
     tables removed) when a source table has changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)
     now = _state(spark, sf_dir)
     with _LOCK:
         state, run = _RUNS.get(key, (None, None))
         if run is None or state != now:
-            old, run = run, build_layers(spark, sf_dir, p=p)
+            old, run = run, load_staging(spark, sf_dir, p=p)
             _RUNS[key] = (now, run)
             if old is not None:
                 remove_path(spark, old.root)

@@ -29,8 +29,11 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their group of six (``g``), place in it (``m``) and country.
-    The last two of a group share their country, so that they agree on every key."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    The last two of a group share their country, so that they agree on every key.
+    The narrow rows are dealt by key: a table of one row group is read by one task,
+    and the wide rows made of it would all be made and written by that task."""
+    cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+            .repartition("c_custkey"))
     # nation is a fixed 25-row dimension: broadcasting it is bounded by construction
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     c = cust.select("*", F.expr("c_custkey div 6").alias("g"), (F.col("c_custkey") % 6).alias("m"))
