@@ -23,7 +23,7 @@ import json
 import os
 import re
 import zlib
-from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ from firmo.llm.common import blocks, column, pick, shared_dir, utf8
 MAGIC = b"FWMX1"
 SEGMENT = 1 << 21
 BLOCK = 512          # bits for each rank sample
+PIECE = 1 << 16      # ids parted at a time
 REMEMBER = 400_000
 
 
@@ -54,11 +55,16 @@ class Wavelet:
         for level in range(bits - 1, -1, -1):
             bit = (x & x.dtype.type(1 << level)) != 0
             planes.append(np.packbits(bit))
-            up, down = np.flatnonzero(bit), np.flatnonzero(~bit)
-            zeros.append(len(down))
-            y = np.empty_like(x)
-            np.take(x, down, out=y[:len(down)], mode="clip")
-            np.take(x, up, out=y[len(down):], mode="clip")
+            off, y = ~bit, np.empty_like(x)
+            a, b = 0, len(x) - int(np.count_nonzero(bit))
+            zeros.append(b)
+            # by pieces, so that their positions stay in the cache
+            for at in range(0, len(x), PIECE):
+                some = x[at:at + PIECE]
+                down, up = np.flatnonzero(off[at:at + PIECE]), np.flatnonzero(bit[at:at + PIECE])
+                np.take(some, down, out=y[a:a + len(down)], mode="clip")
+                np.take(some, up, out=y[b:b + len(up)], mode="clip")
+                a, b = a + len(down), b + len(up)
             x = y
         return cls(planes, zeros, len(ids))
 
@@ -69,9 +75,14 @@ class Wavelet:
         x = np.zeros(self.n, kind)
         for level, (plane, z) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
             bit = np.unpackbits(plane, count=self.n).view(bool)
-            y = np.empty(self.n, kind)
-            y[np.flatnonzero(~bit)] = x[:z]
-            y[np.flatnonzero(bit)] = x[z:] | kind(1 << level)
+            off, y = ~bit, np.empty(self.n, kind)
+            x[z:] |= kind(1 << level)
+            a, b = 0, z
+            for at in range(0, self.n, PIECE):
+                down, up = np.flatnonzero(off[at:at + PIECE]), np.flatnonzero(bit[at:at + PIECE])
+                some = y[at:at + PIECE]
+                some[down], some[up] = x[a:a + len(down)], x[b:b + len(up)]
+                a, b = a + len(down), b + len(up)
             x = y
         return x
 
@@ -144,16 +155,43 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in own else next(spare)) for b in range(256)}
 
 
+class Chunks(dict):
+    """Ids of chunks, made by ``make`` when first asked for.  Two generations, so
+    that the table stays bounded and frequent chunks stay in it; chunks over
+    ``LONGEST`` bytes are not kept."""
+
+    LONGEST = 64
+
+    def __init__(self, make: Callable[[bytes], bytes]) -> None:
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, c: bytes) -> bytes:
+        got = self.older.get(c)
+        if got is None:
+            got = self.make(c)
+        if len(c) <= self.LONGEST:
+            if len(self) >= REMEMBER:
+                self.older = dict(self)
+                self.clear()
+            self[c] = got
+        return got
+
+
 class Encoder:
     """ids of texts as the tokenizers library gives them.  The library cuts texts
-    at white space and lower-cases them; chunks between ASCII white space are
-    encoded by it once and remembered in a bounded table.  A chunk of Latin
-    letters with closing punctuation goes to the library's model directly, others
-    through its whole chain."""
-
-    SIMPLE = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,;:!?]*)")
+    at white space and lower-cases them, then cuts them into runs of letters, single
+    digits and runs of other signs; chunks between ASCII white space are encoded by
+    it once and remembered in a bounded table.  Of a chunk of Latin letters, ASCII
+    digits and signs the runs go to the library's model directly; chunks with an
+    apostrophe (it has endings as 's of its own), with what may be a special token
+    or with any other character go through its whole chain."""
+
+    LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+    OWN = re.compile("[!-&(-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+    RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+    SIGNS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27)
     LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-    CLOSING = frozenset(b".,;:!?")
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -162,61 +200,41 @@ class Encoder:
         self.whole.no_truncation()
         self.whole.no_padding()
         self.model = self.whole.model
-        self.bits = max(1, (self.whole.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.map = byte_letters()
-        self.chunks: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        size = self.whole.get_vocab_size(with_added_tokens=True)
+        self.bits = max(1, (size - 1).bit_length())
+        self.four = [i.to_bytes(4, "little") for i in range(size)]
+        letter = byte_letters()
+        self.letters = {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+        self.chunks = Chunks(self._ids)
 
     def _model(self, letters: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _part(self, c: bytes) -> bytes:
-        """Ids of lower-case ASCII letters, or of closing punctuation."""
-        got = self.chunks.get(c)
-        if got is None:
-            got = self.chunks[c] = self.older.get(c) or self._model(c.decode())
-        return got
-
-    def learn(self, chunks: set[bytes]) -> None:
-        """Put the ids of these chunks into the table, which has two generations,
-        so that it stays bounded and frequent chunks stay in it."""
-        new = chunks.difference(self.chunks)
-        if len(self.chunks) + len(new) > REMEMBER:
-            self.older, self.chunks = self.chunks, {}
-            new = chunks
-        have = {c: self.older[c] for c in new if c in self.older}
-        table, part, closing = self.chunks, self._part, self.CLOSING
-        table.update(have)
-        odd = []
-        for c in new.difference(have):
-            if c.isalpha() and c.islower():
-                part(c)
-            elif c[-1] in closing and c[:-1].isalpha() and c[:-1].islower():
-                table[c] = part(c[:-1]) + part(c[-1:])
-            else:
-                s = c.decode()
-                m = self.SIMPLE.fullmatch(s)
-                if m:
-                    word = m[1].lower().encode().decode("latin-1").translate(self.map)
-                    table[c] = (self._model(word) if word else b"") + (part(m[2].encode()) if m[2] else b"")
-                else:
-                    odd.append((c, s))
-        for at in range(0, len(odd), 4096):
-            some = odd[at:at + 4096]
-            got = self.whole.encode_batch_fast([s for _, s in some], add_special_tokens=False)
-            for (c, _), e in zip(some, got, strict=True):
-                table[c] = array("I", e.ids).tobytes()
+        four = self.four
+        return b"".join([four[t.id] for t in self.model.tokenize(letters)])
+
+    def _ids(self, c: bytes) -> bytes:
+        """Ids of a chunk."""
+        if c.isalpha() and c.islower():
+            return self._model(c.decode())
+        if b"<|" not in c:
+            head = c.rstrip(self.SIGNS)
+            if not head:
+                return self._model(c.decode())
+            # after a letter or digit the closing signs are a run of their own; C3 leads
+            # the letters from U+00C0 to U+00FF and two signs
+            if len(head) < len(c) and (head[-1:].isalnum() or head[-2:-1] == b"\xc3" and head[-1] not in b"\x97\xb7"):
+                return self.chunks[head] + self.chunks[c[len(head):]]
+            s = c.decode()
+            if self.LATIN.fullmatch(s):
+                return self._model(s.lower().translate(self.letters))
+            if self.OWN.fullmatch(s):
+                return b"".join([self.chunks[r.encode()] for r in self.RUNS.findall(s.lower())]) if len(s) > 1 else self._model(s)
+        return b"".join(map(self.four.__getitem__, self.whole.encode_batch_fast([c.decode()], add_special_tokens=False)[0].ids))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        # capitals go first where no string of a special token can arise from it
-        cut = [(t if b"<|" in t else t.translate(self.LOWER)).split() for t in texts]
-        words: set[bytes] = set()
-        for c in cut:
-            words.update(c)
-        self.learn(words)
         get = self.chunks.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        # capitals go first where no string of a special token can arise from it
+        return [b"".join(map(get, (t if b"<|" in t else t.translate(self.LOWER)).split())) for t in texts]
 
 
 _loaded: dict[str, Encoder] = {}
